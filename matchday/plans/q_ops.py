@@ -1 +1,356 @@
-"""Catalog entries."""
+"""Catalog entries for joins, merges, write semantics, filters, ranking
+helpers and gameweek bookkeeping (B5-B8, C2, C4-C6, C10, C11, E3, E4, E6,
+E7, F2, G1, G3, G4, J2, J3, J5, J6, K1, K2)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.filters import name_lookup, per_unit_rates
+from ..operators.joins import alias_table, fill_nulls, left_join_suffix, match_exactly_one, orphans, resolve_names, \
+    resolve_variants
+from ..operators.merge import diff_keys, merge_latest, missing_periods
+from ..operators.periods import current_period, free_allowance, target_period
+from ..operators.rank import first_by, latest_by, latest_partition, top_k
+from ..sources.sinks import append_conflicts, insert_ignore_frame, replace_keys_frame, replace_partitions_frame
+from . import bindings as b
+from .bindings import month_index, with_bindings
+from .catalog import B, NUM, R, conform, query
+
+# ----------------------------------------------------------------------------- J6
+query("insert_or_ignore", sql="""
+SELECT l_orderkey, l_linenumber, round(l_extendedprice, 6) + 0.0 AS l_extendedprice FROM (
+  SELECT l_orderkey, l_linenumber, l_extendedprice,
+    row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS rn
+  FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))
+WHERE rn = 1""")(lambda spark, d: conform(insert_ignore_frame(
+    b.read(spark, d, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey")),
+    b.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
+    "l_orderkey", order=["l_linenumber", "l_extendedprice"])))
+
+# ----------------------------------------------------------------------------- J2
+_MON = "CAST((year({c}) - 1995) * 12 + month({c}) AS INTEGER)"
+
+
+def _j2_spark(spark, d):
+    li = b.read(spark, d, "lineitem")
+    old = li.select("l_orderkey", "l_linenumber", month_index(F.col("l_shipdate")).alias("gameweek"),
+                    "l_quantity")
+    o = b.read(spark, d, "orders").where(F.col("o_orderstatus") == "F")
+    new = o.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("l_linenumber"),
+                   month_index(F.col("o_orderdate")).alias("gameweek"), F.lit(0.0).alias("l_quantity"))
+    return conform(replace_partitions_frame(old, new, "gameweek"))
+
+
+query("replace_partition", sql=f"""
+WITH old AS (SELECT l_orderkey, l_linenumber, {_MON.format(c='l_shipdate')} AS gameweek, l_quantity FROM lineitem),
+new AS (SELECT o_orderkey AS l_orderkey, 0 AS l_linenumber, {_MON.format(c='o_orderdate')} AS gameweek,
+               0.0 AS l_quantity FROM orders WHERE o_orderstatus = 'F')
+SELECT {B('l_orderkey')} AS l_orderkey, {B('l_linenumber')} AS l_linenumber, {B('gameweek')} AS gameweek,
+  {R('l_quantity')} AS l_quantity
+FROM (SELECT * FROM old WHERE gameweek NOT IN (SELECT gameweek FROM new) UNION ALL SELECT * FROM new)""")(_j2_spark)
+
+# ----------------------------------------------------------------------------- J3
+
+
+def _j3_spark(spark, d):
+    o = b.read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    li = b.read(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    new = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("o_totalprice")) \
+        .withColumn("o_orderstatus", F.lit("R"))
+    return conform(replace_keys_frame(o, new, "o_orderkey"))
+
+
+query("replace_by_keys", sql=f"""
+WITH new AS (SELECT l_orderkey AS o_orderkey, 'R' AS o_orderstatus, sum(l_extendedprice) AS o_totalprice
+             FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
+SELECT o_orderkey, o_orderstatus, {R('o_totalprice')} AS o_totalprice FROM (
+  SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)
+  UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM new)""")(_j3_spark)
+
+# ----------------------------------------------------------------------------- J5
+
+
+def _j5_spark(spark, d):
+    ev = b.read(spark, d, "events").select("user_id", F.dayofmonth("ts").alias("day"))
+    existing = ev.where(F.col("day") <= 15)
+    incoming = ev.where(F.col("day") >= 10)
+    return conform(append_conflicts(existing, incoming, ["user_id", "day"]))
+
+
+query("append_only_conflicts", sql="""
+WITH ev AS (SELECT user_id, CAST(day(ts) AS BIGINT) AS day FROM events),
+ex AS (SELECT * FROM ev WHERE day <= 15), inc AS (SELECT * FROM ev WHERE day >= 10)
+SELECT DISTINCT user_id, day, 'exists' AS reason FROM inc WHERE (user_id, day) IN (SELECT (user_id, day) FROM ex)
+UNION ALL
+SELECT user_id, day, 'duplicate' FROM inc GROUP BY user_id, day HAVING count(*) > 1""")(_j5_spark)
+
+# ----------------------------------------------------------------------------- G1
+
+
+def _g1_spark(spark, d):
+    o = b.read(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("value"),
+                                          F.lit("orders").alias("src"), F.lit(0).alias("line"))
+    li = b.read(spark, d, "lineitem").where(F.col("l_returnflag") == "N").select(
+        F.col("l_orderkey").alias("key"), F.col("l_extendedprice").alias("value"), F.lit("lineitem").alias("src"),
+        F.col("l_linenumber").alias("line"))
+    return conform(merge_latest([o, li], "key", order=["line", "value"]).drop("line"))
+
+
+query("keyed_merge", sql=f"""
+WITH u AS (
+  SELECT o_orderkey AS key, o_totalprice AS value, 'orders' AS src, 0 AS line, 0 AS prio FROM orders
+  UNION ALL
+  SELECT l_orderkey, l_extendedprice, 'lineitem', l_linenumber, 1 FROM lineitem WHERE l_returnflag = 'N')
+SELECT key, {R('value')} AS value, src FROM (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY prio DESC, line DESC, value DESC) AS rn FROM u)
+WHERE rn = 1""")(_g1_spark)
+
+# ----------------------------------------------------------------------------- G3
+
+
+def _g3_spark(spark, d):
+    o = b.read(spark, d, "orders").select("o_custkey", month_index(F.col("o_orderdate")).alias("gameweek"))
+    span = o.groupBy("o_custkey").agg(F.min("gameweek").alias("lo"), F.max("gameweek").alias("hi"))
+    expected = span.select("o_custkey", F.explode(F.sequence("lo", "hi")).alias("gameweek"))
+    return conform(missing_periods(o, "gameweek", expected, by=["o_custkey"]))
+
+
+query("missing_partitions", sql=f"""
+WITH o AS (SELECT o_custkey, {_MON.format(c='o_orderdate')} AS gameweek FROM orders),
+exp AS (SELECT o_custkey, unnest(range(lo, hi + 1)) AS gameweek
+        FROM (SELECT o_custkey, min(gameweek) AS lo, max(gameweek) AS hi FROM o GROUP BY o_custkey))
+SELECT o_custkey, {B('gameweek')} AS gameweek FROM exp
+WHERE (o_custkey, gameweek) NOT IN (SELECT (o_custkey, gameweek) FROM o)""")(_g3_spark)
+
+# ----------------------------------------------------------------------------- G4
+query("missing_extra", sql="""
+SELECT custkey, 'missing' AS side FROM (SELECT c_custkey AS custkey FROM customer
+  EXCEPT SELECT o_custkey FROM orders)
+UNION ALL
+SELECT custkey, 'extra' FROM (SELECT o_custkey AS custkey FROM orders EXCEPT SELECT c_custkey FROM customer)""")(
+    lambda spark, d: conform(diff_keys(b.read(spark, d, "customer").select(F.col("c_custkey").alias("custkey")),
+                                       b.read(spark, d, "orders").select(F.col("o_custkey").alias("custkey")),
+                                       "custkey")))
+
+# ----------------------------------------------------------------------------- C4
+
+
+def _c4_spark(spark, d):
+    o = b.read(spark, d, "orders")
+    ext = o.where(F.col("o_orderpriority") == "1-URGENT").select(
+        F.col("o_orderkey").alias("ext_id"), F.to_date("o_orderdate").alias("match_date"),
+        F.col("o_custkey").alias("team"))
+    fx = o.where(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("fixture_id"), F.to_date("o_orderdate").alias("fx_date"),
+        F.col("o_custkey").alias("fx_team"))
+    matched, unmatched = match_exactly_one(ext, fx, {"match_date": "fx_date", "team": "fx_team"}, "ext_id",
+                                           ["fixture_id"])
+    return conform(matched.select("ext_id", "fixture_id", F.lit("matched").alias("status"))
+                   .unionByName(unmatched.select("ext_id", F.lit(-1).cast("long").alias("fixture_id"),
+                                                 F.lit("unmatched").alias("status"))))
+
+
+query("exact_match_join", sql="""
+WITH ext AS (SELECT o_orderkey AS ext_id, CAST(o_orderdate AS DATE) AS d, o_custkey AS team FROM orders
+             WHERE o_orderpriority = '1-URGENT'),
+fx AS (SELECT o_orderkey AS fixture_id, CAST(o_orderdate AS DATE) AS d, o_custkey AS team FROM orders
+       WHERE o_orderstatus = 'F'),
+c AS (SELECT ext.ext_id, count(fx.fixture_id) AS n, min(fx.fixture_id) AS fixture_id
+      FROM ext LEFT JOIN fx ON ext.d = fx.d AND ext.team = fx.team GROUP BY ext.ext_id)
+SELECT ext_id, CASE WHEN n = 1 THEN fixture_id ELSE -1 END AS fixture_id,
+  CASE WHEN n = 1 THEN 'matched' ELSE 'unmatched' END AS status FROM c""")(_c4_spark)
+
+# ----------------------------------------------------------------------------- C5
+# Provider spellings -> canonical names (two literal maps).
+PROVIDER_ALIASES = {f"Nation {i}": f"NATION_{i}" for i in range(15)}
+SHORT_ALIASES = {"N3": "NATION_3", "N7": "NATION_7"}
+
+
+def _c5_spark(spark, d):
+    c = b.read(spark, d, "customer")
+    seg, k = F.col("c_mktsegment"), F.col("c_nationkey").cast("string")
+    raw = (F.when(seg == "BUILDING", F.concat(F.lit("Nation "), k))
+           .when(seg == "MACHINERY", F.concat(F.lit("N"), k))
+           .when(seg == "FURNITURE", F.concat(F.lit("Unknown "), k))
+           .otherwise(F.concat(F.lit("NATION_"), k)))
+    rows = c.select("c_custkey", raw.alias("raw_name"))
+    nation = b.read(spark, d, "nation")
+    ok, rej = resolve_names(rows, "raw_name", "nation_id", nation, "n_name", "n_nationkey",
+                            alias_table(spark, PROVIDER_ALIASES), alias_table(spark, SHORT_ALIASES))
+    return conform(ok.withColumn("status", F.lit("resolved"))
+                   .unionByName(rej.withColumn("nation_id", F.lit(-1)).withColumn("status", F.lit("rejected"))))
+
+
+def _c5_sql():
+    a1 = " UNION ALL ".join(f"SELECT '{k}' AS alias, '{v}' AS canonical" for k, v in PROVIDER_ALIASES.items())
+    a2 = " UNION ALL ".join(f"SELECT '{k}' AS alias, '{v}' AS canonical" for k, v in SHORT_ALIASES.items())
+    return f"""
+WITH a1 AS ({a1}), a2 AS ({a2}),
+rows AS (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Nation ' || CAST(c_nationkey AS VARCHAR)
+  WHEN c_mktsegment = 'MACHINERY' THEN 'N' || CAST(c_nationkey AS VARCHAR)
+  WHEN c_mktsegment = 'FURNITURE' THEN 'Unknown ' || CAST(c_nationkey AS VARCHAR)
+  ELSE 'NATION_' || CAST(c_nationkey AS VARCHAR) END AS raw_name FROM customer),
+r AS (SELECT rows.*, coalesce(a2.canonical, coalesce(a1.canonical, raw_name)) AS nm
+      FROM rows LEFT JOIN a1 ON rows.raw_name = a1.alias
+      LEFT JOIN a2 ON coalesce(a1.canonical, rows.raw_name) = a2.alias)
+SELECT c_custkey, raw_name, {B('coalesce(n.n_nationkey, -1)')} AS nation_id,
+  CASE WHEN n.n_nationkey IS NULL THEN 'rejected' ELSE 'resolved' END AS status
+FROM r LEFT JOIN nation n ON r.nm = n.n_name"""
+
+
+query("alias_resolution", sql=_c5_sql())(_c5_spark)
+
+# ----------------------------------------------------------------------------- C6
+
+
+def _c6_spark(spark, d):
+    p = b.read(spark, d, "part")
+    first = F.split("p_name", " ").getItem(0)
+    second = F.split("p_name", " ").getItem(1)
+    people = p.select("p_partkey", first.alias("first"), second.alias("second"), F.col("p_brand").alias("web"))
+    variants = [F.concat_ws(" ", "first", "second"), F.concat_ws(" ", "second", "first"), F.col("web"),
+                F.col("first"), F.col("second")]
+    rows = people.select(F.col("p_partkey").alias("row_id"), F.concat_ws(" ", "second", "first").alias("lookup"))
+    out = resolve_variants(rows, F.col("lookup"), people, "p_partkey", "p_partkey", variants, out="mapped_id")
+    return conform(out)
+
+
+query("name_variants", sql="""
+WITH people AS (SELECT p_partkey, split_part(p_name, ' ', 1) AS first, split_part(p_name, ' ', 2) AS second,
+                       p_brand AS web FROM part),
+v AS (SELECT p_partkey, 0 AS pos, trim(first || ' ' || second) AS name FROM people
+      UNION ALL SELECT p_partkey, 1, trim(second || ' ' || first) FROM people
+      UNION ALL SELECT p_partkey, 2, trim(web) FROM people
+      UNION ALL SELECT p_partkey, 3, trim(first) FROM people
+      UNION ALL SELECT p_partkey, 4, trim(second) FROM people),
+m AS (SELECT name, p_partkey AS mapped_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY name ORDER BY p_partkey, pos) AS rn FROM v
+        WHERE name IS NOT NULL AND name <> '') WHERE rn = 1)
+SELECT p.p_partkey AS row_id, p.second || ' ' || p.first AS lookup, m.mapped_id
+FROM people p LEFT JOIN m ON p.second || ' ' || p.first = m.name""")(_c6_spark)
+
+# ----------------------------------------------------------------------------- C2
+
+
+def _c2_spark(spark, d):
+    fx = b.fixtures(spark, d).select("fixture_id", "home_team_id", "event")
+    od = b.odds(spark, d).where(F.col("referee") != "").select("fixture_id", "home_team_id", "B365H")
+    j = left_join_suffix(fx, od, "fixture_id", "_odds")
+    return conform(j.select("fixture_id", "home_team_id", "event", F.col("home_team_id_odds").isNotNull()
+                            .alias("has_odds"), "B365H"))
+
+
+query("left_join_suffix", sql=with_bindings(f"""
+SELECT f.fixture_id, f.home_team_id, {B('f.event')} AS event, (o.home_team_id IS NOT NULL) AS has_odds,
+  {R('o.B365H')} AS B365H
+FROM b_fixtures f LEFT JOIN (SELECT fixture_id, home_team_id, B365H FROM b_odds WHERE referee <> '') o
+  ON f.fixture_id = o.fixture_id""", "b_fixtures", "b_odds"))(_c2_spark)
+
+# ----------------------------------------------------------------------------- C10
+
+
+def _c10_spark(spark, d):
+    od = b.odds(spark, d).select("fixture_id", "AvgCH")
+    lk = b.read(spark, d, "orders").select(F.col("o_orderkey").alias("fixture_id"),
+                                           (F.col("o_totalprice") / 70000.0 + 1.0).alias("AvgCH"))
+    return conform(fill_nulls(od, lk, "fixture_id", "AvgCH"))
+
+
+query("fill_nulls_from_lookup", sql=with_bindings(f"""
+SELECT o.fixture_id, {R('coalesce(o.AvgCH, r.o_totalprice / 70000.0 + 1.0)')} AS AvgCH
+FROM (SELECT fixture_id, AvgCH FROM b_odds) o LEFT JOIN orders r ON o.fixture_id = r.o_orderkey""", "b_odds"))(
+    _c10_spark)
+
+# ----------------------------------------------------------------------------- C11
+query("orphans", sql="""
+SELECT c_custkey, c_nationkey FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")(lambda spark, d: conform(
+    orphans(b.read(spark, d, "customer").select("c_custkey", "c_nationkey"),
+            b.read(spark, d, "orders"), "c_custkey", "o_custkey")))
+
+# ----------------------------------------------------------------------------- E3 / E4 / E6
+query("latest_per_key", sql=f"""
+SELECT user_id, event_id, ts, event_type, {R('value')} AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1""")(lambda spark, d: conform(latest_by(
+    b.read(spark, d, "events").select("user_id", "event_id", "ts", "event_type", "value"), "user_id",
+    ["ts", "event_id"])))
+
+query("first_per_key", sql="""
+SELECT conv_id, turn, role FROM (
+  SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations)
+WHERE rn = 1""")(lambda spark, d: conform(first_by(
+    b.read(spark, d, "conversations").select("conv_id", "turn", "role"), "conv_id", ["turn"])))
+
+query("latest_partition", sql=with_bindings(f"""
+SELECT fixture_id, {B('event')} AS event, home_team_id, away_team_id FROM b_fixtures
+WHERE event = (SELECT max(event) FROM b_fixtures)""", "b_fixtures"))(lambda spark, d: conform(
+    latest_partition(b.fixtures(spark, d).select("fixture_id", "event", "home_team_id", "away_team_id"), "event")))
+
+# ----------------------------------------------------------------------------- E7
+# Event types standing in for chips in the binding.
+CHIP_OF_EVENT = {"signup": "wildcard", "error": "Free Hit"}
+
+
+def _e7_spark(spark, d):
+    ev = b.read(spark, d, "events").select("user_id", F.dayofmonth("ts").alias("event"), "event_type", "event_id")
+    summary = ev.groupBy("user_id", "event").agg(
+        F.count(F.when(F.col("event_type") == "purchase", 1)).alias("event_transfers"))
+    chip = (F.when(F.col("event_type") == "signup", F.lit(CHIP_OF_EVENT["signup"]))
+            .when(F.col("event_type") == "error", F.lit(CHIP_OF_EVENT["error"])))
+    chips = first_by(ev.select("user_id", "event", "event_id", chip.alias("chip_used")), ["user_id", "event"],
+                     ["event_id"]).select("user_id", "event", "chip_used")
+    return conform(free_allowance(summary, chips, key="user_id"))
+
+
+query("free_allowance", sql="""
+WITH ev AS (SELECT user_id, day(ts) AS event, event_type, event_id FROM events),
+s AS (SELECT user_id, event, count(CASE WHEN event_type = 'purchase' THEN 1 END) AS tr FROM ev GROUP BY ALL),
+ch AS (SELECT user_id, event, CASE WHEN event_type = 'signup' THEN 'wildcard' WHEN event_type = 'error'
+         THEN 'Free Hit' END AS chip FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id, event ORDER BY event_id) AS rn FROM ev) WHERE rn = 1)
+SELECT s.user_id, CAST(s.event AS BIGINT) AS event,
+  CAST(CASE WHEN s.event <= 1 OR p.user_id IS NULL OR coalesce(lower(c.chip) IN ('wildcard', 'freehit', 'free hit'), FALSE)
+       OR coalesce(p.tr <> 0, TRUE) THEN 1 ELSE 2 END AS BIGINT) AS free_transfers
+FROM s LEFT JOIN s p ON p.user_id = s.user_id AND p.event + 1 = s.event
+LEFT JOIN ch c ON c.user_id = s.user_id AND c.event + 1 = s.event""")(_e7_spark)
+
+# ----------------------------------------------------------------------------- B5 / B6 / B8 / F2
+query("per_unit_rates", sql=with_bindings(f"""
+SELECT player_id, {R('coalesce(CASE WHEN minutes > 0 THEN total_points * 90.0 / minutes ELSE 0.0 END, 0.0)')}
+    AS total_points_per90,
+  {R(f"coalesce(CASE WHEN minutes > 0 THEN {NUM('form')} * 90.0 / minutes ELSE 0.0 END, 0.0)")} AS form_per90
+FROM b_players WHERE minutes > 0""", "b_players"))(lambda spark, d: conform(
+    per_unit_rates(b.players(spark, d), ["total_points", "form"])
+    .select("player_id", "total_points_per90", "form_per90")))
+
+query("range_filter", sql=with_bindings(f"""
+SELECT fixture_id, {B('event')} AS event, home_team_id, away_team_id FROM b_fixtures WHERE event BETWEEN 30 AND 40""",
+                                        "b_fixtures"))(lambda spark, d: conform(
+    b.fixtures(spark, d).where(F.col("event").between(30, 40))
+    .select("fixture_id", "event", "home_team_id", "away_team_id")))
+
+ACCENT_TERM = "Eoireeau"  # only the accent-folded text contains it (fallback branch)
+
+query("accent_lookup", sql=f"""
+WITH hits AS (SELECT count(*) AS n FROM documents WHERE regexp_matches(text, '(?i){ACCENT_TERM}'))
+SELECT doc_id, lang FROM documents
+WHERE CASE WHEN (SELECT n FROM hits) > 0 THEN regexp_matches(text, '(?i){ACCENT_TERM}')
+           ELSE regexp_matches(strip_accents(lower(text)), '{ACCENT_TERM.lower()}') END""")(
+    lambda spark, d: conform(name_lookup(b.read(spark, d, "documents"), "text", ACCENT_TERM).select("doc_id", "lang")))
+
+query("topk", sql=f"""
+SELECT o_orderkey, {R('o_totalprice')} AS o_totalprice FROM orders WHERE o_orderstatus = 'F'
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 10""")(lambda spark, d: conform(
+    top_k(b.read(spark, d, "orders").where(F.col("o_orderstatus") == "F").select("o_orderkey", "o_totalprice"),
+          [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10)))
+
+# ----------------------------------------------------------------------------- K1 / K2
+query("current_period", sql=with_bindings("""
+SELECT CAST(coalesce(min(CASE WHEN is_current THEN event_id END), 1) AS BIGINT) AS current,
+  coalesce(min(CASE WHEN is_current THEN finished END), TRUE) AS finished,
+  CAST(CASE WHEN coalesce(min(CASE WHEN is_current THEN finished END), TRUE)
+       THEN coalesce(min(CASE WHEN is_current THEN event_id END), 1) + 1
+       ELSE coalesce(min(CASE WHEN is_current THEN event_id END), 1) END AS BIGINT) AS target
+FROM b_gameweeks""", "b_gameweeks"))(lambda spark, d: conform(target_period(current_period(b.gameweeks(spark, d)))))
