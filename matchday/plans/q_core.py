@@ -21,9 +21,11 @@ _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extend
 
 
 def _sorted_lines(li: DataFrame, fields: list) -> DataFrame:
-    """Per order: its lines as an array sorted by a total order (bounded)."""
+    """Per order: its lines as an array sorted by a total order (bounded by
+    the lines of one order). Fields are read back with ``lines.<field>``
+    (no higher-order function)."""
     s = F.struct(*[F.col(c) for c in _LINE_ORDER]).alias("s")
-    return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(s, *fields))).alias("lines"))
+    return li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(s, *fields))).alias("lines"))
 
 
 # ----------------------------------------------------------------------------- A1-A5 / H13
@@ -43,8 +45,7 @@ def _element_docs(spark, d) -> DataFrame:
         F.when(F.col("l_returnflag") != "A", F.col("l_discount") * 1000.0).alias("chance_of_playing_next_round"),
         F.when(F.col("l_linestatus") == "F", F.struct(F.col("l_linenumber").alias("k"))).alias("extra"))
     per = _sorted_lines(li, [el.alias("e")])
-    return per.select("l_orderkey", F.to_json(F.struct(F.transform("lines", lambda x: x["e"]).alias("elements")))
-                      .alias("json"))
+    return per.select("l_orderkey", F.to_json(F.struct(F.col("lines.e").alias("elements"))).alias("json"))
 
 
 def _json_flatten_spark(spark, d):
@@ -70,31 +71,29 @@ FROM lineitem""")(_json_flatten_spark)
 def _market_docs(spark, d) -> DataFrame:
     li = b.read(spark, d, "lineitem")
     book = F.element_at(F.array(*[F.lit(x) for x in BOOK_BY_LINE]), F.col("l_linenumber"))
-    per = _sorted_lines(li, [book.alias("book"), F.col("l_quantity").alias("q"), F.col("l_discount").alias("dc"),
-                             F.col("l_tax").alias("tx")])
+    home = F.concat(F.lit("Home "), F.col("l_orderkey").cast("string"))
+    away = F.concat(F.lit("Away "), F.col("l_orderkey").cast("string"))
+    q, dc, tx = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
+    no_point = F.lit(None).cast("double")
+    h2h = F.struct(F.lit("h2h").alias("key"), F.array(
+        F.struct(home.alias("name"), (1.0 + q / 20.0).alias("price"), no_point.alias("point")),
+        F.struct(F.lit("Draw").alias("name"), (3.0 + dc * 10.0).alias("price"), no_point.alias("point")),
+        F.struct(away.alias("name"), (1.0 + (51.0 - q) / 20.0).alias("price"), no_point.alias("point")))
+        .alias("outcomes"))
+    pt = F.when(tx < 0.04, F.lit(2.5)).otherwise(F.lit(3.5))
+    tot = F.struct(F.lit("totals").alias("key"), F.array(
+        F.struct(F.lit("Over").alias("name"), (1.5 + tx * 10.0).alias("price"), pt.alias("point")),
+        F.struct(F.lit("Under").alias("name"), (2.5 - tx * 10.0).alias("price"), pt.alias("point")))
+        .alias("outcomes"))
+    bk = F.struct(book.alias("key"), F.array(h2h, tot).alias("markets"))
+    per = _sorted_lines(li, [bk.alias("bk")])
     o = b.read(spark, d, "orders")
     j = per.join(o, per.l_orderkey == o.o_orderkey, "inner")
-    home = F.concat(F.lit("Home "), F.col("o_custkey").cast("string"))
-    away = F.concat(F.lit("Away "), F.col("o_orderkey").cast("string"))
     commence = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("TBD")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-
-    def bookmaker(x):
-        h2h = F.struct(F.lit("h2h").alias("key"), F.array(
-            F.struct(home.alias("name"), (1.0 + x["q"] / 20.0).alias("price"), F.lit(None).cast("double").alias("point")),
-            F.struct(F.lit("Draw").alias("name"), (3.0 + x["dc"] * 10.0).alias("price"),
-                     F.lit(None).cast("double").alias("point")),
-            F.struct(away.alias("name"), (1.0 + (51.0 - x["q"]) / 20.0).alias("price"),
-                     F.lit(None).cast("double").alias("point"))).alias("outcomes"))
-        pt = F.when(x["tx"] < 0.04, F.lit(2.5)).otherwise(F.lit(3.5))
-        tot = F.struct(F.lit("totals").alias("key"), F.array(
-            F.struct(F.lit("Over").alias("name"), (1.5 + x["tx"] * 10.0).alias("price"), pt.alias("point")),
-            F.struct(F.lit("Under").alias("name"), (2.5 - x["tx"] * 10.0).alias("price"), pt.alias("point")))
-            .alias("outcomes"))
-        return F.struct(x["book"].alias("key"), F.array(h2h, tot).alias("markets"))
-
-    doc = F.struct(home.alias("home_team"), away.alias("away_team"), commence.alias("commence_time"),
-                   F.transform("lines", bookmaker).alias("bookmakers"))
+    doc = F.struct(F.concat(F.lit("Home "), F.col("l_orderkey").cast("string")).alias("home_team"),
+                   F.concat(F.lit("Away "), F.col("l_orderkey").cast("string")).alias("away_team"),
+                   commence.alias("commence_time"), F.col("lines.bk").alias("bookmakers"))
     return j.select("l_orderkey", F.to_json(doc).alias("json"))
 
 
@@ -131,7 +130,7 @@ agg AS (
     {pick('arg_max', 'un', "book = 'bet365' AND abs(pt - 2.5) < 0.1")} AS un
   FROM li GROUP BY l_orderkey)
 SELECT o_orderkey AS l_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS "Date",
-  'Home ' || CAST(o_custkey AS VARCHAR) AS HomeTeam, 'Away ' || CAST(o_orderkey AS VARCHAR) AS AwayTeam,
+  'Home ' || CAST(o_orderkey AS VARCHAR) AS HomeTeam, 'Away ' || CAST(o_orderkey AS VARCHAR) AS AwayTeam,
   {R('CASE WHEN n_ex > 0 THEN ex_h ELSE fb_h END')} AS B365H, {R('CASE WHEN n_ex > 0 THEN ex_d ELSE fb_d END')} AS B365D,
   {R('CASE WHEN n_ex > 0 THEN ex_a ELSE fb_a END')} AS B365A,
   {R('ps_h')} AS PSH, {R('ps_d')} AS PSD, {R('ps_a')} AS PSA,
@@ -167,8 +166,7 @@ def _live_docs(spark, d) -> DataFrame:
                   F.floor("l_quantity").cast("string"), F.lit(',"minutes":'),
                   (F.col("l_linenumber") * 10).cast("string"), F.lit('},"explain":'), explain, F.lit("}"))
     per = _sorted_lines(li, [el.alias("e")])
-    return per.select("l_orderkey", F.concat(F.lit('{"elements":['),
-                                             F.array_join(F.transform("lines", lambda x: x["e"]), ","),
+    return per.select("l_orderkey", F.concat(F.lit('{"elements":['), F.array_join(F.col("lines.e"), ","),
                                              F.lit("]}")).alias("json"))
 
 
