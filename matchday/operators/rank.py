@@ -46,24 +46,31 @@ def pct_rank_avg(df: DataFrame, value: str, group: str | Sequence[str], out: str
         ok = ok & F.col(c).isNotNull()
     keyed = df.withColumn("__v", F.when(ok, v))
 
-    # distinct (group, value) with multiplicity: map-side combined
+    # distinct (group, value) with multiplicity: map-side combined. Every
+    # branch below consumes exactly this (group, value, count) relation, so
+    # its shuffle is computed once and reused (ReuseExchange), not rescanned.
     dist = (keyed.where(F.col("__v").isNotNull())
             .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c")))
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = dist.groupBy(*g).agg(F.percentile_approx("__v", probs, 10000).alias("__b"))
-    dist = (dist.join(bounds, g)
-            .withColumn("__k", F.size(F.filter("__b", lambda b: b < F.col("__v"))))
-            .drop("__b"))
-    totals = dist.groupBy(*g, "__k").agg(F.sum("__c").alias("__bc"))
+    bounds = dist.groupBy(*g).agg(F.percentile_approx("__v", probs, 10000).alias("__b"),
+                                  F.sum("__c").alias("__n"))
+    assigned = (dist.join(bounds, g)
+                .withColumn("__k", F.size(F.filter("__b", lambda b: b < F.col("__v"))))
+                .drop("__b"))
+    # prefix count inside a bucket and the bucket total share one window
+    # partitioning (group, bucket): a bucket holds ~1/buckets of the group.
+    w_in = Window.partitionBy(*g, "__k").orderBy("__v")
+    win = assigned.select(*g, "__k", "__v", "__c", "__n",
+                          F.coalesce(F.sum("__c").over(w_in.rowsBetween(Window.unboundedPreceding, -1)),
+                                     F.lit(0)).alias("__pre"),
+                          F.sum("__c").over(Window.partitionBy(*g, "__k")).alias("__bc"))
+    # offset of each bucket = rows in the group's lower buckets (tiny table)
+    offs = win.groupBy(*g, "__k").agg(F.max("__bc").alias("__bc"))
     w_prev = Window.partitionBy(*g).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (totals
-              .withColumn("__off", F.coalesce(F.sum("__bc").over(w_prev), F.lit(0)))
-              .withColumn("__n", F.sum("__bc").over(Window.partitionBy(*g))))
-    w_in = Window.partitionBy(*g, "__k").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (dist.join(totals, [*g, "__k"])
-             .withColumn("__less", F.col("__off") + F.coalesce(F.sum("__c").over(w_in), F.lit(0)))
-             .select(*g, "__v",
-                     ((F.col("__less") + (F.col("__c") + 1) / 2.0) / F.col("__n") * 100.0).alias("__r")))
+    offs = offs.select(*g, "__k", F.coalesce(F.sum("__bc").over(w_prev), F.lit(0)).alias("__off"))
+    ranks = (win.join(offs, [*g, "__k"])
+             .select(*g, "__v", ((F.col("__off") + F.col("__pre") + (F.col("__c") + 1) / 2.0)
+                                 / F.col("__n") * 100.0).alias("__r")))
     return (keyed.join(ranks, [*g, "__v"], "left")
             .withColumn(out, F.coalesce(F.col("__r"), F.lit(float(default))))
             .drop("__v", "__r"))
