@@ -387,13 +387,14 @@ def betting_features(odds: DataFrame, fixtures: DataFrame, players: DataFrame, a
         side(c("__away"), c("__pa"), c("__ph"), c("__axg"), c("__cons_a"), c("__mv_a"), c("__fav_a"), -1, c("__aha")),
         keep=["fixture_id", "__gw"],
     ).where(c("team_id").isNotNull())
+    # defaults are filled at (fixture, side) grain, before the fan-out, so
+    # the join only copies finished rows to every member of the team
+    filled = [F.coalesce(c(k), F.lit(v)).alias(k) for k, v in BETTING_DEFAULTS.items()]
+    sides = sides.select("team_id", F.coalesce(c("__gw"), F.lit(1)).cast("int").alias("gameweek"), "fixture_id",
+                         "is_home", *filled, ts_lit(as_of).alias("as_of_utc"))
     members = players.where(c("team_id").isNotNull()).select("player_id", "team_id")
     out = sides.join(members, "team_id", "inner")
-    filled = [F.coalesce(c(k), F.lit(v)).alias(k) for k, v in BETTING_DEFAULTS.items()]
-    return out.select(
-        F.coalesce(c("__gw"), F.lit(1)).cast("int").alias("gameweek"), "fixture_id", "player_id", "is_home",
-        *filled, ts_lit(as_of).alias("as_of_utc"),
-    )
+    return out.select("gameweek", "fixture_id", "player_id", "is_home", *BETTING_DEFAULTS, "as_of_utc")
 
 
 # --------------------------------------------------------------------------- I8

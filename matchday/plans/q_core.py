@@ -69,6 +69,9 @@ FROM lineitem""")(_json_flatten_spark)
 
 
 def _market_docs(spark, d) -> DataFrame:
+    """One provider JSON document per order; each line is one bookmaker.
+    Lines are rendered to JSON text before the per-order collect, so the
+    shuffle carries compact strings rather than nested structs."""
     li = b.read(spark, d, "lineitem")
     book = F.element_at(F.array(*[F.lit(x) for x in BOOK_BY_LINE]), F.col("l_linenumber"))
     home = F.concat(F.lit("Home "), F.col("l_orderkey").cast("string"))
@@ -85,16 +88,19 @@ def _market_docs(spark, d) -> DataFrame:
         F.struct(F.lit("Over").alias("name"), (1.5 + tx * 10.0).alias("price"), pt.alias("point")),
         F.struct(F.lit("Under").alias("name"), (2.5 - tx * 10.0).alias("price"), pt.alias("point")))
         .alias("outcomes"))
-    bk = F.struct(book.alias("key"), F.array(h2h, tot).alias("markets"))
+    bk = F.to_json(F.struct(book.alias("key"), F.array(h2h, tot).alias("markets")))
     per = _sorted_lines(li, [bk.alias("bk")])
     o = b.read(spark, d, "orders")
     j = per.join(o, per.l_orderkey == o.o_orderkey, "inner")
     commence = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("TBD")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    doc = F.struct(F.concat(F.lit("Home "), F.col("l_orderkey").cast("string")).alias("home_team"),
-                   F.concat(F.lit("Away "), F.col("l_orderkey").cast("string")).alias("away_team"),
-                   commence.alias("commence_time"), F.col("lines.bk").alias("bookmakers"))
-    return j.select("l_orderkey", F.to_json(doc).alias("json"))
+    head = F.to_json(F.struct(F.concat(F.lit("Home "), F.col("l_orderkey").cast("string")).alias("home_team"),
+                              F.concat(F.lit("Away "), F.col("l_orderkey").cast("string")).alias("away_team"),
+                              commence.alias("commence_time")))
+    # the header object without its closing brace, then the bookmakers array
+    doc = F.concat(F.substring_index(head, "}", 1), F.lit(',"bookmakers":['),
+                   F.array_join(F.col("lines.bk"), ","), F.lit("]}"))
+    return j.select("l_orderkey", doc.alias("json"))
 
 
 _MARKET_COLS = ["l_orderkey", "Date", "HomeTeam", "AwayTeam", "B365H", "B365D", "B365A", "PSH", "PSD", "PSA",

@@ -1,10 +1,9 @@
 """Bookmaker odds ingest.
 
 ``flatten_market_odds`` turns provider documents (match -> bookmakers ->
-markets -> outcomes) into one row per match in the wide CSV layout. The
-nesting is exploded with positions kept, then reduced per match with
-conditional aggregates; a match's fan-out is bounded by its bookmakers, so
-the per-match group never grows with the data.
+markets -> outcomes) into one row per match in the wide CSV layout. Each
+document is one match, so it is reduced where it sits with array functions
+(filter / transform / aggregate): a narrow, shuffle-free projection.
 """
 
 from __future__ import annotations
@@ -36,69 +35,80 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
                         line: float = 2.5, tol: float = 0.1) -> DataFrame:
     """One row per match document (``doc`` struct, ``key`` column kept).
 
-    * h2h price per bookmaker: outcome named like the home team -> home, like
-      the away team -> away, any other name -> draw (last outcome wins)
+    * h2h price per bookmaker market: outcome named like the home team ->
+      home, like the away team -> away, any other name -> draw (last wins)
     * Max*/Avg* over all bookmakers' h2h prices
     * B365*: the exact bookmaker (its last h2h market) if present, else the
       first preferred bookmaker in provider order; PS*: the sharp bookmaker
-    * B365 over/under at ``line``: the exact bookmaker's totals market
-      outcomes whose point is within ``tol`` of the line
+    * B365 over/under at ``line``: the exact bookmaker's totals outcomes whose
+      point is within ``tol`` of the line ("over" wins over "under")
     * matches whose time does not parse are skipped; closing columns are the
       opening ones until real closing prices arrive
+
+    A document is one match, so it is reduced in place with array functions:
+    no explode, no shuffle, work linear in the number of documents.
     """
-    m = docs.select(key, F.col("doc.home_team").alias("home_team"), F.col("doc.away_team").alias("away_team"),
-                    F.try_to_timestamp(F.col("doc.commence_time")).alias("ts"),
-                    F.posexplode_outer("doc.bookmakers").alias("bpos", "bk")).where(F.col("ts").isNotNull())
-    mk = m.select(key, "home_team", "away_team", "ts", "bpos", F.col("bk.key").alias("book"),
-                  F.posexplode_outer("bk.markets").alias("mpos", "mkt"))
-    oc = mk.select(key, "bpos", "book", "mpos", F.col("mkt.key").alias("market"), "home_team", "away_team",
-                   F.posexplode_outer("mkt.outcomes").alias("opos", "o"))
-    name, price = F.col("o.name"), F.col("o.price")
-    is_h2h = F.col("market") == "h2h"
-    side = (F.when(name == F.col("home_team"), F.lit("H")).when(name == F.col("away_team"), F.lit("A"))
-            .otherwise(F.lit("D")))
-
-    def last_price(s: str):
-        c = is_h2h & (side == s)
-        return F.max_by(F.when(c, price), F.when(c, F.col("opos")))
-
-    near = F.abs(F.coalesce(F.col("o.point"), F.lit(0.0)) - line) < tol
-    lname = F.lower(F.coalesce(name, F.lit("")))
-    tot = (F.col("market") == "totals") & near & (F.col("book") == exact)
-
-    per_market = oc.groupBy(key, "bpos", "book", "mpos", "market").agg(
-        last_price("H").alias("h"), last_price("D").alias("d"), last_price("A").alias("a"),
-        F.max_by(F.when(tot & lname.contains("over"), price), F.when(tot & lname.contains("over"), F.col("opos")))
-        .alias("over"),
-        F.max_by(F.when(tot & lname.contains("under") & ~lname.contains("over"), price),
-                 F.when(tot & lname.contains("under") & ~lname.contains("over"), F.col("opos"))).alias("under"))
-    h2h = F.col("market") == "h2h"
-    pos = F.struct(F.col("bpos"), F.col("mpos"))
-    trip = F.struct(pos.alias("p"), F.col("h"), F.col("d"), F.col("a"))
-    agg = per_market.groupBy(key).agg(
-        F.max(F.when(h2h & (F.col("book") == exact), trip)).alias("ex"),
-        F.min(F.when(h2h & F.col("book").isin(*preferred), trip)).alias("fb"),
-        F.max(F.when(h2h & (F.col("book") == sharp), trip)).alias("ps"),
-        *[F.max(F.when(h2h, F.col(c))).alias(f"max_{c}") for c in "hda"],
-        *[F.avg(F.when(h2h, F.col(c))).alias(f"avg_{c}") for c in "hda"],
-        F.max_by(F.col("over"), F.when(F.col("over").isNotNull(), pos)).alias("ov"),
-        F.max_by(F.col("under"), F.when(F.col("under").isNotNull(), pos)).alias("un"))
-    b365 = F.when(F.col("ex").isNotNull(), F.col("ex")).otherwise(F.col("fb"))
-    head = m.select(key, "home_team", "away_team", "ts").dropDuplicates([key])
+    d = F.col("doc")
+    home, away = d["home_team"], d["away_team"]
+
+    def last_price(outcomes, pred):
+        return F.try_element_at(F.filter(outcomes, pred), F.lit(-1))["price"]
+
+    def is_home(o):
+        return F.coalesce(o["name"] == home, F.lit(False))
+
+    def is_away(o):
+        return F.coalesce(o["name"] == away, F.lit(False))
+
+    def h2h_entries(b):
+        return F.transform(F.filter(b["markets"], lambda m: F.coalesce(m["key"] == "h2h", F.lit(False))),
+                           lambda m: F.struct(b["key"].alias("book"),
+                                              last_price(m["outcomes"], is_home).alias("h"),
+                                              last_price(m["outcomes"], lambda o: ~is_home(o) & ~is_away(o)).alias("d"),
+                                              last_price(m["outcomes"], is_away).alias("a")))
+
+    entries = F.flatten(F.transform(d["bookmakers"], h2h_entries))
+    totals = F.flatten(F.transform(
+        F.filter(d["bookmakers"], lambda b: F.coalesce(b["key"] == exact, F.lit(False))),
+        lambda b: F.flatten(F.transform(
+            F.filter(b["markets"], lambda m: F.coalesce(m["key"] == "totals", F.lit(False))),
+            lambda m: F.filter(m["outcomes"],
+                               lambda o: F.abs(F.coalesce(o["point"], F.lit(0.0)) - line) < tol)))))
+    step = docs.select(key, home.alias("home_team"), away.alias("away_team"),
+                       F.try_to_timestamp(d["commence_time"]).alias("ts"),
+                       entries.alias("e"), totals.alias("t")).where(F.col("ts").isNotNull())
+
+    e = F.col("e")
+
+    def side(c):
+        return F.filter(F.transform(e, lambda x: x[c]), lambda v: v.isNotNull())
+
+    def avg(arr):
+        return F.when(F.size(arr) > 0, F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v) / F.size(arr))
+
+    ex = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"] == exact, F.lit(False))), F.lit(-1))
+    fb = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"].isin(*preferred), F.lit(False))), F.lit(1))
+    ps = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"] == sharp, F.lit(False))), F.lit(-1))
+    b365 = F.when(ex.isNotNull(), ex).otherwise(fb)
+    lname = lambda o: F.lower(F.coalesce(o["name"], F.lit("")))
+    over = F.try_element_at(F.filter("t", lambda o: lname(o).contains("over")), F.lit(-1))["price"]
+    under = F.try_element_at(F.filter("t", lambda o: ~lname(o).contains("over") & lname(o).contains("under")),
+                             F.lit(-1))["price"]
     nm = name_map or {}
     mp = F.create_map(*[F.lit(x) for kv in nm.items() for x in kv]) if nm else None
 
     def norm(c):
         return F.coalesce(F.element_at(mp, F.col(c)), F.col(c)) if mp is not None else F.col(c)
 
-    out = head.join(agg, key, "left").select(
+    out = step.select(
         key, F.date_format("ts", "dd/MM/yyyy").alias("Date"), F.to_date("ts").alias("match_date"),
         norm("home_team").alias("HomeTeam"), norm("away_team").alias("AwayTeam"),
         b365["h"].alias("B365H"), b365["d"].alias("B365D"), b365["a"].alias("B365A"),
-        F.col("ps.h").alias("PSH"), F.col("ps.d").alias("PSD"), F.col("ps.a").alias("PSA"),
-        F.col("max_h").alias("MaxH"), F.col("max_d").alias("MaxD"), F.col("max_a").alias("MaxA"),
-        F.col("avg_h").alias("AvgH"), F.col("avg_d").alias("AvgD"), F.col("avg_a").alias("AvgA"),
-        F.col("ov").alias("B365_over_2_5"), F.col("un").alias("B365_under_2_5"))
+        ps["h"].alias("PSH"), ps["d"].alias("PSD"), ps["a"].alias("PSA"),
+        F.array_max(side("h")).alias("MaxH"), F.array_max(side("d")).alias("MaxD"),
+        F.array_max(side("a")).alias("MaxA"),
+        avg(side("h")).alias("AvgH"), avg(side("d")).alias("AvgD"), avg(side("a")).alias("AvgA"),
+        over.alias("B365_over_2_5"), under.alias("B365_under_2_5"))
     closing = {f"{bk}C{s}": F.col(f"{bk}{s}") for bk in ("B365", "PS", "Max", "Avg") for s in "HDA"}
     return out.withColumns(closing)
 
