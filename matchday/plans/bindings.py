@@ -42,17 +42,17 @@ def month_index(c) -> F.Column:
 
 
 # --------------------------------------------------------------------------- players
-def players(spark: SparkSession, d: str) -> DataFrame:
-    part = read(spark, d, "part")
-    li = read(spark, d, "lineitem")
-    agg = li.groupBy("l_partkey").agg(
+def _line_stats(li: DataFrame, *keys) -> DataFrame:
+    return li.groupBy("l_partkey", *keys).agg(
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.when(F.col("l_returnflag") == "A", 1).otherwise(0)).alias("n_a"),
         F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("n_r"),
         F.min("l_suppkey").alias("team"))
-    p = part.join(agg, part.p_partkey == agg.l_partkey, "left")
+
+
+def _player_cols() -> list:
     c = F.col
-    return p.select(
+    return [
         c("p_partkey").alias("player_id"),
         c("p_name").alias("web_name"),
         F.split(c("p_name"), " ").getItem(0).alias("first_name"),
@@ -75,7 +75,22 @@ def players(spark: SparkSession, d: str) -> DataFrame:
         F.when(c("p_size") % 4 == 0, F.lit(None).cast("double"))
         .otherwise((c("p_size") % 4) * 25.0).alias("chance_of_playing_next_round"),
         F.element_at(F.array(*[F.lit(s) for s in "aisudn"]), (c("p_size") % 6 + 1).cast("int")).alias("status"),
-    )
+    ]
+
+
+def players(spark: SparkSession, d: str) -> DataFrame:
+    part = read(spark, d, "part")
+    agg = _line_stats(read(spark, d, "lineitem"))
+    return part.join(agg, part.p_partkey == agg.l_partkey, "left").select(*_player_cols())
+
+
+def players_by_period(spark: SparkSession, d: str) -> DataFrame:
+    """One player row per (part, ship month) with that month's line stats:
+    the input of a many-gameweek recomputation (K5)."""
+    part = read(spark, d, "part")
+    li = read(spark, d, "lineitem").withColumn("gameweek", month_index(F.col("l_shipdate")))
+    agg = _line_stats(li, "gameweek")
+    return part.join(agg, part.p_partkey == agg.l_partkey, "inner").select(*_player_cols(), "gameweek")
 
 
 # --------------------------------------------------------------------------- teams
@@ -206,7 +221,7 @@ SQL = {
   CAST(CASE WHEN p.p_size % 7 = 0 THEN 1 WHEN p.p_size % 7 = 1 THEN 2 END AS INTEGER) AS penalties_order,
   CAST(CASE WHEN p.p_size % 3 = 0 THEN 1 ELSE 2 END AS INTEGER) AS corners_and_indirect_freekicks_order,
   CAST(CASE WHEN p.p_partkey % 4 = 0 THEN 1 END AS INTEGER) AS direct_freekicks_order,
-  CASE WHEN p.p_size % 4 = 0 THEN NULL ELSE (p.p_size % 4) * 25.0 END AS chance_of_playing_next_round,
+  CASE WHEN p.p_size % 4 = 0 THEN NULL ELSE CAST((p.p_size % 4) * 25 AS DOUBLE) END AS chance_of_playing_next_round,
   (['a','i','s','u','d','n'])[CAST(p.p_size % 6 + 1 AS INTEGER)] AS status
 FROM part p LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS qty, count(*) AS n_lines,
   sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS n_a,
@@ -257,6 +272,13 @@ FROM (SELECT {_MONTH.format(c='o_orderdate')} AS event_id, min(o_orderdate) AS d
 }
 
 
+SQL["b_players_gw"] = (SQL["b_players"]
+                       .replace("status\nFROM part p LEFT JOIN (SELECT l_partkey,", "status, a.gameweek\n"
+                                "FROM part p JOIN (SELECT l_partkey, " + _MONTH.format(c="l_shipdate") + " AS gameweek,")
+                       .replace("FROM lineitem GROUP BY l_partkey) a", "FROM lineitem GROUP BY l_partkey, gameweek) a"))
+assert "a.gameweek" in SQL["b_players_gw"] and "GROUP BY l_partkey, gameweek" in SQL["b_players_gw"]
+
+
 def with_bindings(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it needs (in dependency-free order)."""
     if not names:

@@ -80,7 +80,19 @@ def _pos_valid() -> Column:
 
 
 # --------------------------------------------------------------------------- I1
-def player_metrics(players: DataFrame, gameweek: int, as_of) -> DataFrame:
+def _gw(gameweek) -> Column:
+    """A gameweek given as an int (one period) or a column name (many)."""
+    return (F.col(gameweek) if isinstance(gameweek, str) else F.lit(gameweek)).cast("int")
+
+
+def _rank_group(gameweek) -> list[str]:
+    return [gameweek, "position_id"] if isinstance(gameweek, str) else ["position_id"]
+
+
+def player_metrics(players: DataFrame, gameweek, as_of) -> DataFrame:
+    """I1. ``gameweek`` is an int, or the name of a column when ``players``
+    holds many gameweeks (K5: ranks are then taken per gameweek and position,
+    all gameweeks in one job)."""
     price = _price()
     tp = F.col("total_points")
     form = num("form")
@@ -90,7 +102,7 @@ def player_metrics(players: DataFrame, gameweek: int, as_of) -> DataFrame:
         price.alias("current_price"),
         F.when(price > 0, clip_null(tp, 0.0) / price).otherwise(F.lit(0.0)).alias("points_per_million"),
     )
-    ranked = pct_rank_avg(base, "points_per_million", "position_id", out="value_score", valid=_pos_valid())
+    ranked = pct_rank_avg(base, "points_per_million", _rank_group(gameweek), out="value_score", valid=_pos_valid())
     epg = clip_null(F.coalesce(form, F.lit(3.0)), 0.0)
     form3 = F.coalesce(form, F.lit(3.0))
     return ranked.select(
@@ -120,7 +132,7 @@ def player_metrics(players: DataFrame, gameweek: int, as_of) -> DataFrame:
         is_first("direct_freekicks_order").alias("freekick_taker"),
         ((F.lit(100.0) - F.coalesce(num("chance_of_playing_next_round"), F.lit(100.0))) / 100.0).alias("injury_risk"),
         F.lit(0.2).alias("rotation_risk"),
-        F.lit(gameweek).cast("int").alias("gameweek"),
+        _gw(gameweek).alias("gameweek"),
         ts_lit(as_of).alias("calculation_date"),
         F.lit(CALCULATION_VERSION).alias("calculation_version"),
         F.lit(0.85).alias("data_quality_score"),
@@ -210,22 +222,37 @@ def fixture_difficulty(fixtures: DataFrame, teams: DataFrame, as_of) -> DataFram
 
 
 # --------------------------------------------------------------------------- I4 / I5 shared
-def flag_new(players: DataFrame, history: DataFrame, gameweek: int) -> DataFrame:
-    """players + ``is_new`` (no performance history before ``gameweek``)."""
-    new = new_entities(players, history, "player_id", "gameweek", gameweek).withColumn("is_new", F.lit(True))
-    return (players.join(new, "player_id", "left")
-            .withColumn("is_new", F.coalesce(F.col("is_new"), F.lit(False))))
+def flag_new(players: DataFrame, history: DataFrame, gameweek) -> DataFrame:
+    """players + ``is_new`` (no performance history before ``gameweek``).
+
+    With ``gameweek`` a column name (many gameweeks, K5) the same rule is
+    applied per row: new at gw iff gw > 1, some history exists before gw, and
+    the player's first history gameweek is not before gw. One join with the
+    per-player first gameweek, no per-gameweek loop.
+    """
+    if not isinstance(gameweek, str):
+        new = new_entities(players, history, "player_id", "gameweek", gameweek).withColumn("is_new", F.lit(True))
+        return (players.join(new, "player_id", "left")
+                .withColumn("is_new", F.coalesce(F.col("is_new"), F.lit(False))))
+    first = history.groupBy("player_id").agg(F.min("gameweek").alias("__first"))
+    gate = history.agg(F.min("gameweek").alias("__gmin")).withColumn("__one", F.lit(1))
+    gw = F.col(gameweek)
+    return (players.join(first, "player_id", "left")
+            .withColumn("__one", F.lit(1)).join(F.broadcast(gate), "__one", "left")  # one-row aggregate
+            .withColumn("is_new", (gw > 1) & F.coalesce(F.col("__gmin") < gw, F.lit(False))
+                        & (F.col("__first").isNull() | (F.col("__first") >= gw)))
+            .drop("__first", "__gmin", "__one"))
 
 
 # --------------------------------------------------------------------------- I4
-def value_analysis(players: DataFrame, history: DataFrame, gameweek: int, as_of, flagged: DataFrame | None = None) -> DataFrame:
+def value_analysis(players: DataFrame, history: DataFrame, gameweek, as_of, flagged: DataFrame | None = None) -> DataFrame:
     p = flagged if flagged is not None else flag_new(players, history, gameweek)
     price = _price()
     tp = clip_null(F.col("total_points"), 0.0)
     is_new = F.col("is_new")
     ppp = F.when(is_new, F.lit(0.5)).when(price > 0, tp / price).otherwise(F.lit(0.0))
     base = p.select("*", price.alias("current_price"), tp.alias("__tp"), ppp.alias("points_per_pound"))
-    ranked = pct_rank_avg(base, "points_per_pound", "position_id", out="__vvp", valid=_pos_valid())
+    ranked = pct_rank_avg(base, "points_per_pound", _rank_group(gameweek), out="__vvp", valid=_pos_valid())
     ppp = F.col("points_per_pound")
     buy = clip_null(ppp / 2.0, None, 10.0)
     net = _net()
@@ -247,14 +274,14 @@ def value_analysis(players: DataFrame, history: DataFrame, gameweek: int, as_of,
         classify([(buy >= 8.0, "strong_buy"), (buy >= 6.0, "buy"), (buy >= 4.0, "hold"), (buy >= 2.0, "sell")],
                  "strong_sell").alias("recommendation"),
         F.lit(0.75).alias("confidence"),
-        F.lit(gameweek).cast("int").alias("gameweek"),
+        _gw(gameweek).alias("gameweek"),
         ts_lit(as_of).alias("analysis_date"),
         F.lit(CALCULATION_VERSION).alias("model_version"),
     )
 
 
 # --------------------------------------------------------------------------- I5
-def ownership_trends(players: DataFrame, history: DataFrame, gameweek: int, as_of, flagged: DataFrame | None = None) -> DataFrame:
+def ownership_trends(players: DataFrame, history: DataFrame, gameweek, as_of, flagged: DataFrame | None = None) -> DataFrame:
     p = flagged if flagged is not None else flag_new(players, history, gameweek)
     is_new = F.col("is_new")
     tin = F.coalesce(F.col("transfers_in_event"), F.lit(0)).cast("long")
@@ -284,7 +311,7 @@ def ownership_trends(players: DataFrame, history: DataFrame, gameweek: int, as_o
         F.when(price > 0, own0 / price).otherwise(F.lit(0.0)).alias("ownership_vs_price"),
         (own0 > 40.0).alias("template_player"),
         ((own0 > 30.0) & (net < 0)).alias("high_ownership_falling"),
-        F.lit(gameweek).cast("int").alias("gameweek"),
+        _gw(gameweek).alias("gameweek"),
         ts_lit(as_of).alias("last_updated"),
     )
 

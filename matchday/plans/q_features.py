@@ -536,3 +536,60 @@ def _backfill_spark(spark, d):
 
 
 _ = (split_goals,)  # re-exported helpers used through features
+
+
+# ----------------------------------------------------------------------------- K5 (many gameweeks, one job)
+def _k5_rank_sql(metric: str, out: str) -> str:
+    valid = f"(position_id IN (1, 2, 3, 4) AND {metric} IS NOT NULL)"
+    return f"""CASE WHEN {valid} THEN
+      (CAST(rank() OVER (PARTITION BY gameweek, position_id, {valid} ORDER BY {metric}) AS DOUBLE)
+       + CAST(count(*) OVER (PARTITION BY gameweek, position_id, {valid}, {metric}) - 1 AS DOUBLE) / 2.0)
+      / CAST(count(*) OVER (PARTITION BY gameweek, position_id, {valid}) AS DOUBLE) * 100.0
+    ELSE 50.0 END AS {out}"""
+
+
+query("multi_period_metrics", sql=with_bindings(f"""
+, base AS (
+  SELECT p.*, now_cost / 10.0 AS current_price,
+    CASE WHEN now_cost / 10.0 > 0 THEN {CLIP("total_points", "0.0")} / (now_cost / 10.0) ELSE 0.0 END AS ppm
+  FROM b_players_gw p),
+rk AS (SELECT base.*, {_k5_rank_sql("ppm", "value_score")} FROM base)
+SELECT player_id, {B("gameweek")} AS gameweek, {B("position_id")} AS position_id, {R("ppm")} AS points_per_million,
+  {R("value_score")} AS value_score,
+  CASE WHEN (transfers_in_event - transfers_out_event) > 1000 THEN 'rising'
+       WHEN (transfers_in_event - transfers_out_event) < -1000 THEN 'falling' ELSE 'stable' END AS ownership_trend
+FROM rk""", "b_players_gw"))(lambda spark, d: conform(
+    feat.player_metrics(b.players_by_period(spark, d), "gameweek", AS_OF)
+    .select("player_id", "gameweek", "position_id", "points_per_million", "value_score", "ownership_trend")))
+
+
+def _k5_value_sql() -> str:
+    buy = CLIP("ppp / 2.0", None, "10.0")
+    return with_bindings(f"""
+, first AS (SELECT player_id, min(gameweek) AS f FROM b_history GROUP BY player_id),
+fp AS (
+  SELECT p.*, (p.gameweek > 1 AND coalesce((SELECT min(gameweek) FROM b_history) < p.gameweek, FALSE)
+               AND (first.f IS NULL OR first.f >= p.gameweek)) AS is_new
+  FROM b_players_gw p LEFT JOIN first ON p.player_id = first.player_id),
+base AS (
+  SELECT fp.*, CASE WHEN is_new THEN 0.5 WHEN now_cost / 10.0 > 0
+    THEN {CLIP("total_points", "0.0")} / (now_cost / 10.0) ELSE 0.0 END AS ppp FROM fp),
+rk AS (SELECT base.*, {_k5_rank_sql("ppp", "vvp")} FROM base)
+SELECT player_id, {B("gameweek")} AS gameweek, is_new, {R("ppp")} AS points_per_pound,
+  {R("CASE WHEN is_new THEN 1.0 ELSE vvp END")} AS value_vs_position,
+  CASE WHEN {buy} >= 8.0 THEN 'strong_buy' WHEN {buy} >= 6.0 THEN 'buy' WHEN {buy} >= 4.0 THEN 'hold'
+       WHEN {buy} >= 2.0 THEN 'sell' ELSE 'strong_sell' END AS recommendation
+FROM rk""", "b_players_gw", "b_history")
+
+
+def _k5_value_spark(spark, d):
+    players = b.players_by_period(spark, d)
+    hist = b.history(spark, d)
+    flagged = feat.flag_new(players, hist, "gameweek")
+    va = feat.value_analysis(players, hist, "gameweek", AS_OF, flagged=flagged)
+    return conform(va.join(flagged.select("player_id", "gameweek", "is_new"), ["player_id", "gameweek"])
+                   .select("player_id", "gameweek", "is_new", "points_per_pound", "value_vs_position",
+                           "recommendation"))
+
+
+query("multi_period_value", sql=_k5_value_sql())(_k5_value_spark)

@@ -354,3 +354,63 @@ SELECT CAST(coalesce(min(CASE WHEN is_current THEN event_id END), 1) AS BIGINT)
        THEN coalesce(min(CASE WHEN is_current THEN event_id END), 1) + 1
        ELSE coalesce(min(CASE WHEN is_current THEN event_id END), 1) END AS BIGINT) AS target
 FROM b_gameweeks""", "b_gameweeks"))(lambda spark, d: conform(target_period(current_period(b.gameweeks(spark, d)))))
+
+# ----------------------------------------------------------------------------- A13 / B3 / B9 / D8 / L5
+from ..operators.views import group_size_stats, legacy_players, scan  # noqa: E402
+from ..quality import checks as _q  # noqa: E402
+
+query("scan_filter", sql=f"""
+SELECT l_orderkey, l_partkey, {R('l_quantity')} AS l_quantity FROM lineitem
+WHERE l_returnflag = 'R' AND l_quantity >= 10 AND l_quantity <= 20""")(lambda spark, d: conform(scan(
+    spark, f"{d}/lineitem.parquet", columns=["l_orderkey", "l_partkey", "l_quantity"],
+    equals={"l_returnflag": "R"}, between={"l_quantity": (10, 20)})))
+
+query("legacy_players_view", sql=with_bindings(f"""
+SELECT player_id AS id, player_id AS mapped_player_id, web_name, team_id AS team, {B('position_id')} AS element_type,
+  CASE position_id WHEN 1 THEN 'GKP' WHEN 2 THEN 'DEF' WHEN 3 THEN 'MID' WHEN 4 THEN 'FWD' END AS position,
+  {R('now_cost / 10.0')} AS price,
+  coalesce(CASE status WHEN 'a' THEN 'Available' WHEN 'i' THEN 'Injured' WHEN 's' THEN 'Suspended'
+    WHEN 'u' THEN 'Unavailable' WHEN 'd' THEN 'Doubtful' WHEN 'n' THEN 'Not in squad' END, 'Unknown: ' || status)
+    AS status_meaning
+FROM b_players""", "b_players"))(lambda spark, d: conform(legacy_players(b.players(spark, d))))
+
+query("group_sizes", sql=f"""
+SELECT CAST(day AS BIGINT) AS day, CAST(min(n) AS BIGINT) AS min_size, CAST(max(n) AS BIGINT) AS max_size,
+  {R('avg(n)')} AS avg_size, CAST(count(*) AS BIGINT) AS groups
+FROM (SELECT day(ts) AS day, user_id, count(*) AS n FROM events GROUP BY ALL) GROUP BY day""")(
+    lambda spark, d: conform(group_size_stats(
+        b.read(spark, d, "events").withColumn("day", F.dayofmonth("ts")), ["user_id"], "day")))
+
+
+def _fk_sql(table: str, col: str, src: str, parent: str, pcol: str) -> str:
+    bad = f"(c.{col} IS NOT NULL AND p.{pcol} IS NULL)"
+    return (f"SELECT '{table}' AS \"table\", 'foreign_key' AS \"check\", '{col}' AS \"column\", "
+            f"CAST(coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) AS BIGINT) AS violations, "
+            f"CAST(count(*) AS BIGINT) AS total, "
+            f"CASE WHEN coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) = 0 THEN 'pass' ELSE 'fail' END AS status "
+            f"FROM {src} c LEFT JOIN (SELECT DISTINCT {pcol} FROM {parent}) p ON c.{col} = p.{pcol}")
+
+
+_FKS = [("lineitem", "l_orderkey", "lineitem", "orders", "o_orderkey"),
+        ("lineitem", "l_partkey", "lineitem", "part", "p_partkey"),
+        ("lineitem", "l_suppkey", "lineitem", "supplier", "s_suppkey"),
+        ("orders", "o_custkey", "orders", "customer", "c_custkey"),
+        ("labels", "doc_id", "labels", "documents", "doc_id"),
+        ("players", "team_id", "b_players", "b_teams", "team_id")]
+
+
+def _fk_spark(spark, d):
+    tabs = {"b_players": b.players(spark, d), "b_teams": b.teams(spark, d)}
+
+    def t(n):
+        return tabs[n] if n in tabs else b.read(spark, d, n)
+
+    reps = [_q.check_fk(t(src), name, col, t(parent), pcol) for name, col, src, parent, pcol in _FKS]
+    out = reps[0]
+    for r in reps[1:]:
+        out = out.unionByName(r)
+    return conform(out)
+
+
+query("dq_referential", sql=with_bindings(" UNION ALL ".join(_fk_sql(*f) for f in _FKS), "b_players", "b_teams"))(
+    _fk_spark)
