@@ -89,9 +89,9 @@ def name_lookup(df: DataFrame, col: str, term: str) -> DataFrame:
     """
     first = F.col(col).rlike("(?i)" + term)
     folded = fold_accents(col).rlike(_fold_py(term))
-    hits = df.agg(F.max(F.coalesce(first, F.lit(False)).cast("int")).alias("__any"))
-    tagged = df.join(F.broadcast(hits), how="left")  # one-row aggregate: bounded
-    return tagged.where(F.when(F.col("__any") == 1, first).otherwise(folded)).drop("__any")
+    hits = df.agg(F.max(F.coalesce(first, F.lit(False)).cast("int")).alias("__any")).withColumn("__one", F.lit(1))
+    tagged = df.withColumn("__one", F.lit(1)).join(F.broadcast(hits), "__one", "left")  # one-row aggregate
+    return tagged.where(F.when(F.col("__any") == 1, first).otherwise(folded)).drop("__any", "__one")
 
 
 # --------------------------------------------------------------------------- B10

@@ -19,10 +19,21 @@ REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
 
 
 def query(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir) -> DataFrame`` with its oracle SQL. The
+    registered callable first applies the library session defaults (UTC
+    session time zone, ANSI, AQE), whatever session the caller passes."""
     def deco(fn):
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = (fn, sql)
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import apply_defaults
+            apply_defaults(spark)
+            return fn(spark, sf_dir)
+
+        run.__name__ = run.__qualname__ = name
+        run.__doc__ = fn.__doc__
+        REGISTRY[name] = (run, sql)
         return fn
     return deco
 

@@ -254,7 +254,9 @@ def period_completeness(tables: Mapping[str, tuple[DataFrame, str]], expected_up
     names = like if like is not None else present.sparkSession.createDataFrame([(n,) for n in tables], "table string")
     upto = expected_upto if isinstance(expected_upto, Column) else F.lit(int(expected_upto))
     if isinstance(expected_upto, Column):
-        exp = names.join(like, how="left").select("table", F.explode(F.sequence(F.lit(1), upto)).alias("period"))
+        one = F.lit(1).alias("__one")
+        exp = (names.select("*", one).join(F.broadcast(like.select("*", one)), "__one", "left")  # one-row frame
+               .select("table", F.explode(F.sequence(F.lit(1), upto)).alias("period")))
     else:
         exp = names.select("table", F.explode(F.sequence(F.lit(1), upto)).alias("period"))
     missing = exp.join(present, ["table", "period"], "left_anti").withColumn("issue", F.lit("missing"))

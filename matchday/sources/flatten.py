@@ -94,7 +94,9 @@ def flatten_bootstrap(docs: DataFrame, as_of, sections: Mapping[str, dict] | Non
     """All sections of one bootstrap read; a section that cannot be planned
     (missing / malformed) is skipped and the others proceed."""
     out = {}
+    nested = "doc" in docs.columns  # parsed from text (parse_docs) vs read with spark.read.json
     for name, spec in (sections or BOOTSTRAP_SECTIONS).items():
+        spec = dict(spec, path=f"doc.{spec['path']}") if nested else spec
         try:
             df = flatten_section(docs, as_of=as_of, **spec)
             df.schema  # force analysis now so a broken section is skipped here
