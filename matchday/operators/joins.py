@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -71,21 +71,23 @@ def match_exactly_one(left: DataFrame, right: DataFrame, keys: Mapping[str, str]
 
     ``keys`` maps left column -> right column. Returns ``(matched, unmatched)``
     where unmatched are the left rows with zero or several candidates.
-    Candidates are counted per left row with a partial aggregate, so a hot
-    key never sorts in one task.
+    Candidates are first summarised per key on the right (count + the
+    columns of the single candidate), so each left row meets one summary row:
+    no candidate pairs are ever formed, whatever the multiplicity of a key.
     """
+    rk = list(keys.values())
+    summary = (right.groupBy(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(rk)])
+               .agg(F.count(F.lit(1)).alias("__n"), *[F.min(F.col(c)).alias(c) for c in right_cols]))
     cond = None
-    for lc, rc in keys.items():
-        c = F.col(f"__l.{lc}") == F.col(f"__r.{rc}")
+    for i, lc in enumerate(keys):
+        c = F.col(lc) == F.col(f"__k{i}")
         cond = c if cond is None else cond & c
-    pairs = left.alias("__l").join(right.alias("__r"), cond, "inner")
-    per_left = (pairs.groupBy(F.col(f"__l.{left_id}").alias(left_id))
-                .agg(F.count(F.lit(1)).alias("__n"),
-                     *[F.min(F.col(f"__r.{c}")).alias(c) for c in right_cols])
-                .where(F.col("__n") == 1).drop("__n"))
     clash = [c for c in right_cols if c in left.columns and c != left_id]
-    matched = left.drop(*clash).join(per_left, left_id, "inner")
-    unmatched = left.join(per_left.select(left_id), left_id, "left_anti")
+    j = left.drop(*clash).join(summary, cond, "left")
+    one = F.coalesce(F.col("__n") == 1, F.lit(False))
+    drop = [f"__k{i}" for i in range(len(rk))] + ["__n"]
+    matched = j.where(one).drop(*drop)
+    unmatched = j.where(~one).drop(*drop, *right_cols).select(*[c for c in left.columns])
     return matched, unmatched
 
 
@@ -191,8 +193,3 @@ def fan_out(features: DataFrame, members: DataFrame, team_col: str = "team_id")
 def count_per(df: DataFrame, key, out: str = "n") -> DataFrame:
     """Rows per key (a map-side combined count)."""
     return df.groupBy(*_cols(key)).agg(F.count(F.lit(1)).alias(out))
-
-
-def window_count(df: DataFrame, key, out: str = "n") -> DataFrame:
-    """Per-row count of its key group (used where the group is small by design)."""
-    return df.withColumn(out, F.count(F.lit(1)).over(Window.partitionBy(*_cols(key))))

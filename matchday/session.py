@@ -20,6 +20,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # post-shuffle partitions are sized by AQE from this target, so the same
+    # code needs no per-scale shuffle-partition tuning (on a cluster set
+    # spark.sql.shuffle.partitions high, e.g. 4-8x the cores, and let AQE coalesce)
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
