@@ -63,3 +63,42 @@ def free_allowance(summary: DataFrame, chips: DataFrame, key: str = "manager_id"
            | F.coalesce(F.col("__prev_chip").isin(*resets), F.lit(False))
            | F.coalesce(F.col("__prev_transfers") != 0, F.lit(True)))
     return j.select(key, period, F.when(one, F.lit(1)).otherwise(F.lit(2)).alias("free_transfers"))
+
+
+# --------------------------------------------------------------------------- K4
+def choose_targets(existing: DataFrame, period_col: str, upto: int, mode: str = "missing",
+                   single: int | None = None, span: tuple[int, int] | None = None) -> DataFrame:
+    """Periods to (re)compute, as a one-column DataFrame ``period``.
+
+    ``mode``: 'single' (just ``single``), 'range' (``span`` inclusive),
+    'missing' (1..upto absent from ``existing``), 'force' (all of 1..upto).
+    'single' and 'range' skip periods already present unless forced via
+    'force'. The period axis is generated with ``range``; the comparison with
+    the stored periods is an anti join (no driver-side set arithmetic).
+    """
+    spark = existing.sparkSession
+    if mode == "single":
+        lo = hi = int(single)
+    elif mode == "range":
+        lo, hi = int(span[0]), int(span[1])
+    elif mode in ("missing", "force"):
+        lo, hi = 1, int(upto)
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    axis = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias("period"))
+    if mode == "force":
+        return axis
+    have = existing.select(F.col(period_col).cast("int").alias("period")).distinct()
+    return axis.join(have, "period", "left_anti")
+
+
+# --------------------------------------------------------------------------- K6
+def chip_history(picks: DataFrame, stored: DataFrame | None = None, key: str = "manager_id",
+                 period: str = "event", chip_col: str = "chip_used", order: str = "position") -> DataFrame:
+    """One chip row per (key, period) from pick rows (the chip is repeated on
+    every pick: the first pick's value is taken), merged over the stored
+    history with the new rows winning."""
+    from .merge import merge_latest
+    from .rank import first_by
+    fresh = first_by(picks.select(key, period, chip_col, order), [key, period], [order]).drop(order)
+    return fresh if stored is None else merge_latest([stored.select(key, period, chip_col), fresh], [key, period])

@@ -414,3 +414,47 @@ def _fk_spark(spark, d):
 
 query("dq_referential", sql=with_bindings(" UNION ALL ".join(_fk_sql(*f) for f in _FKS), "b_players", "b_teams"))(
     _fk_spark)
+
+# ----------------------------------------------------------------------------- K4 / K6 / D2
+from ..operators.periods import chip_history, choose_targets  # noqa: E402
+
+query("backfill_targets", sql=f"""
+WITH have AS (SELECT DISTINCT {_MON.format(c='l_shipdate')} AS period FROM lineitem
+              WHERE l_returnflag = 'R' AND l_linestatus = 'O' AND l_quantity >= 50)
+SELECT CAST(range AS BIGINT) AS period FROM range(1, {b.GAMEWEEK - 1} + 1)
+WHERE range NOT IN (SELECT period FROM have)""")(lambda spark, d: conform(choose_targets(
+    b.read(spark, d, "lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
+                                       & (F.col("l_quantity") >= 50))
+    .select(month_index(F.col("l_shipdate")).alias("gw")), "gw", b.GAMEWEEK - 1, mode="missing")))
+
+
+def _chips_spark(spark, d):
+    ev = b.read(spark, d, "events").select(
+        F.col("user_id").alias("manager_id"), F.dayofmonth("ts").alias("event"), F.col("event_id").alias("position"),
+        F.when(F.col("event_type") == "signup", F.lit("wildcard")).when(F.col("event_type") == "error",
+                                                                        F.lit("freehit")).alias("chip_used"))
+    stored = chip_history(ev.where(F.col("event") <= 10))
+    return conform(chip_history(ev.where(F.col("event") >= 5), stored=stored))
+
+
+query("chip_history", sql="""
+WITH ev AS (SELECT user_id AS manager_id, day(ts) AS event, event_id AS position,
+              CASE WHEN event_type = 'signup' THEN 'wildcard' WHEN event_type = 'error' THEN 'freehit' END AS chip_used
+            FROM events),
+firsts AS (SELECT manager_id, event, chip_used, src FROM (
+  SELECT *, row_number() OVER (PARTITION BY src, manager_id, event ORDER BY position) AS rn FROM (
+    SELECT *, 0 AS src FROM ev WHERE event <= 10 UNION ALL SELECT *, 1 AS src FROM ev WHERE event >= 5))
+  WHERE rn = 1)
+SELECT manager_id, CAST(event AS BIGINT) AS event, chip_used FROM (
+  SELECT *, row_number() OVER (PARTITION BY manager_id, event ORDER BY src DESC) AS rn FROM firsts) WHERE rn = 1""")(
+    _chips_spark)
+
+query("key_stats", sql="""
+SELECT 'lineitem' AS "table", CAST(count(*) AS BIGINT) AS "rows",
+  CAST(count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS distinct_keys FROM lineitem
+UNION ALL SELECT 'orders', CAST(count(*) AS BIGINT), CAST(count(DISTINCT o_orderkey) AS BIGINT) FROM orders
+UNION ALL SELECT 'events', CAST(count(*) AS BIGINT), CAST(count(DISTINCT (user_id, event_type)) AS BIGINT)
+FROM events""")(lambda spark, d: conform(_q.key_stats({
+    "lineitem": (b.read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
+    "orders": (b.read(spark, d, "orders"), ["o_orderkey"]),
+    "events": (b.read(spark, d, "events"), ["user_id", "event_type"])})))

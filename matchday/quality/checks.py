@@ -318,3 +318,14 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# --------------------------------------------------------------------------- D2
+def key_stats(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """Per table: rows and distinct keys (count distinct of the key tuple)."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(*[F.col(k) for k in key]).alias("distinct_keys"))
+             .select(F.lit(name).alias("table"), "rows", "distinct_keys") for name, (df, key) in tables.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

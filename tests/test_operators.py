@@ -143,3 +143,31 @@ def test_accent_lookup_falls_back(spark):
     assert [r.id for r in name_lookup(df, "web_name", "salah").collect()] == [2]
     assert [r.id for r in name_lookup(df, "web_name", "Ekitike").collect()] == [1]
     assert spark.range(1).select(fold_accents(F.lit("ÉÈç")).alias("v")).first().v == "eec"
+
+
+def test_choose_targets_modes(spark):
+    have = spark.createDataFrame([(1,), (2,), (4,)], "gw int")
+    assert sorted(r.period for r in periods.choose_targets(have, "gw", 5).collect()) == [3, 5]
+    assert sorted(r.period for r in periods.choose_targets(have, "gw", 5, mode="force").collect()) == [1, 2, 3, 4, 5]
+    assert [r.period for r in periods.choose_targets(have, "gw", 5, mode="single", single=2).collect()] == []
+    assert sorted(r.period for r in periods.choose_targets(have, "gw", 9, mode="range", span=(3, 6)).collect()) == [3, 5, 6]
+
+
+def test_chip_history_merges_new_over_stored(spark):
+    picks = spark.createDataFrame([(1, 3, "bboost", 2), (1, 3, "bboost", 1), (1, 4, None, 1)],
+                                  "manager_id int, event int, chip_used string, position int")
+    stored = spark.createDataFrame([(1, 2, "wildcard"), (1, 3, "old")], "manager_id int, event int, chip_used string")
+    got = {r.event: r.chip_used for r in periods.chip_history(picks, stored).collect()}
+    assert got == {2: "wildcard", 3: "bboost", 4: None}
+
+
+def test_small_filters(spark):
+    from matchday.operators import filters
+    df = spark.createDataFrame([(1, "2.5", 3, None), (2, "x", 3, True), (3, "1", 4, False)],
+                               "id int, form string, event int, finished boolean")
+    p = filters.project_available(df, [("id", None), ("form", "num"), ("missing", "int")]).collect()
+    assert [tuple(r) for r in p] == [(1, 2.5), (2, None), (3, 1.0)]
+    assert [r.id for r in filters.upcoming(df, "event", 3).collect()] == [1]
+    ids = spark.createDataFrame([(3,), (3,)], "id int")
+    assert [r.id for r in filters.in_id_set(df, ids, "id").collect()] == [3]
+    assert [r.id for r in joins.join_filter(df, ids.withColumn("ok", F.lit(True)), "id", F.col("ok")).collect()] == [3]
