@@ -5,12 +5,13 @@ the data; the same derivation is given as a SQL CTE (``SQL[name]``) for the
 DuckDB oracle. Mapping:
 
 * players  <- part LEFT JOIN lineitem aggregated by part; a player's team is
-  the lowest supplier that shipped the part (data-derived, so players per
-  team stay constant as the data grows).
+  the supplier of the part's earliest order line (data-derived, so players
+  per team stay constant as the data grows).
 * teams    <- supplier (team strengths by an integer rule on the key).
-* fixtures <- orders JOIN lineitem aggregated by order: home = lowest
-  supplier, away = highest supplier of the order (single-supplier orders are
-  not fixtures); gameweek = month index since 1995-01; finished = status F.
+* fixtures <- orders JOIN lineitem aggregated by order: home = supplier of
+  the first line, away = supplier of the last line (orders where they are the
+  same are not fixtures); gameweek = month index since 1995-01; finished =
+  status F.
 * odds     <- the same per-order aggregate: bookmaker prices >= 1 derived
   from quantity / discount / tax; order priority knocks out closing,
   over/under and handicap columns so every fallback chain is exercised.
@@ -21,7 +22,6 @@ DuckDB oracle. Mapping:
 from __future__ import annotations
 
 import datetime as _dt
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,8 @@ def _line_stats(li: DataFrame, *keys) -> DataFrame:
         F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.when(F.col("l_returnflag") == "A", 1).otherwise(0)).alias("n_a"),
         F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("n_r"),
-        F.min("l_suppkey").alias("team"))
+        # the supplier of the part's earliest order line (uniform over suppliers)
+        F.min(F.struct("l_orderkey", "l_linenumber", "l_suppkey"))["l_suppkey"].alias("team"))
 
 
 def _player_cols() -> list:
@@ -114,7 +115,9 @@ def teams(spark: SparkSession, d: str) -> DataFrame:
 def order_lines(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem")
     return li.groupBy("l_orderkey").agg(
-        F.min("l_suppkey").alias("home"), F.max("l_suppkey").alias("away"),
+        # suppliers of the order's first and last line
+        F.min(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"].alias("home"),
+        F.max(F.struct("l_linenumber", "l_suppkey"))["l_suppkey"].alias("away"),
         F.min("l_quantity").alias("qmin"), F.max("l_quantity").alias("qmax"),
         F.min("l_discount").alias("dmin"), F.max("l_discount").alias("dmax"),
         F.max("l_tax").alias("tmax"), F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("qsum"))
@@ -197,7 +200,8 @@ def gameweeks(spark: SparkSession, d: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- SQL twins
-_ORDER_LINES = """SELECT l_orderkey, min(l_suppkey) AS home, max(l_suppkey) AS away,
+_ORDER_LINES = """SELECT l_orderkey, min({'n': l_linenumber, 's': l_suppkey}).s AS home,
+  max({'n': l_linenumber, 's': l_suppkey}).s AS away,
   min(l_quantity) AS qmin, max(l_quantity) AS qmax, min(l_discount) AS dmin, max(l_discount) AS dmax,
   max(l_tax) AS tmax, count(*) AS n, sum(l_quantity) AS qsum FROM lineitem GROUP BY l_orderkey"""
 
@@ -226,7 +230,8 @@ SQL = {
 FROM part p LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS qty, count(*) AS n_lines,
   sum(CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS n_a,
   sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS n_r,
-  min(l_suppkey) AS team FROM lineitem GROUP BY l_partkey) a ON p.p_partkey = a.l_partkey""",
+  min({'o': l_orderkey, 'n': l_linenumber, 's': l_suppkey}).s AS team FROM lineitem GROUP BY l_partkey) a
+  ON p.p_partkey = a.l_partkey""",
     "b_teams": """SELECT s_suppkey AS team_id, s_name AS name, 'T' || CAST(s_suppkey % 1000 AS VARCHAR) AS short_name,
   CAST(1000 + 16 * ((s_suppkey + 0) % 25) AS INTEGER) AS strength_overall_home,
   CAST(1000 + 16 * ((s_suppkey + 13) % 25) AS INTEGER) AS strength_overall_away,

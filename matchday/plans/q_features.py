@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.cols import (classify, clean_sheet, consensus, devig2, devig3, first_pair, poisson_lambda_ge3,
-                              split_goals, stable_bucket, tier)
+                              stable_bucket, tier)
 from ..operators.joins import new_entities
 from ..operators.rank import pct_rank_avg
 from ..operators.reshape import fixture_sides
@@ -535,8 +535,6 @@ def _backfill_spark(spark, d):
     return feat.neutral_backfill(players, new, GW, "ownership", AS_OF)
 
 
-_ = (split_goals,)  # re-exported helpers used through features
-
 
 # ----------------------------------------------------------------------------- K5 (many gameweeks, one job)
 def _k5_rank_sql(metric: str, out: str) -> str:
