@@ -464,3 +464,23 @@ def neutral_backfill(players: DataFrame, new: DataFrame, gameweek: int, kind: st
             "gameweek", ts_lit(as_of).alias("last_updated"),
         )
     raise ValueError(f"unknown backfill kind {kind!r}")
+
+
+# --------------------------------------------------------------------------- K5
+PERIOD_TABLES = {"player_metrics": player_metrics, "value_analysis": value_analysis,
+                 "ownership_trends": ownership_trends}
+
+
+def derive_periods(table: str, players_by_period: DataFrame, as_of, history: DataFrame | None = None,
+                   period_col: str = "gameweek") -> DataFrame:
+    """Recompute a player-grain derived table for every gameweek present in
+    ``players_by_period`` in one job (gameweek is a column: ranks are per
+    gameweek and position, new players per gameweek); the result is ready
+    for a partition-wise write (``sinks.replace_partitions(df, path,
+    'gameweek')``)."""
+    fn = PERIOD_TABLES[table]
+    if table == "player_metrics":
+        return fn(players_by_period, period_col, as_of)
+    if history is None:
+        raise ValueError(f"{table} needs the performance history")
+    return fn(players_by_period, history, period_col, as_of)

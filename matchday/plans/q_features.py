@@ -573,8 +573,10 @@ base AS (
   SELECT fp.*, CASE WHEN is_new THEN 0.5 WHEN now_cost / 10.0 > 0
     THEN {CLIP("total_points", "0.0")} / (now_cost / 10.0) ELSE 0.0 END AS ppp FROM fp),
 rk AS (SELECT base.*, {_k5_rank_sql("ppp", "vvp")} FROM base)
-SELECT player_id, {B("gameweek")} AS gameweek, is_new, {R("ppp")} AS points_per_pound,
+SELECT player_id, {B("gameweek")} AS gameweek, {R("ppp")} AS points_per_pound,
   {R("CASE WHEN is_new THEN 1.0 ELSE vvp END")} AS value_vs_position,
+  {R("CASE WHEN is_new THEN 0.0 ELSE (transfers_in_event - transfers_out_event) / 100000.0 * 1 END")}
+    AS predicted_price_change_1gw,
   CASE WHEN {buy} >= 8.0 THEN 'strong_buy' WHEN {buy} >= 6.0 THEN 'buy' WHEN {buy} >= 4.0 THEN 'hold'
        WHEN {buy} >= 2.0 THEN 'sell' ELSE 'strong_sell' END AS recommendation
 FROM rk""", "b_players_gw", "b_history")
@@ -583,11 +585,9 @@ FROM rk""", "b_players_gw", "b_history")
 def _k5_value_spark(spark, d):
     players = b.players_by_period(spark, d)
     hist = b.history(spark, d)
-    flagged = feat.flag_new(players, hist, "gameweek")
-    va = feat.value_analysis(players, hist, "gameweek", AS_OF, flagged=flagged)
-    return conform(va.join(flagged.select("player_id", "gameweek", "is_new"), ["player_id", "gameweek"])
-                   .select("player_id", "gameweek", "is_new", "points_per_pound", "value_vs_position",
-                           "recommendation"))
+    va = feat.value_analysis(players, hist, "gameweek", AS_OF)
+    return conform(va.select("player_id", "gameweek", "points_per_pound", "value_vs_position",
+                             "predicted_price_change_1gw", "recommendation"))
 
 
 query("multi_period_value", sql=_k5_value_sql())(_k5_value_spark)

@@ -160,3 +160,12 @@ def test_betting_features_fallbacks_and_defaults(spark, fixtures, players):
     assert (d.team_win_probability, d.implied_total_goals, d.team_expected_goals) == (0.33, 2.5, 1.25)
     assert (d.market_consensus_strength, d.handicap_team_odds, d.referee_encoded) == (0.5, 2.0, -1)
     assert d.favorite_status == 0.0  # both odds missing: not the favourite
+
+
+def test_derive_periods_ranks_per_gameweek(spark, players):
+    two = players.withColumn("gameweek", F.lit(1)).unionByName(players.withColumn("gameweek", F.lit(2)))
+    out = feat.derive_periods("player_metrics", two, AS_OF).collect()
+    by = {(r.player_id, r.gameweek): r.value_score for r in out}
+    assert len(out) == 10 and by[(2, 1)] == by[(2, 2)] == pytest.approx(250 / 3)
+    with pytest.raises(ValueError):
+        feat.derive_periods("value_analysis", two, AS_OF)
