@@ -44,8 +44,8 @@ def _element_docs(spark, d) -> DataFrame:
         F.when(F.col("l_linestatus") != "O", F.lit("ok")).alias("news"),
         F.when(F.col("l_returnflag") != "A", F.col("l_discount") * 1000.0).alias("chance_of_playing_next_round"),
         F.when(F.col("l_linestatus") == "F", F.struct(F.col("l_linenumber").alias("k"))).alias("extra"))
-    per = _sorted_lines(li, [el.alias("e")])
-    return per.select("l_orderkey", F.to_json(F.struct(F.col("lines.e").alias("elements"))).alias("json"))
+    # one landed document per element record (JSON lines): no grouping needed
+    return li.select("l_orderkey", F.to_json(F.struct(F.array(el).alias("elements"))).alias("json"))
 
 
 def _json_flatten_spark(spark, d):
@@ -171,14 +171,16 @@ def _live_docs(spark, d) -> DataFrame:
     el = F.concat(F.lit('{"id":'), F.col("l_partkey").cast("string"), F.lit(',"stats":{"total_points":'),
                   F.floor("l_quantity").cast("string"), F.lit(',"minutes":'),
                   (F.col("l_linenumber") * 10).cast("string"), F.lit('},"explain":'), explain, F.lit("}"))
-    per = _sorted_lines(li, [el.alias("e")])
-    return per.select("l_orderkey", F.concat(F.lit('{"elements":['), F.array_join(F.col("lines.e"), ","),
-                                             F.lit("]}")).alias("json"))
+    # one landed document per element record; the document id keeps equal
+    # lines of one order apart
+    return li.select("l_orderkey", F.monotonically_increasing_id().alias("doc_id"),
+                     F.concat(F.lit('{"elements":['), el, F.lit("]}")).alias("json"))
 
 
 def _live_spark(spark, d):
-    docs = parse_docs(_live_docs(spark, d), "json", LIVE_SCHEMA, keep=["l_orderkey"])
-    out = flatten_performance(docs, b.players(spark, d), b.fixtures(spark, d), GAMEWEEK, doc_key="l_orderkey")
+    docs = parse_docs(_live_docs(spark, d), "json", LIVE_SCHEMA, keep=["l_orderkey", "doc_id"])
+    out = flatten_performance(docs, b.players(spark, d), b.fixtures(spark, d), GAMEWEEK,
+                              doc_key=["l_orderkey", "doc_id"])
     return conform(out.select("l_orderkey", "player_id", "gameweek", "total_points", "minutes", "team_id",
                               F.col("opponent_team").cast("double").alias("opponent_team"),
                               F.col("was_home").cast("string").alias("was_home"), "value"))

@@ -129,7 +129,8 @@ def flatten_fixtures(docs: DataFrame, path: str | None = None, as_of=None) -> Da
 
 # --------------------------------------------------------------------------- A8
 def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame, gameweek, as_of=None,
-                        stats: Sequence[str] = ("total_points", "minutes"), doc_key: str | None = None) -> DataFrame:
+                        stats: Sequence[str] = ("total_points", "minutes"),
+                        doc_key: str | Sequence[str] | None = None) -> DataFrame:
     """Per player of a live document: projected stats, team/price looked up
     from ``players``, opponent/venue from the first usable ``explain`` entry.
 
@@ -138,14 +139,15 @@ def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame
     side), an object, or a list whose first item is an object. The first
     usable entry in array order wins (``min`` of a struct led by position).
     """
-    keys = ([doc_key] if doc_key else []) + ["__epos"]
+    keys = ([doc_key] if isinstance(doc_key, str) else list(doc_key or [])) + ["__epos"]
     el = live.select(*keys[:-1], F.posexplode(F.col("doc.elements")).alias("__epos", "__el")) \
         .select(*keys, "__el.*")
     base = el.select(*keys, F.col("id").alias("player_id"),
                      *[F.col("stats")[s].alias(s) for s in stats], F.col("explain"))
     pl = players.select("player_id", "team_id", F.col("now_cost").alias("value"))
     base = base.join(pl, "player_id", "left")
-    ex = base.select(*keys, "player_id", "team_id", F.posexplode_outer("explain").alias("pos", "e"))
+    carried = [*keys, "player_id", *stats, "team_id", "value"]
+    ex = base.select(*carried, F.posexplode_outer("explain").alias("pos", "e"))
     fx_txt = F.col("e.fixture")
     fid = F.when(fx_txt.rlike(r"^-?\d+$"), fx_txt.cast("long"))
     fxl = fixtures.select(F.col("fixture_id").alias("__fid"), F.col("home_team_id").alias("__h"),
@@ -165,13 +167,15 @@ def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame
                    .when(F.col("team_id") == F.col("__a"), F.lit(False)))
             .when(is_obj, F.get_json_object(fx_txt, "$.is_home").cast("boolean"))
             .otherwise(F.get_json_object(fx_txt, "$[0].is_home").cast("boolean")))
-    first = (ex.where(usable)
-             .groupBy(*keys, "player_id").agg(F.min(F.struct(F.col("pos"), opp.alias("opponent_team"),
-                                                      home.alias("was_home"))).alias("__m")))
+    # one aggregation per element (its columns ride along as grouping keys):
+    # the first usable entry is the min of a struct led by its position
+    first = ex.groupBy(*carried).agg(
+        F.min(F.when(usable, F.struct(F.col("pos"), opp.alias("opponent_team"), home.alias("was_home"))))
+        .alias("__m"))
     gw = gameweek if isinstance(gameweek, Column) else F.lit(gameweek)
-    out = (base.drop("explain").join(first, [*keys, "player_id"], "left")
-           .select(*keys[:-1], "player_id", gw.alias("gameweek"), *stats, "team_id", F.col("__m.opponent_team").alias("opponent_team"),
-                   F.col("__m.was_home").alias("was_home"), "value"))
+    out = first.select(*keys[:-1], "player_id", gw.alias("gameweek"), *stats, "team_id",
+                       F.col("__m.opponent_team").alias("opponent_team"), F.col("__m.was_home").alias("was_home"),
+                       "value")
     return out.withColumn("as_of_utc", _ts(as_of)) if as_of is not None else out
 
 
