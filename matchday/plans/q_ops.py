@@ -458,3 +458,66 @@ FROM events""")(lambda spark, d: conform(_q.key_stats({
     "lineitem": (b.read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"]),
     "orders": (b.read(spark, d, "orders"), ["o_orderkey"]),
     "events": (b.read(spark, d, "events"), ["user_id", "event_type"])})))
+
+# ----------------------------------------------------------------------------- B11 / C3 / H10-H12 / A15
+from ..functions.cols import age_text, season_code, season_short  # noqa: E402
+from ..operators.filters import upcoming  # noqa: E402
+from ..operators.joins import join_filter  # noqa: E402
+from ..sources.imports import import_snapshots  # noqa: E402
+
+query("upcoming_fixtures", sql=with_bindings(f"""
+SELECT fixture_id, home_team_id, away_team_id FROM b_fixtures
+WHERE event = {b.GAMEWEEK} AND NOT coalesce(finished, FALSE)""", "b_fixtures"))(lambda spark, d: conform(
+    upcoming(b.fixtures(spark, d), "event", b.GAMEWEEK).select("fixture_id", "home_team_id", "away_team_id")))
+
+query("odds_of_gameweek", sql=with_bindings(f"""
+SELECT fixture_id, {R('B365H')} AS B365H FROM b_odds
+WHERE fixture_id IN (SELECT fixture_id FROM b_fixtures WHERE event = {b.GAMEWEEK})""", "b_odds", "b_fixtures"))(
+    lambda spark, d: conform(join_filter(b.odds(spark, d).select("fixture_id", "B365H"), b.fixtures(spark, d),
+                                         "fixture_id", F.col("event") == b.GAMEWEEK)))
+
+
+def _age_sql(sec: str) -> str:
+    def unit(n: str, word: str) -> str:
+        return (f"CAST({n} AS VARCHAR) || ' {word}' || CASE WHEN {n} <> 1 THEN 's' ELSE '' END || ' ago'")
+    return (f"CASE WHEN {sec} IS NULL THEN 'Unknown' WHEN {sec} < 60 THEN 'Less than a minute ago' "
+            f"WHEN {sec} < 3600 THEN {unit(f'CAST(floor({sec} / 60) AS BIGINT)', 'minute')} "
+            f"WHEN {sec} < 86400 THEN {unit(f'CAST(floor({sec} / 3600) AS BIGINT)', 'hour')} "
+            f"ELSE {unit(f'CAST(floor({sec} / 86400) AS BIGINT)', 'day')} END")
+
+
+def _labels_spark(spark, d):
+    o = b.read(spark, d, "orders")
+    y = F.year("o_orderdate")
+    season = F.concat(y.cast("string"), F.lit("-"), (y + 1).cast("string"))
+    secs = (F.unix_seconds(F.to_timestamp_ntz(F.lit("1998-06-15 00:00:00")).cast("timestamp"))
+            - F.unix_seconds(F.col("o_orderdate").cast("timestamp")))
+    return conform(o.select("o_orderkey", season_short(season).alias("season"), season_code(season).alias("code"),
+                            F.when(secs >= 0, age_text(secs)).otherwise(F.lit("in the future")).alias("age")))
+
+
+query("season_labels", sql=f"""
+SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) || '-' || substr(CAST(year(o_orderdate) + 1 AS VARCHAR), 3, 2)
+    AS season,
+  substr(CAST(year(o_orderdate) AS VARCHAR), 3, 2) || substr(CAST(year(o_orderdate) + 1 AS VARCHAR), 3, 2) AS code,
+  CASE WHEN secs >= 0 THEN {_age_sql('secs')} ELSE 'in the future' END AS age
+FROM (SELECT *, epoch(TIMESTAMP '1998-06-15 00:00:00') - epoch(o_orderdate) AS secs FROM orders)""")(_labels_spark)
+
+
+def _import_spark(spark, d):
+    p = b.players(spark, d).select(
+        "player_id", "status", "now_cost",
+        F.when(F.col("form").isNull() | (F.col("form") == "n/a"), F.lit("nan")).otherwise(F.col("form")).alias("form"),
+        F.when(F.col("position_id") == 5, F.lit("nan")).otherwise(F.lit("fit")).alias("news"))
+    out = import_snapshots(p, 1, 6, AS_OF_TS)
+    return conform(out.select("player_id", "gameweek", "status", "news", "form", "now_cost", "is_backfilled"))
+
+
+AS_OF_TS = "1998-06-15 00:00:00"
+
+query("snapshot_import", sql=with_bindings("""
+SELECT player_id, CAST(g.range AS BIGINT) AS gameweek, coalesce(status, 'a') AS status,
+  CASE WHEN position_id = 5 THEN '' ELSE 'fit' END AS news,
+  CASE WHEN form IS NULL OR form = 'n/a' THEN '0.0' ELSE form END AS form,
+  CAST(now_cost AS BIGINT) AS now_cost, TRUE AS is_backfilled
+FROM b_players, range(1, 7) g""", "b_players"))(_import_spark)
