@@ -258,6 +258,18 @@ def age_text(seconds) -> Column:
             .otherwise(unit(days, "day")))
 
 
+def age_description(hours) -> Column:
+    """Client wording of a data age in hours: minutes under 1 h, 'Fresh'
+    under 24 h, 'Stale' under 48 h, else 'Very stale' in days."""
+    h = _c(hours)
+    one = lambda x: F.format_string("%.1f", x)
+    return (F.when(h.isNull(), F.lit(None).cast("string"))
+            .when(h < 1, F.concat(F.lit("Very fresh (updated "), F.floor(h * 60).cast("string"), F.lit(" minutes ago)")))
+            .when(h < 24, F.concat(F.lit("Fresh (updated "), one(h), F.lit(" hours ago)")))
+            .when(h < 48, F.concat(F.lit("Stale (updated "), one(h), F.lit(" hours ago)")))
+            .otherwise(F.concat(F.lit("Very stale (updated "), one(h / 24), F.lit(" days ago)"))))
+
+
 def age_bucket(hours) -> Column:
     """Freshness status from an age in hours (<=1 / <=6 / <=24 / older)."""
     h = _c(hours)

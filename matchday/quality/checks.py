@@ -266,9 +266,11 @@ def period_completeness(tables: Mapping[str, tuple[DataFrame, str]], expected_up
 
 # --------------------------------------------------------------------------- L13
 def sanity(tables: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | None = None,
-           expected_cols: Mapping[str, int] | None = None, required: Sequence[str] = ()) -> DataFrame:
+           expected_cols: Mapping[str, int] | None = None, required: Sequence[str] = (),
+           known: Sequence[str] | None = None) -> DataFrame:
     """Table-level checks: non-empty, exact expected row counts, column
-    counts (schema metadata) and required tables present."""
+    counts (schema metadata), required tables present and (with ``known``)
+    unexpected table names flagged as warnings."""
     spark = next(iter(tables.values())).sparkSession
     reps = []
     for name, df in tables.items():
@@ -289,6 +291,9 @@ def sanity(tables: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | N
     for name in required:
         if name not in tables:
             meta.append((name, "required_table", "*", 1, 0, "fail"))
+    for name in tables:
+        if known is not None and name not in known:
+            meta.append((name, "unexpected_table", "*", 1, 0, "warn"))
     out = reps[0]
     for r in reps[1:]:
         out = out.unionByName(r)

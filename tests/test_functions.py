@@ -103,3 +103,11 @@ def test_age_text_and_season(spark):
 def test_weighted_flags_capped(spark):
     v = C.weighted_flags([(F.lit(True), 3), (F.lit(True), 2), (F.lit(None).cast("boolean"), 1)], 3)
     assert one(spark, v) == 3
+
+
+def test_age_description(spark):
+    assert one(spark, C.age_description(F.lit(0.5))) == "Very fresh (updated 30 minutes ago)"
+    assert one(spark, C.age_description(F.lit(5.25))) == "Fresh (updated 5.3 hours ago)"
+    assert one(spark, C.age_description(F.lit(30.0))) == "Stale (updated 30.0 hours ago)"
+    assert one(spark, C.age_description(F.lit(72.0))) == "Very stale (updated 3.0 days ago)"
+    assert one(spark, C.age_bucket(F.lit(3.0))) == "fresh"

@@ -171,3 +171,10 @@ def test_small_filters(spark):
     ids = spark.createDataFrame([(3,), (3,)], "id int")
     assert [r.id for r in filters.in_id_set(df, ids, "id").collect()] == [3]
     assert [r.id for r in joins.join_filter(df, ids.withColumn("ok", F.lit(True)), "id", F.col("ok")).collect()] == [3]
+
+
+def test_pending_skips_present_unless_forced(spark):
+    targets = spark.createDataFrame([(1, 3), (2, 3)], "player_id int, gameweek int")
+    have = spark.createDataFrame([(1, 3)], "player_id int, gameweek int")
+    assert [r.player_id for r in periods.pending(targets, have, ["player_id", "gameweek"]).collect()] == [2]
+    assert periods.pending(targets, have, ["player_id", "gameweek"], force=True).count() == 2

@@ -47,3 +47,11 @@ def test_period_completeness(spark):
     t = spark.createDataFrame([(1,), (3,), (9,)], "gw int")
     got = {(r.period, r.issue) for r in q.period_completeness({"t": (t, "gw")}, 4).collect()}
     assert got == {(2, "missing"), (4, "missing"), (9, "future")}
+
+
+def test_sanity_required_and_unexpected(spark):
+    t = {"teams": spark.range(20), "weird": spark.range(1)}
+    rep = {(r.table, r.check): r.status for r in q.sanity(t, expected_rows={"teams": 20}, required=["teams", "fixtures"],
+                                                          known=["teams", "fixtures"]).collect()}
+    assert rep[("teams", "row_count=20")] == "pass" and rep[("fixtures", "required_table")] == "fail"
+    assert rep[("weird", "unexpected_table")] == "warn" and rep[("teams", "non_empty")] == "pass"
