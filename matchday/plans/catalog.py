@@ -38,13 +38,25 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def round6(c) -> F.Column:
+    """x rounded to 6 decimals as sign(y) * floor(|y| + 0.5) / 1e6, y = x * 1e6.
+
+    Plain arithmetic (stays in codegen; ``round()`` on doubles goes through
+    BigDecimal and was measured at ~10x the cost of a whole fan-out query),
+    and the oracle SQL uses the identical formula, so both sides perform the
+    same IEEE operations. ``+ 0.0`` turns a negative zero into zero.
+    """
+    y = c.cast("double") * 1e6
+    return F.signum(y) * F.floor(F.abs(y) + 0.5) / 1e6 + 0.0
+
+
 def conform(df: DataFrame) -> DataFrame:
     """Round doubles to 6 decimals and widen integers to BIGINT."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6)
+            c = round6(c)
         elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("long")
         out.append(c.alias(f.name))
@@ -53,7 +65,9 @@ def conform(df: DataFrame) -> DataFrame:
 
 # SQL helpers (plain text builders for the oracle side)
 def R(x: str) -> str:
-    return f"(round(CAST({x} AS DOUBLE), 6) + 0.0)"
+    """SQL twin of :func:`round6` (same operations, same order)."""
+    y = f"(CAST({x} AS DOUBLE) * 1000000.0)"
+    return f"(CAST(sign({y}) AS DOUBLE) * floor(abs({y}) + 0.5) / 1000000.0 + 0.0)"
 
 
 def B(x: str) -> str:

@@ -18,8 +18,8 @@ from .bindings import month_index, with_bindings
 from .catalog import B, NUM, R, conform, query
 
 # ----------------------------------------------------------------------------- J6
-query("insert_or_ignore", sql="""
-SELECT l_orderkey, l_linenumber, round(l_extendedprice, 6) + 0.0 AS l_extendedprice FROM (
+query("insert_or_ignore", sql=f"""
+SELECT l_orderkey, l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM (
   SELECT l_orderkey, l_linenumber, l_extendedprice,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS rn
   FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))

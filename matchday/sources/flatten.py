@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.cols import num
+
 
 
 def _ts(as_of) -> Column:
@@ -228,4 +228,4 @@ def flatten_manager(docs: DataFrame) -> DataFrame:
 
 
 __all__ = ["parse_docs", "flatten_section", "flatten_bootstrap", "game_settings", "flatten_fixtures",
-           "flatten_performance", "snapshot", "flatten_picks", "flatten_summary", "flatten_manager", "num"]
+           "flatten_performance", "snapshot", "flatten_picks", "flatten_summary", "flatten_manager"]
