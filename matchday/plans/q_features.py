@@ -20,7 +20,7 @@ LO5 = max(1, GW - 5)
 
 # ----------------------------------------------------------------------------- E1
 query("pct_rank_in_group", sql=f"""
-SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_returnflag, l_linestatus,
   {R("CASE WHEN l_linestatus = 'F' AND l_extendedprice IS NOT NULL THEN "
      "(CAST(rank() OVER (PARTITION BY l_returnflag, l_linestatus = 'F' ORDER BY l_extendedprice) AS DOUBLE) "
      "+ CAST(count(*) OVER (PARTITION BY l_returnflag, l_linestatus = 'F', l_extendedprice) - 1 AS DOUBLE) / 2.0) "

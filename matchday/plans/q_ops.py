@@ -19,7 +19,7 @@ from .catalog import B, NUM, R, conform, query
 
 # ----------------------------------------------------------------------------- J6
 query("insert_or_ignore", sql=f"""
-SELECT l_orderkey, l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM (
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM (
   SELECT l_orderkey, l_linenumber, l_extendedprice,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS rn
   FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))
@@ -264,7 +264,7 @@ FROM (SELECT fixture_id, AvgCH FROM b_odds) o LEFT JOIN orders r ON o.fixture_id
 
 # ----------------------------------------------------------------------------- C11
 query("orphans", sql="""
-SELECT c_custkey, c_nationkey FROM customer c
+SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")(lambda spark, d: conform(
     orphans(b.read(spark, d, "customer").select("c_custkey", "c_nationkey"),
             b.read(spark, d, "orders"), "c_custkey", "o_custkey")))

@@ -56,3 +56,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and "player_id" in df.columns
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, con, name):
+    rel = con.sql(SQL[name])
+    duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    for col, t in QUERIES[name](spark, SF).dtypes:
+        assert duck[col] == SPARK_TO_DUCK.get(t, t), (col, t, duck[col])
