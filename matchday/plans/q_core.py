@@ -1,6 +1,7 @@
 """Catalog entries for ingest (A1-A11, A14, H13): landed JSON documents are
-built by Spark from the base tables (one document per order, so a document
-is bounded by the lines of one order), then flattened by the library."""
+built by Spark from the base tables, then flattened by the library. Element
+and live documents are one per lineitem record (no grouping); a market
+document is one match = one order, bounded by the lines of that order."""
 
 from __future__ import annotations
 
