@@ -9,7 +9,7 @@ never touches the others.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,7 +47,6 @@ def build_session(master: str | None = None, app: str = "matchday",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -64,14 +63,20 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder: ``spark.checkpoint.dir``, used as it is.
 
-    A cluster names a shared folder in that setting and it is used as is. Only
-    when it is unset (local tests) a scratch folder is created.
+    Where the setting is absent, a session whose driver and executors are one
+    process (a ``local`` master, as in tests) uses a scratch folder; any other
+    master raises, because a folder of one machine could not be shared.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
     if not d:
-        d = tempfile.mkdtemp(prefix="matchday-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        d = sc.getCheckpointDir()
+    if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="matchday-ckpt-")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d

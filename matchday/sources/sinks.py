@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import DuplicateKeyError, duplicate_keys
 from ..operators.rank import first_by
+from ..session import ensure_checkpoint_dir
 
 
 def _cols(x) -> list[str]:
@@ -71,6 +72,7 @@ def append_conflicts(existing: DataFrame, incoming: DataFrame, key) -> DataFrame
 # --------------------------------------------------------------------------- writers
 def _frozen(df: DataFrame) -> DataFrame:
     """Materialise into the checkpoint folder (lineage cut, executor-loss safe)."""
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

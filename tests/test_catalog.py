@@ -6,12 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from matchday.plans.catalog import all_queries
 
 SF = os.environ.get("MATCHDAY_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+# the catalog's own queries; an optional subpackage may register more
+QUERIES = {k: entry.queries()[k] for k in all_queries()}
+SQL = {k: v for k, v in entry.oracle_sql().items() if k in QUERIES}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
