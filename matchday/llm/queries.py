@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, secrets, url_rules
+from . import bpe, minhash, mixing, quality, secrets, url_rules
 from ._util import read_table
 
 
@@ -14,6 +14,10 @@ def op2_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op4_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_url_rarest_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -31,7 +35,7 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_rank_array, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
+    f.__name__: f for f in (op2_bpe_rank_array, op4_attention_quality, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
                             op10_trigram_secrets)}
 
 ORACLES: dict[str, str] = {
