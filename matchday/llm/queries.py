@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, url_rules
+from . import ann, bpe, e8, minhash, mixing, quality, secrets, url_rules
 from ._util import read_table
 
 
@@ -18,6 +18,14 @@ def op4_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_multiprobe_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+def op6_e8_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return e8.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_url_rarest_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(read_table(spark, sf_dir, "pages"))
 
@@ -35,7 +43,8 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_rank_array, op4_attention_quality, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
+    f.__name__: f for f in (op2_bpe_rank_array, op4_attention_quality, op5_multiprobe_pstable,
+                            op6_e8_lattice, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
                             op10_trigram_secrets)}
 
 ORACLES: dict[str, str] = {
