@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, e8, minhash, mixing, quality, secrets, url_rules
+from . import ann, bpe, e8, minhash, mixing, quality, secrets, surrogates, url_rules
 from ._util import read_table
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.pseudonymise(read_table(spark, sf_dir, "documents"))
+
+
 def op2_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_bpe_rank_array, op4_attention_quality, op5_multiprobe_pstable,
+    f.__name__: f for f in (op1_surrogates, op2_bpe_rank_array, op4_attention_quality, op5_multiprobe_pstable,
                             op6_e8_lattice, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
                             op10_trigram_secrets)}
 
