@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, e8, minhash, mixing, quality, secrets, surrogates, url_rules
+from . import ann, bpe, e8, minhash, mixing, quality, repeats, secrets, surrogates, url_rules
 from ._util import read_table
 
 
@@ -18,6 +18,10 @@ def op2_bpe_rank_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(read_table(spark, sf_dir, "documents"))
 
 
+def op3_lcp_interval_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op4_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -47,7 +51,7 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_surrogates, op2_bpe_rank_array, op4_attention_quality, op5_multiprobe_pstable,
+    f.__name__: f for f in (op1_surrogates, op2_bpe_rank_array, op3_lcp_interval_repeats, op4_attention_quality, op5_multiprobe_pstable,
                             op6_e8_lattice, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
                             op10_trigram_secrets)}
 
