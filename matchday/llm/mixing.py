@@ -21,8 +21,8 @@ asks for, buckets get running offsets and rows are numbered inside their bucket.
 A source that holds a third of all rows is spread over a third of the buckets.
 Rows that repeat an id are numbered by id and text; equal rows are interchangeable.
 An empty table gives an empty result; text, null or of any length, is only
-carried. Columns of clashing names are not touched: the operator's own columns
-come out under the names in ``OUT``.
+carried. Columns of other names are carried untouched, but for those named as in ``OUT``,
+which the operator's own replace; names that start with two underscores are reserved.
 """
 
 from __future__ import annotations
@@ -89,9 +89,10 @@ def mix(docs: DataFrame, weights: Mapping[str, int] | None = None, key: str = "d
 
     ``mix_position`` orders the mixed stream; it is unique and grows with the slot.
     """
-    w = reduced(weights or TARGET_WEIGHTS)
+    w = reduced(TARGET_WEIGHTS if weights is None else weights)
     h = sum(w.values())
     spark = docs.sparkSession
+    docs = docs.drop(*OUT)
     given = [s for s in w if s != REST]
     rest = F.lit(REST) if REST in w else F.raise_error(F.concat(F.lit("no weight for source "),
                                                                 F.coalesce(F.col(source), F.lit("null")))).cast("string")
@@ -112,16 +113,18 @@ def mix(docs: DataFrame, weights: Mapping[str, int] | None = None, key: str = "d
                 .join(offsets, ["mix_source", "__b"])
                 .withColumn("__i", F.col("__off") + F.col("__r"))
                 .withColumn("mix_block", F.floor(F.col("__i") / block_rows).cast("long")))
-    plan = F.broadcast(period_schedule(spark, w))  # at most MAX_PERIOD rows
+    # at most MAX_PERIOD rows
+    plan = F.broadcast(period_schedule(spark, w).select("mix_source", *[
+        F.col(c).alias(f"__{c}") for c in ("turn", "slot0", "release0", "deadline0")]))
     share = F.create_map(*[x for s, n in w.items() for x in (F.lit(s), F.lit(n))])
     numbered = (numbered.withColumn("__w", F.element_at(share, F.col("mix_source")).cast("long"))
-                .withColumn("turn", (F.col("mix_block") % F.col("__w")).cast("int"))
+                .withColumn("__turn", (F.col("mix_block") % F.col("__w")).cast("int"))
                 .withColumn("__cycle", F.floor(F.col("mix_block") / F.col("__w")).cast("long")))
-    out = numbered.join(plan, ["mix_source", "turn"])
+    out = numbered.join(plan, ["mix_source", "__turn"])
     base = F.col("__cycle") * h
-    return (out.withColumn("mix_slot", base + F.col("slot0"))
-            .withColumn("mix_release", base + F.col("release0"))
-            .withColumn("mix_deadline", base + F.col("deadline0"))
+    return (out.withColumn("mix_slot", base + F.col("__slot0"))
+            .withColumn("mix_release", base + F.col("__release0"))
+            .withColumn("mix_deadline", base + F.col("__deadline0"))
             .withColumn("mix_position", F.col("mix_slot") * block_rows + F.col("__i") % block_rows)
             .select(*docs.columns, *OUT))
 

@@ -203,7 +203,8 @@ def held_out(key) -> F.Column:
 
 
 def score(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "text", out: str = "score") -> DataFrame:
-    """``docs`` with a column ``out`` added: the score of every row's whole text."""
+    """``docs`` with a column ``out`` added (or replaced): the score of every row's whole text."""
+    docs = docs.drop(out)
     small = {k: v.astype(np.float32) for k, v in weights.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

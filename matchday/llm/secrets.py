@@ -45,10 +45,15 @@ class Rule:
     base: bool = field(default=False)
 
 
+def either(words: str) -> str:
+    """The expression with each letter in either case: A-Z and a-z only, in every engine."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
 # The base rules of the contract, in their order.
 KEYWORDS = (("password",), ("passwd",), ("secret",), ("token",), ("api_key",), ("apikey",))
 BASE_RULES = (
-    Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    Rule("assign", f"({either('password|passwd|secret|token|api_?key')})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
          KEYWORDS, True, 2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", (("AKIA",),), False, 0, 20, True),
     # a run of 24+ is exactly a maximal run that is not dropped
@@ -128,20 +133,20 @@ def labelled(spans: Column, order: int, kind: str) -> Column:
 def find_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, key: str = "doc_id", text: str = "text",
                  carry: Sequence[str] = ()) -> DataFrame:
     """``(key, *carry, text, spans)`` with spans an array of ``(start, ord, kind, end)`` in
-    order of start, then rule. ``carry`` names columns to take along."""
-    rows = docs.select(key, *[c for c in carry if c not in (key, text)], F.coalesce(F.col(text), F.lit("")).alias(text))
+    order of start, then rule. ``carry`` names columns to take along (not one called ``spans``)."""
+    cols = [c for c in carry if c not in (key, text, "spans")]
+    rows = docs.select(key, *cols, F.coalesce(F.col(text), F.lit("")).alias(text))
     hit = candidates(rows.where(F.col(key).isNotNull()).select(key, text), rules, key, text)
     joined = rows.join(hit.withColumnRenamed(key, "__key").withColumnRenamed("rules", "__rules"),
                        F.col(key) == F.col("__key"), "left")
-    cols = []
+    marked = []
     for i, r in enumerate(rules):
         found = spans_of(F.col(text), r)
         if trigram_query(r) is not None:
             asked = F.col(key).isNull() | F.array_contains(F.coalesce("__rules", F.array().cast("array<string>")), r.kind)
             found = F.when(asked, found).otherwise(F.array().cast("array<struct<start:int,end:int>>"))
-        cols.append(labelled(found, i, r.kind))
-    return joined.select(key, *[c for c in carry if c not in (key, text)], text,
-                         F.array_sort(F.concat(*cols)).alias("spans"))
+        marked.append(labelled(found, i, r.kind))
+    return joined.select(key, *cols, text, F.array_sort(F.concat(*marked)).alias("spans"))
 
 
 def span_text(spans: Column) -> Column:

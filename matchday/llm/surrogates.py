@@ -238,29 +238,30 @@ def assign(found: DataFrame, key: str) -> DataFrame:
 def pseudonymise(docs: DataFrame, secret: str = KEY, key: str = "doc_id", text: str = "text",
                  carry: Sequence[str] = ()) -> DataFrame:
     """``(key, *carry, text, n_entities, spans)``: the text with surrogates, and the replaced
-    places of the original as ``kind:start:end`` (code points, end exclusive)."""
-    cols = [c for c in carry if c not in (key, text)]
+    places of the original as ``kind:start:end`` (code points, end exclusive). Columns named
+    like an output are not carried; names that start with two underscores are reserved."""
+    cols = [c for c in carry if c not in (key, text, "text", "n_entities", "spans")]
     rows = docs.select(key, *cols, F.col(text).alias("text"))
     maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
     some = rows.where(maybe)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = [(k, f, v, a, e, t[a:e]) for k, t in zip(b["tkey"], b["text"], strict=True) for f, v, a, e in entities(t)]
-            yield pd.DataFrame(out, columns=["tkey", "kind", "value", "lo", "hi", "place"])
+            out = [(k, f, v, a, e, t[a:e]) for k, t in zip(b["__tkey"], b["text"], strict=True) for f, v, a, e in entities(t)]
+            yield pd.DataFrame(out, columns=["__tkey", "kind", "value", "lo", "hi", "place"])
 
     tkey = F.sha2("text", 256)
-    found = staged(some.select(tkey.alias("tkey"), "text").mapInPandas(
-        find, "tkey string, kind string, value string, lo int, hi int, place string").distinct(), "found")
+    found = staged(some.select(tkey.alias("__tkey"), "text").mapInPandas(
+        find, "__tkey string, kind string, value string, lo int, hi int, place string").distinct(), "found")
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.assign(new=[written(k, p, v) for k, p, v in zip(b["kind"], b["place"], b["new"], strict=True)])[
-                ["tkey", "lo", "hi", "kind", "new"]]
+                ["__tkey", "lo", "hi", "kind", "new"]]
 
-    placed = (found.join(assign(found, secret), ["kind", "value"]).select("tkey", "lo", "hi", "kind", "place", "new")
-              .mapInPandas(write, "tkey string, lo int, hi int, kind string, new string")
-              .groupBy("tkey").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "kind", "new"))).alias("r")))
+    placed = (found.join(assign(found, secret), ["kind", "value"]).select("__tkey", "lo", "hi", "kind", "place", "new")
+              .mapInPandas(write, "__tkey string, lo int, hi int, kind string, new string")
+              .groupBy("__tkey").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "kind", "new"))).alias("__r")))
     init = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def add(acc, r):
@@ -270,12 +271,12 @@ def pseudonymise(docs: DataFrame, secret: str = KEY, key: str = "doc_id", text:
     def end(acc):
         return F.concat(F.array_join(acc["out"], ""), F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
 
-    spans = F.array_join(F.transform("r", lambda r: F.concat_ws(
+    spans = F.array_join(F.transform("__r", lambda r: F.concat_ws(
         ":", F.split(r["kind"], ":")[0], r["lo"].cast("string"), r["hi"].cast("string"))), ",")
-    joined = some.withColumn("tkey", tkey).join(placed, "tkey", "left")
-    changed = joined.select(key, *cols, F.when(F.col("r").isNotNull(), F.aggregate("r", init, add, end))
+    joined = some.withColumn("__tkey", tkey).join(placed, "__tkey", "left")
+    changed = joined.select(key, *cols, F.when(F.col("__r").isNotNull(), F.aggregate("__r", init, add, end))
                             .otherwise(F.col("text")).alias(text),
-                            F.coalesce(F.size("r"), F.lit(0)).cast("long").alias("n_entities"),
+                            F.coalesce(F.size("__r"), F.lit(0)).cast("long").alias("n_entities"),
                             F.coalesce(spans, F.lit("")).alias("spans"))
     same = rows.where(~maybe).select(key, *cols, F.col("text").alias(text), F.lit(0).cast("long").alias("n_entities"),
                                      F.lit("").alias("spans"))
