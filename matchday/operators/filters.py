@@ -6,6 +6,7 @@ Catalyst pushes the predicates into the parquet scan and prunes columns.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from collections.abc import Sequence
 
@@ -55,11 +56,13 @@ def in_range(df: DataFrame, col: str, lo=None, hi=None, order: Sequence[Column |
 
 # --------------------------------------------------------------------------- B8
 def _fold_table() -> tuple[str, str]:
-    """Accented -> plain letters for Latin letters that decompose under NFD
-    (generated by rule: NFD, drop combining marks)."""
+    """Accented -> plain letter for every letter that decomposes under NFD to one
+    letter and combining marks (generated by rule over all code points)."""
     src, dst = [], []
-    for cp in range(0x00C0, 0x0250):
+    for cp in range(0x00C0, sys.maxunicode + 1):
         ch = chr(cp)
+        if not unicodedata.decomposition(ch) or unicodedata.category(ch) == "Mn":
+            continue
         base = "".join(c for c in unicodedata.normalize("NFD", ch) if unicodedata.category(c) != "Mn")
         if base != ch and len(base) == 1:
             src.append(ch)
@@ -71,9 +74,9 @@ FOLD_FROM, FOLD_TO = _fold_table()
 
 
 def fold_accents(c) -> Column:
-    """lower() then strip accents of precomposed Latin letters."""
+    """lower(), then strip accents: of precomposed letters by table, and combining marks."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.translate(F.lower(c), FOLD_FROM, FOLD_TO)
+    return F.regexp_replace(F.translate(F.lower(c), FOLD_FROM, FOLD_TO), r"\p{Mn}", "")
 
 
 def _fold_py(s: str) -> str:

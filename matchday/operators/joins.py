@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -36,14 +36,30 @@ def assert_unique(df: DataFrame, key, what: str = "input") -> None:
         raise DuplicateKeyError(f"{what}: key {list(_cols(key))} is not unique, e.g. {bad[0].asDict()}")
 
 
+def unique_or_raise(df: DataFrame, key, what: str = "input") -> DataFrame:
+    """``df`` itself, failing when it runs if ``key`` repeats.
+
+    The count is a window on the key, so a join on the same key adds no
+    shuffle and no job runs while the plan is built.
+    """
+    k = _cols(key)
+    n = F.count(F.lit(1)).over(Window.partitionBy(*k))
+    said = F.concat(F.lit(f"{what}: key {k} is not unique, e.g. "), F.to_json(F.struct(*k)))
+    one = F.when(F.col("__n") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("__n", n).where(one).drop("__n")
+
+
 # --------------------------------------------------------------------------- C1
-def join_one_to_one(left: DataFrame, right: DataFrame, on, check: bool = True) -> DataFrame:
+def join_one_to_one(left: DataFrame, right: DataFrame, on, check: bool | str = True) -> DataFrame:
     """Inner equi-join that requires both sides to be key-unique.
 
-    On overlapping non-key columns the right side wins.
+    ``check`` true: by a job per side before the join is built; ``"lazy"``: inside
+    the plan, as it runs. On overlapping non-key columns the right side wins.
     """
     k = _cols(on)
-    if check:
+    if check == "lazy":
+        left, right = unique_or_raise(left, k, "left side"), unique_or_raise(right, k, "right side")
+    elif check:
         assert_unique(left, k, "left side")
         assert_unique(right, k, "right side")
     overlap = [c for c in left.columns if c in right.columns and c not in k]

@@ -6,12 +6,14 @@ Scale notes
   ``rank() over (partition by group)`` does exactly that, and groups here
   are few and huge (four positions). Instead the values are first reduced to
   distinct ``(group, value, count)`` with a map-side partial aggregate (a hot
-  value is one row after that), cut into approximate-quantile buckets per
-  group, and the prefix counts are computed per bucket plus a per-group
-  offset from the (tiny) bucket totals. The result is exact.
-* ``latest_by`` / ``first_by`` use ``max``/``min`` over a struct, which is a
-  partial aggregate: a key holding a third of all rows is reduced on the map
-  side before the shuffle instead of being sorted in one window task.
+  value is one row after that), cut at approximate quantiles into as many
+  buckets per group as its number of values asks for, repartitioned by
+  (group, bucket), and the prefix counts are computed per bucket plus a
+  per-group offset from the (tiny) bucket totals. The result is exact.
+* ``latest_by`` / ``first_by`` use ``max``/``min`` over a struct: combined on
+  the map side, so a key holding a third of all rows is reduced before the
+  shuffle instead of being sorted in one window task. Spark plans it as a
+  sort aggregate, so every task sorts its own input.
 """
 
 from __future__ import annotations
@@ -22,13 +24,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+CUTS = 1024  # approximate quantiles that cut a group
+SALTS = 64  # partitions in which a group's values meet its bounds
+
+
 def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
 # --------------------------------------------------------------------------- E1
 def pct_rank_avg(df: DataFrame, value: str, group: str | Sequence[str], out: str = "pct_rank",
-                 default: float = 50.0, valid: Column | None = None, buckets: int = 64) -> DataFrame:
+                 default: float = 50.0, valid: Column | None = None, buckets: int | None = None,
+                 per_bucket: int = 50_000) -> DataFrame:
     """Percentile rank of ``value`` within ``group`` (x100), average ties.
 
     Semantics of a pandas ``rank(pct=True)`` per group: NULL/NaN values are
@@ -36,6 +43,9 @@ def pct_rank_avg(df: DataFrame, value: str, group: str | Sequence[str], out: str
     where ``valid`` is false (e.g. an unknown group) also get ``default``.
     ``rank_avg = (#values < v) + (#values == v + 1) / 2``, divided by the
     number of non-null values in the group.
+
+    A group of ``n`` distinct values is ranked in ``buckets`` tasks, or if that is
+    not given in ``ceil(n / per_bucket)`` (``CUTS`` at most).
     """
     g = _cols(group)
     v = F.col(value).cast("double")
@@ -46,34 +56,42 @@ def pct_rank_avg(df: DataFrame, value: str, group: str | Sequence[str], out: str
         ok = ok & F.col(c).isNotNull()
     keyed = df.withColumn("__v", F.when(ok, v))
 
-    # distinct (group, value) with multiplicity: map-side combined. Every
-    # branch below consumes exactly this (group, value, count) relation, so
-    # its shuffle is computed once and reused (ReuseExchange), not rescanned.
+    # distinct (group, value) with multiplicity: map-side combined
     dist = (keyed.where(F.col("__v").isNotNull())
             .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = dist.groupBy(*g).agg(F.percentile_approx("__v", probs, 10000).alias("__b"),
-                                  F.sum("__c").alias("__n"))
-    assigned = (dist.join(bounds, g)
-                .withColumn("__k", F.size(F.filter("__b", lambda b: b < F.col("__v"))))
-                .drop("__b"))
-    # prefix count inside a bucket and the bucket total share one window
-    # partitioning (group, bucket): a bucket holds ~1/buckets of the group.
+    parts = F.ceil(F.count(F.lit(1)) / per_bucket) if buckets is None else F.lit(buckets)
+    bounds = dist.groupBy(*g).agg(
+        F.percentile_approx("__v", [i / CUTS for i in range(1, CUTS)], 10000).alias("__b"),
+        F.least(F.lit(CUTS), parts).cast("int").alias("__m"))
+    # a group's bounds meet its values in SALTS partitions instead of one
+    salted = dist.withColumn("__s", F.pmod(F.xxhash64("__v"), F.lit(SALTS)).cast("int"))
+    spread = bounds.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # which of the CUTS intervals: coarse steps first, then inside one step
+    step = int(CUTS ** 0.5)
+    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(CUTS // step - 1)),
+                                         lambda i: F.element_at("__b", (i * step).cast("int"))), lambda x: x < F.col("__v")))
+    fine = F.size(F.filter(F.slice("__b", F.col("__at") * step + 1, F.lit(step)), lambda x: x < F.col("__v")))
+    assigned = (salted.join(spread, [*g, "__s"]).withColumn("__at", coarse)
+                .withColumn("__k", F.floor((F.col("__at") * step + fine) * F.col("__m") / CUTS).cast("int"))
+                .select(*g, "__k", "__v", "__c").repartition(*g, "__k"))
+    # prefix count inside a bucket, on the bucket's own partitions
     w_in = Window.partitionBy(*g, "__k").orderBy("__v")
-    win = assigned.select(*g, "__k", "__v", "__c", "__n",
+    win = assigned.select(*g, "__k", "__v", "__c",
                           F.coalesce(F.sum("__c").over(w_in.rowsBetween(Window.unboundedPreceding, -1)),
-                                     F.lit(0)).alias("__pre"),
-                          F.sum("__c").over(Window.partitionBy(*g, "__k")).alias("__bc"))
-    # offset of each bucket = rows in the group's lower buckets (tiny table)
-    offs = win.groupBy(*g, "__k").agg(F.max("__bc").alias("__bc"))
+                                     F.lit(0)).alias("__pre"))
+    # rows in the group's lower buckets and in the group: at most CUTS rows per group
+    sizes = assigned.groupBy(*g, "__k").agg(F.sum("__c").alias("__bc"))
     w_prev = Window.partitionBy(*g).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
-    offs = offs.select(*g, "__k", F.coalesce(F.sum("__bc").over(w_prev), F.lit(0)).alias("__off"))
+    offs = sizes.select(*g, "__k", F.coalesce(F.sum("__bc").over(w_prev), F.lit(0)).alias("__off"),
+                        F.sum("__bc").over(Window.partitionBy(*g)).alias("__n"))
     ranks = (win.join(offs, [*g, "__k"])
              .select(*g, "__v", ((F.col("__off") + F.col("__pre") + (F.col("__c") + 1) / 2.0)
-                                 / F.col("__n") * 100.0).alias("__r")))
-    return (keyed.join(ranks, [*g, "__v"], "left")
+                                 / F.col("__n") * 100.0).alias("__r"), F.lit(0).alias("__j")))
+    # unranked rows match nothing and are dealt over all partitions, not to that of the null key
+    spare = F.when(F.col("__v").isNull(), 1 + F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20)).cast("int")).otherwise(F.lit(0))
+    return (keyed.withColumn("__j", spare).join(ranks, [*g, "__v", "__j"], "left")
             .withColumn(out, F.coalesce(F.col("__r"), F.lit(float(default))))
-            .drop("__v", "__r"))
+            .select(*df.columns, out))
 
 
 # --------------------------------------------------------------------------- E3/E4

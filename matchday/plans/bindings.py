@@ -15,7 +15,7 @@ DuckDB oracle. Mapping:
 * odds     <- the same per-order aggregate: bookmaker prices >= 1 derived
   from quantity / discount / tax; order priority knocks out closing,
   over/under and handicap columns so every fallback chain is exercised.
-* history  <- (part, ship-month) pairs of lineitem.
+* history  <- (user, day) pairs of events: parts that are no user are new players.
 * gameweeks<- months of orders with flags relative to ``AS_OF``.
 """
 
@@ -184,8 +184,8 @@ def odds(spark: SparkSession, d: str) -> DataFrame:
 
 # --------------------------------------------------------------------------- history / gameweeks
 def history(spark: SparkSession, d: str) -> DataFrame:
-    li = read(spark, d, "lineitem")
-    return li.select(F.col("l_partkey").alias("player_id"), month_index(F.col("l_shipdate")).alias("gameweek")).distinct()
+    ev = read(spark, d, "events")
+    return ev.select(F.col("user_id").alias("player_id"), F.dayofmonth("ts").alias("gameweek")).distinct()
 
 
 def gameweeks(spark: SparkSession, d: str) -> DataFrame:
@@ -269,7 +269,7 @@ FROM {_OWL}""",
   1.85 + tmax AS B365AHH,
   CASE WHEN NOT (o_orderpriority = '2-HIGH' AND o_orderstatus = 'F') THEN 2.0 - tmax END AS B365AHA
 FROM {_OWL}""",
-    "b_history": f"""SELECT DISTINCT l_partkey AS player_id, {_MONTH.format(c='l_shipdate')} AS gameweek FROM lineitem""",
+    "b_history": f"""SELECT DISTINCT user_id AS player_id, CAST(day(ts) AS INTEGER) AS gameweek FROM events""",
     "b_gameweeks": f"""SELECT event_id, deadline_time, (last_ts < {AS_OF_SQL}) AS finished,
   (event_id = {GAMEWEEK}) AS is_current, (event_id = {GAMEWEEK + 1}) AS is_next
 FROM (SELECT {_MONTH.format(c='o_orderdate')} AS event_id, min(o_orderdate) AS deadline_time,

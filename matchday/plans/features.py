@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import (classify, clean_sheet, clip_null, consensus, decode, devig2, devig3, first_pair,
                               is_first, num, poisson_lambda_ge3, split_goals, stable_bucket, tier, weighted_flags)
-from ..operators.joins import lookup_or_default, new_entities
+from ..operators.joins import lookup_or_default, new_entities, unique_or_raise
 from ..operators.rank import pct_rank_avg
 from ..operators.reshape import fixture_sides, perspectives
 from ..operators.runs import forward_runs, period_sums
@@ -113,8 +113,7 @@ def player_metrics(players: DataFrame, gameweek, as_of) -> DataFrame:
         .otherwise(F.lit(0.0)).alias("form_per_million"),
         "value_score",
         F.least(F.coalesce(F.col("minutes"), F.lit(0)) / 1000.0, F.lit(1.0)).alias("value_confidence"),
-        classify([(form3 >= 5.0, "improving"), (form3 >= 3.5, "stable"), (form3 >= 2.5, "stable"),
-                  (form3 < 2.5, "declining")], "stable").alias("form_trend"),
+        classify([(form3 >= 5.0, "improving"), (form3 >= 2.5, "stable")], "declining").alias("form_trend"),
         F.lit(0.0).alias("form_momentum"),
         F.greatest(F.coalesce(form, F.lit(0.0)), F.lit(0.0)).alias("recent_form_5gw"),
         F.lit(0.7).alias("season_consistency"),
@@ -388,7 +387,9 @@ def betting_features(odds: DataFrame, fixtures: DataFrame, players: DataFrame, a
     fx = fixtures.select("fixture_id", c("event").alias("__gw"), c("home_team_id").alias("__home"),
                          c("away_team_id").alias("__away"))
     o = odds.drop("home_team_id", "away_team_id", "gameweek", "kickoff_time")
-    feats = odds_fixture_features(o.join(fx, "fixture_id", "inner"))
+    # one odds row and one fixture row per id: checked inside the plan, on the join's own partitioning
+    feats = odds_fixture_features(unique_or_raise(o, "fixture_id", "odds")
+                                  .join(unique_or_raise(fx, "fixture_id", "fixtures"), "fixture_id", "inner"))
     tot = c("__tot")
 
     def side(team, p_team, p_opp, xg, cons, mv, fav, sign, ho):

@@ -74,13 +74,14 @@ def _market_docs(spark, d) -> DataFrame:
     Lines are rendered to JSON text before the per-order collect, so the
     shuffle carries compact strings rather than nested structs."""
     li = b.read(spark, d, "lineitem")
-    book = F.element_at(F.array(*[F.lit(x) for x in BOOK_BY_LINE]), F.col("l_linenumber"))
+    book = F.element_at(F.array(*[F.lit(x) for x in BOOK_BY_LINE]), F.pmod(F.col("l_linenumber") - 1, len(BOOK_BY_LINE)) + 1)
     home = F.concat(F.lit("Home "), F.col("l_orderkey").cast("string"))
     away = F.concat(F.lit("Away "), F.col("l_orderkey").cast("string"))
     q, dc, tx = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
     no_point = F.lit(None).cast("double")
+    home_price = F.when(F.col("l_returnflag") != "R", 1.0 + q / 20.0)  # some books quote no home price
     h2h = F.struct(F.lit("h2h").alias("key"), F.array(
-        F.struct(home.alias("name"), (1.0 + q / 20.0).alias("price"), no_point.alias("point")),
+        F.struct(home.alias("name"), home_price.alias("price"), no_point.alias("point")),
         F.struct(F.lit("Draw").alias("name"), (3.0 + dc * 10.0).alias("price"), no_point.alias("point")),
         F.struct(away.alias("name"), (1.0 + (51.0 - q) / 20.0).alias("price"), no_point.alias("point")))
         .alias("outcomes"))
@@ -120,31 +121,46 @@ def _market_sql() -> str:
     def pick(fn, col, cond):
         return f"{fn}({col}, bpos) FILTER (WHERE {cond})"
 
-    cols = []
+    cols, ps = [], []
     for s in "hda":
-        cols += [f"max({s}) AS max_{s}", f"avg({s}) AS avg_{s}", f"{pick('arg_max', s, "book = 'bet365'")} AS ex_{s}",
-                 f"{pick('arg_min', s, f'book IN {pref}')} AS fb_{s}", f"{pick('arg_max', s, "book = 'pinnacle'")} AS ps_{s}"]
+        cols += [f"max({s}) AS max_{s}", f"avg({s}) AS avg_{s}"]
+        ps.append(f"{s} AS ps_{s}")
     return f"""
 WITH li AS (
   SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_LINE_ORDER)}) - 1 AS bpos,
-    ([{books}])[l_linenumber] AS book, 1.0 + l_quantity / 20.0 AS h, 3.0 + l_discount * 10.0 AS d,
+    ([{books}])[(l_linenumber - 1) % {len(BOOK_BY_LINE)} + 1] AS book,
+    CASE WHEN l_returnflag <> 'R' THEN 1.0 + l_quantity / 20.0 END AS h, 3.0 + l_discount * 10.0 AS d,
     1.0 + (51.0 - l_quantity) / 20.0 AS a, 1.5 + l_tax * 10.0 AS ov, 2.5 - l_tax * 10.0 AS un,
     CASE WHEN l_tax < 0.04 THEN 2.5 ELSE 3.5 END AS pt
   FROM lineitem),
+-- the exact book's last quote, unless its home price is missing and a preferred book quotes one
+-- after it; without the exact book the first preferred one with a home price, else the last
+ex AS (SELECT l_orderkey, max(bpos) AS epos FROM li WHERE book = 'bet365' GROUP BY l_orderkey),
+cand AS (
+  SELECT li.*, ex.epos, (li.h IS NOT NULL) AS quoted FROM li LEFT JOIN ex USING (l_orderkey)
+  WHERE li.book IN {pref} AND (ex.epos IS NULL OR li.bpos >= ex.epos)),
+b365 AS (
+  SELECT l_orderkey, h AS b_h, d AS b_d, a AS b_a FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey
+      ORDER BY quoted DESC, CASE WHEN quoted THEN bpos ELSE -bpos END) AS rn FROM cand) WHERE rn = 1),
+pin AS (
+  SELECT l_orderkey, {', '.join(ps)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY bpos DESC) AS rn FROM li WHERE book = 'pinnacle')
+  WHERE rn = 1),
 agg AS (
-  SELECT l_orderkey, count(*) FILTER (WHERE book = 'bet365') AS n_ex, {', '.join(cols)},
+  SELECT l_orderkey, {', '.join(cols)},
     {pick('arg_max', 'ov', "book = 'bet365' AND abs(pt - 2.5) < 0.1")} AS ov,
     {pick('arg_max', 'un', "book = 'bet365' AND abs(pt - 2.5) < 0.1")} AS un
   FROM li GROUP BY l_orderkey)
 SELECT o_orderkey AS l_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS "Date",
   'Home ' || CAST(o_orderkey AS VARCHAR) AS HomeTeam, 'Away ' || CAST(o_orderkey AS VARCHAR) AS AwayTeam,
-  {R('CASE WHEN n_ex > 0 THEN ex_h ELSE fb_h END')} AS B365H, {R('CASE WHEN n_ex > 0 THEN ex_d ELSE fb_d END')} AS B365D,
-  {R('CASE WHEN n_ex > 0 THEN ex_a ELSE fb_a END')} AS B365A,
+  {R('b_h')} AS B365H, {R('b_d')} AS B365D, {R('b_a')} AS B365A,
   {R('ps_h')} AS PSH, {R('ps_d')} AS PSD, {R('ps_a')} AS PSA,
   {R('max_h')} AS MaxH, {R('max_d')} AS MaxD, {R('max_a')} AS MaxA,
   {R('avg_h')} AS AvgH, {R('avg_d')} AS AvgD, {R('avg_a')} AS AvgA,
   {R('ov')} AS B365_over_2_5, {R('un')} AS B365_under_2_5
-FROM orders JOIN agg ON o_orderkey = l_orderkey WHERE o_orderpriority <> '5-LOW'"""
+FROM orders JOIN agg ON o_orderkey = agg.l_orderkey LEFT JOIN b365 ON o_orderkey = b365.l_orderkey
+LEFT JOIN pin ON o_orderkey = pin.l_orderkey WHERE o_orderpriority <> '5-LOW'"""
 
 
 query("nested_market_agg", sql=_market_sql())(_market_spark)
@@ -155,7 +171,7 @@ LIVE_SCHEMA = T.StructType([T.StructField("elements", T.ArrayType(T.StructType([
     T.StructField("stats", T.StructType([T.StructField("total_points", T.IntegerType()),
                                          T.StructField("minutes", T.IntegerType())])),
     T.StructField("explain", T.ArrayType(T.StructType([T.StructField("fixture", T.StringType())])))])))])
-UNKNOWN_FIXTURE = 999999999  # an id no fixture has: that explain entry is skipped
+UNKNOWN_FIXTURE = -1  # an id no fixture has: that explain entry is skipped
 
 
 def _live_docs(spark, d) -> DataFrame:

@@ -89,7 +89,7 @@ SELECT fixture_id, team_id, opponent_id, {B("event")} AS gameweek, is_home, kick
   {R(f"greatest({b_} * 0.3, 0.2)")} AS expected_goals_against,
   {R(f"greatest(3.0 - {b_} * 0.4, 0.3)")} AS expected_points,
   {R(f"greatest(0.8 - {b_} * 0.15, 0.1)")} AS clean_sheet_probability,
-  {AS_OF_SQL} AS calculation_date, '{feat.FACTORS_INCLUDED}' AS factors_included
+  {AS_OF_SQL} AS calculation_date, '["opponent_strength", "venue", "form"]' AS factors_included
 FROM j""", "b_fixtures", "b_teams").replace("\n, j AS", ", j AS", 1)
 
 
@@ -338,7 +338,12 @@ def _betting_sql() -> str:
     away = side_cols.format(team="away_team_id", is_home="FALSE", p_team="pa", p_opp="ph", cs=cs("axg"), xg="axg",
                             cons="cons_a", mv="(AvgCA - AvgA)", fav="CASE WHEN a_sel < h_sel THEN 1.0 ELSE 0.0 END",
                             sign="-1.0", ho="hc_away")
-    dflt = feat.BETTING_DEFAULTS
+    # the contract's neutral values, written out: the SQL must not follow the code under test
+    dflt = {"team_win_probability": 0.33, "opponent_win_probability": 0.33, "draw_probability": 0.33,
+            "implied_clean_sheet_probability": 0.35, "implied_total_goals": 2.5, "team_expected_goals": 1.25,
+            "market_consensus_strength": 0.5, "odds_movement_team": 0.0, "odds_movement_magnitude": 0.0,
+            "favorite_status": 0.5, "asian_handicap_line": 0.0, "handicap_team_odds": 2.0,
+            "expected_goal_difference": 0.0, "over_under_signal": 0.0, "referee_encoded": -1}
     outs = ",\n  ".join(
         (B(f"coalesce({k}, {v})") if k == "referee_encoded" else R(f"coalesce({k}, {v})")) + f" AS {k}"
         for k, v in dflt.items())
@@ -406,8 +411,7 @@ SELECT player_id, web_name, team_id, {B("position_id")} AS position_id,
   {R(f"CASE WHEN {price} > 0 AND form IS NOT NULL THEN {CLIP(form, '0.0')} / {price} ELSE 0.0 END")} AS form_per_million,
   {R("value_score")} AS value_score,
   {R("least(coalesce(minutes, 0) / 1000.0, 1.0)")} AS value_confidence,
-  CASE WHEN {form3} >= 5.0 THEN 'improving' WHEN {form3} >= 3.5 THEN 'stable' WHEN {form3} >= 2.5 THEN 'stable'
-       WHEN {form3} < 2.5 THEN 'declining' ELSE 'stable' END AS form_trend,
+  CASE WHEN {form3} >= 5.0 THEN 'improving' WHEN {form3} >= 2.5 THEN 'stable' ELSE 'declining' END AS form_trend,
   {R("0.0")} AS form_momentum,
   {R(f"greatest(coalesce({form}, 0.0), 0.0)")} AS recent_form_5gw,
   {R("0.7")} AS season_consistency,

@@ -6,8 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.filters import name_lookup, per_unit_rates
-from ..operators.joins import alias_table, fill_nulls, left_join_suffix, match_exactly_one, orphans, resolve_names, \
+from ..operators.filters import in_range, name_lookup, per_unit_rates
+from ..operators.joins import alias_table, duplicate_keys, fill_nulls, left_join_suffix, match_exactly_one, orphans, resolve_names, \
     resolve_variants
 from ..operators.merge import diff_keys, merge_latest, missing_periods
 from ..operators.periods import current_period, free_allowance, target_period
@@ -17,6 +17,11 @@ from . import bindings as b
 from .bindings import month_index, with_bindings
 from .catalog import B, NUM, R, conform, query
 
+# keys that a one-to-one join refuses
+query("refused_keys", sql="""
+SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1""")(lambda spark, d: conform(
+    duplicate_keys(b.read(spark, d, "lineitem"), "l_orderkey")))
+
 # ----------------------------------------------------------------------------- J6
 query("insert_or_ignore", sql=f"""
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM (
@@ -124,14 +129,17 @@ SELECT o_custkey, {B('gameweek')} AS gameweek FROM exp
 WHERE (o_custkey, gameweek) NOT IN (SELECT (o_custkey, gameweek) FROM o)""")(_g3_spark)
 
 # ----------------------------------------------------------------------------- G4
+# expected: the customers' ids; present: those of labelled documents and large parts
 query("missing_extra", sql="""
-SELECT custkey, 'missing' AS side FROM (SELECT c_custkey AS custkey FROM customer
-  EXCEPT SELECT o_custkey FROM orders)
+WITH want AS (SELECT c_custkey AS id FROM customer), have AS (
+  SELECT doc_id AS id FROM labels UNION ALL SELECT p_partkey FROM part WHERE p_size > 25)
+SELECT id, 'missing' AS side FROM (SELECT id FROM want EXCEPT SELECT id FROM have)
 UNION ALL
-SELECT custkey, 'extra' FROM (SELECT o_custkey AS custkey FROM orders EXCEPT SELECT c_custkey FROM customer)""")(
-    lambda spark, d: conform(diff_keys(b.read(spark, d, "customer").select(F.col("c_custkey").alias("custkey")),
-                                       b.read(spark, d, "orders").select(F.col("o_custkey").alias("custkey")),
-                                       "custkey")))
+SELECT id, 'extra' FROM (SELECT id FROM have EXCEPT SELECT id FROM want)""")(
+    lambda spark, d: conform(diff_keys(
+        b.read(spark, d, "customer").select(F.col("c_custkey").alias("id")),
+        b.read(spark, d, "labels").select(F.col("doc_id").alias("id")).unionByName(
+            b.read(spark, d, "part").where(F.col("p_size") > 25).select(F.col("p_partkey").alias("id"))), "id")))
 
 # ----------------------------------------------------------------------------- C4
 
@@ -263,11 +271,17 @@ FROM (SELECT fixture_id, AvgCH FROM b_odds) o LEFT JOIN orders r ON o.fixture_id
     _c10_spark)
 
 # ----------------------------------------------------------------------------- C11
+# customers that never caused an event (as users), documents without a label
 query("orphans", sql="""
-SELECT c_custkey, CAST(c_nationkey AS BIGINT) AS c_nationkey FROM customer c
-WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)""")(lambda spark, d: conform(
-    orphans(b.read(spark, d, "customer").select("c_custkey", "c_nationkey"),
-            b.read(spark, d, "orders"), "c_custkey", "o_custkey")))
+SELECT 'customer' AS child, c_custkey AS id FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM events e WHERE e.user_id = c.c_custkey)
+UNION ALL SELECT 'document', doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")(
+    lambda spark, d: conform(
+        orphans(b.read(spark, d, "customer").select("c_custkey"), b.read(spark, d, "events"), "c_custkey", "user_id")
+        .select(F.lit("customer").alias("child"), F.col("c_custkey").alias("id")).unionByName(
+            orphans(b.read(spark, d, "documents").select("doc_id"),
+                    b.read(spark, d, "labels").withColumnRenamed("doc_id", "l_doc"), "doc_id", "l_doc")
+            .select(F.lit("document").alias("child"), F.col("doc_id").alias("id")))))
 
 # ----------------------------------------------------------------------------- E3 / E4 / E6
 query("latest_per_key", sql=f"""
@@ -328,8 +342,7 @@ FROM b_players WHERE minutes > 0""", "b_players"))(lambda spark, d: conform(
 query("range_filter", sql=with_bindings(f"""
 SELECT fixture_id, {B('event')} AS event, home_team_id, away_team_id FROM b_fixtures WHERE event BETWEEN 30 AND 40""",
                                         "b_fixtures"))(lambda spark, d: conform(
-    b.fixtures(spark, d).where(F.col("event").between(30, 40))
-    .select("fixture_id", "event", "home_team_id", "away_team_id")))
+    in_range(b.fixtures(spark, d), "event", 30, 40).select("fixture_id", "event", "home_team_id", "away_team_id")))
 
 ACCENT_TERM = "Eoireeau"  # only the accent-folded text contains it (fallback branch)
 
@@ -396,6 +409,8 @@ _FKS = [("lineitem", "l_orderkey", "lineitem", "orders", "o_orderkey"),
         ("lineitem", "l_suppkey", "lineitem", "supplier", "s_suppkey"),
         ("orders", "o_custkey", "orders", "customer", "c_custkey"),
         ("labels", "doc_id", "labels", "documents", "doc_id"),
+        ("documents", "doc_id", "documents", "labels", "doc_id"),
+        ("customer", "c_custkey", "customer", "events", "user_id"),
         ("players", "team_id", "b_players", "b_teams", "team_id")]
 
 

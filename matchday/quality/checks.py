@@ -154,6 +154,36 @@ def reconcile(detail: DataFrame, key: str, measure: Column, totals: DataFrame, t
     return j.withColumn("difference", diff).where(F.abs(diff) > tol)
 
 
+def check_reconciled(detail: DataFrame, table: str, key: str, measure: Column, totals: DataFrame, total_col: str,
+                     tol: float) -> DataFrame:
+    """L7 as a report row: keys whose detail does not add up to the stored total."""
+    off = reconcile(detail, key, measure, totals, total_col, tol).agg(F.count(F.lit(1)).alias("violations"))
+    one = (off.withColumn("__one", F.lit(1))
+           .join(F.broadcast(totals.agg(F.count(F.lit(1)).alias("total")).withColumn("__one", F.lit(1))), "__one"))
+    return _report(one.select(F.lit(table).alias("table"), F.lit("reconciles").alias("check"),
+                              F.lit(total_col).alias("column"), "violations", "total",
+                              _status(F.col("violations")).alias("status")))
+
+
+def check_complete(df: DataFrame, table: str, good: float = 90.0, fair: float = 70.0) -> DataFrame:
+    """L11 as report rows: null cells per column; GOOD passes, FAIR warns, POOR fails."""
+    c = completeness(df, table, good, fair)
+    status = F.when(F.col("grade") == "GOOD", "pass").when(F.col("grade") == "FAIR", "warn").otherwise("fail")
+    return _report(c.select("table", F.lit("completeness").alias("check"), "column",
+                            F.col("null_cells").alias("violations"), "total", status.alias("status")))
+
+
+def check_periods(tables: Mapping[str, tuple[DataFrame, str]], expected_upto: DataFrame | int) -> DataFrame:
+    """L12 as report rows: periods missing or beside the expected ones, per table."""
+    spark = next(iter(tables.values()))[0].sparkSession
+    bad = period_completeness(tables, expected_upto).groupBy("table").agg(F.count(F.lit(1)).alias("n"))
+    names = spark.createDataFrame([(n, c) for n, (_, c) in tables.items()], "table string, column string")
+    n = F.coalesce(F.col("n"), F.lit(0))
+    return _report(names.join(bad, "table", "left").select(
+        "table", F.lit("periods").alias("check"), "column", n.alias("violations"), n.alias("total"),
+        _status(n).alias("status")))
+
+
 # --------------------------------------------------------------------------- L8
 def check_formula(df: DataFrame, table: str, name: str, expected: Column, actual: Column, tol: float) -> DataFrame:
     return validate(df, table, [Rule(name, name, F.abs(expected - actual) > tol)])
@@ -241,35 +271,40 @@ def completeness(df: DataFrame, table: str, good: float = 90.0, fair: float = 70
 
 
 # --------------------------------------------------------------------------- L12
-def period_completeness(tables: Mapping[str, tuple[DataFrame, str]], expected_upto: Column | int,
-                        like: DataFrame | None = None) -> DataFrame:
-    """Per table: expected periods 1..upto missing, periods present beyond
-    upto+1 ('future'), as (table, period, issue)."""
+def period_completeness(tables: Mapping[str, tuple[DataFrame, str]], expected_upto: DataFrame | int) -> DataFrame:
+    """Per table: expected periods 1..upto that are missing, and every period present outside
+    them ('future' beyond upto+1, else 'extra'), as (table, period, issue).
+
+    ``expected_upto`` is a number or a one-row frame with a column ``upto`` (e.g. the current period).
+    """
     parts = []
     for name, (df, col) in tables.items():
         parts.append(df.select(F.lit(name).alias("table"), F.col(col).cast("int").alias("period")).distinct())
     present = parts[0]
     for p in parts[1:]:
         present = present.unionByName(p)
-    names = like if like is not None else present.sparkSession.createDataFrame([(n,) for n in tables], "table string")
-    upto = expected_upto if isinstance(expected_upto, Column) else F.lit(int(expected_upto))
-    if isinstance(expected_upto, Column):
-        one = F.lit(1).alias("__one")
-        exp = (names.select("*", one).join(F.broadcast(like.select("*", one)), "__one", "left")  # one-row frame
-               .select("table", F.explode(F.sequence(F.lit(1), upto)).alias("period")))
+    spark = present.sparkSession
+    if isinstance(expected_upto, DataFrame):
+        upto = expected_upto.select(F.col("upto").cast("int").alias("upto"))
     else:
-        exp = names.select("table", F.explode(F.sequence(F.lit(1), upto)).alias("period"))
+        upto = spark.createDataFrame([(int(expected_upto),)], "upto int")
+    one = upto.withColumn("__one", F.lit(1))
+    names = spark.createDataFrame([(n,) for n in tables], "table string").withColumn("__one", F.lit(1))
+    exp = (names.join(F.broadcast(one), "__one").where(F.col("upto") >= 1)  # one-row frame
+           .select("table", F.explode(F.sequence(F.lit(1), F.col("upto"))).alias("period")))
     missing = exp.join(present, ["table", "period"], "left_anti").withColumn("issue", F.lit("missing"))
-    future = present.where(F.col("period") > upto + 1).withColumn("issue", F.lit("future"))
-    return missing.unionByName(future)
+    beside = (present.withColumn("__one", F.lit(1)).join(F.broadcast(one), "__one")  # one-row frame
+              .where((F.col("period") < 1) | (F.col("period") > F.col("upto")))
+              .select("table", "period", F.when(F.col("period") > F.col("upto") + 1, "future").otherwise("extra").alias("issue")))
+    return missing.unionByName(beside)
 
 
 # --------------------------------------------------------------------------- L13
 def sanity(tables: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | None = None,
            expected_cols: Mapping[str, int] | None = None, required: Sequence[str] = (),
            known: Sequence[str] | None = None) -> DataFrame:
-    """Table-level checks: non-empty, exact expected row counts, column
-    counts (schema metadata), required tables present and (with ``known``)
+    """Table-level checks: non-empty, exact expected row counts (a table that is
+    absent fails them), columns missing from the expected count (schema metadata), required tables present and (with ``known``)
     unexpected table names flagged as warnings."""
     spark = next(iter(tables.values())).sparkSession
     reps = []
@@ -287,7 +322,10 @@ def sanity(tables: Mapping[str, DataFrame], expected_rows: Mapping[str, int] | N
     for name, want in (expected_cols or {}).items():
         if name in tables:
             have = len(tables[name].columns)
-            meta.append((name, f"column_count={want}", "*", abs(have - want), have, "pass" if have >= want else "warn"))
+            meta.append((name, f"column_count={want}", "*", max(want - have, 0), have, "pass" if have >= want else "warn"))
+    for name, want in (expected_rows or {}).items():
+        if name not in tables:
+            meta.append((name, f"row_count={want}", "*", want, 0, "fail"))
     for name in required:
         if name not in tables:
             meta.append((name, "required_table", "*", 1, 0, "fail"))

@@ -38,8 +38,9 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
     * h2h price per bookmaker market: outcome named like the home team ->
       home, like the away team -> away, any other name -> draw (last wins)
     * Max*/Avg* over all bookmakers' h2h prices
-    * B365*: the exact bookmaker (its last h2h market) if present, else the
-      first preferred bookmaker in provider order; PS*: the sharp bookmaker
+    * B365*: in provider order, the exact bookmaker (its last h2h market) takes
+      over from any other, and a preferred bookmaker does while no home price
+      is known; PS*: the sharp bookmaker
     * B365 over/under at ``line``: the exact bookmaker's totals outcomes whose
       point is within ``tol`` of the line ("over" wins over "under")
     * matches whose time does not parse are skipped; closing columns are the
@@ -86,10 +87,18 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
     def avg(arr):
         return F.when(F.size(arr) > 0, F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v) / F.size(arr))
 
-    ex = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"] == exact, F.lit(False))), F.lit(-1))
-    fb = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"].isin(*preferred), F.lit(False))), F.lit(1))
+    # one pass in provider order: the exact book always takes over; while the home price is
+    # missing, so does any preferred book
+    entry = T.StructType([T.StructField(k, T.DoubleType()) for k in "hda"])
+    nothing = F.lit(None).cast(entry)
+
+    def takes_over(acc, x):
+        now = F.coalesce(x["book"] == exact, F.lit(False)) | (
+            acc["h"].isNull() & F.coalesce(x["book"].isin(*preferred), F.lit(False)))
+        return F.when(now, F.struct(*[x[k].alias(k) for k in "hda"])).otherwise(acc)
+
+    b365 = F.aggregate(e, nothing, takes_over)
     ps = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"] == sharp, F.lit(False))), F.lit(-1))
-    b365 = F.when(ex.isNotNull(), ex).otherwise(fb)
     lname = lambda o: F.lower(F.coalesce(o["name"], F.lit("")))
     over = F.try_element_at(F.filter("t", lambda o: lname(o).contains("over")), F.lit(-1))["price"]
     under = F.try_element_at(F.filter("t", lambda o: ~lname(o).contains("over") & lname(o).contains("under")),

@@ -4,21 +4,19 @@ Each semantic is split in two: a pure *frame* function that computes the new
 table content (testable, and what the query catalog checks), and a writer
 that persists it with plain ``DataFrameWriter`` calls.
 
-Rewriting a table that is also an input (keyed replace, upsert) first cuts
-the lineage with ``DataFrame.checkpoint()`` into ``spark.checkpoint.dir``
-(the cluster's shared folder), so the overwrite never reads the files it is
-deleting and a lost executor recomputes from the checkpoint, not from a
-half-overwritten table.
-
-Atomicity: plain parquet directories are not transactional. ``replace_all``
-and the keyed rewrites are "delete then write"; the append-only conflict
-check is not race-free against a concurrent writer. A table format with
-``MERGE``/atomic overwrite removes both caveats; the frame functions carry
-over unchanged.
+Full replaces and keyed rewrites are staged: the new table is written beside
+the old one and swapped in by two renames, so a job that fails leaves the
+table as it was (between the renames a reader may find none; a table format
+with atomic overwrite removes that gap). A keyed rewrite of a partitioned
+table only rewrites touched partitions; as it overwrites what it reads, it
+first cuts the lineage with ``DataFrame.checkpoint()`` into
+``spark.checkpoint.dir`` (the cluster's shared folder). The append-only
+conflict check is not race-free against a concurrent writer.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,9 +74,36 @@ def _frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def replace_all(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Full replace."""
-    df.write.mode("overwrite").format(fmt).save(path)
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _write_staged(df: DataFrame, path: str, fmt: str, partition_col: str | None = None) -> None:
+    """Write beside the table, then swap: a failing job leaves the table as it was."""
+    spark = df.sparkSession
+    jvm, fs, target = _fs(spark, path)
+    tag = uuid.uuid4().hex[:12]
+    staging, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{tag}") for kind in ("staging", "old"))
+    w = df.write.format(fmt)
+    (w.partitionBy(partition_col) if partition_col else w).save(str(staging.toString()))
+    if fs.exists(target):
+        if not fs.rename(target, old):
+            raise OSError(f"cannot move {path} aside")
+    else:
+        fs.mkdirs(target.getParent())
+    if not fs.rename(staging, target):
+        if fs.exists(old):
+            fs.rename(old, target)
+        raise OSError(f"cannot move the new table to {path}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def replace_all(df: DataFrame, path: str, fmt: str = "parquet", partition_col: str | None = None) -> None:
+    """Full replace (staged, then swapped; the table may be read by ``df``)."""
+    _write_staged(df, path, fmt, partition_col)
 
 
 def replace_partitions(df: DataFrame, path: str, col: str, fmt: str = "parquet") -> None:
@@ -87,33 +112,56 @@ def replace_partitions(df: DataFrame, path: str, col: str, fmt: str = "parquet")
      .partitionBy(col).format(fmt).save(path))
 
 
-def _exists(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+def _exists(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame | None:
     try:
-        return spark.read.format(fmt).load(path)
+        return spark.read.options(**options).format(fmt).load(path)
     except Exception as e:  # noqa: BLE001 - a missing table reads as "no rows yet"
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
 
 
-def replace_keys(df: DataFrame, path: str, key, fmt: str = "parquet") -> None:
-    """Keyed replace (upsert) of the stored table."""
+def replace_keys(df: DataFrame, path: str, key, fmt: str = "parquet", partition_col: str | None = None) -> None:
+    """Keyed replace (upsert) of the stored table, staged and swapped.
+
+    With ``partition_col`` the table keeps that partitioning and only touched
+    partitions are rewritten: those of the new rows and those that hold a
+    replaced key. A touched partition that ends up empty is removed.
+    """
     spark = df.sparkSession
     old = _exists(spark, path, fmt)
-    out = df if old is None else _frozen(replace_keys_frame(old, df, key))
-    out.write.mode("overwrite").format(fmt).save(path)
+    if old is None:
+        _write_staged(df, path, fmt, partition_col)
+        return
+    if partition_col is None:
+        _write_staged(replace_keys_frame(old, df, key), path, fmt)
+        return
+    k = _cols(key)
+    hit = old.join(df.select(*k).distinct(), k, "left_semi").select(partition_col).distinct()
+    touched = _frozen(hit.unionByName(df.select(partition_col)).distinct())
+    out = _frozen(replace_keys_frame(old.join(touched, partition_col, "left_semi"), df, key))
+    # partition values, not rows: as many as there are touched partitions
+    gone = [r[0] for r in touched.join(out.select(partition_col).distinct(), partition_col, "left_anti").collect()]
+    replace_partitions(out, path, partition_col, fmt)
+    jvm, fs, _ = _fs(spark, path)
+    for v in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}"), True)
+    spark.catalog.refreshByPath(path)
 
 
 def append_unique(df: DataFrame, path: str, key, force: bool = False, partition_col: str | None = None,
                   fmt: str = "parquet") -> None:
     """Append-only write; a key already stored (or repeated in the batch)
     raises :class:`DuplicateKeyError`. ``force`` replaces the incoming
-    partitions (``partition_col``) instead."""
+    partitions (``partition_col``); a key repeated in the batch still raises."""
     spark = df.sparkSession
     old = _exists(spark, path, fmt)
     if force:
         if partition_col is None:
             raise ValueError("force needs partition_col")
+        bad = duplicate_keys(df, key).limit(1).collect()
+        if bad:
+            raise DuplicateKeyError(f"append-only table {path}: key {list(_cols(key))} repeats, e.g. {bad[0].asDict()}")
         replace_partitions(df, path, partition_col, fmt)
         return
     if old is not None:
@@ -135,7 +183,6 @@ def insert_ignore(df: DataFrame, path: str, key, order: Sequence[Column | str] =
     old = _exists(spark, path, fmt)
     rows = insert_ignore_frame(old, df, key, order) if old is not None else insert_ignore_frame(
         df.limit(0), df, key, order)
-    rows = _frozen(rows) if old is not None else rows
     w = rows.write.mode("append").format(fmt)
     if partition_col:
         w = w.partitionBy(partition_col)

@@ -1,4 +1,6 @@
 """Generic operators against pandas twins and hand-computed answers."""
+import re
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -178,3 +180,39 @@ def test_pending_skips_present_unless_forced(spark):
     have = spark.createDataFrame([(1, 3)], "player_id int, gameweek int")
     assert [r.player_id for r in periods.pending(targets, have, ["player_id", "gameweek"]).collect()] == [2]
     assert periods.pending(targets, have, ["player_id", "gameweek"], force=True).count() == 2
+
+
+def test_duplicate_keys_fail_as_the_plan_runs(spark):
+    from matchday.operators.joins import join_one_to_one
+    a = spark.createDataFrame([(1, "a"), (1, "b")], "k int, x string")
+    b = spark.createDataFrame([(1, "c")], "k int, y string")
+    j = join_one_to_one(a, b, "k", check="lazy")  # nothing runs yet
+    with pytest.raises(Exception, match="not unique"):
+        j.collect()
+    assert join_one_to_one(b, a.limit(1), "k", check="lazy").count() == 1
+
+
+def test_rank_windows_sit_on_group_and_bucket(spark):
+    from matchday.operators.rank import pct_rank_avg
+    rows = [(("a" if i % 10 else "b") if i % 7 else None, float(i * 37 % 1000)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = pct_rank_avg(df, "v", "g", per_bucket=50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        windows = re.findall(r"Window .*?Exchange (hashpartitioning\([^)]*\))", plan, re.S)
+        assert any("__k" in w for w in windows), plan  # the windows over rows sit on (group, bucket)
+        got = out.toPandas()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = df.toPandas()
+    want["pct_rank"] = (want.groupby("g")["v"].rank(pct=True) * 100).where(want["g"].notna(), 50.0)
+    key = lambda d: sorted(map(repr, d[["g", "v", "pct_rank"]].round(9).itertuples(index=False, name=None)))
+    assert key(got) == key(want)
+
+
+def test_accents_of_every_letter_fold(spark):
+    from matchday.operators.filters import name_lookup
+    df = spark.createDataFrame([("Nguyễn",), ("Škoda",), ("e\u0301cole",), ("Ǻland",)], "n string")
+    for term, hit in (("Nguyen", "Nguyễn"), ("skoda", "Škoda"), ("ecole", "e\u0301cole"), ("aland", "Ǻland")):
+        assert [r.n for r in name_lookup(df, "n", term).collect()] == [hit]

@@ -55,3 +55,29 @@ def test_sanity_required_and_unexpected(spark):
                                                           known=["teams", "fixtures"]).collect()}
     assert rep[("teams", "row_count=20")] == "pass" and rep[("fixtures", "required_table")] == "fail"
     assert rep[("weird", "unexpected_table")] == "warn" and rep[("teams", "non_empty")] == "pass"
+
+
+def test_periods_beside_the_expected_are_reported(spark):
+    t = spark.createDataFrame([(0,), (1,), (2,), (5,), (9,)], "gw int")
+    want = {(3, "missing"), (4, "missing"), (0, "extra"), (5, "extra"), (9, "future")}
+    assert {(r.period, r.issue) for r in q.period_completeness({"t": (t, "gw")}, 4).collect()} == want
+    upto = spark.createDataFrame([(4,)], "upto int")
+    assert {(r.period, r.issue) for r in q.period_completeness({"t": (t, "gw")}, upto).collect()} == want
+    assert [(r.violations, r.status) for r in q.check_periods({"t": (t, "gw")}, 4).collect()] == [(5, "fail")]
+
+
+def test_sanity_of_absent_and_wider_tables(spark):
+    t = {"a": spark.createDataFrame([(1, 2)], "x int, y int")}
+    rep = {(r.table, r.check): (r.violations, r.status) for r in
+           q.sanity(t, expected_rows={"b": 5}, expected_cols={"a": 1}).collect()}
+    assert rep["b", "row_count=5"] == (5, "fail") and rep["a", "column_count=1"] == (0, "pass")
+
+
+def test_reports_of_every_kind_summarise(spark):
+    d = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 1.0)], "k int, v double")
+    t = spark.createDataFrame([(1, 5.0), (2, 9.0)], "k int, total double")
+    reps = [q.check_reconciled(d, "d", "k", F.col("v"), t, "total", 0.1), q.check_complete(d, "d"),
+            q.check_periods({"d": (d, "k")}, 2)]
+    assert [(r.violations, r.total, r.status) for r in reps[0].collect()] == [(1, 2, "fail")]
+    one = q.summarise(reps).collect()[0]
+    assert (one.checks, one.passed, one.failed) == (4, 3, 1)

@@ -63,3 +63,34 @@ def test_normalise_timestamps(spark):
     df = spark.createDataFrame([("2024-01-02 03:04:05",), ("garbage",)], "ts string")
     out = [r.ts for r in sinks.normalise_timestamps(df, ["ts"]).collect()]
     assert out[1] is None and out[0].hour == 3
+
+
+def test_force_rejects_keys_repeated_in_the_batch(spark, scratch):
+    dup = spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], "k int, gameweek int, v string")
+    with pytest.raises(sinks.DuplicateKeyError):
+        sinks.append_unique(dup, f"{scratch}/f", ["k", "gameweek"], force=True, partition_col="gameweek")
+
+
+def test_replace_keys_keeps_partitions_and_rewrites_only_touched(spark, scratch):
+    import os
+    p = f"{scratch}/part"
+    rows = [(1, 1, "a"), (2, 2, "b"), (3, 3, "c"), (4, 3, "d")]
+    sinks.replace_all(spark.createDataFrame(rows, "k int, gameweek int, v string"), p, partition_col="gameweek")
+    before = {d: os.listdir(f"{p}/{d}") for d in os.listdir(p) if "=" in d}
+    # key 2 moves to gameweek 3: its old partition empties; key 9 opens gameweek 4
+    sinks.replace_keys(spark.createDataFrame([(2, 3, "B"), (9, 4, "n")], "k int, gameweek int, v string"), p, "k",
+                       partition_col="gameweek")
+    got = sorted((r.k, r.gameweek, r.v) for r in spark.read.parquet(p).collect())
+    assert got == [(1, 1, "a"), (2, 3, "B"), (3, 3, "c"), (4, 3, "d"), (9, 4, "n")]
+    assert os.listdir(f"{p}/gameweek=1") == before["gameweek=1"] and not os.path.exists(f"{p}/gameweek=2")
+
+
+def test_replace_all_may_read_its_own_table(spark, scratch):
+    p = f"{scratch}/own"
+    sinks.replace_all(spark.range(5), p)
+    sinks.replace_all(spark.read.parquet(p).where("id > 2"), p)
+    assert sorted(r.id for r in spark.read.parquet(p).collect()) == [3, 4]
+    bad = spark.read.parquet(p).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        sinks.replace_all(bad, p)
+    assert sorted(r.id for r in spark.read.parquet(p).collect()) == [3, 4]
