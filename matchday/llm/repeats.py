@@ -231,12 +231,17 @@ def bucket_cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def windows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """``(gram, context, at, w1, w2)``: the two hashes of every owned window."""
     for b in batches:
-        for gram, context, owned, data in zip(b["gram"], b["context"], b["owned"], b["bytes"], strict=True):
-            h = Hashes(np.frombuffer(data, np.uint8))
-            at = np.arange(owned)
-            size = np.full(owned, LEAST)
-            yield pd.DataFrame({"gram": gram, "context": context, "at": at,
-                                "w1": h.of(0, at, size).view(np.int64), "w2": h.of(1, at, size).view(np.int64)})
+        for lo in range(0, len(b), 4000):
+            part = b.iloc[lo:lo + 4000]
+            owned = part["owned"].to_numpy()
+            size = part["bytes"].str.len().to_numpy()
+            h = Hashes(np.frombuffer(b"".join(part["bytes"]), np.uint8))
+            at = np.arange(owned.sum()) - np.repeat(np.cumsum(owned) - owned, owned)
+            start = np.repeat(np.cumsum(size) - size, owned) + at
+            length = np.full(len(at), LEAST)
+            yield pd.DataFrame({"gram": np.repeat(part["gram"].to_numpy(), owned),
+                                "context": np.repeat(part["context"].to_numpy(), owned), "at": at,
+                                "w1": h.of(0, start, length).view(np.int64), "w2": h.of(1, start, length).view(np.int64)})
 
 
 def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -274,8 +279,8 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     cover = "gram long, context long, lo long, hi long"
     small = (contexts.where(F.col("classes") <= LARGE).repartition("gram").sortWithinPartitions("gram", "context")
              .mapInPandas(bucket_cover, cover))
-    windows = contexts.where(F.col("classes") > LARGE).dropDuplicates(["gram", "context"]).mapInPandas(
-        windows_of, "gram long, context long, at long, w1 long, w2 long")
+    windows = staged(contexts.where(F.col("classes") > LARGE).dropDuplicates(["gram", "context"]).mapInPandas(
+        windows_of, "gram long, context long, at long, w1 long, w2 long"), "windows")
     again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("w1", "w2")
     large = windows.join(again, ["w1", "w2"], "left_semi").select(
         "gram", "context", F.col("at").alias("lo"), (F.col("at") + LEAST).alias("hi"))
