@@ -6,7 +6,7 @@ equal windows pick the same anchor at the same offset. An anchor owns a run of
 consecutive windows, whose bytes are its context. So:
 
 1. One scan lists the anchors: gram hash, context hash, place. Grams that occur once are
-   done with. Equal anchors of equal texts are counted, not kept apart.
+   done with.
 2. Equal contexts (gram and context, two independent 64-bit hashes with lengths) are one
    class. A class with two or more places repeats in full.
 3. Classes that share a gram but not their context form a bucket: its suffixes (the owned
@@ -21,8 +21,8 @@ consecutive windows, whose bytes are its context. So:
    by two 64-bit hashes, exactly and spread over all tasks.
 5. The covered stretches come back to the texts, are merged and cut out.
 
-Hot grams and contexts are partially aggregated; only joins on them remain, which AQE can
-split. A document's stretches are bounded by its own length. Matches are judged on the
+Hot grams and contexts are partially aggregated, as are the places of equal texts; only
+joins on them remain, each followed by a write or a shuffle, so that AQE can split them. A document's stretches are bounded by its own length. Matches are judged on the
 input, overlaps count, and a stretch never crosses texts. A null text counts as empty;
 equal texts share their result; rows with null or repeated ids are handled like any;
 other columns are not read. An empty table gives an empty result.
@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shingles import mixed
-from ._util import released, staged
+from ._util import discarded, released, staged
 
 LEAST, GRAM = 200, 64
 LARGE = 2048
@@ -104,8 +104,8 @@ def anchors(data: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with the MD5 of the text in ``k``."""
-    return docs.withColumn("k", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    """``docs`` with the 16 bytes of the text's MD5 in ``k``."""
+    return docs.withColumn("k", F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
 
 
 def scan(docs: DataFrame, text: str) -> DataFrame:
@@ -126,13 +126,13 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
                 first, owned, gram, context = anchors(data, doc)
                 of = doc[first] if len(first) else first
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[i + d] for d in of.tolist()], pa.string()),
+                    [pa.array([keys[i + d] for d in of.tolist()], pa.binary()),
                      pa.array(first - (np.cumsum(sizes) - sizes)[of]), pa.array(owned.astype(np.int64)),
                      pa.array(gram), pa.array(context)], names=["k", "lo", "owned", "gram", "context"])
                 i = j
 
     return (keyed(docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")), "text").select("k", "text")
-            .mapInArrow(run, "k string, lo long, owned long, gram long, context long"))
+            .mapInArrow(run, "k binary, lo long, owned long, gram long, context long"))
 
 
 def lcp_intervals(lcp: np.ndarray, least: int) -> list[tuple[int, int, int]]:
@@ -248,11 +248,9 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(k, spans)``: of each text with repeats, its stretches (not merged) by the key of the text."""
     every = staged(scan(docs, text), "anchors")
     twice = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("gram")
-    # places of equal texts are one row with a count
-    shared = staged(every.join(twice, "gram", "left_semi").groupBy("k", "lo", "owned", "gram", "context")
-                    .agg(F.count(F.lit(1)).alias("n")), "shared")
-    released(docs.sparkSession)
-    classes = staged(shared.groupBy("gram", "context").agg(F.sum("n").alias("n"),
+    shared = staged(every.join(twice, "gram", "left_semi"), "shared")  # ends here, so that AQE may split a hot gram
+    discarded(every)
+    classes = staged(shared.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"),
                                                            F.min(F.struct("k", "lo", "owned")).alias("r"))
                      .select("gram", "context", "n", "r.k", "r.lo", "r.owned"), "classes")
     buckets = (classes.groupBy("gram").agg(F.count(F.lit(1)).alias("classes")).where(F.col("classes") > 1))
@@ -288,7 +286,9 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
                                                 (F.col("owned") + LEAST - 1).alias("hi"))
     stretches = staged(small.unionByName(large).unionByName(full).groupBy("gram", "context")
                        .agg(F.collect_list(F.struct("lo", "hi")).alias("s")), "stretches")
-    placed = shared.join(stretches, ["gram", "context"]).select(
+    # places of equal texts are one row from here on
+    places = shared.select("k", "lo", "gram", "context").distinct()
+    placed = places.join(stretches, ["gram", "context"]).select(
         "k", F.transform("s", lambda s: F.struct((F.col("lo") + s["lo"]).alias("lo"), (F.col("lo") + s["hi"]).alias("hi")))
         .alias("s"))
     return placed.groupBy("k").agg(F.flatten(F.collect_list("s")).alias("spans"))

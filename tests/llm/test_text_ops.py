@@ -175,8 +175,9 @@ def test_repeats_of_nothing(spark):
 
 
 def test_maximal_repeats_have_all_occurrences():
-    core = "".join(random.Random(5).choice("xyz") for _ in range(230)).encode()
     import numpy as np
+    rng = random.Random(5)
+    core = "".join(rng.choice("xyz") for _ in range(230)).encode()
     contexts = [b"1" + core + b"A", b"2" + core + b"B", b"3" + core[:210] + b"C" * 30]
     owned = np.array([len(c) - 199 for c in contexts])
     got = {(n, frozenset(p)) for n, p in repeats.maximal_repeats(contexts, owned)}
