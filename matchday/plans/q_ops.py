@@ -27,10 +27,12 @@ query("insert_or_ignore", sql=f"""
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, {R('l_extendedprice')} AS l_extendedprice FROM (
   SELECT l_orderkey, l_linenumber, l_extendedprice,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_extendedprice) AS rn
-  FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))
+  FROM lineitem WHERE l_linestatus <> 'F'
+    AND l_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F'))
 WHERE rn = 1""")(lambda spark, d: conform(insert_ignore_frame(
-    b.read(spark, d, "orders").where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey")),
-    b.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
+    b.read(spark, d, "lineitem").where(F.col("l_linestatus") == "F").select("l_orderkey"),
+    b.read(spark, d, "lineitem").where(F.col("l_linestatus") != "F")
+    .select("l_orderkey", "l_linenumber", "l_extendedprice"),
     "l_orderkey", order=["l_linenumber", "l_extendedprice"])))
 
 # ----------------------------------------------------------------------------- J2
@@ -41,7 +43,7 @@ def _j2_spark(spark, d):
     li = b.read(spark, d, "lineitem")
     old = li.select("l_orderkey", "l_linenumber", month_index(F.col("l_shipdate")).alias("gameweek"),
                     "l_quantity")
-    o = b.read(spark, d, "orders").where(F.col("o_orderstatus") == "F")
+    o = b.read(spark, d, "orders")
     new = o.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("l_linenumber"),
                    month_index(F.col("o_orderdate")).alias("gameweek"), F.lit(0.0).alias("l_quantity"))
     return conform(replace_partitions_frame(old, new, "gameweek"))
@@ -50,7 +52,7 @@ def _j2_spark(spark, d):
 query("replace_partition", sql=f"""
 WITH old AS (SELECT l_orderkey, l_linenumber, {_MON.format(c='l_shipdate')} AS gameweek, l_quantity FROM lineitem),
 new AS (SELECT o_orderkey AS l_orderkey, 0 AS l_linenumber, {_MON.format(c='o_orderdate')} AS gameweek,
-               0.0 AS l_quantity FROM orders WHERE o_orderstatus = 'F')
+               0.0 AS l_quantity FROM orders)
 SELECT {B('l_orderkey')} AS l_orderkey, {B('l_linenumber')} AS l_linenumber, {B('gameweek')} AS gameweek,
   {R('l_quantity')} AS l_quantity
 FROM (SELECT * FROM old WHERE gameweek NOT IN (SELECT gameweek FROM new) UNION ALL SELECT * FROM new)""")(_j2_spark)
@@ -60,7 +62,7 @@ FROM (SELECT * FROM old WHERE gameweek NOT IN (SELECT gameweek FROM new) UNION A
 
 def _j3_spark(spark, d):
     o = b.read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
-    li = b.read(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    li = b.read(spark, d, "lineitem")
     new = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("o_totalprice")) \
         .withColumn("o_orderstatus", F.lit("R"))
     return conform(replace_keys_frame(o, new, "o_orderkey"))
@@ -68,7 +70,7 @@ def _j3_spark(spark, d):
 
 query("replace_by_keys", sql=f"""
 WITH new AS (SELECT l_orderkey AS o_orderkey, 'R' AS o_orderstatus, sum(l_extendedprice) AS o_totalprice
-             FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey)
+             FROM lineitem GROUP BY l_orderkey)
 SELECT o_orderkey, o_orderstatus, {R('o_totalprice')} AS o_totalprice FROM (
   SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM new)
   UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM new)""")(_j3_spark)
@@ -96,7 +98,7 @@ SELECT user_id, day, 'duplicate' FROM inc GROUP BY user_id, day HAVING count(*)
 def _g1_spark(spark, d):
     o = b.read(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("value"),
                                           F.lit("orders").alias("src"), F.lit(0).alias("line"))
-    li = b.read(spark, d, "lineitem").where(F.col("l_returnflag") == "N").select(
+    li = b.read(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("key"), F.col("l_extendedprice").alias("value"), F.lit("lineitem").alias("src"),
         F.col("l_linenumber").alias("line"))
     return conform(merge_latest([o, li], "key", order=["line", "value"]).drop("line"))
@@ -106,7 +108,7 @@ query("keyed_merge", sql=f"""
 WITH u AS (
   SELECT o_orderkey AS key, o_totalprice AS value, 'orders' AS src, 0 AS line, 0 AS prio FROM orders
   UNION ALL
-  SELECT l_orderkey, l_extendedprice, 'lineitem', l_linenumber, 1 FROM lineitem WHERE l_returnflag = 'N')
+  SELECT l_orderkey, l_extendedprice, 'lineitem', l_linenumber, 1 FROM lineitem)
 SELECT key, {R('value')} AS value, src FROM (
   SELECT *, row_number() OVER (PARTITION BY key ORDER BY prio DESC, line DESC, value DESC) AS rn FROM u)
 WHERE rn = 1""")(_g1_spark)
@@ -146,7 +148,7 @@ SELECT id, 'extra' FROM (SELECT id FROM have EXCEPT SELECT id FROM want)""")(
 
 def _c4_spark(spark, d):
     o = b.read(spark, d, "orders")
-    ext = o.where(F.col("o_orderpriority") == "1-URGENT").select(
+    ext = o.where(F.col("o_orderstatus") != "F").select(
         F.col("o_orderkey").alias("ext_id"), F.to_date("o_orderdate").alias("match_date"),
         F.col("o_custkey").alias("team"))
     fx = o.where(F.col("o_orderstatus") == "F").select(
@@ -161,7 +163,7 @@ def _c4_spark(spark, d):
 
 query("exact_match_join", sql="""
 WITH ext AS (SELECT o_orderkey AS ext_id, CAST(o_orderdate AS DATE) AS d, o_custkey AS team FROM orders
-             WHERE o_orderpriority = '1-URGENT'),
+             WHERE o_orderstatus <> 'F'),
 fx AS (SELECT o_orderkey AS fixture_id, CAST(o_orderdate AS DATE) AS d, o_custkey AS team FROM orders
        WHERE o_orderstatus = 'F'),
 c AS (SELECT ext.ext_id, count(fx.fixture_id) AS n, min(fx.fixture_id) AS fixture_id
@@ -434,13 +436,10 @@ query("dq_referential", sql=with_bindings(" UNION ALL ".join(_fk_sql(*f) for f i
 from ..operators.periods import chip_history, choose_targets  # noqa: E402
 
 query("backfill_targets", sql=f"""
-WITH have AS (SELECT DISTINCT {_MON.format(c='l_shipdate')} AS period FROM lineitem
-              WHERE l_returnflag = 'R' AND l_linestatus = 'O' AND l_quantity >= 50)
+WITH have AS (SELECT DISTINCT day(ts) AS period FROM events)
 SELECT CAST(range AS BIGINT) AS period FROM range(1, {b.GAMEWEEK - 1} + 1)
 WHERE range NOT IN (SELECT period FROM have)""")(lambda spark, d: conform(choose_targets(
-    b.read(spark, d, "lineitem").where((F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "O")
-                                       & (F.col("l_quantity") >= 50))
-    .select(month_index(F.col("l_shipdate")).alias("gw")), "gw", b.GAMEWEEK - 1, mode="missing")))
+    b.history(spark, d), "gameweek", b.GAMEWEEK - 1, mode="missing")))
 
 
 def _chips_spark(spark, d):
@@ -536,3 +535,54 @@ SELECT player_id, CAST(g.range AS BIGINT) AS gameweek, coalesce(status, 'a') AS
   CASE WHEN form IS NULL OR form = 'n/a' THEN '0.0' ELSE form END AS form,
   CAST(now_cost AS BIGINT) AS now_cost, TRUE AS is_backfilled
 FROM b_players, range(1, 7) g""", "b_players"))(_import_spark)
+
+# ----------------------------------------------------------------------------- B2 / B10 / B12 / F3 / G2 / K3 / J8
+from ..operators.filters import by_id, in_id_set, project_available  # noqa: E402
+from ..operators.merge import union_all  # noqa: E402
+from ..operators.periods import pending  # noqa: E402
+from ..operators.views import preview  # noqa: E402
+from ..sources.sinks import normalise_timestamps  # noqa: E402
+
+query("project_available", sql=with_bindings(f"""
+SELECT player_id, {R(NUM('form'))} AS form, TRY_CAST(now_cost AS BIGINT) AS now_cost, web_name FROM b_players""",
+                                             "b_players"))(lambda spark, d: conform(project_available(
+    b.players(spark, d), [("player_id", None), ("form", "num"), ("now_cost", "bigint"), ("absent", "num"),
+                          ("web_name", None)])))
+
+query("in_id_set", sql="""
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT user_id FROM events)""")(
+    lambda spark, d: conform(in_id_set(
+        b.read(spark, d, "orders").select("o_orderkey", "o_custkey"),
+        b.read(spark, d, "events").select(F.col("user_id").alias("o_custkey")), "o_custkey")))
+
+query("by_id", sql=f"""
+SELECT l_orderkey, l_partkey, {R('l_quantity')} AS l_quantity FROM lineitem WHERE l_suppkey = 3""")(
+    lambda spark, d: conform(by_id(b.read(spark, d, "lineitem"), "l_suppkey", 3)
+                             .select("l_orderkey", "l_partkey", "l_quantity")))
+
+query("preview", sql=f"""
+SELECT p_partkey, {R('p_retailprice')} AS p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey LIMIT 5""")(
+    lambda spark, d: conform(preview(b.read(spark, d, "part").select("p_partkey", "p_retailprice"),
+                                     [F.col("p_retailprice").desc(), F.col("p_partkey")])))
+
+query("union_frames", sql=f"""
+SELECT c_custkey AS id, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS size FROM customer
+UNION ALL SELECT p_partkey, NULL, CAST(p_size AS DOUBLE) FROM part
+UNION ALL SELECT s_suppkey, NULL, NULL FROM supplier""")(lambda spark, d: conform(union_all([
+    b.read(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")),
+    b.read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("double").alias("size")),
+    b.read(spark, d, "supplier").select(F.col("s_suppkey").alias("id"))])))
+
+query("pending_targets", sql="""
+SELECT DISTINCT c_custkey AS user_id, CAST(d.range AS BIGINT) AS day FROM customer, range(1, 4) d
+WHERE (c_custkey, d.range) NOT IN (SELECT (user_id, day(ts)) FROM events)""")(lambda spark, d: conform(pending(
+    b.read(spark, d, "customer").select(F.col("c_custkey").alias("user_id"),
+                                        F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("day")),
+    b.read(spark, d, "events").select("user_id", F.dayofmonth("ts").alias("day")), ["user_id", "day"])))
+
+query("normalise_timestamps", sql="""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS at FROM orders""")(
+    lambda spark, d: conform(normalise_timestamps(
+        b.read(spark, d, "orders").select("o_orderkey", F.when(
+            F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).otherwise(
+                F.lit("to be fixed")).alias("at")), ["at"])))
