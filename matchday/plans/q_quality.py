@@ -310,3 +310,58 @@ SELECT CAST(count(*) AS BIGINT) AS checks, CAST(sum(CASE WHEN status = 'pass' TH
 query("table_counts", sql=" UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", CAST(count(*) AS BIGINT) AS \"rows\" FROM {t}" for t in ALL_TABLES))(
     lambda spark, d: conform(q.table_counts({t: b.read(spark, d, t) for t in ALL_TABLES})))
+
+# ----------------------------------------------------------------------------- L1 (table schemas)
+from ..quality import schemas as sch  # noqa: E402
+
+
+def _schemas_spark(spark, d):
+    # two raw tables, one with a text column for a number, and one without a column of its schema
+    players = b.players(spark, d).select(*[c for c in sch.TABLES["players"].names() if c != "first_name"])
+    players = players.withColumn("minutes", F.when(F.col("position_id") == 1, F.lit("ninety")).otherwise(
+        F.col("minutes").cast("string")))
+    fx = b.fixtures(spark, d)
+    return conform(sch.check_table(players, "players").unionByName(sch.check_table(fx, "fixtures")))
+
+
+def _schemas_sql() -> str:
+    # the contract's limits, written out: the SQL must not follow the declarations under test
+    def rng(c, lo, hi):
+        parts = ([f"{c} < {lo}"] if lo is not None else []) + ([f"{c} > {hi}"] if hi is not None else [])
+        return f"({' OR '.join(parts)})"
+
+    def text(lo, hi):
+        return f"range[{lo},{hi}]"
+
+    p, f = "players", "fixtures"
+    rules = []
+    for c, kind, lo, hi, null in [("player_id", "bigint", 1, None, False), ("team_id", "bigint", 1, 20, False),
+                                  ("position_id", "bigint", 1, 4, False), ("now_cost", "bigint", 35, 200, True),
+                                  ("transfers_in_event", "bigint", 0, None, True),
+                                  ("transfers_out_event", "bigint", 0, None, True)]:
+        rules += [(p, f"coerce:{kind}", c, "FALSE", "b_players"), (p, text(lo, hi), c, rng(c, lo, hi), "b_players")]
+        rules += [] if null else [(p, "not_null", c, f"{c} IS NULL", "b_players")]
+    for c, null in [("selected_by_percent", False), ("chance_of_playing_next_round", True)]:
+        v = f"TRY_CAST({c} AS DOUBLE)"
+        rules += [(p, "coerce:double", c, f"({c} IS NOT NULL AND {v} IS NULL)", "b_players"),
+                  (p, text(0.0, 100.0), c, rng(v, 0, 100), "b_players")]
+        rules += [] if null else [(p, "not_null", c, f"{c} IS NULL", "b_players")]
+    rules += [(p, "coerce:bigint", "minutes", "position_id = 1", "b_players"),
+              (p, "range[0,None]", "minutes", "(minutes < 0 AND position_id <> 1)", "b_players"),
+              (p, "not_null", "status", "status IS NULL", "b_players"),
+              (p, "isin", "status", "status NOT IN ('a', 'i', 's', 'u', 'd', 'n')", "b_players")]
+    for c in ("web_name", "second_name"):
+        rules += [(p, "not_null", c, f"{c} IS NULL", "b_players"), (p, "length[1,None]", c, f"length({c}) < 1", "b_players")]
+    for c, lo, hi, null in [("fixture_id", 1, None, False), ("event", 1, 38, True), ("home_team_id", 1, 20, False),
+                            ("away_team_id", 1, 20, False), ("team_h_score", 0, None, True), ("team_a_score", 0, None, True)]:
+        rules += [(f, "coerce:bigint", c, "FALSE", "b_fixtures"), (f, text(lo, hi), c, rng(c, lo, hi), "b_fixtures")]
+        rules += [] if null else [(f, "not_null", c, f"{c} IS NULL", "b_fixtures")]
+    parts = [_rep_sql(t, chk, c, bad, src) for t, chk, c, bad, src in rules]
+    for t, c, src in ((p, "player_id", "b_players"), (f, "fixture_id", "b_fixtures")):
+        parts.append(f"""SELECT '{t}', 'unique', '{c}', CAST(count(*) - count(DISTINCT {c}) AS BIGINT),
+  CAST(count(*) AS BIGINT), CASE WHEN count(*) = count(DISTINCT {c}) THEN 'pass' ELSE 'fail' END FROM {src}""")
+    parts.append("SELECT 'players', 'column_present', 'first_name', CAST(1 AS BIGINT), CAST(1 AS BIGINT), 'fail'")
+    return with_bindings(" UNION ALL ".join(parts), "b_players", "b_fixtures")
+
+
+query("dq_table_schemas", sql=_schemas_sql())(_schemas_spark)

@@ -81,3 +81,24 @@ def test_reports_of_every_kind_summarise(spark):
     assert [(r.violations, r.total, r.status) for r in reps[0].collect()] == [(1, 2, "fail")]
     one = q.summarise(reps).collect()[0]
     assert (one.checks, one.passed, one.failed) == (4, 3, 1)
+
+
+def test_table_schema_reports_every_kind_of_failure(spark):
+    from matchday.quality import schemas as s
+    rows = [("1", "A", "abc", "2.5"), ("1", "", "ab", "x"), (None, "B", "abcd", "0.5")]
+    df = spark.createDataFrame(rows, "player_id string, web_name string, short_name string, handicap_team_odds string")
+    t = s.Table("player_id web_name short_name handicap_team_odds status", ["player_id"], "handicap_team_odds")
+    got = {(r.check, r.column): (r.violations, r.status) for r in s.check_table(df, "t", t).collect()}
+    assert got["not_null", "player_id"][0] == 1 and got["unique", "player_id"][0] == 1
+    assert got["length[1,None]", "web_name"][0] == 1 and got["length[3,3]", "short_name"][0] == 2
+    assert got["coerce:double", "handicap_team_odds"][0] == 1 and got["range[1.0,None]", "handicap_team_odds"][0] == 1
+    assert got["column_present", "status"] == (1, "fail")
+    assert [r.handicap_team_odds for r in s.coerce(df, t).collect()] == [2.5, None, 0.5]
+
+
+def test_schemas_name_known_columns():
+    from matchday.quality import schemas as s
+    known = set(s.bounds()) | set(s.VALUES) | set(s.LENGTHS)
+    for name, t in s.TABLES.items():
+        assert set(t.names()) <= known, (name, set(t.names()) - known)
+        assert set(t.nullable.split()) <= set(t.names()) and all(set(k.split(",")) <= set(t.names()) for k in t.keys)
