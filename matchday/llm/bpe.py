@@ -8,8 +8,9 @@ quadratic, run the same merges from a heap of (rank, position): same result.
 
 The vocabulary file (format: ``tokenizers`` JSON with a ``BPE`` model) is read
 on the driver from the path given and broadcast (one file, under 2 MB); a
-Python worker parses it once and keeps an encoded form of the words it has met,
-cleared when ``CACHE_WORDS`` are held (a bound on memory, not on results).
+Python worker parses it once and keeps an encoded form of the words it has met; when
+``CACHE_WORDS`` are held, those that the batch at hand does not use are dropped (a bound
+on memory, not on results).
 Text is normalised as the file says: NFC, white space runs to one space, lower
 case by character; special tokens in a text are taken as themselves.
 
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCAN_PARTS = 256
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 250_000
 CACHED_LENGTH = 64
 NO_RANK = np.iinfo(np.int32).max
 ARRAY_CELLS = 1 << 20
@@ -246,10 +247,9 @@ class Bpe:
         ids_of, names_of, number, name = self.ids_of, self.names_of, self.numbers, self.names
         met = set().union(*(pieces for parts in split for pieces, _ in parts))
         new = [p for p in met if p not in ids_of]
-        if len(ids_of) + len(new) > CACHE_WORDS:
-            ids_of.clear()
-            names_of.clear()
-            new = list(met)
+        if len(ids_of) + len(new) > CACHE_WORDS:  # keep what this batch asks for: the frequent ones
+            ids_of = self.ids_of = {p: ids_of[p] for p in met if p in ids_of}
+            names_of = self.names_of = {p: names_of[p] for p in ids_of}
         for p, own in zip(new, self.chunk_ids(new), strict=True):
             ids_of[p] = " ".join([number[i] for i in own])
             names_of[p] = " ".join([name[i] for i in own])
