@@ -208,13 +208,16 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     ``100 * |A & B| >= percent * |A | B|`` over their ``width``-word shingles."""
     kind = docs.schema[key].dataType.simpleString()
     seen = staged(scan(docs, key, text, width), "scan")
-    classes = (seen.where((F.col("n") > 0) & F.col("id").isNotNull())
-               .groupBy("digest").agg(F.min("id").alias("rep")))
-    known = staged(seen.join(classes, "digest", "left").select("id", "n", "rep", F.when(
+    # aggregates are written before they are joined, so that AQE may split a hot digest or bucket
+    classes = staged(seen.where((F.col("n") > 0) & F.col("id").isNotNull())
+                     .groupBy("digest").agg(F.min("id").alias("rep")), "digests")
+    rep = F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep")  # a row without an id joins nothing
+    known = staged(seen.join(classes, "digest", "left").select("id", "n", rep, F.when(
         F.col("id") == F.col("rep"), F.col("bands")).alias("bands")), "classes")
     bands = (known.where(F.col("bands").isNotNull()).select("id", F.posexplode("bands").alias("band", "bucket")))
-    shared = (bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("pivot"),
-                                          F.max("id").alias("top")).where(F.col("pivot") != F.col("top")).drop("top"))
+    shared = staged(bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("pivot"),
+                                                F.max("id").alias("top"))
+                    .where(F.col("pivot") != F.col("top")).drop("top"), "shared")
     rows = staged(bands.join(shared, "bucket"), "buckets")
 
     wanted = rows.select(F.col("id").alias(key)).distinct()

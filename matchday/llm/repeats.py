@@ -247,8 +247,9 @@ def windows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(k, spans)``: of each text with repeats, its stretches (not merged) by the key of the text."""
     every = staged(scan(docs, text), "anchors")
-    twice = every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("gram")
-    shared = staged(every.join(twice, "gram", "left_semi"), "shared")  # ends here, so that AQE may split a hot gram
+    # written before and after the join, so that AQE may split a hot gram
+    twice = staged(every.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("gram"), "twice")
+    shared = staged(every.join(twice, "gram", "left_semi"), "shared")
     discarded(every)
     classes = staged(shared.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("n"),
                                                            F.min(F.struct("k", "lo", "owned")).alias("r"))
