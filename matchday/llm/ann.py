@@ -175,10 +175,11 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
 
     def blocks(df: DataFrame, per: int, ids: str, vs: str) -> DataFrame:
         """Rows of a cell packed into blocks of about ``per``: dealt by hash into as many as its size asks for."""
-        size = df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / per).alias("parts"))
-        # a bounded block: about ``per`` rows
+        df = staged(df, "cells")
+        size = staged(df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / per).alias("parts")), "sizes")
+        # a bounded block: about ``per`` rows; the shuffle by block lets AQE split a hot cell before it
         return (df.join(size, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-                .groupBy("cell", "part").agg(F.collect_list(F.struct("id", "v")).alias("r"))
+                .repartition("cell", "part").groupBy("cell", "part").agg(F.collect_list(F.struct("id", "v")).alias("r"))
                 .select("cell", F.col("r.id").alias(ids), F.col("r.v").alias(vs)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -248,8 +248,9 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
     rows = valid_vectors(table, key, vector)
     classes = staged(rows.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
     seen = staged(meet(classes, kind), "cells")
-    busy = (seen.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("home").alias("any"))
-            .where(F.col("any") & (F.col("size") > 1)).select("cell", "size"))
+    # written before it is joined, so that AQE may split a hot cell
+    busy = staged(seen.groupBy("cell").agg(F.count(F.lit(1)).alias("size"), F.max("home").alias("any"))
+                  .where(F.col("any") & (F.col("size") > 1)).select("cell", "size"), "busy")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (seen.join(busy, "cell").withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
