@@ -135,6 +135,8 @@ def expected_cosine(sample: np.ndarray, rows: int, k: int) -> float:
 
 def best_of(k: int, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> np.ndarray:
     """Positions of the ``k`` best distinct ids of each query, by score, then smaller id."""
+    if not len(query):
+        return np.zeros(0, int)
     order = np.lexsort((ids, -score, query))
     q, i = query[order], ids[order]
     again = np.append(False, (q[1:] == q[:-1]) & (i[1:] == i[:-1]))  # equal ids score alike

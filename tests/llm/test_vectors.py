@@ -101,3 +101,9 @@ def test_heap_visits_like_enumeration(monkeypatch):
     a = ann.visits(q, f, 0.6, 100_000, 20)
     monkeypatch.setattr(ann, "ENUMERATE", 0)
     assert [tuple(x) for x in ann.visits(q, f, 0.6, 100_000, 20)] == [tuple(x) for x in a]
+
+
+def test_best_of_nothing():
+    none = np.zeros(0, np.int64)
+    assert len(ann.best_of(20, none, none, np.zeros(0))) == 0
+    assert ann.best_of(1, np.array([7, 7]), np.array([2, 1]), np.array([0.5, 0.5])).tolist() == [1]
