@@ -8,9 +8,12 @@ Each of ``TABLES`` tables hashes a vector to a cell of ``m`` integers
 ``floor((a . x) / WIDTH + b)`` with Gaussian ``a`` (2-stable); ``m`` grows with the
 logarithm of the row count so that a cell holds about ``PER_CELL`` vectors. A query visits
 the perturbed cells of a table in descending order of their estimated chance to hold a
-neighbour at the expected cosine of its k-th nearest (estimated on a bounded sample of
-``SAMPLE`` vectors), until the chances sum to ``TARGET`` and the cells' expected content
+neighbour at the expected cosine of its own k-th nearest (from its similarities to a bounded
+sample of ``SAMPLE`` ids), until the chances sum to ``TARGET`` and the cells' expected content
 is ``AT_LEAST`` times k. With few vectors that is every cell, so the search is exact there.
+A second look takes the k-th score that was found: where the visited cells' chances at that
+cosine sum to less than ``TARGET``, the query visits further cells until they do. What it
+finds there can only raise the k-th score, so there is no third look.
 
 Every row is indexed. Cells are stored as blocks of about ``PER_BLOCK`` vectors (a hot cell
 is many blocks), visits as blocks of queries; block meets block by an equi-join on the
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shingles import mixed
-from ._util import staged
+from ._util import discarded, staged
 from ._vectors import matrix, valid_vectors
 
 TABLES, WIDTH, TARGET, AT_LEAST = 2, 1.2, 0.86, 50
@@ -71,13 +74,8 @@ def cell_key(cell: np.ndarray, table: int) -> np.ndarray:
     return key.view(np.int64)
 
 
-def visits(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float, rows: int, k: int) -> np.ndarray:
-    """Cells for one query, best chance first.
-
-    Along each direction a neighbour at ``cosine`` lies at ``N(cosine * q, 1 - cosine**2)``
-    and any vector at ``N(0, 1)``, which gives a chance for each interval; a cell's chance
-    is the product.
-    """
+def intervals(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each direction and interval the chance of a neighbour at ``cosine`` and of any vector."""
     a, b = f
     y = q @ a
     cut = (np.arange(-HALF + 1, HALF)[None, :] - b[:, None]) * WIDTH
@@ -87,15 +85,26 @@ def visits(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float, rows:
         ends = np.ones((len(y), 1))
         return np.maximum(np.diff(np.hstack([0 * ends, phi(at), ends]), axis=1), 1e-12)
 
-    near, any_ = chances((cut - cosine * y[:, None]) / spread), chances(cut)
-    if (2 * HALF) ** len(y) <= ENUMERATE:
+    return chances((cut - cosine * y[:, None]) / spread), chances(cut)
+
+
+def visits(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float, rows: int, k: int) -> np.ndarray:
+    """Cells for one query, best chance first.
+
+    Along each direction a neighbour at ``cosine`` lies at ``N(cosine * q, 1 - cosine**2)``
+    and any vector at ``N(0, 1)``, which gives a chance for each interval; a cell's chance
+    is the product.
+    """
+    near, any_ = intervals(q, f, cosine)
+    m = len(near)
+    if (2 * HALF) ** m <= ENUMERATE:
         p, c = np.ones(1), np.ones(1)
-        for j in range(len(y)):
+        for j in range(m):
             p, c = np.outer(p, near[j]).reshape(-1), np.outer(c, any_[j]).reshape(-1)
         order = np.argsort(-p, kind="stable")
         short = (np.cumsum(p[order]) < TARGET) | (np.cumsum(c[order]) * rows < AT_LEAST * k)
         number = order[:min(len(order), int(short.sum()) + 1)]
-        digits = (2 * HALF) ** np.arange(len(y) - 1, -1, -1)
+        digits = (2 * HALF) ** np.arange(m - 1, -1, -1)
         return number[:, None] // digits % (2 * HALF) - HALF
     return from_heap(near, any_, rows, k)
 
@@ -121,16 +130,24 @@ def from_heap(near: np.ndarray, any_: np.ndarray, rows: int, k: int) -> np.ndarr
     return np.array(out)
 
 
-def expected_cosine(sample: np.ndarray, rows: int, k: int) -> float:
-    """Cosine of a query's k-th nearest of ``rows`` vectors: the normal tail of the sample's
-    similarities, or the sample's own quantile where that is smaller."""
-    if len(sample) < 3:
+def expected_cosine(similar: np.ndarray, rows: int, k: int) -> float:
+    """Cosine of a query's k-th nearest of ``rows`` vectors, from its similarities to a sample:
+    their normal tail, or their own quantile where that is smaller."""
+    if len(similar) < 3:
         return 0.0
-    s = sample[:200] @ sample.T
-    s = s[~np.eye(*s.shape, dtype=bool)]
     share = min(0.5, k / max(rows, 1))
-    tail = s.mean() + s.std() * NormalDist().inv_cdf(1 - share)
-    return float(np.clip(min(tail, np.quantile(s, 1 - share)) * 0.95, 0.0, 0.98))
+    tail = similar.mean() + similar.std() * NormalDist().inv_cdf(1 - share)
+    return float(np.clip(min(tail, np.quantile(similar, 1 - share)) * 0.95, 0.0, 0.98))
+
+
+def further(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], before: float, cosine: float, rows: int, k: int) -> np.ndarray:
+    """Cells to visit besides those visited for the cosine ``before``, so that the chances at ``cosine`` reach the target."""
+    seen = visits(q, f, before, rows, k).astype(np.int64)
+    near, _ = intervals(q, f, cosine)
+    if near[np.arange(len(near)), seen + HALF].prod(axis=1).sum() >= TARGET:
+        return seen[:0]
+    cells, known = visits(q, f, cosine, rows, k).astype(np.int64), set(map(tuple, seen.tolist()))
+    return cells[np.array([tuple(c) not in known for c in cells.tolist()], bool)]
 
 
 def best_of(k: int, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> np.ndarray:
@@ -153,9 +170,10 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     about = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm"), F.max(F.size("v")).alias("dim")).first()
     n, longest, dim = about["n"] or 0, about["norm"] or 1.0, about["dim"] or 1
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()  # a documented bound
-    s = np.array([r["v"] for r in sample]).reshape(len(sample), dim)
-    cosine = expected_cosine(s / np.linalg.norm(s, axis=1, keepdims=True) if len(s) else s, n, k)
+    # a documented bound; an id that many rows repeat is drawn as one
+    drawn = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
+    sample = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("v").alias("v")).orderBy("id").collect()
+    s, s_ids = np.array([r["v"] for r in sample]).reshape(len(sample), dim) / longest, np.array([r["id"] for r in sample])
     m = max(1, round(float(np.log2(max(n, 2) / PER_CELL)) / 1.8))
     maps = functions_of(dim + 1, m)
 
@@ -167,17 +185,26 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
                 yield pd.DataFrame({"cell": cell_key(place(x, f), t), "id": b["id"], "v": b["v"]})
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Cells of the first look; of the second where a batch has the k-th score found (null: fewer than k)."""
         for b in batches:
             q = matrix(b["v"])
-            q = np.column_stack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(len(q))])
+            norms = np.linalg.norm(q, axis=1, keepdims=True)
+            similar = q / norms @ s.T
+            q = np.column_stack([q / norms, np.zeros(len(q))])
             for i in range(len(b)):
+                cosine = expected_cosine(similar[i][s_ids != b["id"].iloc[i]], n, k)
                 for t, f in enumerate(maps):
-                    cells = visits(q[i], f, cosine, n, k).astype(np.int64)
-                    yield pd.DataFrame({"cell": cell_key(cells, t), "id": b["id"].iloc[i], "v": [b["v"].iloc[i]] * len(cells)})
+                    if "kth" in b:
+                        kth = b["kth"].iloc[i]
+                        really = 0.0 if pd.isna(kth) else float(np.clip(kth / norms[i, 0] / longest, -0.98, 0.98))
+                        cells = further(q[i], f, cosine, really, n, k)
+                    else:
+                        cells = visits(q[i], f, cosine, n, k).astype(np.int64)
+                    if len(cells):
+                        yield pd.DataFrame({"cell": cell_key(cells, t), "id": b["id"].iloc[i], "v": [b["v"].iloc[i]] * len(cells)})
 
     def blocks(df: DataFrame, per: int, ids: str, vs: str) -> DataFrame:
         """Rows of a cell packed into blocks of about ``per``: dealt by hash into as many as its size asks for."""
-        df = staged(df, "cells")
         size = staged(df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / per).alias("parts")), "sizes")
         # a bounded block: about ``per`` rows; the shuffle by block lets AQE split a hot cell before it
         return (df.join(size, "cell").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
@@ -207,12 +234,24 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
         top = best_of(k, q_held, i_held, s_held)
         yield pd.DataFrame({"query_id": q_held[top], "vec_id": i_held[top], "score": s_held[top]})
 
-    stored = blocks(rows.mapInPandas(index, f"cell long, id {kind}, v array<double>"), PER_BLOCK, "xi", "xv")
-    asked = blocks(rows.where(is_query(F.col("id"))).repartition("id").mapInPandas(
-        ask, f"cell long, id {kind}, v array<double>"), PER_QUERIES, "qi", "qv")
-    found = (asked.join(stored, "cell").select("qi", "qv", "xi", "xv")
-             .mapInPandas(score, f"query_id {kind}, vec_id {kind}, score double"))
-    each = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    def searched(cells: DataFrame) -> DataFrame:
+        return (blocks(cells, PER_QUERIES, "qi", "qv").join(stored, "cell").select("qi", "qv", "xi", "xv")
+                .mapInPandas(score, f"query_id {kind}, vec_id {kind}, score double"))
+
+    def best(found: DataFrame) -> DataFrame:
+        each = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return (each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
+
+    of_cell = f"cell long, id {kind}, v array<double>"
+    cells = staged(rows.mapInPandas(index, of_cell), "cells")
+    stored = staged(blocks(cells, PER_BLOCK, "xi", "xv"), "blocks")  # read by both looks
+    discarded(cells)
+    queries = rows.where(is_query(F.col("id")))
+    first = staged(best(searched(staged(queries.repartition("id").mapInPandas(ask, of_cell), "cells"))), "first")
+    kth = staged(first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth")), "kth")
+    more = staged(queries.join(kth, "id", "left").repartition("id").mapInPandas(ask, of_cell), "cells")
+    if more.isEmpty():
+        return first
+    return best(first.select("query_id", "vec_id", "score").unionByName(searched(more)))

@@ -107,3 +107,35 @@ def test_best_of_nothing():
     none = np.zeros(0, np.int64)
     assert len(ann.best_of(20, none, none, np.zeros(0))) == 0
     assert ann.best_of(1, np.array([7, 7]), np.array([2, 1]), np.array([0.5, 0.5])).tolist() == [1]
+
+
+@pytest.mark.parametrize("noise", [0.0, 0.02])
+def test_recall_beside_a_large_group(spark, monkeypatch, noise):
+    monkeypatch.setattr(ann, "PER_CELL", 64)
+    monkeypatch.setattr(ann, "AT_LEAST", 5)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(6000, 64))
+    group = rng.random(6000) < 1 / 3
+    x[group] = rng.normal(size=64) + noise * rng.normal(size=(int(group.sum()), 64))
+    x = x.astype(np.float32)
+    u = x.astype(np.float64)
+    x = (u / np.linalg.norm(u, axis=1, keepdims=True)).astype(np.float32)
+    got: dict = {}
+    for r in ann.nearest(table(spark, x, bad=False), lambda c: c % 20 == 0).collect():
+        got.setdefault(r.query_id, []).append(r.score)
+    want = brute(x, 20)
+    recall = {q: np.mean(np.array(sorted(got[q], reverse=True)) >= v[-1][1] - 1e-9) for q, v in want.items()}
+    assert np.mean(list(recall.values())) >= 0.9
+    assert np.mean([r for q, r in recall.items() if not group[q]]) >= 0.9
+
+
+def test_second_look_reaches_the_target():
+    rng = np.random.default_rng(1)
+    f = (rng.normal(size=(9, 3)), rng.uniform(-0.5, 0.5, size=3))
+    q = rng.normal(size=9)
+    q /= np.linalg.norm(q)
+    seen, more = ann.visits(q, f, 0.9, 100_000, 1), ann.further(q, f, 0.9, 0.3, 100_000, 1)
+    assert len(more) and not {tuple(c) for c in seen} & {tuple(c) for c in more}
+    near, _ = ann.intervals(q, f, 0.3)
+    chance = sum(near[range(3), np.array(c) + ann.HALF].prod() for c in [*seen, *more])
+    assert chance >= ann.TARGET and not len(ann.further(q, f, 0.3, 0.9, 100_000, 1))
