@@ -4,7 +4,8 @@ Detected: e-mail addresses, IPv4 addresses, card and account numbers (13 to 19 d
 social security numbers, phone numbers, and person names after a form of address
 (Latin, Cyrillic or Greek script; the form gives the gender).
 
-An entity is its kind and normal form (digits alone, lower case), so all its spellings in
+Digits are those of any script (Unicode ``Nd``); a surrogate is written in the place's own.
+An entity is its kind and normal form (digits alone as 0-9, lower case), so all its spellings in
 all documents are one entity and get one surrogate, written in each place's own form:
 separators, letter case, country code, top-level domain and word count stay; a card's
 first digit stays and its check digit is valid again; a public address stays public; a
@@ -30,6 +31,8 @@ import hashlib
 import hmac
 import ipaddress
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -43,9 +46,19 @@ ADDRESS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "n", "Prof": "n"
            "Monsieur": "m", "Madame": "f", "Mademoiselle": "f", "Señor": "m", "Señora": "f", "Señorita": "f",
            "господин": "m", "госпожа": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
 WORD = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
+# The zeros of all scripts, each followed by its nine other digits.
+ZEROS = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) == 0]
+
+
+def any_of(first: int, last: int) -> str:
+    """A character class of the digits ``first`` to ``last`` of every script."""
+    return "[" + "".join(f"{chr(ord(z) + first)}-{chr(ord(z) + last)}" for z in ZEROS) + "]"
+
+
+FIELD = rf"(?:{any_of(2, 2)}{any_of(5, 5)}{any_of(0, 5)}|{any_of(2, 2)}{any_of(0, 4)}\d|{any_of(1, 1)}?\d?\d)"
 PATTERNS = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("ip", r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)"),
+    ("ip", rf"(?<![\d.])(?:{FIELD}\.){{3}}{FIELD}(?!\.?\d)"),
     ("number", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("phone", r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}(?:[ .-]?\d{2,4}){1,2}(?![\w-]|\.\d)"
@@ -54,7 +67,7 @@ PATTERNS = [
 ]
 FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS))
 # A text without any of these holds no entity (checked by Spark before Python sees it).
-MAYBE = r"[0-9@]|" + "|".join(ADDRESS)
+MAYBE = any_of(0, 9) + "|@|" + "|".join(ADDRESS)
 LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 KEY = "public demonstration key: pass your own"
 ROUNDS = 40
@@ -163,6 +176,16 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
     return "".join(out) + ends[x % len(ends)]
 
 
+def plain(text: str) -> str:
+    """The digits of a text as 0-9."""
+    return "".join(str(unicodedata.decimal(c)) for c in text if c.isdecimal())
+
+
+def digit_like(place: str, digit: str) -> str:
+    """``digit`` in the script of the digit ``place``."""
+    return chr(ord(place) - unicodedata.decimal(place) + int(digit))
+
+
 def parts_of(kind: str, text: str) -> list[tuple[str, str, int, int]]:
     """Entities of a match as (kind, normal form, start, end inside the match)."""
     if kind == "email":
@@ -171,12 +194,12 @@ def parts_of(kind: str, text: str) -> list[tuple[str, str, int, int]]:
         return [(kind, ".".join(str(int(x)) for x in text.split(".")), 0, len(text))]
     if kind == "phone":
         code = re.match(r"\+(\d{1,3})(?=[ .(-])", text)
-        digits = re.sub(r"\D", "", text)
+        digits = plain(text)
         if not 8 <= len(digits) <= 15:
             return []
-        return [(kind, f"{code[1]}/{digits[len(code[1]):]}" if code else digits, 0, len(text))]
+        return [(kind, f"{plain(code[1])}/{digits[len(code[1]):]}" if code else digits, 0, len(text))]
     if kind != "name":
-        return [(kind, re.sub(r"\D", "", text), 0, len(text))]
+        return [(kind, plain(text), 0, len(text))]
     title = re.match(r"[^\W\d_]+", text)
     words = [w for w in re.finditer(WORD, text) if w.start() >= title.end()]
     taken = []
@@ -195,11 +218,12 @@ def written(kind: str, place: str, value: str) -> str:
     """A surrogate's normal form in the form of the place it replaces."""
     if kind in ("ssn", "phone", "number"):
         digits = iter(value.replace("/", ""))
-        return "".join(next(digits) if c.isdigit() else c for c in place)
+        return "".join(digit_like(c, next(digits)) if c.isdecimal() else c for c in place)
     if kind == "email":
         return "".join(v.upper() if c.isupper() else v for c, v in zip(place, value, strict=True))
     if kind == "ip":
-        return value
+        fields = zip(place.split("."), value.split("."), strict=True)
+        return ".".join("".join(digit_like(p[0], d) for d in v) for p, v in fields)
     return value.upper() if place.isupper() else value[0].upper() + value[1:]
 
 

@@ -91,6 +91,19 @@ def test_surrogates(spark):
     assert surrogates.pseudonymise(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("zero", ["0", "٠", "०", "０", "𝟎"])
+def test_surrogates_in_digits_of_any_script(spark, zero):
+    own = lambda t: "".join(chr(ord(zero) + int(c)) if c.isdecimal() else c for c in t)
+    plain = "card {} ssn 123-45-6789 phone (656) 555-6510 ip 192.168.121.88".format("4207051279108084")
+    texts = [own(plain), own("card 4207051279108084"), plain + " Mr. Smith", own("4207051279108084") + " in 7 @"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymise(docs, secret="k").collect()}
+    assert [got[i].n_entities for i in range(4)] == [4, 1, 5, 1]
+    assert got[2].text.startswith("".join(str(int(c)) if c.isdecimal() else c for c in got[0].text))
+    assert got[0].text == own(got[0].text) != texts[0] and got[0].text.startswith(got[1].text)
+    assert got[3].text[:16] == got[1].text[5:]
+
+
 def test_surrogates_are_distinct(spark):
     # a card whose first draw is another original must draw again
     k = b"k"
