@@ -9,7 +9,13 @@ An entity is its kind and normal form (digits alone as 0-9, lower case), so all
 all documents are one entity and get one surrogate, written in each place's own form:
 separators, letter case, country code, top-level domain and word count stay; a card's
 first digit stays and its check digit is valid again; a public address stays public; a
-name follows the script and gender. Numbers and addresses pass a keyed Feistel
+name follows the script and gender. A phone number's normal form is its national digits:
+``+``, ``00``, country code and one trunk 0 are form and stay. A name is keyed by word and
+script; its gender is the one that the corpus's forms of address tell (neutral if they
+differ) and it counts as a first name if it stands before another once. In the documents
+where a name, phone, card or social security number is detected, its further mentions are
+replaced too: capitalised words without a form of address (possessives and parts of compounds
+included) and the digits in any grouping, with or without the country code. Numbers and addresses pass a keyed Feistel
 permutation of their own length and alphabet, so different entities of one form cannot
 share a surrogate by design; names are drawn from syllables by a keyed hash.
 
@@ -45,6 +51,9 @@ from ._util import staged
 ADDRESS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "n", "Prof": "n", "Herr": "m", "Frau": "f",
            "Monsieur": "m", "Madame": "f", "Mademoiselle": "f", "Señor": "m", "Señora": "f", "Señorita": "f",
            "господин": "m", "госпожа": "f", "Господин": "m", "Госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
+TITLES = "|".join(sorted(ADDRESS, key=len, reverse=True))
+# Country calling codes by their first digits (E.164): no code begins another.
+COUNTRY = re.compile(r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 WORD = r"[^\W\d_](?:[^\W\d_]|['’-](?=[^\W\d_]))+"
 # The zeros of all scripts, each followed by its nine other digits.
 ZEROS = [chr(c) for c in range(sys.maxunicode + 1) if unicodedata.decimal(chr(c), None) == 0]
@@ -58,16 +67,16 @@ def any_of(first: int, last: int) -> str:
 FIELD = rf"(?:{any_of(2, 2)}{any_of(5, 5)}{any_of(0, 5)}|{any_of(2, 2)}{any_of(0, 4)}\d|{any_of(1, 1)}?\d?\d)"
 PATTERNS = [
     ("email", r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
-    ("ip", rf"(?<![\d.])(?:{FIELD}\.){{3}}{FIELD}(?!\.?\d)"),
+    ("ip", rf"(?<![\d.])(?=\d)(?:{FIELD}\.){{3}}{FIELD}(?!\.?\d)"),
     ("number", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"),
     ("ssn", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     ("phone", r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}(?:[ .-]?\d{2,4}){1,2}(?![\w-]|\.\d)"
               r"|(?<![\w.+-])\+\d{8,15}(?!\w)"),
-    ("name", rf"(?<!\w)(?:{'|'.join(sorted(ADDRESS, key=len, reverse=True))})\.?\s+{WORD}(?:[ ]{WORD}){{0,2}}"),
+    ("name", rf"(?<!\w)(?:{TITLES})\.?\s+(?!(?:{TITLES})\b){WORD}(?:[ ](?!(?:{TITLES})\b){WORD}){{0,2}}"),
 ]
 FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS))
 # A text without any of these holds no entity (checked by Spark before Python sees it).
-MAYBE = any_of(0, 9) + "|@|" + "|".join(ADDRESS)
+MAYBE = r"[0-9@]|(?=[^\x00-\x7F])" + any_of(0, 9) + "|" + "|".join(ADDRESS)
 LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 KEY = "public demonstration key: pass your own"
 ROUNDS = 40
@@ -162,9 +171,13 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
             return value[0] + permute(value[1:], DIGITS, key, tweak)
         body = value[0] + permute(value[1:-1], DIGITS, key, tweak)
         return body + str(luhn(body))
-    if kind in ("ssn", "phone"):
-        code, _, national = value.rpartition("/")
-        return (code + "/" if code else "") + permute(national, DIGITS, key, tweak)
+    if kind == "ssn":
+        return permute(value, DIGITS, key, tweak)
+    if kind == "phone":
+        out = permute(value, DIGITS, key, tweak)
+        while (out[0] == "0") != (value[0] == "0"):  # a leading zero would read as a trunk prefix
+            out = permute(out, DIGITS, key, tweak)
+        return out
     part, script, gender, word = kind.split(":")[1:] + [value]
     inner, first, last = SYLLABLES[script]
     ends = (first if part == "first" else last)[gender]
@@ -186,6 +199,21 @@ def digit_like(place: str, digit: str) -> str:
     return chr(ord(place) - unicodedata.decimal(place) + int(digit))
 
 
+def national(digits: str, coded: bool) -> str:
+    """A phone number's digits without country code (after ``+``, if ``coded``, or 00) and trunk 0."""
+    rest = digits
+    if coded or digits.startswith("00"):
+        rest = digits if coded else digits[2:]
+        rest = rest[COUNTRY.match(rest).end():] if COUNTRY.match(rest) else rest
+    rest = rest[1:] if rest.startswith("0") else rest
+    return rest if len(rest) >= 4 else digits
+
+
+def bare(word: str) -> str:
+    """A word without a possessive 's."""
+    return word[:-2] if len(word) > 3 and word[-2] in "'’" and word[-1] in "sS" else word
+
+
 def parts_of(kind: str, text: str) -> list[tuple[str, str, int, int]]:
     """Entities of a match as (kind, normal form, start, end inside the match)."""
     if kind == "email":
@@ -193,11 +221,8 @@ def parts_of(kind: str, text: str) -> list[tuple[str, str, int, int]]:
     if kind == "ip":
         return [(kind, ".".join(str(int(x)) for x in text.split(".")), 0, len(text))]
     if kind == "phone":
-        code = re.match(r"\+(\d{1,3})(?=[ .(-])", text)
         digits = plain(text)
-        if not 8 <= len(digits) <= 15:
-            return []
-        return [(kind, f"{plain(code[1])}/{digits[len(code[1]):]}" if code else digits, 0, len(text))]
+        return [(kind, national(digits, text[0] == "+"), 0, len(text))] if 8 <= len(digits) <= 15 else []
     if kind != "name":
         return [(kind, plain(text), 0, len(text))]
     title = re.match(r"[^\W\d_]+", text)
@@ -207,17 +232,20 @@ def parts_of(kind: str, text: str) -> list[tuple[str, str, int, int]]:
         if not w[0][0].isupper() or taken and script_of(w[0]) != script_of(taken[0][0]):
             break
         taken.append(w)
+        if bare(w[0]) != w[0]:  # a possessive ends the name
+            break
     out = []
     for i, w in enumerate(taken):
-        part = "first" if i < len(taken) - 1 else "last"
-        out.append((f"name:{part}:{script_of(w[0])}:{ADDRESS[title[0]]}", w[0].lower(), w.start(), w.end()))
+        part, word = "first" if i < len(taken) - 1 else "last", bare(w[0])
+        out.append((f"name:{part}:{script_of(word)}:{ADDRESS[title[0]]}", word.lower(), w.start(), w.start() + len(word)))
     return out
 
 
 def written(kind: str, place: str, value: str) -> str:
     """A surrogate's normal form in the form of the place it replaces."""
     if kind in ("ssn", "phone", "number"):
-        digits = iter(value.replace("/", ""))
+        before = plain(place)[:-len(value)]  # country code and trunk prefix stay
+        digits = iter(before + value)
         return "".join(digit_like(c, next(digits)) if c.isdecimal() else c for c in place)
     if kind == "email":
         return "".join(v.upper() if c.isupper() else v for c, v in zip(place, value, strict=True))
@@ -228,8 +256,69 @@ def written(kind: str, place: str, value: str) -> str:
 
 
 def entities(text: str) -> list[tuple[str, str, int, int]]:
-    """``(kind, normal form, start, end)`` of a text, left to right, not overlapping."""
-    return [(k, v, m.start() + a, m.start() + b) for m in FOUND.finditer(text) for k, v, a, b in parts_of(m.lastgroup, m[0])]
+    """``(kind, normal form, start, end)`` of a text, left to right, not overlapping: what the
+    patterns find, then further mentions of the same names and numbers between them."""
+    found = [(k, v, m.start() + a, m.start() + b) for m in FOUND.finditer(text) for k, v, a, b in parts_of(m.lastgroup, m[0])]
+    phones = {v for k, v, *_ in found if k == "phone"}
+    coded = {v for k, v, a, _ in found if k == "phone" and text[a] == "+"}
+
+    def same(k: str, v: str, a: int, e: int) -> tuple[str, str, int, int]:
+        """A phone number with its country code but without a +, or one of 13 digits with 00."""
+        digits = plain(text[a:e])
+        if k == "phone" and text[a] != "+" and national(digits, True) in coded:
+            return k, national(digits, True), a, e
+        if k == "number" and digits.startswith("00") and national(digits, False) in phones:
+            return "phone", national(digits, False), a, e
+        return k, v, a, e
+
+    found = [same(*f) for f in found] if phones else found
+    names = {(script_of(v), v): k for k, v, *_ in reversed(found) if k.startswith("name:")}
+    numbers = {v: k for k, v, *_ in found if k in ("number", "ssn")}
+    phones = {v for k, v, *_ in found if k == "phone"}
+    if not (names or numbers or phones):
+        return found
+    out, at = [], 0
+    for f in [*found, ("", "", len(text), len(text))]:
+        if names:
+            out += [(k, v, at + a, at + e) for k, v, a, e in name_mentions(text[at:f[2]], names)]
+        if numbers or phones:
+            out += [(k, v, at + a, at + e) for k, v, a, e in number_mentions(text[at:f[2]], numbers, phones)]
+        at = f[3]
+    return sorted(found + out, key=lambda f: f[2])
+
+
+def name_mentions(text: str, names: dict[tuple[str, str], str]) -> Iterator[tuple[str, str, int, int]]:
+    """Capitalised words, or parts of compound words, that are among ``names``."""
+    for m in re.finditer(r"[^\W\d_]+(?:['’-][^\W\d_]+)*", text):
+        whole = bare(m[0])
+        parts = [(whole, m.start())]
+        if (script_of(whole), whole.lower()) not in names:
+            parts = [(w[0], m.start() + w.start()) for w in re.finditer(r"[^\W\d_]+", m[0])]
+        for word, a in parts:
+            kind = names.get((script_of(word), word.lower()))
+            if kind and word[0].isupper():
+                yield kind, word.lower(), a, a + len(word)
+
+
+def number_mentions(text: str, numbers: dict[str, str], phones: set[str]) -> Iterator[tuple[str, str, int, int]]:
+    """Runs of digits, up to three marks apart, that together are one of ``numbers`` or ``phones``."""
+    least, most = min(map(len, [*numbers, *phones])), max([*map(len, numbers), *(len(p) + 6 for p in phones)])
+    for m in re.finditer(r"\d(?:\W{0,3}\d)*", text):
+        runs = [(r[0], m.start() + r.start(), m.start() + r.end()) for r in re.finditer(r"\d+", m[0])]
+        i = 0
+        while i < len(runs):
+            digits, j, hit = "", i, None
+            while j < len(runs) and len(digits) + len(runs[j][0]) <= most:
+                digits += plain(runs[j][0])
+                j += 1
+                if len(digits) < least:
+                    continue
+                phone = next((v for v in (digits, national(digits, False), national(digits, True)) if v in phones), None)
+                if digits in numbers or phone:
+                    hit = (numbers.get(digits, "phone"), digits if digits in numbers else phone, runs[i][1], runs[j - 1][2], j)
+            if hit:
+                yield hit[:4]
+            i = hit[4] if hit else i + 1
 
 
 def assign(found: DataFrame, key: str) -> DataFrame:
@@ -278,12 +367,22 @@ def pseudonymise(docs: DataFrame, secret: str = KEY, key: str = "doc_id", text:
     found = staged(some.select(tkey.alias("__tkey"), "text").mapInPandas(
         find, "__tkey string, kind string, value string, lo int, hi int, place string").distinct(), "found")
 
+    # a name's key is its word and script; part and gender are settled over all its places
+    is_name, at = F.col("kind").startswith("name:"), F.split("kind", ":")
+    keyed = F.when(is_name, F.concat(F.lit("name:"), at[2])).otherwise(F.col("kind")).alias("__e")
+    told = [F.max(at[i] == v).alias(f"__{v}") for i, v in ((1, "first"), (3, "m"), (3, "f"))]
+    settled = F.concat(F.lit("name:"), F.when(F.col("__first"), "first").otherwise("last"), F.lit(":"), F.split("__e", ":")[1], F.lit(":"),
+                       F.when(F.col("__m") == F.col("__f"), "n").when(F.col("__m"), "m").otherwise("f"))
+    distinct = (found.where(is_name).groupBy(keyed, "value").agg(*told).select(settled.alias("kind"), "value")
+                .unionByName(found.where(~is_name).select("kind", "value").distinct()))
+    given = assign(distinct, secret).select(keyed, "value", "new")
+
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield b.assign(new=[written(k, p, v) for k, p, v in zip(b["kind"], b["place"], b["new"], strict=True)])[
                 ["__tkey", "lo", "hi", "kind", "new"]]
 
-    placed = (found.join(assign(found, secret), ["kind", "value"]).select("__tkey", "lo", "hi", "kind", "place", "new")
+    placed = (found.withColumn("__e", keyed).join(given, ["__e", "value"]).select("__tkey", "lo", "hi", "kind", "place", "new")
               .mapInPandas(write, "__tkey string, lo int, hi int, kind string, new string")
               .groupBy("__tkey").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "kind", "new"))).alias("__r")))
     init = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))

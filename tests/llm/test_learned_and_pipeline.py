@@ -104,6 +104,28 @@ def test_surrogates_in_digits_of_any_script(spark, zero):
     assert got[3].text[:16] == got[1].text[5:]
 
 
+def test_spellings_of_one_entity(spark):
+    texts = ["call +16565556510, +1 (656) 555-6510, 6565556510, 1-656-555-6510, 656.555.6510 or 001 656 555 6510",
+             "Dr. Smith and Mr. John Smith; Smith said that John's and SMITH's smith-Smith is Mr. Smith's Car, Smithson",
+             "(656) 555-6510 or +44 20 7946 0958 or 020 7946 0958; Mrs. Smith", "ssn 123-45-6789, 123456789; 4207051279108084 4207.0512.7910.8084",
+             "no 6565556510 Smith here but a Mr. Dr. Brown"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in surrogates.pseudonymise(docs, secret="k").collect()}
+    a, b, c, d, e = (got[i].text for i in range(5))
+    new = re.match(r"call \+1(\d{10}), ", a)[1]
+    assert new != "6565556510" and [x[-10:] for x in re.findall(r"\d{10,}", re.sub(r"[^\d,o]", "", a))] == [new] * 6
+    assert a.startswith(f"call +1{new}, +1 ({new[:3]}) {new[3:6]}-{new[6:]}, {new}, 1-{new[:3]}-") and got[0].n_entities == 6
+    assert re.sub(r"\D", "", c.split(" or ")[0]) == new
+    uk = re.findall(r"\+44 (\d\d) (\d{4}) (\d{4}) or 0(\d\d) (\d{4}) (\d{4})", c)[0]
+    assert uk[:3] == uk[3:] != ("20", "7946", "0958")
+    smith, john = re.match(r"Dr\. (\w+) and Mr\. (\w+) ", b).groups()
+    assert b == (f"Dr. {smith} and Mr. {john} {smith}; {smith} said that {john}'s and {smith.upper()}'s smith-{smith} is "
+                 f"Mr. {smith}'s Car, Smithson") and smith != "Smith" and john != "John"
+    assert c.endswith(f"Mrs. {smith}")
+    assert re.fullmatch(r"ssn (\d{3})-(\d\d)-(\d{4}), \1\2\3; (\d{4})(\d{4})(\d{4})(\d{4}) \4\.\5\.\6\.\7", d) and "6789" not in d
+    assert e.startswith("no 6565556510 Smith here but a Mr. Dr. ") and "Brown" not in e
+
+
 def test_surrogates_are_distinct(spark):
     # a card whose first draw is another original must draw again
     k = b"k"
