@@ -9,7 +9,7 @@ weighted representation ``z = sum(a h)`` gives the score ``sigmoid(c z + d)``. A
 weights are learned together from document labels alone.
 
 Training reads a bounded sample: of the labelled documents that are not held out, the
-``SAMPLE`` per label with the smallest hash, each bag with ``TRAIN_PASSAGES`` passages at
+``SAMPLE`` per label with the smallest hash, one bag per id (the smallest encoded), each bag with ``TRAIN_PASSAGES`` passages at
 most, evenly spaced (both bounds are parameters; scoring reads every passage). The
 sample's encoded passages (at most ``2 * SAMPLE * TRAIN_PASSAGES`` rows of ``WIDTH``
 bytes) go to the driver, the trained weights (about 70 kB) back with the tasks. Scoring
@@ -190,7 +190,9 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
                 yield pd.DataFrame({"k": [k], "y": [y], "n": [len(x)], "x": [x.astype(np.float16).tobytes()]})
 
     got = (some.select(F.col(key).cast("string").alias("k"), "text", F.col("y").cast("int").alias("y"))
-           .mapInPandas(run, "k string, y int, n int, x binary").collect())
+           .mapInPandas(run, "k string, y int, n int, x binary")
+           # one bag per id, whatever rows repeat it
+           .groupBy("k", "y").agg(F.min(F.struct("n", "x")).alias("r")).select("k", "y", "r.n", "r.x").collect())
     got.sort(key=lambda r: (r.k, r.n, bytes(r.x)))  # the order of arrival must not matter
     if not got:
         return train(np.zeros((0, WIDTH), np.float32), np.zeros(0, int), np.zeros(0))

@@ -49,6 +49,16 @@ def test_held_out_accuracy_and_edges(spark):
     assert [r.score for r in none] == [pytest.approx(0.5, abs=1e-6)]
 
 
+def test_training_takes_one_bag_per_id(spark, monkeypatch):
+    ids = [k for k in range(40) if zlib.crc32(str(k).encode()) % 3 != 1][:4]
+    docs = spark.createDataFrame([(ids[0], f"text {i}") for i in range(50)] + [(k, "one") for k in ids[1:]], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, i % 2) for i, k in enumerate(ids)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda x, bags, y: seen.append((len(x), len(bags), sorted(y))))
+    quality.fit(docs, labels)
+    assert seen == [(4, 4, [0, 0, 1, 1])]
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     bags = np.array([1, 3, 2])
