@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, e8, minhash, mixing, quality, repeats, secrets, surrogates, url_rules
+from . import (ann, bpe, e8, minhash, mixing, quality, repeats, secrets, sharding, spelling, surrogates, url_rules,
+               whitening)
 from ._util import read_table
 
 
@@ -50,10 +51,23 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op11_sturm_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(read_table(spark, sf_dir, "documents"))
+
+
+def op13_sorted_list_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_surrogates, op2_bpe_rank_array, op3_lcp_interval_repeats, op4_attention_quality, op5_multiprobe_pstable,
                             op6_e8_lattice, op7_url_rarest_literal, op8_pfair_mix, op9_bbit_minhash,
-                            op10_trigram_secrets)}
+                            op10_trigram_secrets, op11_sturm_whitening, op12_sampled_splitters,
+                            op13_sorted_list_spelling)}
 
 ORACLES: dict[str, str] = {
     "op7_url_rarest_literal": url_rules.oracle_sql(),
