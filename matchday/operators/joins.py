@@ -201,11 +201,6 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 
 # --------------------------------------------------------------------------- C7
-def fan_out(features: DataFrame, members: DataFrame, team_col: str = "team_id") -> DataFrame:
+def fan_out(features: DataFrame, members: DataFrame, on="team_id") -> DataFrame:
     """Attach per-team features to every member of that team (inner join)."""
-    return features.join(members, team_col, "inner")
-
-
-def count_per(df: DataFrame, key, out: str = "n") -> DataFrame:
-    """Rows per key (a map-side combined count)."""
-    return df.groupBy(*_cols(key)).agg(F.count(F.lit(1)).alias(out))
+    return features.join(members, _cols(on), "inner")

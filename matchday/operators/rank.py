@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 
 CUTS = 1024  # approximate quantiles that cut a group
-SALTS = 64  # partitions in which a group's values meet its bounds
+SALTS = 64  # partitions in which a group's values meet the edges of its buckets
 
 
 def _cols(x) -> list[str]:
@@ -61,18 +61,24 @@ def pct_rank_avg(df: DataFrame, value: str, group: str | Sequence[str], out: str
             .groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c")))
     parts = F.ceil(F.count(F.lit(1)) / per_bucket) if buckets is None else F.lit(buckets)
     bounds = dist.groupBy(*g).agg(
-        F.percentile_approx("__v", [i / CUTS for i in range(1, CUTS)], 10000).alias("__b"),
+        F.percentile_approx("__v", [i / CUTS for i in range(1, CUTS)], 10000).alias("__q"),
         F.least(F.lit(CUTS), parts).cast("int").alias("__m"))
-    # a group's bounds meet its values in SALTS partitions instead of one
+    # of the quantiles, a group of several buckets keeps the edges of those; one of a single bucket needs none
+    edges = bounds.where(F.col("__m") > 1).select(
+        *g, F.ceil(F.sqrt("__m")).cast("int").alias("__step"),
+        F.transform(F.sequence(F.lit(1), F.col("__m") - 1),
+                    lambda i: F.element_at("__q", F.floor(i * F.lit(CUTS) / F.col("__m")).cast("int"))).alias("__b"))
+    # edges meet their group's values in SALTS partitions instead of one
     salted = dist.withColumn("__s", F.pmod(F.xxhash64("__v"), F.lit(SALTS)).cast("int"))
-    spread = bounds.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    # which of the CUTS intervals: coarse steps first, then inside one step
-    step = int(CUTS ** 0.5)
-    coarse = F.size(F.filter(F.transform(F.sequence(F.lit(1), F.lit(CUTS // step - 1)),
-                                         lambda i: F.element_at("__b", (i * step).cast("int"))), lambda x: x < F.col("__v")))
-    fine = F.size(F.filter(F.slice("__b", F.col("__at") * step + 1, F.lit(step)), lambda x: x < F.col("__v")))
-    assigned = (salted.join(spread, [*g, "__s"]).withColumn("__at", coarse)
-                .withColumn("__k", F.floor((F.col("__at") * step + fine) * F.col("__m") / CUTS).cast("int"))
+    spread = edges.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # which bucket: every __step-th edge first, then those after the last of them below the value
+    coarse = F.size(F.filter(F.sequence(F.lit(1), F.size("__b"), F.col("__step")),
+                             lambda i: F.element_at("__b", i) < F.col("__v")))
+    first = F.greatest(F.lit(0), F.col("__at") - 1) * F.col("__step")
+    fine = F.size(F.filter(F.slice("__b", first + 1, F.col("__step")), lambda x: x < F.col("__v")))
+    assigned = (salted.join(spread, [*g, "__s"], "left")
+                .withColumn("__at", F.when(F.col("__b").isNotNull(), coarse))
+                .withColumn("__k", F.when(F.col("__b").isNotNull(), first + fine).otherwise(F.lit(0)).cast("int"))
                 .select(*g, "__k", "__v", "__c").repartition(*g, "__k"))
     # prefix count inside a bucket, on the bucket's own partitions
     w_in = Window.partitionBy(*g, "__k").orderBy("__v")

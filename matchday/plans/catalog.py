@@ -96,5 +96,5 @@ def NUM(x: str) -> str:
 
 def all_queries() -> dict:
     # import the query modules for their registration side effects
-    from . import q_core, q_features, q_ops, q_quality  # noqa: F401
+    from . import q_core, q_features, q_ops, q_quality, q_stored  # noqa: F401
     return REGISTRY

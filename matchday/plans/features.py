@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from ..functions.cols import (classify, clean_sheet, clip_null, consensus, decode, devig2, devig3, first_pair,
                               is_first, num, poisson_lambda_ge3, split_goals, stable_bucket, tier, weighted_flags)
-from ..operators.joins import lookup_or_default, new_entities, unique_or_raise
+from ..operators.joins import fan_out, lookup_or_default, new_entities, unique_or_raise
 from ..operators.rank import pct_rank_avg
 from ..operators.reshape import fixture_sides, perspectives
-from ..operators.runs import forward_runs, period_sums
+from ..operators.runs import forward_runs, in_reach, period_sums, trailing_sums, with_periods
 
 # Fixed values of the feature definitions.
 CALCULATION_VERSION = "v1.0.0"
@@ -146,22 +146,37 @@ def _scaled(c: str) -> Column:
 def goal_window(fixtures: DataFrame, gameweek: int, span: int = 5) -> DataFrame:
     """Per team: goals scored/conceded home and away over finished fixtures
     with max(1, gw - span) <= event < gw (D1)."""
-    sides = fixture_sides(fixtures.where(F.coalesce(F.col("finished"), F.lit(False))),
-                          home_score="team_h_score", away_score="team_a_score", keep=["event"])
+    return period_sums(_finished_sides(fixtures), "team_id", "event", max(1, gameweek - span), gameweek, _goals())
+
+
+def _finished_sides(fixtures: DataFrame) -> DataFrame:
+    return fixture_sides(fixtures.where(F.coalesce(F.col("finished"), F.lit(False))),
+                         home_score="team_h_score", away_score="team_a_score", keep=["event"])
+
+
+def _goals() -> dict[str, Column]:
     h, gf, ga = F.col("is_home"), F.col("goals_for"), F.col("goals_against")
-    return period_sums(sides, "team_id", "event", max(1, gameweek - span), gameweek, {
+    return {
         "team_goals_scored_home_5gw": F.when(h, gf),
         "team_goals_conceded_home_5gw": F.when(h, ga),
         "team_goals_scored_away_5gw": F.when(~h, gf),
         "team_goals_conceded_away_5gw": F.when(~h, ga),
-    })
+    }
 
 
-def team_form(teams: DataFrame, fixtures: DataFrame, gameweek: int, as_of) -> DataFrame:
-    goals = goal_window(fixtures, gameweek)
+def team_form(teams: DataFrame, fixtures: DataFrame, gameweek, as_of, periods: DataFrame | None = None,
+              span: int = 5) -> DataFrame:
+    """I2. ``gameweek`` is an int, or a column name with ``periods`` (a frame with that
+    column): every team then gets a row for each of the periods, from one plan (K5)."""
     gcols = ["team_goals_scored_home_5gw", "team_goals_conceded_home_5gw",
              "team_goals_scored_away_5gw", "team_goals_conceded_away_5gw"]
-    t = teams.join(goals, "team_id", "left")
+    if isinstance(gameweek, str):
+        sides = _finished_sides(fixtures).withColumnRenamed("event", gameweek)
+        axis = with_periods(teams.select("team_id").distinct(), periods, gameweek)
+        goals = trailing_sums(sides, "team_id", gameweek, axis, span, _goals())
+        t = teams.drop(gameweek).join(goals, "team_id")
+    else:
+        t = teams.join(goal_window(fixtures, gameweek, span), "team_id", "left")
     home_pts, away_pts = F.lit(1.6), F.lit(1.4)
     adv = home_pts - away_pts
     return t.select(
@@ -181,7 +196,7 @@ def team_form(teams: DataFrame, fixtures: DataFrame, gameweek: int, as_of) -> Da
         (F.lit(1.0) - F.abs(adv) / 3.0).alias("venue_consistency"),
         F.lit("stable").alias("form_trend"), F.lit(0.0).alias("momentum"),
         F.lit(0.75).alias("attack_confidence"), F.lit(0.75).alias("defense_confidence"),
-        F.lit(gameweek).cast("int").alias("gameweek"), F.lit(6).alias("games_analyzed"),
+        _gw(gameweek).alias("gameweek"), F.lit(6).alias("games_analyzed"),
         ts_lit(as_of).alias("last_updated"),
     )
 
@@ -316,28 +331,44 @@ def ownership_trends(players: DataFrame, history: DataFrame, gameweek, as_of, fl
 
 
 # --------------------------------------------------------------------------- I6
-def run_difficulty(fixtures: DataFrame, teams: DataFrame, gameweek: int, horizon: int = 5) -> DataFrame:
-    """Per team: difficulty summaries of the next fixtures in gw..gw+horizon."""
-    up = _valid_fixtures(fixtures).where(F.col("event").between(gameweek, gameweek + horizon))
+def run_difficulty(fixtures: DataFrame, teams: DataFrame, gameweek, horizon: int = 5,
+                   periods: DataFrame | None = None) -> DataFrame:
+    """Per team: difficulty summaries of the next fixtures in gw..gw+horizon. With
+    ``gameweek`` a column name: per team and period of ``periods``, in one plan."""
+    many = isinstance(gameweek, str)
+    up = _valid_fixtures(fixtures)
+    if not many:
+        up = up.where(F.col("event").between(gameweek, gameweek + horizon))
     sides = fixture_sides(up, keep=["fixture_id", "event"])
     opp = teams.select("team_id", "strength_overall_home", "strength_overall_away")
     j = lookup_or_default(sides, opp, "opponent_id", "team_id",
                           {"strength_overall_home": 1200, "strength_overall_away": 1200}, prefix="opp_")
     s = F.when(F.col("is_home"), F.col("opp_strength_overall_away")).otherwise(F.col("opp_strength_overall_home"))
-    j = j.withColumn("difficulty", clip_null((s - 1000) / 80.0, 0.0, 5.0))
-    return forward_runs(j, "team_id", [F.col("event"), F.col("fixture_id")], "difficulty")
-
-
-def fixture_runs(players: DataFrame, fixtures: DataFrame, teams: DataFrame, gameweek: int, as_of) -> DataFrame:
-    runs = run_difficulty(fixtures, teams, gameweek)
-    j = players.select("player_id", "team_id").join(runs, "team_id", "left")
+    # once per fixture and side, before it is spread over the periods that reach it
+    j = j.select("team_id", "event", "fixture_id", clip_null((s - 1000) / 80.0, 0.0, 5.0).alias("difficulty"))
+    key = ["team_id"]
+    if many:
+        j, key = in_reach(j, "event", horizon, periods, gameweek), ["team_id", gameweek]
+    return forward_runs(j, key, [F.col("event"), F.col("fixture_id")], "difficulty")
+
+
+def fixture_runs(players: DataFrame, fixtures: DataFrame, teams: DataFrame, gameweek, as_of,
+                 periods: DataFrame | None = None) -> DataFrame:
+    """I6. ``gameweek`` is an int, or the name of a column of ``players`` (K5: a player's team
+    may differ by gameweek; ``periods`` defaults to the gameweeks found there)."""
+    if isinstance(gameweek, str):
+        runs = run_difficulty(fixtures, teams, gameweek, periods=periods if periods is not None else players)
+        j = players.select("player_id", "team_id", F.col(gameweek).cast("int").alias(gameweek)).join(
+            runs, ["team_id", gameweek], "left")
+    else:
+        j = players.select("player_id", "team_id").join(run_difficulty(fixtures, teams, gameweek), "team_id", "left")
     r3 = F.coalesce(F.col("run_3_mean"), F.lit(2.5))
     r5 = F.coalesce(F.col("run_5_mean"), F.lit(2.5))
     g3 = F.coalesce(F.col("run_3_easy"), F.lit(0)).cast("int")
     g5 = F.coalesce(F.col("run_5_easy"), F.lit(0)).cast("int")
     sw = F.coalesce(F.col("run_swing"), F.lit(0.0))
     return j.select(
-        "player_id", F.lit(gameweek).cast("int").alias("gameweek"),
+        "player_id", _gw(gameweek).alias("gameweek"),
         r3.alias("fixture_run_3gw_difficulty"), r5.alias("fixture_run_5gw_difficulty"),
         g3.alias("green_fixtures_next_3"), g5.alias("green_fixtures_next_5"),
         sw.alias("fixture_swing_upcoming"),
@@ -382,7 +413,10 @@ def odds_fixture_features(odds: DataFrame) -> DataFrame:
     )
 
 
-def betting_features(odds: DataFrame, fixtures: DataFrame, players: DataFrame, as_of) -> DataFrame:
+def betting_features(odds: DataFrame, fixtures: DataFrame, players: DataFrame, as_of,
+                     period_col: str | None = None) -> DataFrame:
+    """I7. With ``period_col`` (a column of ``players``, K5) a fixture goes to the players that
+    its team has in the fixture's gameweek; without it, to the team's players."""
     c = F.col
     fx = fixtures.select("fixture_id", c("event").alias("__gw"), c("home_team_id").alias("__home"),
                          c("away_team_id").alias("__away"))
@@ -420,8 +454,12 @@ def betting_features(odds: DataFrame, fixtures: DataFrame, players: DataFrame, a
     filled = [F.coalesce(c(k), F.lit(v)).alias(k) for k, v in BETTING_DEFAULTS.items()]
     sides = sides.select("team_id", F.coalesce(c("__gw"), F.lit(1)).cast("int").alias("gameweek"), "fixture_id",
                          "is_home", *filled, ts_lit(as_of).alias("as_of_utc"))
-    members = players.where(c("team_id").isNotNull()).select("player_id", "team_id")
-    out = sides.join(members, "team_id", "inner")
+    members = players.where(c("team_id").isNotNull())
+    if period_col:
+        members = members.select("player_id", "team_id", c(period_col).cast("int").alias("gameweek"))
+        out = fan_out(sides, members, ["team_id", "gameweek"])
+    else:
+        out = fan_out(sides, members.select("player_id", "team_id"))
     return out.select("gameweek", "fixture_id", "player_id", "is_home", *BETTING_DEFAULTS, "as_of_utc")
 
 
@@ -468,20 +506,51 @@ def neutral_backfill(players: DataFrame, new: DataFrame, gameweek: int, kind: st
 
 
 # --------------------------------------------------------------------------- K5
-PERIOD_TABLES = {"player_metrics": player_metrics, "value_analysis": value_analysis,
-                 "ownership_trends": ownership_trends}
-
-
-def derive_periods(table: str, players_by_period: DataFrame, as_of, history: DataFrame | None = None,
-                   period_col: str = "gameweek") -> DataFrame:
-    """Recompute a player-grain derived table for every gameweek present in
-    ``players_by_period`` in one job (gameweek is a column: ranks are per
-    gameweek and position, new players per gameweek); the result is ready
-    for a partition-wise write (``sinks.replace_partitions(df, path,
-    'gameweek')``)."""
-    fn = PERIOD_TABLES[table]
-    if table == "player_metrics":
-        return fn(players_by_period, period_col, as_of)
-    if history is None:
-        raise ValueError(f"{table} needs the performance history")
-    return fn(players_by_period, history, period_col, as_of)
+def derive_periods(table: str, players_by_period: DataFrame | None = None, as_of=None, history: DataFrame | None = None,
+                   period_col: str = "gameweek", *, teams: DataFrame | None = None, fixtures: DataFrame | None = None,
+                   odds: DataFrame | None = None, periods: DataFrame | None = None) -> DataFrame:
+    """Recompute one of the seven derived tables for every gameweek in one job.
+
+    Gameweek is a column throughout: ranks are per gameweek and position, new
+    players per gameweek, goal windows are value-range frames, forward runs a
+    bounded interval join; difficulty and betting features hold all gameweeks
+    by nature (a fixture carries its own). ``periods`` (a frame with
+    ``period_col``) limits the gameweeks; by default those of the input. The
+    result is ready for a partition-wise write
+    (``sinks.replace_partitions(df, path, 'gameweek')``).
+    """
+    def need(**given):
+        lacking = [k for k, v in given.items() if v is None]
+        if lacking:
+            raise ValueError(f"{table} needs {', '.join(lacking)}")
+
+    def limited(df: DataFrame, col: str) -> DataFrame:
+        if periods is None:
+            return df
+        return df.join(periods.select(F.col(period_col).cast("int").alias(col)).distinct(), col, "left_semi")
+
+    if table in ("player_metrics", "value_analysis", "ownership_trends"):
+        need(players_by_period=players_by_period)
+        players = limited(players_by_period, period_col)
+        if table == "player_metrics":
+            return player_metrics(players, period_col, as_of)
+        need(history=history)
+        return (value_analysis if table == "value_analysis" else ownership_trends)(players, history, period_col, as_of)
+    if table == "team_form":
+        need(teams=teams, fixtures=fixtures)
+        axis = periods if periods is not None else _gameweeks_of(fixtures, period_col)
+        return team_form(teams, fixtures, period_col, as_of, axis)
+    if table == "fixture_runs":
+        need(players_by_period=players_by_period, fixtures=fixtures, teams=teams)
+        return fixture_runs(limited(players_by_period, period_col), fixtures, teams, period_col, as_of)
+    if table == "fixture_difficulty":
+        need(fixtures=fixtures, teams=teams)
+        return limited(fixture_difficulty(fixtures, teams, as_of), "gameweek")
+    if table == "betting_features":
+        need(odds=odds, fixtures=fixtures, players_by_period=players_by_period)
+        return limited(betting_features(odds, fixtures, players_by_period, as_of, period_col), "gameweek")
+    raise ValueError(f"unknown derived table {table!r}")
+
+
+def _gameweeks_of(fixtures: DataFrame, period_col: str) -> DataFrame:
+    return (fixtures.where(F.col("event") >= 1).select(F.col("event").cast("int").alias(period_col)).distinct())

@@ -595,3 +595,68 @@ def _k5_value_spark(spark, d):
 
 
 query("multi_period_value", sql=_k5_value_sql())(_k5_value_spark)
+
+
+_AXIS_SQL = "axis AS (SELECT DISTINCT event AS gameweek FROM b_fixtures WHERE event >= 1)"
+
+query("multi_period_form", sql=with_bindings(f"""
+, sides AS ({_SIDES_SQL.replace('FROM b_fixtures', 'FROM b_fixtures WHERE coalesce(finished, FALSE)')}),
+{_AXIS_SQL},
+g AS (
+  SELECT s.team_id, a.gameweek,
+    sum(CASE WHEN is_home THEN goals_for END) AS sh, sum(CASE WHEN is_home THEN goals_against END) AS ch,
+    sum(CASE WHEN NOT is_home THEN goals_for END) AS sa, sum(CASE WHEN NOT is_home THEN goals_against END) AS ca
+  FROM axis a JOIN sides s ON s.event >= greatest(1, a.gameweek - 5) AND s.event < a.gameweek
+  GROUP BY s.team_id, a.gameweek)
+SELECT t.team_id, {B("a.gameweek")} AS gameweek, t.name AS team_name,
+  {_s("strength_attack_home")} AS home_attack_strength, {_s("strength_defence_home")} AS overall_defense_strength,
+  {R("coalesce(g.sh, 0)")} AS team_goals_scored_home_5gw, {R("coalesce(g.ch, 0)")} AS team_goals_conceded_home_5gw,
+  {R("coalesce(g.sa, 0)")} AS team_goals_scored_away_5gw, {R("coalesce(g.ca, 0)")} AS team_goals_conceded_away_5gw,
+  {AS_OF_SQL} AS last_updated
+FROM b_teams t JOIN axis a ON TRUE LEFT JOIN g ON t.team_id = g.team_id AND g.gameweek = a.gameweek""",
+    "b_fixtures", "b_teams").replace("\n, sides AS", ", sides AS", 1))(lambda spark, d: conform(
+        feat.derive_periods("team_form", as_of=AS_OF, teams=b.teams(spark, d), fixtures=b.fixtures(spark, d))
+        .select("team_id", "gameweek", "team_name", "home_attack_strength", "overall_defense_strength",
+                "team_goals_scored_home_5gw", "team_goals_conceded_home_5gw", "team_goals_scored_away_5gw",
+                "team_goals_conceded_away_5gw", "last_updated")))
+
+_RUN_DIFF = CLIP("(CASE WHEN s.is_home THEN coalesce(t.strength_overall_away, 1200) "
+                 "ELSE coalesce(t.strength_overall_home, 1200) END - 1000) / 80.0", "0.0", "5.0")
+
+query("multi_period_runs", sql=with_bindings(f"""
+, s AS (
+  SELECT fixture_id, event, home_team_id AS team_id, away_team_id AS opponent_id, TRUE AS is_home FROM b_fixtures
+  WHERE home_team_id IS NOT NULL AND away_team_id IS NOT NULL AND event IS NOT NULL
+  UNION ALL
+  SELECT fixture_id, event, away_team_id, home_team_id, FALSE FROM b_fixtures
+  WHERE home_team_id IS NOT NULL AND away_team_id IS NOT NULL AND event IS NOT NULL),
+axis AS (SELECT DISTINCT gameweek FROM b_players_gw),
+d AS (
+  SELECT s.team_id, a.gameweek, {_RUN_DIFF} AS diff,
+    row_number() OVER (PARTITION BY s.team_id, a.gameweek ORDER BY s.event, s.fixture_id) AS rn
+  FROM s JOIN axis a ON s.event BETWEEN a.gameweek AND a.gameweek + 5 LEFT JOIN b_teams t ON s.opponent_id = t.team_id),
+runs AS (
+  SELECT team_id, gameweek,
+    avg(CASE WHEN rn <= 3 THEN diff END) AS r3, avg(CASE WHEN rn <= 5 THEN diff END) AS r5,
+    count(CASE WHEN rn <= 3 AND diff <= 2.0 THEN 1 END) AS g3, count(CASE WHEN rn <= 5 AND diff <= 2.0 THEN 1 END) AS g5,
+    CASE WHEN count(*) >= 5 THEN avg(CASE WHEN rn BETWEEN 3 AND 5 THEN diff END) - avg(CASE WHEN rn <= 2 THEN diff END)
+         ELSE 0.0 END AS sw
+  FROM d GROUP BY team_id, gameweek)
+SELECT p.player_id, {B("p.gameweek")} AS gameweek,
+  {R("coalesce(r3, 2.5)")} AS fixture_run_3gw_difficulty, {R("coalesce(r5, 2.5)")} AS fixture_run_5gw_difficulty,
+  {B("coalesce(g3, 0)")} AS green_fixtures_next_3, {B("coalesce(g5, 0)")} AS green_fixtures_next_5,
+  {R("coalesce(sw, 0.0)")} AS fixture_swing_upcoming,
+  (coalesce(r3, 2.5) <= 2.0 AND coalesce(g3, 0) >= 2) AS optimal_transfer_in_window,
+  (coalesce(r3, 2.5) >= 3.5 OR coalesce(sw, 0.0) > 1.0) AS optimal_transfer_out_window,
+  {AS_OF_SQL} AS calculation_date
+FROM b_players_gw p LEFT JOIN runs r ON p.team_id = r.team_id AND p.gameweek = r.gameweek""",
+    "b_fixtures", "b_teams", "b_players_gw").replace("\n, s AS", ", s AS", 1))(lambda spark, d: conform(
+        feat.derive_periods("fixture_runs", b.players_by_period(spark, d), AS_OF, teams=b.teams(spark, d),
+                            fixtures=b.fixtures(spark, d))))
+
+query("multi_period_betting", sql=_betting_sql().replace(
+    "FROM sides s JOIN b_players p ON s.team_id = p.team_id",
+    "FROM sides s JOIN b_players_gw p ON s.team_id = p.team_id AND coalesce(s.gw, 1) = p.gameweek").replace(
+    "b_players AS (\n" + b.SQL["b_players"] + "\n)", "b_players_gw AS (\n" + b.SQL["b_players_gw"] + "\n)"))(
+    lambda spark, d: conform(feat.derive_periods(
+        "betting_features", b.players_by_period(spark, d), AS_OF, odds=b.odds(spark, d), fixtures=b.fixtures(spark, d))))

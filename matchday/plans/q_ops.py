@@ -131,17 +131,16 @@ SELECT o_custkey, {B('gameweek')} AS gameweek FROM exp
 WHERE (o_custkey, gameweek) NOT IN (SELECT (o_custkey, gameweek) FROM o)""")(_g3_spark)
 
 # ----------------------------------------------------------------------------- G4
-# expected: the customers' ids; present: those of labelled documents and large parts
+# expected: the customers' ids; present: those of the labelled documents
 query("missing_extra", sql="""
 WITH want AS (SELECT c_custkey AS id FROM customer), have AS (
-  SELECT doc_id AS id FROM labels UNION ALL SELECT p_partkey FROM part WHERE p_size > 25)
+  SELECT doc_id AS id FROM labels)
 SELECT id, 'missing' AS side FROM (SELECT id FROM want EXCEPT SELECT id FROM have)
 UNION ALL
 SELECT id, 'extra' FROM (SELECT id FROM have EXCEPT SELECT id FROM want)""")(
     lambda spark, d: conform(diff_keys(
         b.read(spark, d, "customer").select(F.col("c_custkey").alias("id")),
-        b.read(spark, d, "labels").select(F.col("doc_id").alias("id")).unionByName(
-            b.read(spark, d, "part").where(F.col("p_size") > 25).select(F.col("p_partkey").alias("id"))), "id")))
+        b.read(spark, d, "labels").select(F.col("doc_id").alias("id")), "id")))
 
 # ----------------------------------------------------------------------------- C4
 
@@ -244,18 +243,20 @@ FROM people p LEFT JOIN m ON p.second || ' ' || p.first = m.name""")(_c6_spark)
 
 
 def _c2_spark(spark, d):
-    fx = b.fixtures(spark, d).select("fixture_id", "home_team_id", "event")
-    od = b.odds(spark, d).where(F.col("referee") != "").select("fixture_id", "home_team_id", "B365H")
+    # every order, also those that are no fixture and so have no odds
+    fx = b.read(spark, d, "orders").select(F.col("o_orderkey").alias("fixture_id"), F.col("o_custkey").alias("home_team_id"),
+                                           month_index(F.col("o_orderdate")).alias("event"))
+    od = b.odds(spark, d).select("fixture_id", "home_team_id", "B365H", "referee")
     j = left_join_suffix(fx, od, "fixture_id", "_odds")
     return conform(j.select("fixture_id", "home_team_id", "event", F.col("home_team_id_odds").isNotNull()
-                            .alias("has_odds"), "B365H"))
+                            .alias("has_odds"), "B365H", "referee"))
 
 
 query("left_join_suffix", sql=with_bindings(f"""
 SELECT f.fixture_id, f.home_team_id, {B('f.event')} AS event, (o.home_team_id IS NOT NULL) AS has_odds,
-  {R('o.B365H')} AS B365H
-FROM b_fixtures f LEFT JOIN (SELECT fixture_id, home_team_id, B365H FROM b_odds WHERE referee <> '') o
-  ON f.fixture_id = o.fixture_id""", "b_fixtures", "b_odds"))(_c2_spark)
+  {R('o.B365H')} AS B365H, o.referee
+FROM (SELECT o_orderkey AS fixture_id, o_custkey AS home_team_id, {_MON.format(c='o_orderdate')} AS event FROM orders) f
+LEFT JOIN (SELECT fixture_id, home_team_id, B365H, referee FROM b_odds) o ON f.fixture_id = o.fixture_id""", "b_odds"))(_c2_spark)
 
 # ----------------------------------------------------------------------------- C10
 

@@ -313,15 +313,20 @@ query("table_counts", sql=" UNION ALL ".join(
 
 # ----------------------------------------------------------------------------- L1 (table schemas)
 from ..quality import schemas as sch  # noqa: E402
+from ..quality import tables as declared  # noqa: E402
 
+_PLAYERS = declared.PLAYERS.only(
+    "player_id", "web_name", "first_name", "second_name", "team_id", "position_id", "status", "now_cost", "minutes",
+    "transfers_in_event", "transfers_out_event", "selected_by_percent", "chance_of_playing_next_round")
+_FIXTURES = declared.FIXTURES.only("fixture_id", "event", "home_team_id", "away_team_id", "team_h_score", "team_a_score")
 
 def _schemas_spark(spark, d):
     # two raw tables, one with a text column for a number, and one without a column of its schema
-    players = b.players(spark, d).select(*[c for c in sch.TABLES["players"].names() if c != "first_name"])
+    players = b.players(spark, d).select(*[c for c in _PLAYERS.names() if c != "first_name"])
     players = players.withColumn("minutes", F.when(F.col("position_id") == 1, F.lit("ninety")).otherwise(
         F.col("minutes").cast("string")))
     fx = b.fixtures(spark, d)
-    return conform(sch.check_table(players, "players").unionByName(sch.check_table(fx, "fixtures")))
+    return conform(sch.check_table(players, "players", _PLAYERS).unionByName(sch.check_table(fx, "fixtures", _FIXTURES)))
 
 
 def _schemas_sql() -> str:
@@ -341,16 +346,15 @@ def _schemas_sql() -> str:
                                   ("transfers_out_event", "bigint", 0, None, True)]:
         rules += [(p, f"coerce:{kind}", c, "FALSE", "b_players"), (p, text(lo, hi), c, rng(c, lo, hi), "b_players")]
         rules += [] if null else [(p, "not_null", c, f"{c} IS NULL", "b_players")]
-    for c, null in [("selected_by_percent", False), ("chance_of_playing_next_round", True)]:
-        v = f"TRY_CAST({c} AS DOUBLE)"
-        rules += [(p, "coerce:double", c, f"({c} IS NOT NULL AND {v} IS NULL)", "b_players"),
-                  (p, text(0.0, 100.0), c, rng(v, 0, 100), "b_players")]
-        rules += [] if null else [(p, "not_null", c, f"{c} IS NULL", "b_players")]
+    c = "chance_of_playing_next_round"
+    v = f"TRY_CAST({c} AS DOUBLE)"
+    rules += [(p, "coerce:double", c, f"({c} IS NOT NULL AND {v} IS NULL)", "b_players"),
+              (p, text(0.0, 100.0), c, rng(v, 0, 100), "b_players")]
     rules += [(p, "coerce:bigint", "minutes", "position_id = 1", "b_players"),
               (p, "range[0,None]", "minutes", "(minutes < 0 AND position_id <> 1)", "b_players"),
               (p, "not_null", "status", "status IS NULL", "b_players"),
               (p, "isin", "status", "status NOT IN ('a', 'i', 's', 'u', 'd', 'n')", "b_players")]
-    for c in ("web_name", "second_name"):
+    for c in ("web_name", "second_name", "selected_by_percent"):
         rules += [(p, "not_null", c, f"{c} IS NULL", "b_players"), (p, "length[1,None]", c, f"length({c}) < 1", "b_players")]
     for c, lo, hi, null in [("fixture_id", 1, None, False), ("event", 1, 38, True), ("home_team_id", 1, 20, False),
                             ("away_team_id", 1, 20, False), ("team_h_score", 0, None, True), ("team_a_score", 0, None, True)]:

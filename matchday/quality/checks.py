@@ -193,11 +193,13 @@ def check_formula(df: DataFrame, table: str, name: str, expected: Column, actual
 def check_monotonic(df: DataFrame, table: str, period: str, ts: str, now=None) -> DataFrame:
     """Latest ``ts`` per period never decreases with the period (all
     consecutive pairs), and (if ``now`` given) no ``ts`` is in the future."""
-    per = df.groupBy(period).agg(F.max(ts).alias("__mx"))  # one row per period: small
-    w = Window.orderBy(period)
-    back = per.withColumn("__prev", F.lag("__mx").over(w))
-    one = back.agg(F.sum(F.when(F.col("__mx") < F.col("__prev"), 1).otherwise(0)).alias("violations"),
-                   F.count(F.lit(1)).alias("total"))
+    # one row per period; each meets the one before by an equi-join on its rank's place in the sorted list of periods
+    per = df.groupBy(period).agg(F.max(ts).alias("__mx"))
+    listed = per.agg(F.sort_array(F.collect_list(F.struct(F.col(period).alias("p"), F.col("__mx").alias("m")))).alias("__l"))
+    pairs = listed.select(F.explode(F.when(F.size("__l") > 0, F.transform(F.sequence(F.lit(1), F.size("__l")), lambda i: F.struct(
+        F.element_at("__l", i)["m"].alias("m"), F.when(i > 1, F.try_element_at("__l", i - 1)["m"]).alias("before"))))).alias("e"))
+    one = pairs.agg(F.sum(F.when(F.col("e.m") < F.col("e.before"), 1).otherwise(0)).alias("violations"),
+                    F.count(F.lit(1)).alias("total"))
     rep = one.select(F.lit(table).alias("table"), F.lit("monotonic").alias("check"), F.lit(ts).alias("column"),
                      F.coalesce("violations", F.lit(0)).alias("violations"), "total",
                      _status(F.coalesce("violations", F.lit(0))).alias("status"))
@@ -255,6 +257,48 @@ def freshness(tables: Mapping[str, tuple[DataFrame, str]], now) -> DataFrame:
     return lt.select("table", "latest", age.alias("age_hours"), age_bucket(age).alias("status"))
 
 
+def freshness_overall(tables: Mapping[str, tuple[DataFrame, str]], now) -> DataFrame:
+    """A row per table and one for all (``table`` = 'ALL'): oldest and newest timestamp, rows with
+    one, age of the newest in hours, status. One rollup over the union of the timestamp columns."""
+    from ..functions.cols import age_bucket
+    parts = [df.select(F.lit(name).alias("table"), F.col(c).cast("timestamp_ntz").alias("__ts"))
+             for name, (df, c) in tables.items()]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    rolled = rows.rollup("table").agg(F.grouping("table").alias("__all"), F.min("__ts").alias("oldest"),
+                                      F.max("__ts").alias("newest"), F.count("__ts").alias("stamped"))
+    age = F.round(_age_hours(F.col("newest"), now), 2)
+    name = F.when(F.col("__all") == 1, "ALL").otherwise(F.col("table"))
+    return rolled.select(name.alias("table"), "oldest", "newest", "stamped", age.alias("age_hours"), age_bucket(age).alias("status"))
+
+
+# --------------------------------------------------------------------------- L6 (picks and performance)
+def check_picks(picks: DataFrame, table: str = "raw_my_picks", key: Sequence[str] = ("manager_id", "event"),
+                size: int = 15) -> DataFrame:
+    """Every squad has ``size`` picks, one captain and one vice-captain, and no player twice: one aggregate."""
+    one_each = [("picks", F.count(F.lit(1)) == size), ("one_captain", F.count_if(F.col("is_captain")) == 1),
+                ("one_vice_captain", F.count_if(F.col("is_vice_captain")) == 1),
+                ("no_player_twice", F.count_distinct("player_id") == F.count("player_id"))]
+    squads = picks.groupBy(*key).agg(*[F.coalesce(ok, F.lit(False)).alias(n) for n, ok in one_each])
+    return validate(squads, table, [predicate(n, F.col(n), ",".join(key)) for n, _ in one_each])
+
+
+def performance_rules() -> list[Rule]:
+    """Points not below -10, minutes of a match, no negative counts of goals and assists."""
+    return [between("total_points", -10, None), between("minutes", 0, 120), between("goals_scored", 0, None),
+            between("assists", 0, None)]
+
+
+def check_finished_have_stats(events: DataFrame, performance: DataFrame, table: str = "raw_events_bootstrap",
+                              event_col: str = "event_id", period_col: str = "gameweek") -> DataFrame:
+    """A finished gameweek has performance rows (a semi join on the distinct gameweeks)."""
+    played = performance.select(F.col(period_col).alias("__gw")).distinct()
+    done = events.where(F.coalesce(F.col("finished"), F.lit(False)))
+    flagged = done.join(played, F.col(event_col) == F.col("__gw"), "left").select(F.col("__gw").isNull().alias("__lacks"))
+    return validate(flagged, table, [Rule("finished_has_stats", event_col, F.col("__lacks"))])
+
+
 # --------------------------------------------------------------------------- L11 / D9
 def completeness(df: DataFrame, table: str, good: float = 90.0, fair: float = 70.0) -> DataFrame:
     """Per column: null cells, completeness %, GOOD / FAIR / POOR (one pass)."""

@@ -1,10 +1,10 @@
-"""Table schemas: types to coerce to, nullability, bounds, value lists, lengths, keys (L1).
+"""Table schemas: types to coerce to, nullability, limits, value lists, lengths, keys (L1).
 
-A column of one name has one meaning in every table, so bounds and value lists are
-stated once by column name; a table only adds its keys and what may be null.
 ``check_table`` evaluates all rules of a table and reports every failure: one aggregate
-pass for the row rules plus one per key. ``coerce`` gives the typed table, with values
-that do not parse as NULL (they are failures of the report, not of the job).
+pass for the row rules plus one per key. ``judged`` types a table and says of each row, in
+the same pass, what was wrong with it (``_rejects``), so that good rows and rejects come
+from one scan. Values are judged in the type they are coerced to; one that does not parse
+is a failure of the report, not of the job. The declared tables are in ``tables``.
 """
 
 from __future__ import annotations
@@ -12,150 +12,79 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import checks as q
 
-# Bounds by column (low, high, columns).
-BOUNDS = [
-    ("bigint", 1, None, "player_id fixture_id event_id code team_code games_analyzed strength_overall_home "
-                        "strength_overall_away strength_attack_home strength_attack_away strength_defence_home "
-                        "strength_defence_away pulse_id"),
-    ("bigint", 1, 20, "team_id opponent_id home_team_id away_team_id"),
-    ("bigint", 1, 38, "gameweek event"),
-    ("bigint", 1, 5, "difficulty_tier strength team_h_difficulty team_a_difficulty"),
-    ("bigint", 1, 4, "position_id"),
-    ("bigint", 0, 3, "set_piece_priority green_fixtures_next_3"),
-    ("bigint", 0, 5, "green_fixtures_next_5"),
-    ("bigint", 35, 200, "now_cost"),
-    ("bigint", 0, None, "minutes transfers_in transfers_out transfers_in_event transfers_out_event transfers_in_gw "
-                        "transfers_out_gw goals_scored assists saves bonus team_h_score team_a_score"),
-    ("double", 0.0, 1.0, "value_confidence season_consistency overperformance_risk ownership_risk injury_risk rotation_risk "
-                         "data_quality_score venue_consistency attack_confidence defense_confidence difficulty_confidence "
-                         "clean_sheet_probability price_risk performance_risk confidence team_win_probability "
-                         "opponent_win_probability draw_probability implied_clean_sheet_probability "
-                         "market_consensus_strength favorite_status"),
-    ("double", 0.0, 3.0, "overall_form_points home_form_points away_form_points expected_points"),
-    ("double", 0.0, 5.0, "overall_attack_strength overall_defense_strength home_attack_strength home_defense_strength "
-                         "away_attack_strength away_defense_strength opponent_strength_difficulty venue_difficulty "
-                         "congestion_difficulty form_difficulty overall_difficulty expected_goals_for "
-                         "expected_goals_against fixture_run_3gw_difficulty fixture_run_5gw_difficulty"),
-    ("double", 0.0, 10.0, "buy_rating sell_rating hold_rating momentum_strength bandwagon_score implied_total_goals "
-                          "team_expected_goals"),
-    ("double", 0.0, 100.0, "value_score selected_by_percent chance_of_playing_next_round chance_of_playing_this_round"),
-    ("double", -3.0, 3.0, "momentum"),
-    ("double", -10.0, 10.0, "form_momentum"),
-    ("double", 3.5, 20.0, "current_price"),
-    ("double", 1.0, None, "handicap_team_odds B365H B365D B365A PSH PSD PSA MaxH MaxD MaxA AvgH AvgD AvgA"),
-    ("double", 0.0, None, "points_per_million form_per_million recent_form_5gw expected_points_per_game points_per_pound "
-                          "expected_points_per_pound price_volatility avg_transfers_in_5gw avg_transfers_out_5gw "
-                          "ownership_vs_price odds_movement_magnitude team_goals_scored_home_5gw "
-                          "team_goals_conceded_home_5gw team_goals_scored_away_5gw team_goals_conceded_away_5gw"),
-]
-# Allowed texts by column.
-VALUES = {
-    "position_name": "GKP DEF MID FWD", "status": "a i s u d n", "ownership_trend": "rising falling stable",
-    "form_trend": "improving declining stable volatile", "ownership_risk_level": "low medium high very_high",
-    "recommendation": "strong_buy buy hold sell strong_sell",
-    "transfer_momentum": "accelerating_in steady_in neutral steady_out accelerating_out",
-    "ownership_tier": "template popular mid_owned differential punt",
-}
-# Shortest and longest text by column.
-LENGTHS = {"web_name": (1, None), "first_name": (1, None), "second_name": (1, None), "team_name": (1, None),
-           "short_name": (3, 3)}
+CORRUPT, REJECTS = "_corrupt_record", "_rejects"
+
+
+@dataclass(frozen=True)
+class Col:
+    """A column's type and what its values keep to: bounds, allowed texts, shortest and longest text."""
+    kind: str = "string"
+    nullable: bool = False
+    lo: float | None = None
+    hi: float | None = None
+    values: Sequence[str] = ()
+    least: int | None = None
+    most: int | None = None
+
+    def rules(self, c: str) -> list[tuple[str, Column]]:
+        """``(check, bad)`` for the column named ``c``; ``bad`` is true or null on what keeps to the rule."""
+        raw, v = F.col(f"`{c}`"), self.typed(c)
+        out = [] if self.kind == "string" else [(f"coerce:{self.kind}", raw.isNotNull() & v.isNull())]
+        if not self.nullable:
+            out.append(("not_null", raw.isNull()))
+        if self.lo is not None or self.hi is not None:
+            bad = F.lit(False)
+            bad = bad if self.lo is None else bad | (v < F.lit(self.lo))
+            bad = bad if self.hi is None else bad | (v > F.lit(self.hi))
+            out.append((f"range[{self.lo},{self.hi}]", bad))
+        if self.values:
+            out.append(("isin", ~v.isin(*self.values)))
+        if self.least is not None or self.most is not None:
+            bad = F.lit(False)
+            bad = bad if self.least is None else bad | (F.length(v) < self.least)
+            bad = bad if self.most is None else bad | (F.length(v) > self.most)
+            out.append((f"length[{self.least},{self.most}]", bad))
+        return out
+
+    def typed(self, c: str) -> Column:
+        return F.col(f"`{c}`").try_cast(self.kind)
 
 
 @dataclass(frozen=True)
 class Table:
-    """A table's column names in order, its unique keys and its nullable columns."""
-    columns: str
-    keys: Sequence[str] = ()
-    nullable: str = ""
-    own: Mapping[str, tuple] = field(default_factory=dict)  # bounds that differ here
+    """A table's columns in order and its unique keys (several columns of one key: joined by commas)."""
+    columns: Mapping[str, Col]
+    keys: Sequence[str] = field(default_factory=tuple)
 
     def names(self) -> list[str]:
-        return self.columns.split()
-
-
-TABLES = {
-    "players": Table("player_id web_name first_name second_name team_id position_id status now_cost minutes "
-                     "transfers_in_event transfers_out_event selected_by_percent chance_of_playing_next_round",
-                     ["player_id"], "now_cost minutes transfers_in_event transfers_out_event chance_of_playing_next_round"),
-    "teams": Table("team_id team_name short_name strength_overall_home strength_overall_away strength_attack_home "
-                   "strength_attack_away strength_defence_home strength_defence_away", ["team_id"]),
-    "fixtures": Table("fixture_id event home_team_id away_team_id team_h_score team_a_score", ["fixture_id"],
-                      "event team_h_score team_a_score"),
-    "betting_odds": Table("fixture_id B365H B365D B365A PSH PSD PSA MaxH MaxD MaxA AvgH AvgD AvgA", ["fixture_id"],
-                          "B365H B365D B365A PSH PSD PSA MaxH MaxD MaxA AvgH AvgD AvgA"),
-    "player_metrics": Table("player_id web_name team_id position_id position_name current_price points_per_million "
-                            "form_per_million value_score value_confidence form_trend form_momentum recent_form_5gw "
-                            "season_consistency expected_points_per_game overperformance_risk ownership_trend "
-                            "ownership_risk set_piece_priority injury_risk rotation_risk gameweek data_quality_score",
-                            ["player_id"], "set_piece_priority"),
-    "team_form": Table("team_id overall_attack_strength overall_defense_strength overall_form_points home_attack_strength "
-                       "home_defense_strength home_form_points away_attack_strength away_defense_strength "
-                       "away_form_points venue_consistency form_trend momentum attack_confidence defense_confidence "
-                       "games_analyzed", ["team_id"]),
-    "fixture_difficulty": Table("fixture_id team_id opponent_id gameweek opponent_strength_difficulty venue_difficulty "
-                                "congestion_difficulty form_difficulty overall_difficulty difficulty_tier "
-                                "difficulty_confidence expected_goals_for expected_goals_against expected_points "
-                                "clean_sheet_probability", ["fixture_id,team_id"]),
-    "value_analysis": Table("player_id web_name position_id current_price points_per_pound expected_points_per_pound "
-                            "price_volatility buy_rating sell_rating hold_rating ownership_risk price_risk "
-                            "performance_risk recommendation confidence gameweek", ["player_id"]),
-    "ownership_trends": Table("player_id web_name selected_by_percent transfers_in_gw transfers_out_gw "
-                              "avg_transfers_in_5gw avg_transfers_out_5gw transfer_momentum momentum_strength "
-                              "ownership_tier ownership_risk_level bandwagon_score ownership_vs_price gameweek",
-                              ["player_id"]),
-    "betting_features": Table("gameweek fixture_id player_id team_win_probability opponent_win_probability "
-                              "draw_probability implied_clean_sheet_probability implied_total_goals team_expected_goals "
-                              "market_consensus_strength odds_movement_magnitude favorite_status handicap_team_odds",
-                              ["gameweek,fixture_id,player_id"]),
-    "fixture_runs": Table("player_id gameweek fixture_run_3gw_difficulty fixture_run_5gw_difficulty "
-                          "green_fixtures_next_3 green_fixtures_next_5", ["player_id,gameweek"]),
-}
-
-
-def bounds() -> dict[str, tuple]:
-    return {c: (kind, lo, hi) for kind, lo, hi, names in BOUNDS for c in names.split()}
+        return list(self.columns)
+
+    def only(self, *names: str) -> Table:
+        """The table reduced to some of its columns, and to the keys that they hold."""
+        return Table({n: self.columns[n] for n in names}, [k for k in self.keys if set(k.split(",")) <= set(names)])
 
 
 def coerce(df: DataFrame, table: Table) -> DataFrame:
     """The schema's columns that ``df`` has, in its types; the other columns after them."""
-    known = bounds() | dict(table.own)
-    typed = [F.col(c).try_cast(known[c][0] if c in known else "string").alias(c) for c in table.names() if c in df.columns]
-    return df.select(*typed, *[F.col(c) for c in df.columns if c not in table.names()])
+    typed = [col.typed(c).alias(c) for c, col in table.columns.items() if c in df.columns]
+    return df.select(*typed, *[F.col(f"`{c}`") for c in df.columns if c not in table.columns])
 
 
 def rules_of(table: Table, present: Sequence[str]) -> list[q.Rule]:
-    """Row rules on the raw table: each value is judged in the type it is coerced to."""
-    known = bounds() | dict(table.own)
-    out = []
-    for c in table.names():
-        if c not in present:
-            continue
-        kind, lo, hi = known.get(c, ("string", None, None))
-        v = F.col(c).try_cast(kind)
-        if kind != "string":
-            out.append(q.Rule(f"coerce:{kind}", c, F.col(c).isNotNull() & v.isNull()))
-        if c not in table.nullable.split():
-            out.append(q.Rule("not_null", c, F.col(c).isNull()))
-        if lo is not None or hi is not None:
-            bad = F.lit(False)
-            bad = bad if lo is None else bad | (v < F.lit(lo))
-            bad = bad if hi is None else bad | (v > F.lit(hi))
-            out.append(q.Rule(f"range[{lo},{hi}]", c, bad))
-        if c in VALUES:
-            out.append(q.isin(c, VALUES[c].split()))
-        if c in LENGTHS:
-            out.append(q.length_between(c, *LENGTHS[c]))
-    return out
+    """Row rules on the raw table."""
+    return [q.Rule(check, c, bad) for c, col in table.columns.items() if c in present for check, bad in col.rules(c)]
 
 
 def check_table(df: DataFrame, name: str, table: Table | None = None) -> DataFrame:
     """The report of every rule of a table; absent columns are failures of their own."""
-    table = table or TABLES[name]
+    if table is None:
+        from .tables import TABLES
+        table = TABLES[name]
     absent = [(name, "column_present", c, 1, 1, "fail") for c in table.names() if c not in df.columns]
     out = q.validate(df, name, rules_of(table, df.columns))
     for key in table.keys:
@@ -165,3 +94,21 @@ def check_table(df: DataFrame, name: str, table: Table | None = None) -> DataFra
     if absent:
         out = out.unionByName(df.sparkSession.createDataFrame(absent, out.schema))
     return out
+
+
+def judged(df: DataFrame, table: Table, keep: Sequence[str] = ()) -> DataFrame:
+    """Every declared column in its type (NULL where ``df`` has none), the columns ``keep``, and
+    ``_rejects``: the failed rules of the row as ``(column, check, value)``, empty for a good row.
+
+    A record that the reader could not split (``_corrupt_record``) has that one entry.
+    """
+    reason = "struct<column:string,check:string,value:string>"
+    failed = [F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(c).alias("column"), F.lit(check).alias("check"),
+                                                               F.col(f"`{c}`").cast("string").alias("value")))
+              for c, col in table.columns.items() if c in df.columns for check, bad in col.rules(c)]
+    found = F.filter(F.array(*failed), lambda r: r.isNotNull()) if failed else F.array().cast(f"array<{reason}>")
+    if CORRUPT in df.columns:
+        broken = F.array(F.struct(F.lit("*").alias("column"), F.lit("corrupt").alias("check"), F.col(CORRUPT).alias("value")))
+        found = F.when(F.col(CORRUPT).isNotNull(), broken).otherwise(found)
+    typed = [(col.typed(c) if c in df.columns else F.lit(None).cast(col.kind)).alias(c) for c, col in table.columns.items()]
+    return df.select(*typed, *[F.col(f"`{c}`") for c in keep], found.cast(f"array<{reason}>").alias(REJECTS))

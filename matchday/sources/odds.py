@@ -21,6 +21,11 @@ EXACT_BOOK = "bet365"
 SHARP_BOOK = "pinnacle"
 PREFERRED_BOOKS = ("bet365", "pinnacle", "skybet", "williamhill", "betfair_ex_uk")
 
+# Columns of the file layout that the documents do not have.
+NEVER_IN_DOCUMENTS = ("HS", "AS", "HST", "AST", "HC", "AC", "HF", "AF", "HY", "AY", "HR", "AR", "BFE_over_2_5", "BFE_under_2_5",
+                      "Max_over_2_5", "Max_under_2_5", "Avg_over_2_5", "Avg_under_2_5", "AHh", "B365AHH", "B365AHA", "PAHH",
+                      "PAHA", "AvgAHH", "AvgAHA")
+
 OUTCOME = T.StructType([T.StructField("name", T.StringType()), T.StructField("price", T.DoubleType()),
                         T.StructField("point", T.DoubleType())])
 MARKET = T.StructType([T.StructField("key", T.StringType()), T.StructField("outcomes", T.ArrayType(OUTCOME))])
@@ -118,8 +123,11 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
         F.array_max(side("a")).alias("MaxA"),
         avg(side("h")).alias("AvgH"), avg(side("d")).alias("AvgD"), avg(side("a")).alias("AvgA"),
         over.alias("B365_over_2_5"), under.alias("B365_under_2_5"))
-    closing = {f"{bk}C{s}": F.col(f"{bk}{s}") for bk in ("B365", "PS", "Max", "Avg") for s in "HDA"}
-    return out.withColumns(closing)
+    # a price of 0 is no price when it stands in for the closing one
+    closing = {f"{bk}C{s}": F.when(F.col(f"{bk}{s}") != 0, F.col(f"{bk}{s}")) for bk in ("B365", "PS", "Max", "Avg") for s in "HDA"}
+    # what the documents never carry is there, empty, so that rows of files and documents have one layout
+    absent = {c: F.lit(None).cast("double") for c in NEVER_IN_DOCUMENTS}
+    return out.withColumns(closing).withColumns({"Referee": F.lit(None).cast("string")} | absent)
 
 
 # --------------------------------------------------------------------------- A12

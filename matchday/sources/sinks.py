@@ -10,20 +10,23 @@ table as it was (between the renames a reader may find none; a table format
 with atomic overwrite removes that gap). A keyed rewrite of a partitioned
 table only rewrites touched partitions; as it overwrites what it reads, it
 first cuts the lineage with ``DataFrame.checkpoint()`` into
-``spark.checkpoint.dir`` (the cluster's shared folder). The append-only
+``spark.checkpoint.dir`` (the cluster's shared folder). ``upsert`` keeps a table
+in key buckets and rewrites only those that new keys fall into. The append-only
 conflict check is not race-free against a concurrent writer.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import DuplicateKeyError, duplicate_keys
-from ..operators.rank import first_by
+from ..operators.rank import first_by, latest_by
 from ..session import ensure_checkpoint_dir
 
 
@@ -67,6 +70,15 @@ def append_conflicts(existing: DataFrame, incoming: DataFrame, key) -> DataFrame
     return stored.unionByName(dup)
 
 
+def merge_newest(old: DataFrame, new: DataFrame, key, order: Sequence[str]) -> DataFrame:
+    """Per key the greatest row by ``order`` of both, the new one of equals; rows without a key all stay."""
+    both = old.withColumn("__prio", F.lit(0)).unionByName(new.withColumn("__prio", F.lit(1)), allowMissingColumns=True)
+    k = _cols(key)
+    lacks = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(True)) for c in k], F.lit(False))
+    picked = latest_by(both.where(~lacks), k, [*order, "__prio"])
+    return picked.unionByName(both.where(lacks)).drop("__prio")
+
+
 # --------------------------------------------------------------------------- writers
 def _frozen(df: DataFrame) -> DataFrame:
     """Materialise into the checkpoint folder (lineage cut, executor-loss safe)."""
@@ -121,12 +133,30 @@ def _exists(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame |
         raise
 
 
+def _as_stored(spark: SparkSession, path: str, fmt: str, old: DataFrame, df: DataFrame, col: str) -> DataFrame:
+    """``old`` with the partition column in the type that ``df`` has: folder names tell no type
+    (``01`` would read as the number 1)."""
+    want = df.schema[col].dataType
+    if old.schema[col].dataType == want:
+        return old
+    fields = [T.StructField(f.name, want if f.name == col else f.dataType) for f in old.schema.fields]
+    return spark.read.schema(T.StructType(fields)).format(fmt).load(path)
+
+
+def _typed_like(df: DataFrame, old: DataFrame) -> DataFrame:
+    """``df`` with the columns that ``old`` has in its types: all files of a table must agree."""
+    kinds = {f.name: f.dataType for f in old.schema.fields}
+    return df.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) if c in kinds else F.col(f"`{c}`") for c in df.columns])
+
+
 def replace_keys(df: DataFrame, path: str, key, fmt: str = "parquet", partition_col: str | None = None) -> None:
     """Keyed replace (upsert) of the stored table, staged and swapped.
 
     With ``partition_col`` the table keeps that partitioning and only touched
     partitions are rewritten: those of the new rows and those that hold a
-    replaced key. A touched partition that ends up empty is removed.
+    replaced key, the partition of NULL included. A touched partition that ends
+    up empty is removed. (``upsert`` rewrites less where keys say nothing of partitions.)
+    A row without a key is replaced by none.
     """
     spark = df.sparkSession
     old = _exists(spark, path, fmt)
@@ -136,19 +166,64 @@ def replace_keys(df: DataFrame, path: str, key, fmt: str = "parquet", partition_
     if partition_col is None:
         _write_staged(replace_keys_frame(old, df, key), path, fmt)
         return
-    k = _cols(key)
+    old = _as_stored(spark, path, fmt, old, df, partition_col)
+    df = _typed_like(df, old)
+    k, part = _cols(key), F.col(partition_col)
     hit = old.join(df.select(*k).distinct(), k, "left_semi").select(partition_col).distinct()
-    touched = _frozen(hit.unionByName(df.select(partition_col)).distinct())
-    out = _frozen(replace_keys_frame(old.join(touched, partition_col, "left_semi"), df, key))
-    # partition values, not rows: as many as there are touched partitions
-    gone = [r[0] for r in touched.join(out.select(partition_col).distinct(), partition_col, "left_anti").collect()]
+    touched = _frozen(hit.unionByName(df.select(partition_col)).distinct().withColumnRenamed(partition_col, "__p"))
+    out = _frozen(replace_keys_frame(old.join(touched, part.eqNullSafe(F.col("__p")), "left_semi"), df, key))
+    # the folders of partitions that end up empty: one row each, as Spark names their files
+    left = out.select(partition_col).distinct()
+    gone = touched.join(left, part.eqNullSafe(F.col("__p")), "left_anti")
+    files = (old.select(partition_col, F.col("_metadata.file_path").alias("__f"))
+             .join(gone, part.eqNullSafe(F.col("__p")), "left_semi"))
+    folders = [r[0] for r in files.select(F.regexp_replace("__f", "/[^/]*$", "")).distinct().collect()]
     replace_partitions(out, path, partition_col, fmt)
     jvm, fs, _ = _fs(spark, path)
-    for v in gone:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={v}"), True)
+    for f in folders:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)), True)
+    spark.catalog.refreshByPath(path)
+
+
+BUCKETS = "_bucket_of_"
+
+
+def upsert(df: DataFrame, path: str, key, buckets: int = 64, fmt: str = "parquet", newest: Sequence[str] = ()) -> None:
+    """J3/J4 on a table stored by key buckets: the folders ``_bucket_of_<n>=<i>`` hold the rows
+    whose key hashes to ``i``, so a key never leaves its bucket and only buckets with new keys
+    are read and rewritten; the files of all others stay as they are.
+
+    The new rows are computed once (into the checkpoint folder). ``buckets`` counts only when the
+    table is made; later calls follow its folders. A row without a key is replaced by none.
+    With ``newest`` (columns) a stored row stays where it is greater by them than the new one of
+    its key; of equal ones the new row counts. Read it with ``read_upserted``.
+    """
+    spark = df.sparkSession
+    old = _exists(spark, path, fmt)
+    held = [c for c in old.columns if c.startswith(BUCKETS)] if old is not None else []
+    if old is not None and not held:
+        raise ValueError(f"{path} is not stored by key buckets: rewrite it once with upsert to another path")
+    col = held[0] if held else f"{BUCKETS}{buckets}"
+    number = int(col[len(BUCKETS):])
+    hashed = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in _cols(key)]), F.lit(number)).cast("int")
+    new = _frozen((df if old is None else _typed_like(df, old)).withColumn(col, hashed))
+    if old is not None:
+        touched = [r[0] for r in new.select(col).distinct().collect()]  # at most the number of buckets
+        if not touched:
+            return
+        held_rows = old.where(F.col(col).isin(touched))
+        new = (merge_newest(held_rows, new, key, newest) if newest else replace_keys_frame(held_rows, new, key))
+    # a dynamic overwrite swaps folders when the job commits, so the old rows can be read until then
+    replace_partitions(new.repartition(col), path, col, fmt)
     spark.catalog.refreshByPath(path)
 
 
+def read_upserted(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of a table written by ``upsert``, without its bucket column."""
+    df = spark.read.format(fmt).load(path)
+    return df.drop(*[c for c in df.columns if c.startswith(BUCKETS)])
+
+
 def append_unique(df: DataFrame, path: str, key, force: bool = False, partition_col: str | None = None,
                   fmt: str = "parquet") -> None:
     """Append-only write; a key already stored (or repeated in the batch)
@@ -189,28 +264,35 @@ def insert_ignore(df: DataFrame, path: str, key, order: Sequence[Column | str] =
     w.save(path)
 
 
-def save_many(tables: Mapping[str, DataFrame], root: str, known: Sequence[str] | None = None,
-              partition_cols: Mapping[str, str] | None = None) -> dict[str, str]:
+def save_many(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], root: str, known: Sequence[str] | None = None,
+              partition_cols: Mapping[str, str] | None = None, workers: int = 1) -> dict[str, str]:
     """Save several tables; empty or unknown ones are skipped and one
-    failure does not stop the others. Returns ``{table: status}``."""
-    status: dict[str, str] = {}
-    for name, df in tables.items():
+    failure does not stop the others. Returns ``{table: status}``.
+
+    A table may be given as a function, so that its planning too fails alone. ``workers`` tables
+    are written at a time: their jobs share the cluster instead of waiting for each other's tails.
+    """
+    def save(name: str) -> str:
         if known is not None and name not in known:
-            status[name] = "skipped: unknown table"
-            continue
+            return "skipped: unknown table"
         try:
+            df = tables[name]
+            df = df() if callable(df) else df
             if df.isEmpty():
-                status[name] = "skipped: empty"
-                continue
+                return "skipped: empty"
             pc = (partition_cols or {}).get(name)
             if pc:
                 replace_partitions(df, f"{root}/{name}", pc)
             else:
                 replace_all(df, f"{root}/{name}")
-            status[name] = "saved"
+            return "saved"
         except Exception as e:  # noqa: BLE001 - reported per table
-            status[name] = f"failed: {type(e).__name__}: {e}"[:300]
-    return status
+            return f"failed: {type(e).__name__}: {e}"[:300]
+
+    if workers <= 1:
+        return {name: save(name) for name in tables}
+    with ThreadPoolExecutor(workers) as pool:
+        return dict(zip(tables, pool.map(save, tables), strict=True))
 
 
 def normalise_timestamps(df: DataFrame, cols: Sequence[str], fmt: str | None = None) -> DataFrame:
@@ -229,5 +311,5 @@ def normalise_timestamps(df: DataFrame, cols: Sequence[str], fmt: str | None = N
 
 
 __all__ = ["replace_keys_frame", "replace_partitions_frame", "insert_ignore_frame", "append_conflicts",
-           "replace_all", "replace_partitions", "replace_keys", "append_unique", "insert_ignore", "save_many",
+           "replace_all", "replace_partitions", "replace_keys", "upsert", "read_upserted", "append_unique", "insert_ignore", "save_many",
            "normalise_timestamps", "DuplicateKeyError"]

@@ -5,14 +5,15 @@ onto streaming micro-batches:
 
 * player availability snapshots: append-only, unique per (player, gameweek);
   a duplicate key is an error (J5 semantics per micro-batch)
-* bookmaker odds: keyed merge, newest file wins (G1 + J3 per micro-batch)
+* bookmaker odds: keyed merge with the stored rows, the newest wins whatever
+  the order of arrival (G1 + J3 per micro-batch, on key buckets)
 
 Both use ``foreachBatch`` with the checkpoint in the shared folder named by
 ``spark.checkpoint.dir``, so a restarted query resumes from its last
 committed batch. Replays are idempotent: snapshot rows carry the stream's id
 (which Spark keeps in the checkpoint) and the batch that wrote them, and a
-replayed batch only writes rows that are not there yet; the odds merge is a
-keyed replace (re-applying it gives the same table).
+replayed batch only writes rows that are not there yet; the odds merge keeps
+the newest row per key (re-applying it gives the same table).
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 from ..operators.joins import DuplicateKeyError, duplicate_keys
 from ..operators.merge import merge_latest
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import _exists, replace_keys
+from ..sources.sinks import _exists, upsert
 
 
 def _ckpt(spark: SparkSession, name: str, location: str | None) -> str:
@@ -92,11 +93,15 @@ def capture_snapshots(spark: SparkSession, landing_dir: str, schema: T.StructTyp
     return query
 
 
-def odds_batch_writer(table_path: str, key: Sequence[str], order: Sequence[str]):
-    """foreachBatch function: newest row per key wins, keyed replace."""
+def odds_batch_writer(table_path: str, key: Sequence[str], order: Sequence[str], buckets: int = 64):
+    """foreachBatch function: per key the newest row of batch and table stays.
+
+    The stored row takes part in the comparison, so a file that arrives late, however late, never
+    replaces newer odds (no watermark is needed, and none drops a row). Only the key buckets that the
+    batch falls into are read and rewritten.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = merge_latest([batch], list(key), order=list(order))
-        replace_keys(newest, table_path, list(key))
+        upsert(merge_latest([batch], list(key), order=list(order)), table_path, list(key), buckets, newest=list(order))
     return write
 
 
