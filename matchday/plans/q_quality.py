@@ -9,7 +9,7 @@ from ..quality import checks as q
 from . import bindings as b
 from . import features as feat
 from .bindings import AS_OF, GAMEWEEK, with_bindings
-from .catalog import R, conform, query
+from .catalog import B, R, conform, query
 
 NOW = "2024-01-31 12:00:00"  # fixed "now" of the freshness checks (never the wall clock)
 NOW_SQL = f"TIMESTAMP '{NOW}'"
@@ -369,3 +369,68 @@ def _schemas_sql() -> str:
 
 
 query("dq_table_schemas", sql=_schemas_sql())(_schemas_spark)
+
+
+# ----------------------------------------------------------------------------- L6 (squads, finished gameweeks, performance)
+def _squads(spark, d):
+    # an order is a squad, its lines the picks; the line of the largest number is captain, that of number 2 the vice-captain
+    li = b.read(spark, d, "lineitem")
+    return li.select(F.col("l_orderkey").alias("manager_id"), F.lit(1).alias("event"), F.col("l_partkey").alias("player_id"),
+                     (F.col("l_linenumber") == 7).alias("is_captain"), (F.col("l_linenumber") == 2).alias("is_vice_captain"))
+
+
+def _game_rules_spark(spark, d):
+    perf = b.players_by_period(spark, d).select("player_id", "gameweek", "total_points", "minutes",
+                                                F.col("penalties_order").alias("goals_scored"), F.lit(0).alias("assists"))
+    reports = [q.check_picks(_squads(spark, d), size=7), q.validate(perf, "performance", q.performance_rules()),
+               q.check_finished_have_stats(b.gameweeks(spark, d), perf, "gameweeks")]
+    return conform(reports[0].unionByName(reports[1]).unionByName(reports[2]))
+
+
+def _game_rules_sql() -> str:
+    def rep(table, check, column, bad, src):
+        return (f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", '{column}' AS \"column\", "
+                f"{B(f'coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0)')} AS violations, {B('count(*)')} AS total, "
+                f"CASE WHEN coalesce(sum(CASE WHEN {bad} THEN 1 ELSE 0 END), 0) = 0 THEN 'pass' ELSE 'fail' END AS status FROM {src}")
+    squads = ("(SELECT l_orderkey, count(*) AS n, count(*) FILTER (WHERE l_linenumber = 7) AS c, count(*) FILTER (WHERE l_linenumber = 2) AS v, "
+              "count(DISTINCT l_partkey) AS p, count(l_partkey) AS k FROM lineitem GROUP BY l_orderkey)")
+    m = "raw_my_picks"
+    parts = [rep(m, "picks", "manager_id,event", "n <> 7", squads), rep(m, "one_captain", "manager_id,event", "c <> 1", squads),
+             rep(m, "one_vice_captain", "manager_id,event", "v <> 1", squads), rep(m, "no_player_twice", "manager_id,event", "p <> k", squads),
+             rep("performance", "range[-10,None]", "total_points", "total_points < -10", "b_players_gw"),
+             rep("performance", "range[0,120]", "minutes", "(minutes < 0 OR minutes > 120)", "b_players_gw"),
+             rep("performance", "range[0,None]", "goals_scored", "penalties_order < 0", "b_players_gw"),
+             rep("performance", "range[0,None]", "assists", "FALSE", "b_players_gw"),
+             rep("gameweeks", "finished_has_stats", "event_id", "event_id NOT IN (SELECT gameweek FROM b_players_gw)",
+                 "(SELECT * FROM b_gameweeks WHERE finished)")]
+    return with_bindings(" UNION ALL ".join(parts), "b_players_gw", "b_gameweeks")
+
+
+query("dq_game_rules", sql=_game_rules_sql())(_game_rules_spark)
+
+# ----------------------------------------------------------------------------- L14 over every kind of check
+_REPORTS = ("dq_schema", "dq_unique", "dq_referential", "dq_business", "dq_formula", "dq_temporal", "dq_freshness", "dq_sanity",
+            "dq_table_schemas", "dq_game_rules")
+
+
+def _full_report_spark(spark, d):
+    from .catalog import all_queries
+    value = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    li = b.read(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    reports = [all_queries()[n][0](spark, d) for n in _REPORTS] + [
+        q.check_reconciled(li, "orders", "o_orderkey", value, b.read(spark, d, "orders"), "o_totalprice", 1.0),
+        q.check_complete(b.players(spark, d), "players"),
+        q.check_periods({"fixtures": (b.fixtures(spark, d), "event"), "history": (b.history(spark, d), "gameweek")}, GAMEWEEK - 1)]
+    return conform(q.summarise(reports))
+
+
+def _full_report_sql() -> str:
+    from .catalog import REGISTRY
+    subs = [f"SELECT status FROM ({REGISTRY[n][1]})" for n in _REPORTS]
+    subs.append(f"SELECT CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END AS status FROM ({REGISTRY['dq_reconcile'][1]})")
+    subs.append(f"SELECT CASE grade WHEN 'GOOD' THEN 'pass' WHEN 'FAIR' THEN 'warn' ELSE 'fail' END FROM ({REGISTRY['dq_completeness'][1]})")
+    subs.append("SELECT CASE WHEN count(p.period) = 0 THEN 'pass' ELSE 'fail' END FROM (SELECT 'fixtures' AS t UNION ALL SELECT 'history') n "
+                f"LEFT JOIN ({REGISTRY['dq_partition_completeness'][1]}) p ON n.t = p.\"table\" GROUP BY n.t")
+    return f"""SELECT {B('count(*)')} AS checks, {B("count(*) FILTER (WHERE status = 'pass')")} AS passed,
+  {B("count(*) FILTER (WHERE status = 'warn')")} AS warned, {B("count(*) FILTER (WHERE status = 'fail')")} AS failed,
+  {R("round(count(*) FILTER (WHERE status = 'pass') / count(*) * 100.0, 2)")} AS success_rate FROM ({' UNION ALL '.join(subs)})"""

@@ -364,3 +364,10 @@ query("fixtures_document", sql=with_bindings(f"""
 SELECT fixture_id, {B('event')} AS event, CASE WHEN fixture_id % 7 <> 0 THEN CAST(kickoff_utc AS TIMESTAMP) END AS kickoff_utc, home_team_id, away_team_id,
   CASE WHEN finished THEN '[{{"identifier":"goals","h":' || team_h_score || '}}]' ELSE '[]' END AS stats, {AS_OF_SQL} AS as_of_utc
 FROM b_fixtures""", "b_fixtures"))(_fixtures_doc_spark)
+
+
+# ----------------------------------------------------------------------------- L14: needs the report rows of the other modules
+from .q_ops import _fk_spark  # noqa: E402,F401  (registers dq_referential)
+from .q_quality import _full_report_spark, _full_report_sql  # noqa: E402
+
+query("dq_full_report", sql=_full_report_sql())(_full_report_spark)

@@ -167,9 +167,11 @@ def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame
                    .when(F.col("team_id") == F.col("__a"), F.lit(False)))
             .when(is_obj, F.get_json_object(fx_txt, "$.is_home").cast("boolean"))
             .otherwise(F.get_json_object(fx_txt, "$[0].is_home").cast("boolean")))
-    # one aggregation per element (its columns ride along as grouping keys):
-    # the first usable entry is the min of a struct led by its position
-    first = ex.groupBy(*carried).agg(
+    # one aggregation per element, keyed by document, position and player alone (its other columns are
+    # the same on all its rows): the first usable entry is the min of a struct led by its position
+    by = [*keys, "player_id"]
+    first = ex.groupBy(*by).agg(
+        *[F.first(c).alias(c) for c in carried if c not in by],
         F.min(F.when(usable, F.struct(F.col("pos"), opp.alias("opponent_team"), home.alias("was_home"))))
         .alias("__m"))
     gw = gameweek if isinstance(gameweek, Column) else F.lit(gameweek)
