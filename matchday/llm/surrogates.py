@@ -1,6 +1,7 @@
 """Surrogates for personal data: keyed, of the same type and form, distinct and coreferent.
 
-Detected: e-mail addresses, IPv4 addresses, card and account numbers (13 to 19 digits),
+Detected (names only after the listed forms of address, so in Latin, Cyrillic and Greek writing; an
+account number with letters is not): e-mail addresses, IPv4 addresses, card and account numbers (13 to 19 digits),
 social security numbers, phone numbers, and person names after a form of address
 (Latin, Cyrillic or Greek script; the form gives the gender).
 
@@ -22,7 +23,8 @@ share a surrogate by design; names are drawn from syllables by a keyed hash.
 Collision check: over the table of distinct entities, a candidate is refused when it is
 an original of the corpus, when an entity with a smaller normal form claims it too, or
 when it was given before; refused entities draw again with the next tweak until none is
-left. Only entities are collected by key, with partial aggregation; a very frequent one is
+left. A form whose strings are all taken (676 addresses ``a@b.co``) is widened from the fifth
+attempt on, by one symbol more each time, so every entity finds a place. Only entities are collected by key, with partial aggregation; a very frequent one is
 one row there, and its places get it by an equi-join that AQE can split.
 
 Only texts that hold a digit, an ``@`` or a form of address are joined with their
@@ -42,7 +44,7 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._util import staged
@@ -75,11 +77,25 @@ PATTERNS = [
     ("name", rf"(?<!\w)(?:{TITLES})\.?\s+(?!(?:{TITLES})\b){WORD}(?:[ ](?!(?:{TITLES})\b){WORD}){{0,2}}"),
 ]
 FOUND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS))
-# A text without any of these holds no entity (checked by Spark before Python sees it).
-MAYBE = r"[0-9@]|(?=[^\x00-\x7F])" + any_of(0, 9) + "|" + "|".join(ADDRESS)
+
+
+def may_hold(text: Column) -> Column:
+    """Whether a text can hold an entity: a digit, an ``@`` or a form of address. Cheap tests first:
+    one class of ASCII, then titles by their capitals, then, only in texts beyond ASCII, digits of
+    other scripts (``Nd`` as the JVM knows it, and beyond the basic plane those that Python knows)."""
+    starts: dict[str, list[str]] = {}
+    for t in ADDRESS:
+        starts.setdefault(t[0], []).append(t[1:])
+    titles = "[" + "".join(starts) + "](?:" + "|".join(sorted({r for rest in starts.values() for r in rest})) + ")"
+    far = "".join(f"{z}-{chr(ord(z) + 9)}" for z in ZEROS if ord(z) > 0xFFFF)
+    digits = rf"\p{{Nd}}|[\x{{10000}}-\x{{10FFFF}}&&[{far}]]"
+    beyond = (F.octet_length(text) > F.length(text)) & text.rlike(digits)
+    return F.coalesce(text.rlike("[0-9@]") | text.rlike(titles) | beyond, F.lit(False))
+
+
 LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 KEY = "public demonstration key: pass your own"
-ROUNDS = 40
+ROUNDS, NARROW = 40, 4
 
 # Syllables for names by script: (inner, endings by gender, endings of surnames by gender).
 SYLLABLES = {
@@ -150,13 +166,25 @@ def luhn(digits: str) -> int:
     return -total % 10
 
 
+def extra(alphabet: str, key: bytes, tweak: str, value: str, attempt: int) -> str:
+    """Symbols that widen a form whose strings are all taken: none in the first ``NARROW`` attempts,
+    then one more an attempt, so that the room grows until everybody has a place."""
+    x = draw(key, "wider", tweak, value)
+    out = ""
+    for _ in range(attempt - NARROW + 1):
+        x, i = divmod(x, len(alphabet))
+        out += alphabet[i]
+    return out
+
+
 def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
-    """The candidate for an entity's normal form at an attempt; of the same normal form."""
+    """The candidate for an entity's normal form at an attempt; of the same form, or from the
+    fifth attempt on of a longer one (addresses have room enough)."""
     tweak = f"{kind}|{attempt}"
     if kind == "email":
         local, domain = value.rsplit("@", 1)
         rest, top = domain.rsplit(".", 1)
-        return f"{shaped(local, key, tweak + '|l')}@{shaped(rest, key, tweak + '|d')}.{top}"
+        return f"{shaped(local, key, tweak + '|l')}{extra(LETTERS, key, tweak, value, attempt)}@{shaped(rest, key, tweak + '|d')}.{top}"
     if kind == "ip":
         fields = [chr(i) for i in range(256)]
         public = ipaddress.ip_address(value).is_global
@@ -166,18 +194,19 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int) -> str:
             out = ".".join(str(ord(c)) for c in now)
             if ipaddress.ip_address(out).is_global == public:
                 return out
+    more = extra(DIGITS, key, tweak, value, attempt) if not kind.startswith("name") else ""
     if kind == "number":
         if str(luhn(value[:-1])) != value[-1]:
-            return value[0] + permute(value[1:], DIGITS, key, tweak)
-        body = value[0] + permute(value[1:-1], DIGITS, key, tweak)
+            return value[0] + permute(value[1:], DIGITS, key, tweak) + more
+        body = value[0] + permute(value[1:-1], DIGITS, key, tweak) + more
         return body + str(luhn(body))
     if kind == "ssn":
-        return permute(value, DIGITS, key, tweak)
+        return permute(value, DIGITS, key, tweak) + more
     if kind == "phone":
         out = permute(value, DIGITS, key, tweak)
         while (out[0] == "0") != (value[0] == "0"):  # a leading zero would read as a trunk prefix
             out = permute(out, DIGITS, key, tweak)
-        return out
+        return out + more
     part, script, gender, word = kind.split(":")[1:] + [value]
     inner, first, last = SYLLABLES[script]
     ends = (first if part == "first" else last)[gender]
@@ -241,14 +270,20 @@ def parts_of(kind: str, text: str) -> list[tuple[str, str, int, int]]:
     return out
 
 
-def written(kind: str, place: str, value: str) -> str:
-    """A surrogate's normal form in the form of the place it replaces."""
+def written(kind: str, place: str, value: str, size: int | None = None) -> str:
+    """A surrogate's normal form in the form of the place it replaces; ``size``: the length of the
+    original's normal form, which a widened surrogate exceeds."""
     if kind in ("ssn", "phone", "number"):
-        before = plain(place)[:-len(value)]  # country code and trunk prefix stay
+        before = plain(place)[:-(size or len(value))]  # country code and trunk prefix stay
         digits = iter(before + value)
-        return "".join(digit_like(c, next(digits)) if c.isdecimal() else c for c in place)
+        out = "".join(digit_like(c, next(digits)) if c.isdecimal() else c for c in place)
+        last = next(c for c in reversed(place) if c.isdecimal())
+        return out + "".join(digit_like(last, d) for d in digits)
     if kind == "email":
-        return "".join(v.upper() if c.isupper() else v for c, v in zip(place, value, strict=True))
+        cut = place.index("@")
+        wider = len(value) - len(place)
+        cases = place[:cut] + place[cut - 1] * wider + place[cut:]  # added letters follow the last one's case
+        return "".join(v.upper() if c.isupper() else v for c, v in zip(cases, value, strict=True))
     if kind == "ip":
         fields = zip(place.split("."), value.split("."), strict=True)
         return ".".join("".join(digit_like(p[0], d) for d in v) for p, v in fields)
@@ -355,7 +390,7 @@ def pseudonymise(docs: DataFrame, secret: str = KEY, key: str = "doc_id", text:
     like an output are not carried; names that start with two underscores are reserved."""
     cols = [c for c in carry if c not in (key, text, "text", "n_entities", "spans")]
     rows = docs.select(key, *cols, F.col(text).alias("text"))
-    maybe = F.coalesce(F.col("text").rlike(MAYBE), F.lit(False))
+    maybe = may_hold(F.col("text"))
     some = rows.where(maybe)
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -379,10 +414,10 @@ def pseudonymise(docs: DataFrame, secret: str = KEY, key: str = "doc_id", text:
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(new=[written(k, p, v) for k, p, v in zip(b["kind"], b["place"], b["new"], strict=True)])[
+            yield b.assign(new=[written(k, p, v, n) for k, p, v, n in zip(b["kind"], b["place"], b["new"], b["n"], strict=True)])[
                 ["__tkey", "lo", "hi", "kind", "new"]]
 
-    placed = (found.withColumn("__e", keyed).join(given, ["__e", "value"]).select("__tkey", "lo", "hi", "kind", "place", "new")
+    placed = (found.withColumn("__e", keyed).join(given, ["__e", "value"]).select("__tkey", "lo", "hi", "kind", "place", "new", F.length("value").alias("n"))
               .mapInPandas(write, "__tkey string, lo int, hi int, kind string, new string")
               .groupBy("__tkey").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "kind", "new"))).alias("__r")))
     init = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
