@@ -8,12 +8,14 @@ embeds each passage, ``h = tanh(E x + e)``; gated attention
 weighted representation ``z = sum(a h)`` gives the score ``sigmoid(c z + d)``. All
 weights are learned together from document labels alone.
 
-Training reads a bounded sample: of the labelled documents that are not held out, the
-``SAMPLE`` per label with the smallest hash, one bag per id (the smallest encoded), each bag with ``TRAIN_PASSAGES`` passages at
-most, evenly spaced (both bounds are parameters; scoring reads every passage). The
-sample's encoded passages (at most ``2 * SAMPLE * TRAIN_PASSAGES`` rows of ``WIDTH``
-bytes) go to the driver, the trained weights (about 70 kB) back with the tasks. Scoring
-is one narrow ``mapInPandas``; memory is that of ``CHARS`` bytes of text or one document.
+Training reads a bounded sample of labelled rows, every passage of each: of the labelled
+documents that are not held out, those with the smallest hash, one bag per id (the smallest
+encoded), up to ``SAMPLE`` documents and ``TRAIN_PASSAGES`` passages per label. The passages
+bound the documents, never a document: where texts are long, fewer are taken, the first of
+them whatever its length. How long they are is counted before any text is encoded, so the
+driver holds at most twice ``TRAIN_PASSAGES`` rows of ``WIDTH`` half floats and two documents; the
+trained weights (about 70 kB) go back with the tasks. Scoring is one narrow ``mapInArrow``;
+memory is that of ``CHARS`` bytes of text or one document.
 
 Labels, language, source and id never enter a score. Cases: a null or empty text is a
 bag of one empty passage and scored as such; labels that are null or not 0/1, or whose
@@ -36,7 +38,7 @@ from pyspark.sql import types as T
 
 PASSAGE = 512
 SAMPLE = 500
-TRAIN_PASSAGES = 16
+TRAIN_PASSAGES = 16_000
 CHARS = 2_000_000
 KINDS = 17
 WIDTH = KINDS * KINDS + 2
@@ -177,16 +179,23 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Weights learned from labelled documents whose crc32(id) mod 3 is not 1."""
     rows = (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1) & ~held_out(F.col(key)))
             .groupBy(key).agg(F.min(label).alias("y")))
-    chosen = [rows.where(F.col("y") == y).orderBy(F.xxhash64(key), key).limit(sample) for y in (0, 1)]
-    # 2 * sample rows, a documented bound
-    some = docs.select(key, F.col(text).alias("text")).join(F.broadcast(chosen[0].unionByName(chosen[1])), key)
+    drawn = [rows.where(F.col("y") == y).orderBy(F.xxhash64(key), key).limit(sample) for y in (0, 1)]
+    drawn = drawn[0].unionByName(drawn[1])  # 2 * sample rows, a documented bound
+    texts = docs.select(key, F.coalesce(F.col(text), F.lit("")).alias("text"))
+    held = F.greatest(F.lit(1), F.ceil(F.octet_length("text") / PASSAGE))
+    sizes = (texts.join(F.broadcast(drawn), key).groupBy(key, "y").agg(F.max(held).alias("n"))
+             .orderBy(F.xxhash64(key), key).collect())  # one row per drawn document
+    chosen, left = [], {0: passages, 1: passages}
+    for r in sizes:
+        if left[r.y] == passages or r.n <= left[r.y]:
+            chosen.append((r[key], r.y))
+            left[r.y] -= r.n
+    some = texts.join(F.broadcast(docs.sparkSession.createDataFrame(chosen, rows.schema)), key)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for t, y, k in zip(b["text"], b["y"], b["k"], strict=True):
                 x, _ = encode([t])
-                if len(x) > passages:
-                    x = x[np.linspace(0, len(x) - 1, passages).astype(int)]
                 yield pd.DataFrame({"k": [k], "y": [y], "n": [len(x)], "x": [x.astype(np.float16).tobytes()]})
 
     got = (some.select(F.col(key).cast("string").alias("k"), "text", F.col("y").cast("int").alias("y"))
