@@ -8,12 +8,17 @@ Each of ``TABLES`` tables hashes a vector to a cell of ``m`` integers
 ``floor((a . x) / WIDTH + b)`` with Gaussian ``a`` (2-stable); ``m`` grows with the
 logarithm of the row count so that a cell holds about ``PER_CELL`` vectors. A query visits
 the perturbed cells of a table in descending order of their estimated chance to hold a
-neighbour at the expected cosine of its own k-th nearest (from its similarities to a bounded
-sample of ``SAMPLE`` ids), until the chances sum to ``TARGET`` and the cells' expected content
-is ``AT_LEAST`` times k. With few vectors that is every cell, so the search is exact there.
-A second look takes the k-th score that was found: where the visited cells' chances at that
-cosine sum to less than ``TARGET``, the query visits further cells until they do. What it
-finds there can only raise the k-th score, so there is no third look.
+neighbour at a given cosine, in two looks:
+
+1. The first look takes the cells most likely at the cosine ``NEAR``, until their chances sum to
+   ``TARGET`` over the tables together or their expected content is ``AT_LEAST`` times k. Where a
+   query has real neighbours it finds them here.
+2. The second look knows the k-th score found, which the true k-th can only exceed. It goes on until
+   the chances at that cosine sum to ``TARGET``: over both tables, each by its share, or in the one
+   table that needs fewer rows for it alone. A query whose neighbours are hardly nearer than the
+   rest so costs at most one pass over all rows; one with near neighbours visits nothing more.
+
+What the second look finds can only raise the k-th score, so there is no third.
 
 Every row is indexed. Cells are stored as blocks of about ``PER_BLOCK`` vectors (a hot cell
 is many blocks), visits as blocks of queries; block meets block by an equi-join on the
@@ -32,7 +37,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -43,8 +47,8 @@ from ._shingles import mixed
 from ._util import discarded, staged
 from ._vectors import matrix, valid_vectors
 
-TABLES, WIDTH, TARGET, AT_LEAST = 2, 1.2, 0.86, 50
-PER_CELL, PER_BLOCK, PER_QUERIES, SAMPLE = 1024, 512, 256, 2000
+TABLES, WIDTH, TARGET, AT_LEAST, NEAR = 2, 1.2, 0.92, 25, 0.8
+PER_CELL, PER_BLOCK, PER_QUERIES = 512, 512, 256
 HALF = 2  # a direction has 2 * HALF intervals, the outer ones open
 ENUMERATE = 20_000  # up to so many cells are ranked at once, more come off a heap
 U = np.uint64
@@ -88,8 +92,9 @@ def intervals(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float) ->
     return chances((cut - cosine * y[:, None]) / spread), chances(cut)
 
 
-def visits(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float, rows: int, k: int) -> np.ndarray:
-    """Cells for one query, best chance first.
+def visits(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float, target: float, content: float = 1.0) -> tuple[np.ndarray, float]:
+    """Cells for one query, best chance first, until their chances sum to ``target`` or the share of
+    all vectors expected in them to ``content``; and that share.
 
     Along each direction a neighbour at ``cosine`` lies at ``N(cosine * q, 1 - cosine**2)``
     and any vector at ``N(0, 1)``, which gives a chance for each interval; a cell's chance
@@ -102,52 +107,63 @@ def visits(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], cosine: float, rows:
         for j in range(m):
             p, c = np.outer(p, near[j]).reshape(-1), np.outer(c, any_[j]).reshape(-1)
         order = np.argsort(-p, kind="stable")
-        short = (np.cumsum(p[order]) < TARGET) | (np.cumsum(c[order]) * rows < AT_LEAST * k)
-        number = order[:min(len(order), int(short.sum()) + 1)]
+        held = np.cumsum(c[order])
+        short = (np.cumsum(p[order]) < target) & (held < content)
+        n = min(len(order), int(short.sum()) + 1)
         digits = (2 * HALF) ** np.arange(m - 1, -1, -1)
-        return number[:, None] // digits % (2 * HALF) - HALF
-    return from_heap(near, any_, rows, k)
+        return order[:n, None] // digits % (2 * HALF) - HALF, float(held[n - 1])
+    return from_heap(near, any_, target, content)
 
 
-def from_heap(near: np.ndarray, any_: np.ndarray, rows: int, k: int) -> np.ndarray:
+def from_heap(near: np.ndarray, any_: np.ndarray, target: float, content: float) -> tuple[np.ndarray, float]:
     """The same order without listing all cells: a cell's successors move one direction to its next best interval."""
     order = np.argsort(-near, axis=1, kind="stable")
     near, any_ = np.take_along_axis(near, order, 1), np.take_along_axis(any_, order, 1)
     first = (0,) * len(near)
     heap, pushed = [(-float(near[:, 0].prod()), first)], {first}
     each = np.arange(len(near))
-    out, chance, content = [], 0.0, 0.0
-    while heap and (chance < TARGET or content * rows < AT_LEAST * k):
+    out, chance, held = [], 0.0, 0.0
+    while heap and chance < target and held < content:
         c, at = heapq.heappop(heap)
         chance -= c
-        content += float(any_[each, at].prod())
+        held += float(any_[each, at].prod())
         out.append(order[each, at] - HALF)
         for j, i in enumerate(at):
             after = (*at[:j], i + 1, *at[j + 1:])
             if i + 1 < near.shape[1] and after not in pushed:
                 pushed.add(after)
                 heapq.heappush(heap, (c / near[j, i] * near[j, i + 1], after))
-    return np.array(out)
-
-
-def expected_cosine(similar: np.ndarray, rows: int, k: int) -> float:
-    """Cosine of a query's k-th nearest of ``rows`` vectors, from its similarities to a sample:
-    their normal tail, or their own quantile where that is smaller."""
-    if len(similar) < 3:
-        return 0.0
-    share = min(0.5, k / max(rows, 1))
-    tail = similar.mean() + similar.std() * NormalDist().inv_cdf(1 - share)
-    return float(np.clip(min(tail, np.quantile(similar, 1 - share)) * 0.95, 0.0, 0.98))
-
-
-def further(q: np.ndarray, f: tuple[np.ndarray, np.ndarray], before: float, cosine: float, rows: int, k: int) -> np.ndarray:
-    """Cells to visit besides those visited for the cosine ``before``, so that the chances at ``cosine`` reach the target."""
-    seen = visits(q, f, before, rows, k).astype(np.int64)
-    near, _ = intervals(q, f, cosine)
-    if near[np.arange(len(near)), seen + HALF].prod(axis=1).sum() >= TARGET:
-        return seen[:0]
-    cells, known = visits(q, f, cosine, rows, k).astype(np.int64), set(map(tuple, seen.tolist()))
-    return cells[np.array([tuple(c) not in known for c in cells.tolist()], bool)]
+    return np.array(out), held
+
+
+def first_look(q: np.ndarray, maps: list, rows: int, k: int) -> list[np.ndarray]:
+    """Of each table the cells of the first look."""
+    share = min(1.0, AT_LEAST * k / max(rows, 1) / TABLES) if rows > AT_LEAST * k else 1.0
+    each = 1 - (1 - TARGET) ** (1 / TABLES) if share < 1 else 1.0
+    return [visits(q, f, NEAR, each if share < 1 else 2.0, share if share < 1 else 2.0)[0] for f in maps]
+
+
+def second_look(q: np.ndarray, maps: list, cosine: float, rows: int, k: int) -> list[np.ndarray]:
+    """Of each table the cells that the second look adds, once the k-th is known to be at ``cosine``."""
+    seen = first_look(q, maps, rows, k)
+    chance = []
+    for f, cells in zip(maps, seen, strict=True):
+        near, _ = intervals(q, f, cosine)
+        chance.append(float(near[np.arange(len(near)), cells + HALF].prod(axis=1).sum()))
+    if 1 - np.prod([1 - min(c, 1.0) for c in chance]) >= TARGET:
+        return [cells[:0] for cells in seen]
+    shared = [visits(q, f, cosine, 1 - (1 - TARGET) ** (1 / TABLES)) for f in maps]
+    alone = [visits(q, f, cosine, TARGET) for f in maps]
+    best = min(range(TABLES), key=lambda t: alone[t][1])
+    if alone[best][1] < sum(c for _, c in shared):
+        plan = [alone[t][0] if t == best else seen[t][:0] for t in range(TABLES)]
+    else:
+        plan = [cells for cells, _ in shared]
+    out = []
+    for cells, before in zip(plan, seen, strict=True):
+        known = set(map(tuple, before.tolist()))
+        out.append(cells[np.array([tuple(c) not in known for c in cells.tolist()], bool)] if len(cells) else cells)
+    return out
 
 
 def best_of(k: int, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> np.ndarray:
@@ -170,10 +186,6 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     about = rows.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("norm"), F.max(F.size("v")).alias("dim")).first()
     n, longest, dim = about["n"] or 0, about["norm"] or 1.0, about["dim"] or 1
-    # a documented bound; an id that many rows repeat is drawn as one
-    drawn = rows.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(SAMPLE)
-    sample = rows.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("v").alias("v")).orderBy("id").collect()
-    s, s_ids = np.array([r["v"] for r in sample]).reshape(len(sample), dim) / longest, np.array([r["id"] for r in sample])
     m = max(1, round(float(np.log2(max(n, 2) / PER_CELL)) / 1.8))
     maps = functions_of(dim + 1, m)
 
@@ -189,19 +201,18 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
         for b in batches:
             q = matrix(b["v"])
             norms = np.linalg.norm(q, axis=1, keepdims=True)
-            similar = q / norms @ s.T
             q = np.column_stack([q / norms, np.zeros(len(q))])
             for i in range(len(b)):
-                cosine = expected_cosine(similar[i][s_ids != b["id"].iloc[i]], n, k)
-                for t, f in enumerate(maps):
-                    if "kth" in b:
-                        kth = b["kth"].iloc[i]
-                        really = 0.0 if pd.isna(kth) else float(np.clip(kth / norms[i, 0] / longest, -0.98, 0.98))
-                        cells = further(q[i], f, cosine, really, n, k)
-                    else:
-                        cells = visits(q[i], f, cosine, n, k).astype(np.int64)
+                if "kth" in b:
+                    kth = b["kth"].iloc[i]
+                    cosine = 0.0 if pd.isna(kth) else float(np.clip(kth / norms[i, 0] / longest, -0.98, 0.98))
+                    looks = second_look(q[i], maps, cosine, n, k)
+                else:
+                    looks = first_look(q[i], maps, n, k)
+                for t, cells in enumerate(looks):
                     if len(cells):
-                        yield pd.DataFrame({"cell": cell_key(cells, t), "id": b["id"].iloc[i], "v": [b["v"].iloc[i]] * len(cells)})
+                        yield pd.DataFrame({"cell": cell_key(cells.astype(np.int64), t), "id": b["id"].iloc[i],
+                                            "v": [b["v"].iloc[i]] * len(cells)})
 
     def blocks(df: DataFrame, per: int, ids: str, vs: str) -> DataFrame:
         """Rows of a cell packed into blocks of about ``per``: dealt by hash into as many as its size asks for."""
@@ -248,10 +259,12 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
     cells = staged(rows.mapInPandas(index, of_cell), "cells")
     stored = staged(blocks(cells, PER_BLOCK, "xi", "xv"), "blocks")  # read by both looks
     discarded(cells)
-    queries = rows.where(is_query(F.col("id")))
-    first = staged(best(searched(staged(queries.repartition("id").mapInPandas(ask, of_cell), "cells"))), "first")
+    # planning a query's cells is work of its own: a number of tasks that AQE does not merge by bytes
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    queries = rows.where(is_query(F.col("id"))).repartition(tasks, "id")
+    first = staged(best(searched(staged(queries.mapInPandas(ask, of_cell), "cells"))), "first")
     kth = staged(first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth")), "kth")
-    more = staged(queries.join(kth, "id", "left").repartition("id").mapInPandas(ask, of_cell), "cells")
+    more = staged(queries.join(kth, "id", "left").repartition(tasks, "id").mapInPandas(ask, of_cell), "cells")
     if more.isEmpty():
         return first
     return best(first.select("query_id", "vec_id", "score").unionByName(searched(more)))

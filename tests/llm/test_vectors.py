@@ -98,9 +98,10 @@ def test_heap_visits_like_enumeration(monkeypatch):
     rng = np.random.default_rng(0)
     f = (rng.normal(size=(9, 3)), rng.uniform(-0.5, 0.5, size=3))
     q = rng.normal(size=9)
-    a = ann.visits(q, f, 0.6, 100_000, 20)
+    a, share = ann.visits(q, f, 0.6, 0.8)
     monkeypatch.setattr(ann, "ENUMERATE", 0)
-    assert [tuple(x) for x in ann.visits(q, f, 0.6, 100_000, 20)] == [tuple(x) for x in a]
+    b, same = ann.visits(q, f, 0.6, 0.8)
+    assert [tuple(x) for x in b] == [tuple(x) for x in a] and abs(share - same) < 1e-9
 
 
 def test_best_of_nothing():
@@ -131,11 +132,52 @@ def test_recall_beside_a_large_group(spark, monkeypatch, noise):
 
 def test_second_look_reaches_the_target():
     rng = np.random.default_rng(1)
-    f = (rng.normal(size=(9, 3)), rng.uniform(-0.5, 0.5, size=3))
-    q = rng.normal(size=9)
+    maps = ann.functions_of(9, 5)
+    q = np.append(rng.normal(size=8), 0.0)
     q /= np.linalg.norm(q)
-    seen, more = ann.visits(q, f, 0.9, 100_000, 1), ann.further(q, f, 0.9, 0.3, 100_000, 1)
-    assert len(more) and not {tuple(c) for c in seen} & {tuple(c) for c in more}
-    near, _ = ann.intervals(q, f, 0.3)
-    chance = sum(near[range(3), np.array(c) + ann.HALF].prod() for c in [*seen, *more])
-    assert chance >= ann.TARGET and not len(ann.further(q, f, 0.3, 0.9, 100_000, 1))
+    for cosine in (0.2, 0.6, 0.9):
+        seen, more = ann.first_look(q, maps, 1_000_000, 20), ann.second_look(q, maps, cosine, 1_000_000, 20)
+        missed = 1.0
+        for f, a, b in zip(maps, seen, more, strict=True):
+            assert not {tuple(c) for c in a} & {tuple(c) for c in b}
+            near, _ = ann.intervals(q, f, cosine)
+            missed *= 1 - min(1.0, sum(near[range(5), np.array(c) + ann.HALF].prod() for c in [*a, *b]))
+        assert 1 - missed >= ann.TARGET - 1e-9
+    # all cells where there are few rows
+    assert [len(c) for c in ann.first_look(q, maps, 300, 20)] == [(2 * ann.HALF) ** 5] * ann.TABLES
+
+
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("near", [None, 0.92])
+def test_recall_and_pairs_at_shipped_settings(near):
+    """The operator's own plan of cells, its scoring replaced by one matrix product."""
+    rng = np.random.default_rng(4)
+    n, k = 20_000, 20
+    x = unit(rng.normal(size=(n, 64)))
+    if near:  # groups of 50 about a centre
+        x = unit(np.repeat(x[:n // 50], 50, axis=0) + np.sqrt(1 / near - 1) * unit(rng.normal(size=(n, 64))))
+    stored = np.column_stack([x, np.zeros(n)])
+    m = max(1, round(float(np.log2(n / ann.PER_CELL)) / 1.8))
+    maps = ann.functions_of(65, m)
+    keys = [ann.cell_key(ann.place(stored, f), t) for t, f in enumerate(maps)]
+    recall, pairs = [], []
+    for i in range(0, n, 500):
+        s = x @ x[i]
+        s[i] = -1
+        q, seen, scored = stored[i], np.zeros(n, bool), 0
+
+        def look(cells, seen=seen):
+            hits = [np.isin(keys[t], ann.cell_key(c.astype(np.int64), t)) for t, c in enumerate(cells) if len(c)]
+            for h in hits:
+                seen |= h
+            return sum(int(h.sum()) for h in hits)
+
+        scored += look(ann.first_look(q, maps, n, k))
+        scored += look(ann.second_look(q, maps, float(np.sort(s[seen])[-k]), n, k))
+        recall.append(np.mean(np.sort(s[seen])[-k:] >= np.sort(s)[-k]))
+        pairs.append(scored / n)
+    assert np.mean(recall) >= 0.9 and max(pairs) < 1.3
+    assert np.mean(pairs) < (0.5 if near else 1.05)
