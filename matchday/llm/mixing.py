@@ -18,8 +18,11 @@ the others keep their own proportions. Sources that have no weight of their own
 A document's index in its source needs no window over the source: the source is
 cut by hash into as many buckets of about ``rows_per_bucket`` rows as its size
 asks for, buckets get running offsets and rows are numbered inside their bucket.
-A source that holds a third of all rows is spread over a third of the buckets.
-Rows that repeat an id are numbered by id and text; equal rows are interchangeable.
+A source that holds a third of all rows is spread over a third of the buckets. The hash is of
+id and text, so rows of one id, or without id, are spread too. Only rows that repeat id and text
+share a hash; they are interchangeable, and where more than ``rows_per_bucket`` of them do, they
+follow the source's other rows, cut into parts by their place in the table (written first, so that
+the cut stands).
 An empty table gives an empty result; text, null or of any length, is only
 carried. Columns of other names are carried untouched, but for those named as in ``OUT``,
 which the operator's own replace; names that start with two underscores are reserved.
@@ -34,6 +37,8 @@ from math import gcd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ._util import staged
+
 REST = "*"
 OUT = ("mix_source", "mix_block", "mix_slot", "mix_release", "mix_deadline", "mix_position")
 MAX_PERIOD = 10_000
@@ -97,20 +102,29 @@ def mix(docs: DataFrame, weights: Mapping[str, int] | None = None, key: str = "d
     rest = F.lit(REST) if REST in w else F.raise_error(F.concat(F.lit("no weight for source "),
                                                                 F.coalesce(F.col(source), F.lit("null")))).cast("string")
     named = F.when(F.coalesce(F.col(source).isin(given), F.lit(False)), F.col(source)).otherwise(rest)
-    digest = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    words = F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))) if "text" in docs.columns else F.lit("")
+    digest = F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"), words))
     rows = docs.withColumn("mix_source", named).withColumn("__h", digest)
     # at most as many rows as there are weights
     sizes = rows.groupBy("mix_source").agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("__buckets"))
     head = F.conv(F.substring("__h", 1, 8), 16, 10).cast("long")
-    cut = (rows.join(F.broadcast(sizes), "mix_source")
-           .withColumn("__b", F.floor(head * F.col("__buckets") / 2 ** 32).cast("long")))
-    held = cut.groupBy("mix_source", "__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy("mix_source").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = held.select("mix_source", "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    inside = Window.partitionBy("mix_source", "__b").orderBy(
-        "__h", F.col(key), *([F.xxhash64("text")] if "text" in docs.columns else []))
+    hot = staged(rows.groupBy("mix_source", "__h").agg(F.count(F.lit(1)).alias("__same"))
+                 .where(F.col("__same") > rows_per_bucket), "hot")
+    cut = (rows.join(hot, ["mix_source", "__h"], "left_anti").join(F.broadcast(sizes), "mix_source")
+           .withColumn("__b", F.floor(head * F.col("__buckets") / 2 ** 32).cast("long"))
+           .withColumn("__part", F.struct(F.lit("").alias("h"), F.lit(0).cast("long").alias("i"))).drop("__buckets"))
+    if not hot.isEmpty():
+        parts = F.ceil(F.col("__same") / rows_per_bucket)
+        same = staged(rows.join(hot, ["mix_source", "__h"]).withColumn("__b", F.lit(1 << 40).cast("long"))
+                      .withColumn("__part", F.struct(F.col("__h").alias("h"), F.pmod(
+                          F.xxhash64(F.monotonically_increasing_id()), parts).cast("long").alias("i"))).drop("__same"), "same")
+        cut = cut.unionByName(same)
+    held = cut.groupBy("mix_source", "__b", "__part").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("mix_source").orderBy("__b", "__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select("mix_source", "__b", "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy("mix_source", "__b", "__part").orderBy("__h", F.col(key))
     numbered = (cut.withColumn("__r", F.row_number().over(inside) - 1)
-                .join(offsets, ["mix_source", "__b"])
+                .join(offsets, ["mix_source", "__b", "__part"])
                 .withColumn("__i", F.col("__off") + F.col("__r"))
                 .withColumn("mix_block", F.floor(F.col("__i") / block_rows).cast("long")))
     # at most MAX_PERIOD rows
@@ -136,7 +150,7 @@ def ordered(mixed: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the schedule of every document under ``TARGET_WEIGHTS``."""
-    return mix(docs.select("doc_id", "source", F.xxhash64("text").alias("text"))).select("doc_id", *OUT)
+    return mix(docs.select("doc_id", "source", F.md5(F.coalesce("text", F.lit(""))).alias("text"))).select("doc_id", *OUT)
 
 
 def oracle_sql() -> str:
@@ -158,8 +172,9 @@ run(t, done, source, n, j, release, deadline) AS (
     ORDER BY o.deadline, o.i LIMIT 1) p
   WHERE r.t + 1 < {h}),
 docs AS (SELECT doc_id, CASE WHEN source IN ({given}) THEN source ELSE '*' END AS s,
-  md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
-idx AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY h, doc_id) - 1 AS x FROM docs),
+  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(md5(coalesce(text, '')))) AS h FROM documents),
+same AS (SELECT *, count(*) OVER (PARTITION BY s, h) > 500 AS hot FROM docs),
+idx AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY hot, h, doc_id) - 1 AS x FROM same),
 blk AS (SELECT idx.*, x // 16 AS b, w.n AS n FROM idx JOIN w ON w.source = idx.s)
 SELECT doc_id, s AS mix_source, CAST(b AS BIGINT) AS mix_block,
   CAST((b // blk.n) * {h} + r.t AS BIGINT) AS mix_slot,
