@@ -8,7 +8,8 @@ of the 240 neighbouring lattice points. Vectors meet when one visits the other's
 meetings are verified by cosine in double precision.
 
 Identical vectors are one class (partially aggregated) and stand for all their copies.
-Meetings in a cell give only links that join separate components (a spanning forest), and
+A task gives, for every vector it has linked, the smallest id that it is connected to there: one
+row a vector, and the same row from all tasks that see its group, and
 cells over ``BLOCK`` members are dealt out as pairs of blocks, so neither all pairs of a
 group nor a whole hot cell are ever in one task. All links lie inside components: the
 link counts then come from blocks of each component against each other, counted per
@@ -150,9 +151,16 @@ def meet(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def links_in(least: float):
-    """mapInPandas over rows sorted by (cell, lo, hi): links that join separate components of a batch."""
+    """mapInPandas over rows sorted by (cell, lo, hi): of every vector that a task has linked, the smallest
+    id it is connected to there. Tasks that see the same group name the same id, so that their links are equal."""
 
-    def verify(g: pd.DataFrame, up: dict) -> list[tuple]:
+    def top(up: dict, x):
+        while up.setdefault(x, x) != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def verify(g: pd.DataFrame, up: dict) -> None:
         start = np.flatnonzero(np.append(True, (g["cell"].to_numpy()[1:] != g["cell"].to_numpy()[:-1])
                                          | (g["lo"].to_numpy()[1:] != g["lo"].to_numpy()[:-1])
                                          | (g["hi"].to_numpy()[1:] != g["hi"].to_numpy()[:-1])))
@@ -168,23 +176,13 @@ def links_in(least: float):
         a, b = a[keep], b[keep]
         v = matrix(g["v"])
         v /= np.linalg.norm(v, axis=1, keepdims=True)
-        out = []
-
-        def top(x):
-            while up.setdefault(x, x) != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
         for at in range(0, len(a), 100_000):
             x, y = a[at:at + 100_000], b[at:at + 100_000]
             near = np.einsum("ij,ij->i", v[x], v[y]) >= least
             for i, j in zip(ids[x[near]].tolist(), ids[y[near]].tolist(), strict=True):
-                p, q = top(i), top(j)
+                p, q = top(up, i), top(up, j)
                 if p != q:
-                    up[p] = q
-                    out.append((i, j))
-        return out
+                    up[max(p, q)] = min(p, q)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail, up = None, {}
@@ -196,9 +194,12 @@ def links_in(least: float):
             last = ((b["cell"] == end["cell"]) & (b["lo"] == end["lo"]) & (b["hi"] == end["hi"])).to_numpy()
             tail = b[last]
             if not last.all():
-                yield pd.DataFrame(verify(b[~last], up), columns=["a", "b"])
+                verify(b[~last], up)
         if tail is not None and len(tail):
-            yield pd.DataFrame(verify(tail, up), columns=["a", "b"])
+            verify(tail, up)
+        links = [(x, r) for x in list(up) if (r := top(up, x)) != x]
+        for at in range(0, len(links), 100_000):
+            yield pd.DataFrame(links[at:at + 100_000], columns=["a", "b"])
 
     return run
 
@@ -258,7 +259,7 @@ def near_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding
                      "block", "id", "home"))
     found = (dealt.join(classes.select("id", "v"), "id").repartition("cell", "lo", "hi")
              .sortWithinPartitions("cell", "lo", "hi").mapInPandas(links_in(least), f"a {kind}, b {kind}"))
-    comp = components(staged(found, "links"))
+    comp = components(staged(found.distinct(), "links"))
     named = classes.join(comp.withColumnRenamed("node", "id"), "id")
     sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
     linked = degrees(named.join(sizes, "component"), kind, least)
