@@ -14,7 +14,7 @@ def judge(url):
     path = re.match(r"[^?#]*", rest[len(host):])[0]
     host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
     fits = [(h + p, a) for h, p, a in url_rules.SITE_RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-    hits = [r for r, p, _ in url_rules.PATTERN_RULES if url is not None and re.search(p, url.lower())]
+    hits = [r for r, p in url_rules.PATTERN_RULES if url is not None and re.search(p, url.lower())]
     rule, action = max(fits, key=lambda f: len(f[0]), default=(None, None))
     return host, path, rule, action or ("block" if hits else "allow"), min(hits, default=None)
 
@@ -34,9 +34,37 @@ def test_urls_equal_plain_rules(spark):
     assert url_rules.judge_urls(pages.limit(0)).count() == 0
 
 
-def test_rarest_literal():
-    filed = url_rules.rarest_literal([("a", "p", ["x", "yy"]), ("b", "p", ["x"]), ("c", "p", [])])
-    assert [t for t, *_ in filed] == ["yy", "x", None]
+def test_tokens_from_patterns():
+    m = url_rules.mandatory_tokens
+    assert m(r"[?&]utm_source=feed&.*utm_medium=") == [("feed", "medium", "source", "utm")]
+    assert m(r"://([^/?#]*[.])?free-bets?[.]") == [("bet", "free"), ("bets", "free")]
+    assert m(r"[?&](phpsessid|jsessionid)=") == [("jsessionid",), ("phpsessid",)]
+    assert m(r"casino") == [] and m(r"/ca[sz]ino/") == [] and m(r"/(casino/)?") == []
+    assert m(r"^http://a/b$") == [("a", "b", "http")] and m(r"^http://a.b$") == [("http",)]
+    assert m(r"[") == [] and m("/" + "(a|b)" * 7 + "/") == []
+    # whatever matches holds all tokens of an alternative
+    for _, p in url_rules.PATTERN_RULES:
+        for url in URLS_OF_RULES:
+            held = set(re.split(url_rules.NO_TOKEN, url.lower()))
+            assert not re.search(p, url.lower()) or any(set(t) <= held for t in m(p))
+
+
+URLS_OF_RULES = ["http://adult-x1.com/", "http://a.adult-9.net", "http://x.ads-track.de/?q", "https://ad-track.de", "http://free-bets.org/",
+                 "http://my-casino.com", "http://a.cheap-meds.io/x", "http://a.b/?utm_source=feed&x=1&utm_medium=rss", "http://b/ad/click?x",
+                 "http://b/ads/click/2", "http://b/?phpsessid=1", "http://b/?x=2&jsessionid=3", "http://www.spam-farm.com"]
+
+
+def test_thousands_of_rules(spark):
+    """Rules with one shared and one own token, alternatives and rules without tokens: as if all ran on every url."""
+    rules = [(f"r{i:04d}", rf"/shop/item{i}(/|\?)(red|blue{i})") for i in range(3000)] + [("zz", r"x{3}y+z$")]
+    urls = [f"http://shop.com/shop/item{i}/{'red' if i % 2 else f'blue{i}'}?q" for i in range(0, 4000, 37)] + ["http://a/xxxyz", "http://a/", None]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    got = {r.page_id: r.pattern_rule for r in url_rules.judge_urls(pages, pattern_rules=rules).collect()}
+    want = {i: min([r for r, p in rules if u and re.search(p, u)], default=None) for i, u in enumerate(urls)}
+    assert got == want and sum(w is not None for w in want.values()) > 50
+    filed = url_rules.filed(pages.where("url is not null").select("url"), rules[:5]).collect()
+    # the shared token is on every url, so each rule is filed under its own ones
+    assert all(r.token in (f"item{int(r.rule_id[1:])}", f"blue{int(r.rule_id[1:])}") for r in filed) and filed
 
 
 # ------------------------------------------------------------------ mixing
@@ -75,6 +103,19 @@ def test_mix_keeps_every_row(spark):
             mixing.reduced(bad)
 
 
+def test_rows_of_one_id_are_spread(spark):
+    """Rows without an id, and rows equal in id and text, that make up most of a source."""
+    rows = [(None, "a", f"t{i}") for i in range(200)] + [(1, "a", "same")] * 150 + [(i, "b", "x") for i in range(30)] + [(2, "b", "y")] * 25
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    mixed = mixing.mix(docs, {"a": 2, "b": 1}, block_rows=4, rows_per_bucket=20)
+    got = mixed.collect()
+    assert collections.Counter((r.doc_id, r.source, r.text) for r in got) == collections.Counter(rows)
+    assert len({r.mix_position for r in got}) == len(rows)
+    for s, n in (("a", 350), ("b", 55)):
+        blocks = collections.Counter(r.mix_block for r in got if r.mix_source == s)
+        assert sorted(blocks) == list(range(-(-n // 4))) and all(c == 4 for b, c in blocks.items() if b != max(blocks))
+
+
 # ------------------------------------------------------------------ secrets
 def plain(text):
     spans = []
@@ -108,8 +149,13 @@ def test_redaction(spark):
 
 
 def test_trigram_queries():
+    one = lambda p: secrets.trigram_query(secrets.Rule("x", p))
+    assert one(r"(?i)KEY[0-9]+") == [("key",)] and one(r"ab?c*") is None and one(r"[") is None
+    assert all(set(c) <= set("foo foob oob oba obar bar baz obaz".split()) for c in one(r"foo(bar|baz)")) and len(one(r"foo(bar|baz)")) == 2
+    assert one(r"(abc|de)") is None and one(r"(ab){2}") in ([("aba",)], [("bab",)], [("aba", "bab")])
+    assert [set(c) <= {"nee", "eed", "edl", "dle", "oth", "the", "her"} for c in one(r"x.*needle.*y|other")] == [True, True]
     q = {r.kind: secrets.trigram_query(r) for r in secrets.RULES}
-    assert q["hex"] is None and q["access"] == [["aki", "kia"]] and ["ken", "oke", "tok"] in q["assign"]
+    assert q["hex"] is None and q["access"] == [("aki", "kia")] and ("ken", "tok") in q["assign"]
     for r in secrets.RULES:  # every planted match holds one conjunction
         for t in TEXTS:
             for m in re.finditer(r.pattern, t or ""):
