@@ -114,14 +114,15 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
     def norm(c):
         return F.coalesce(F.element_at(mp, F.col(c)), F.col(c)) if mp is not None else F.col(c)
 
+    # each side's prices once; the projection that uses them twice is kept apart by the optimizer
+    step = step.withColumns({f"__{c}": side(c) for c in "hda"})
     out = step.select(
         key, F.date_format("ts", "dd/MM/yyyy").alias("Date"), F.to_date("ts").alias("match_date"),
         norm("home_team").alias("HomeTeam"), norm("away_team").alias("AwayTeam"),
         b365["h"].alias("B365H"), b365["d"].alias("B365D"), b365["a"].alias("B365A"),
         ps["h"].alias("PSH"), ps["d"].alias("PSD"), ps["a"].alias("PSA"),
-        F.array_max(side("h")).alias("MaxH"), F.array_max(side("d")).alias("MaxD"),
-        F.array_max(side("a")).alias("MaxA"),
-        avg(side("h")).alias("AvgH"), avg(side("d")).alias("AvgD"), avg(side("a")).alias("AvgA"),
+        F.array_max("__h").alias("MaxH"), F.array_max("__d").alias("MaxD"), F.array_max("__a").alias("MaxA"),
+        avg(F.col("__h")).alias("AvgH"), avg(F.col("__d")).alias("AvgD"), avg(F.col("__a")).alias("AvgA"),
         over.alias("B365_over_2_5"), under.alias("B365_under_2_5"))
     # a price of 0 is no price when it stands in for the closing one
     closing = {f"{bk}C{s}": F.when(F.col(f"{bk}{s}") != 0, F.col(f"{bk}{s}")) for bk in ("B365", "PS", "Max", "Avg") for s in "HDA"}
