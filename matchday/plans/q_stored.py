@@ -371,3 +371,29 @@ from .q_ops import _fk_spark  # noqa: E402,F401  (registers dq_referential)
 from .q_quality import _full_report_spark, _full_report_sql  # noqa: E402
 
 query("dq_full_report", sql=_full_report_sql())(_full_report_spark)
+
+
+# ----------------------------------------------------------------------------- J1 / F1
+def _replaced_spark(spark, d):
+    path = scratch(spark, "orders")
+    o = b.read(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    sinks.replace_all(o, path)
+    # the table is read by its own replacement
+    sinks.replace_all(spark.read.parquet(path).where(F.col("o_orderstatus") != "F").withColumn("o_totalprice", F.col("o_totalprice") * 2), path)
+    return conform(spark.read.parquet(path))
+
+
+query("replace_whole_table", sql=f"""
+SELECT o_orderkey, o_orderstatus, {R('o_totalprice * 2')} AS o_totalprice FROM orders WHERE o_orderstatus <> 'F'""")(_replaced_spark)
+
+
+def _history_spark(spark, d):
+    from ..operators.filters import in_range
+    rows = in_range(b.players_by_period(spark, d).select("player_id", "gameweek", "minutes"), "gameweek", 10, None, ["gameweek", "player_id"])
+    # each row with its place in the sorted history: what a reader of the sorted rows sees
+    return conform(rows.select("*", (F.col("gameweek") * 1000000 + F.col("player_id")).alias("place")))
+
+
+query("sorted_history", sql=with_bindings(f"""
+SELECT player_id, {B('gameweek')} AS gameweek, {B('minutes')} AS minutes, CAST(gameweek AS BIGINT) * 1000000 + player_id AS place
+FROM b_players_gw WHERE gameweek >= 10 ORDER BY gameweek, player_id""", "b_players_gw"))(_history_spark)
