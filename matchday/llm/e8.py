@@ -13,7 +13,8 @@ row a vector, and the same row from all tasks that see its group, and
 cells over ``BLOCK`` members are dealt out as pairs of blocks, so neither all pairs of a
 group nor a whole hot cell are ever in one task. All links lie inside components: the
 link counts then come from blocks of each component against each other, counted per
-vector without a row per pair.
+vector without a row per pair; a component's blocks grow with it, so that a vector is sent to
+``WIDE`` tasks at most (to more only beyond half a million different vectors in a component).
 
 A pair at cosine 0.95 meets in one table with probability about 0.69, so it is missed
 with less than 1e-3, one at 0.97 with less than 1e-5 (a link is also found by any path).
@@ -42,7 +43,7 @@ from ._vectors import matrix, valid_vectors
 
 TABLES, BLOCKS, SCALE, PROBES = 6, 2, 5.0, 24
 NEAREST = 12  # neighbours of each lattice point that probing combines
-BLOCK = 256
+BLOCK, WIDE, MOST_IN_BLOCK, SLAB = 256, 64, 8192, 512
 U = np.uint64
 
 
@@ -206,7 +207,9 @@ def links_in(least: float):
 
 def degrees(members: DataFrame, kind: str, least: float) -> DataFrame:
     """``(id, n)``: for every class of ``(component, id, v, copies, size)`` the vectors of other classes it links to."""
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    # a vector goes to as many tasks as its component has blocks: WIDE of them, more only beyond MOST_IN_BLOCK
+    per = F.least(F.greatest(F.ceil(F.col("size") / WIDE), F.lit(BLOCK)), F.lit(MOST_IN_BLOCK))
+    blocks = F.ceil(F.col("size") / per).cast("int")
     dealt = (members.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
              .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select("component", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"),
@@ -215,16 +218,20 @@ def degrees(members: DataFrame, kind: str, least: float) -> DataFrame:
     def count(g: pd.DataFrame) -> pd.DataFrame:
         v = matrix(g["v"])
         v /= np.linalg.norm(v, axis=1, keepdims=True)
-        near = v @ v.T >= least - 1e-12
-        ids = g["id"].to_numpy()
-        close = np.argwhere(near & (v @ v.T < least + 1e-12))
-        for i, j in close:  # as the links were verified
-            near[i, j] = np.einsum("i,i->", v[i], v[j]) >= least
-        near &= ids[:, None] != ids[None, :]
-        if g["lo"].iloc[0] != g["hi"].iloc[0]:
-            block = g["block"].to_numpy()
-            near &= block[:, None] != block[None, :]
-        return pd.DataFrame({"id": ids, "n": near @ g["copies"].to_numpy()})
+        ids, block, copies = g["id"].to_numpy(), g["block"].to_numpy(), g["copies"].to_numpy()
+        cross = g["lo"].iloc[0] != g["hi"].iloc[0]
+        n = np.zeros(len(g), np.int64)
+        for at in range(0, len(g), SLAB):
+            part = slice(at, at + SLAB)
+            cosine = v[part] @ v.T
+            near = cosine >= least - 1e-12
+            for i, j in np.argwhere(near & (cosine < least + 1e-12)):  # as the links were verified
+                near[i, j] = np.einsum("i,i->", v[at + i], v[j]) >= least
+            near &= ids[part, None] != ids[None, :]
+            if cross:
+                near &= block[part, None] != block[None, :]
+            n[part] = near @ copies
+        return pd.DataFrame({"id": ids, "n": n})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = None

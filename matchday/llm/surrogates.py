@@ -86,7 +86,7 @@ def may_hold(text: Column) -> Column:
     starts: dict[str, list[str]] = {}
     for t in ADDRESS:
         starts.setdefault(t[0], []).append(t[1:])
-    titles = "[" + "".join(starts) + "](?:" + "|".join(sorted({r for rest in starts.values() for r in rest})) + ")"
+    titles = "(?=[" + "".join(starts) + "])(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in starts.items()) + ")"
     far = "".join(f"{z}-{chr(ord(z) + 9)}" for z in ZEROS if ord(z) > 0xFFFF)
     digits = rf"\p{{Nd}}|[\x{{10000}}-\x{{10FFFF}}&&[{far}]]"
     beyond = (F.octet_length(text) > F.length(text)) & text.rlike(digits)
