@@ -131,7 +131,11 @@ def write_landed(df: DataFrame, path: str, partition_col: str | None = None, che
     in one job; returns ``rows``, ``good``, ``rejected`` and, for each of ``checks`` (such as
     ``coerce:double``), the rows that failed it."""
     bad = F.size(REJECTS) > 0
-    by = {GOOD: ~bad, BAD: bad} | {c: F.exists(REJECTS, lambda r, c=c: r["check"] == c) for c in checks}
+
+    def failed(check: str) -> Column:
+        return F.exists(REJECTS, lambda r: r["check"] == check)
+
+    by = {GOOD: ~bad, BAD: bad} | {c: failed(c) for c in checks}
     watched, seen = observed(df.withColumn(STATUS, F.when(bad, BAD).otherwise(GOOD)), "landing", by)
     watched.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *[STATUS, *([partition_col] if partition_col else [])]).parquet(path)
