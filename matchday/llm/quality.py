@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 PASSAGE = 512
 SAMPLE = 500
 TRAIN_PASSAGES = 16_000
-CHARS = 2_000_000
+CHARS, ROWS = 500_000, 512
 KINDS = 17
 WIDTH = KINDS * KINDS + 2
 GRAM = 8
@@ -220,10 +220,11 @@ def score(docs: DataFrame, weights: dict[str, np.ndarray], text: str = "text", o
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(at).to_pylist()
-            s = np.zeros(len(texts))
-            for lo, hi in text_batches(texts):
-                s[lo:hi] = forward(small, *encode(texts[lo:hi]))[0]
+            s = np.zeros(b.num_rows)
+            for first in range(0, b.num_rows, ROWS):  # a batch's texts become Python's a few at a time
+                texts = b.column(at).slice(first, ROWS).to_pylist()
+                for lo, hi in text_batches(texts):
+                    s[first + lo:first + hi] = forward(small, *encode(texts[lo:hi]))[0]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.clip(s, 0.0, 1.0))], names=[*b.schema.names, out])
 
     at = docs.columns.index(text)
