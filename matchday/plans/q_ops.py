@@ -131,16 +131,24 @@ SELECT o_custkey, {B('gameweek')} AS gameweek FROM exp
 WHERE (o_custkey, gameweek) NOT IN (SELECT (o_custkey, gameweek) FROM o)""")(_g3_spark)
 
 # ----------------------------------------------------------------------------- G4
-# expected: the customers' ids; present: those of the labelled documents
+# expected: every customer's id in each of three tables; present: the ids that those tables hold, all their rows
+_KEYED = {"labels": "doc_id", "part": "p_partkey", "orders": "o_custkey"}
+
+
+def _g4_spark(spark, d):
+    want = b.read(spark, d, "customer").select(F.explode(F.array(*[F.lit(t) for t in _KEYED])).alias("source"),
+                                               F.col("c_custkey").alias("id"))
+    have = union_all([b.read(spark, d, t).select(F.lit(t).alias("source"), F.col(c).alias("id")) for t, c in _KEYED.items()])
+    return conform(diff_keys(want, have, ["source", "id"]))
+
+
 query("missing_extra", sql="""
-WITH want AS (SELECT c_custkey AS id FROM customer), have AS (
-  SELECT doc_id AS id FROM labels)
-SELECT id, 'missing' AS side FROM (SELECT id FROM want EXCEPT SELECT id FROM have)
+WITH want AS (SELECT unnest(['labels', 'part', 'orders']) AS source, c_custkey AS id FROM customer), have AS (
+  SELECT 'labels' AS source, doc_id AS id FROM labels UNION ALL SELECT 'part', p_partkey FROM part
+  UNION ALL SELECT 'orders', o_custkey FROM orders)
+SELECT source, id, 'missing' AS side FROM (SELECT * FROM want EXCEPT SELECT * FROM have)
 UNION ALL
-SELECT id, 'extra' FROM (SELECT id FROM have EXCEPT SELECT id FROM want)""")(
-    lambda spark, d: conform(diff_keys(
-        b.read(spark, d, "customer").select(F.col("c_custkey").alias("id")),
-        b.read(spark, d, "labels").select(F.col("doc_id").alias("id")), "id")))
+SELECT source, id, 'extra' FROM (SELECT * FROM have EXCEPT SELECT * FROM want)""")(_g4_spark)
 
 # ----------------------------------------------------------------------------- C4
 

@@ -216,3 +216,15 @@ def test_accents_of_every_letter_fold(spark):
     df = spark.createDataFrame([("Nguyễn",), ("Škoda",), ("e\u0301cole",), ("Ǻland",)], "n string")
     for term, hit in (("Nguyen", "Nguyễn"), ("skoda", "Škoda"), ("ecole", "e\u0301cole"), ("aland", "Ǻland")):
         assert [r.n for r in name_lookup(df, "n", term).collect()] == [hit]
+
+
+def test_missing_extra_reads_every_row_of_its_tables(spark, tmp_path):
+    from matchday.plans.catalog import all_queries
+    tables = {"customer": ("c_custkey long", [(1,), (2,), (3,)]), "labels": ("doc_id long", [(1,), (9,)]),
+              "part": ("p_partkey long, p_size int", [(1, 5), (2, 40), (7, 1), (8, 50)]), "orders": ("o_custkey long", [(1,), (1,), (2,), (3,)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r.source, r.id, r.side) for r in all_queries()["missing_extra"][0](spark, str(tmp_path)).collect()}
+    # parts of any size count: 1 is not missing, 7 is extra
+    assert got == {("labels", 2, "missing"), ("labels", 3, "missing"), ("labels", 9, "extra"),
+                   ("part", 3, "missing"), ("part", 7, "extra"), ("part", 8, "extra")}
