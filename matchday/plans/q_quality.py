@@ -319,6 +319,8 @@ _PLAYERS = declared.PLAYERS.only(
     "player_id", "web_name", "first_name", "second_name", "team_id", "position_id", "status", "now_cost", "minutes",
     "transfers_in_event", "transfers_out_event", "selected_by_percent", "chance_of_playing_next_round")
 _FIXTURES = declared.FIXTURES.only("fixture_id", "event", "home_team_id", "away_team_id", "team_h_score", "team_a_score")
+_SHARE = sch.Table({"selected_by_percent": sch.Col("double", True, 0.0, 100.0)})
+
 
 def _schemas_spark(spark, d):
     # two raw tables, one with a text column for a number, and one without a column of its schema
@@ -326,7 +328,9 @@ def _schemas_spark(spark, d):
     players = players.withColumn("minutes", F.when(F.col("position_id") == 1, F.lit("ninety")).otherwise(
         F.col("minutes").cast("string")))
     fx = b.fixtures(spark, d)
-    return conform(sch.check_table(players, "players", _PLAYERS).unionByName(sch.check_table(fx, "fixtures", _FIXTURES)))
+    # the declared text of this column holds a number, which is judged beside the text
+    share = sch.rules_of(_SHARE, players.columns)
+    return conform(sch.check_table(players, "players", _PLAYERS, share).unionByName(sch.check_table(fx, "fixtures", _FIXTURES)))
 
 
 def _schemas_sql() -> str:
@@ -346,10 +350,10 @@ def _schemas_sql() -> str:
                                   ("transfers_out_event", "bigint", 0, None, True)]:
         rules += [(p, f"coerce:{kind}", c, "FALSE", "b_players"), (p, text(lo, hi), c, rng(c, lo, hi), "b_players")]
         rules += [] if null else [(p, "not_null", c, f"{c} IS NULL", "b_players")]
-    c = "chance_of_playing_next_round"
-    v = f"TRY_CAST({c} AS DOUBLE)"
-    rules += [(p, "coerce:double", c, f"({c} IS NOT NULL AND {v} IS NULL)", "b_players"),
-              (p, text(0.0, 100.0), c, rng(v, 0, 100), "b_players")]
+    for c in ("selected_by_percent", "chance_of_playing_next_round"):
+        v = f"TRY_CAST({c} AS DOUBLE)"
+        rules += [(p, "coerce:double", c, f"({c} IS NOT NULL AND {v} IS NULL)", "b_players"),
+                  (p, text(0.0, 100.0), c, rng(v, 0, 100), "b_players")]
     rules += [(p, "coerce:bigint", "minutes", "position_id = 1", "b_players"),
               (p, "range[0,None]", "minutes", "(minutes < 0 AND position_id <> 1)", "b_players"),
               (p, "not_null", "status", "status IS NULL", "b_players"),

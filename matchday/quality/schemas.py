@@ -80,13 +80,13 @@ def rules_of(table: Table, present: Sequence[str]) -> list[q.Rule]:
     return [q.Rule(check, c, bad) for c, col in table.columns.items() if c in present for check, bad in col.rules(c)]
 
 
-def check_table(df: DataFrame, name: str, table: Table | None = None) -> DataFrame:
-    """The report of every rule of a table; absent columns are failures of their own."""
+def check_table(df: DataFrame, name: str, table: Table | None = None, more: Sequence[q.Rule] = ()) -> DataFrame:
+    """The report of every rule of a table, and of the row rules ``more``; absent columns are failures of their own."""
     if table is None:
         from .tables import TABLES
         table = TABLES[name]
     absent = [(name, "column_present", c, 1, 1, "fail") for c in table.names() if c not in df.columns]
-    out = q.validate(df, name, rules_of(table, df.columns))
+    out = q.validate(df, name, [*rules_of(table, df.columns), *more])
     for key in table.keys:
         cols = key.split(",")
         if set(cols) <= set(df.columns):

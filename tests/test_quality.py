@@ -106,3 +106,10 @@ def test_all_tables_are_declared():
     for name, table in t.TABLES.items():
         assert all(set(k.split(",")) <= set(table.names()) for k in table.keys), name
     assert {n: len(t.TABLES[n].columns) for n in sizes} == sizes
+
+
+def test_table_schemas_judge_the_share_as_text_and_as_number(spark):
+    from matchday.plans.catalog import all_queries
+    got = [(r.check, r.violations) for r in all_queries()["dq_table_schemas"][0](spark, "/root/testdata/sf0.001").collect()
+           if (r.table, r.column) == ("players", "selected_by_percent")]
+    assert sorted(got) == [("coerce:double", 0), ("length[1,None]", 0), ("not_null", 0), ("range[0.0,100.0]", 0)]
