@@ -24,8 +24,12 @@ def _ts(as_of) -> Column:
 
 def parse_docs(df: DataFrame, col: str, schema: T.StructType | str, keep: Sequence[str] = ()) -> DataFrame:
     """Parse a JSON text column into a struct column ``doc`` (``keep``
-    columns carried along); unparsable documents become NULL and are dropped."""
-    return df.select(*keep, F.from_json(F.col(col), schema).alias("doc")).where(F.col("doc").isNotNull())
+    columns carried along); unparsable documents become NULL and are dropped.
+
+    The parsed column comes out of a one-row explode: filters on its fields stay above it, where
+    a projected one would be parsed again by every filter that the optimizer moves below."""
+    once = F.explode_outer(F.array(F.from_json(F.col(col), schema)))
+    return df.select(*keep, once.alias("doc")).where(F.col("doc").isNotNull())
 
 
 def _fill(df: DataFrame, keep_null: Sequence[str], skip: Sequence[str]) -> DataFrame:
@@ -128,6 +132,9 @@ def flatten_fixtures(docs: DataFrame, path: str | None = None, as_of=None) -> Da
 
 
 # --------------------------------------------------------------------------- A8
+BUCKETS = 4096
+
+
 def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame, gameweek, as_of=None,
                         stats: Sequence[str] = ("total_points", "minutes"),
                         doc_key: str | Sequence[str] | None = None) -> DataFrame:
@@ -137,7 +144,12 @@ def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame
     ``explain[].fixture`` is read as text and may be an int (a fixture id,
     usable only when it is in ``fixtures``; the player's team decides the
     side), an object, or a list whose first item is an object. The first
-    usable entry in array order wins (``min`` of a struct led by position).
+    usable entry in array order wins.
+
+    Entries that carry their own opponent are settled in place; only the ids before the first
+    of them are looked up. An element that asks for none keeps one row, spread over the tasks.
+    The bucket is a second join key: both sides are shuffled for this join, so that AQE can
+    split the partition of an id that very many elements name.
     """
     keys = ([doc_key] if isinstance(doc_key, str) else list(doc_key or [])) + ["__epos"]
     el = live.select(*keys[:-1], F.posexplode(F.col("doc.elements")).alias("__epos", "__el")) \
@@ -147,33 +159,42 @@ def flatten_performance(live: DataFrame, players: DataFrame, fixtures: DataFrame
     pl = players.select("player_id", "team_id", F.col("now_cost").alias("value"))
     base = base.join(pl, "player_id", "left")
     carried = [*keys, "player_id", *stats, "team_id", "value"]
-    ex = base.select(*carried, F.posexplode_outer("explain").alias("pos", "e"))
-    fx_txt = F.col("e.fixture")
-    fid = F.when(fx_txt.rlike(r"^-?\d+$"), fx_txt.cast("long"))
-    fxl = fixtures.select(F.col("fixture_id").alias("__fid"), F.col("home_team_id").alias("__h"),
-                          F.col("away_team_id").alias("__a"))
-    ex = ex.join(fxl, fid == F.col("__fid"), "left")
-    is_obj = F.coalesce(F.ltrim(fx_txt).startswith("{"), F.lit(False))
-    is_list_obj = F.coalesce(F.ltrim(fx_txt).startswith("["), F.lit(False)) & \
-        F.get_json_object(fx_txt, "$[0]").startswith("{")
-    hit = F.col("__fid").isNotNull() & F.col("team_id").isNotNull()
+    by = [*keys, "player_id"]
+
+    def own(txt: Column) -> Column:
+        listed = F.coalesce(F.ltrim(txt).startswith("["), F.lit(False)) & \
+            F.get_json_object(txt, "$[0]").startswith("{")
+        return F.coalesce(F.ltrim(txt).startswith("{"), F.lit(False)) | F.coalesce(listed, F.lit(False))
+
     # entries are only looked at when the player's team is known
-    usable = F.col("team_id").isNotNull() & (hit | is_obj | F.coalesce(is_list_obj, F.lit(False)))
-    opp = (F.when(hit, F.when(F.col("team_id") == F.col("__h"), F.col("__a"))
-                  .when(F.col("team_id") == F.col("__a"), F.col("__h")))
-           .when(is_obj, F.get_json_object(fx_txt, "$.opponent_team").cast("long"))
-           .otherwise(F.get_json_object(fx_txt, "$[0].opponent_team").cast("long")))
-    home = (F.when(hit, F.when(F.col("team_id") == F.col("__h"), F.lit(True))
-                   .when(F.col("team_id") == F.col("__a"), F.lit(False)))
-            .when(is_obj, F.get_json_object(fx_txt, "$.is_home").cast("boolean"))
-            .otherwise(F.get_json_object(fx_txt, "$[0].is_home").cast("boolean")))
+    texts = F.when(F.col("team_id").isNotNull(), F.transform("explain", lambda e, i: F.struct(i.alias("pos"), e["fixture"].alias("txt"))))
+    base = base.select(*carried, texts.alias("__x"))
+    base = base.withColumn("__own", F.try_element_at(F.filter("__x", lambda x: own(x["txt"])), F.lit(1)))
+    before = F.filter("__x", lambda x: x["txt"].rlike(r"^-?\d+$") & (
+        F.col("__own").isNull() | (x["pos"] < F.col("__own")["pos"])))
+    ex = base.select(*carried, F.col("__own.txt").alias("__txt"), F.explode_outer(before).alias("__e"))
+    ex = ex.select(*carried, "__txt", F.col("__e.pos").alias("__pos"), F.col("__e.txt").cast("long").alias("__ask"))
+    ex = ex.withColumn("__bucket", F.pmod(F.coalesce("__ask", F.xxhash64(*by)), F.lit(BUCKETS)))
+    fxl = fixtures.select(F.col("fixture_id").cast("long").alias("__fid"), F.col("home_team_id").alias("__h"),
+                          F.col("away_team_id").alias("__a"))
+    fxl = fxl.withColumn("__b", F.pmod("__fid", F.lit(BUCKETS)))
+    ex = ex.join(fxl, (F.col("__ask") == F.col("__fid")) & (F.col("__bucket") == F.col("__b")), "left")
+    opp = F.when(F.col("team_id") == F.col("__h"), F.col("__a")).when(F.col("team_id") == F.col("__a"), F.col("__h"))
+    home = F.when(F.col("team_id") == F.col("__h"), F.lit(True)).when(F.col("team_id") == F.col("__a"), F.lit(False))
     # one aggregation per element, keyed by document, position and player alone (its other columns are
-    # the same on all its rows): the first usable entry is the min of a struct led by its position
-    by = [*keys, "player_id"]
+    # the same on all its rows): the first id that is a fixture is the min of a struct led by its position
     first = ex.groupBy(*by).agg(
-        *[F.first(c).alias(c) for c in carried if c not in by],
-        F.min(F.when(usable, F.struct(F.col("pos"), opp.alias("opponent_team"), home.alias("was_home"))))
-        .alias("__m"))
+        *[F.first(c).alias(c) for c in [*carried, "__txt"] if c not in by],
+        F.min(F.when(F.col("__fid").isNotNull(), F.struct("__pos", opp.alias("opponent_team"), home.alias("was_home"))))
+        .alias("__hit"))
+    txt, plain = F.col("__txt"), F.ltrim("__txt").startswith("{")
+
+    def of_own(name: str) -> Column:
+        return F.when(plain, F.get_json_object(txt, f"$.{name}")).otherwise(F.get_json_object(txt, f"$[0].{name}"))
+
+    found = F.struct(F.col("__hit.opponent_team").cast("long").alias("opponent_team"), F.col("__hit.was_home").alias("was_home"))
+    first = first.withColumn("__m", F.when(F.col("__hit").isNotNull(), found).otherwise(
+        F.struct(of_own("opponent_team").cast("long").alias("opponent_team"), of_own("is_home").cast("boolean").alias("was_home"))))
     gw = gameweek if isinstance(gameweek, Column) else F.lit(gameweek)
     out = first.select(*keys[:-1], "player_id", gw.alias("gameweek"), *stats, "team_id",
                        F.col("__m.opponent_team").alias("opponent_team"), F.col("__m.was_home").alias("was_home"),

@@ -88,3 +88,19 @@ def test_snapshot_defaults(spark):
     p = spark.createDataFrame([(1, None, None, 55)], "player_id int, news string, form string, now_cost int")
     r = flatten.snapshot(p, 3, False, "2025-01-01 00:00:00").first()
     assert (r.gameweek, r.news, r.form, r.ep_next, r.status, r.is_backfilled) == (3, "", "0.0", "0.0", "a", False)
+
+
+def test_flatten_performance_spreads_elements_without_a_known_fixture(spark):
+    """Ids that no fixture has and elements that ask for none are not sent to one task."""
+    schema = "elements array<struct<id:long,stats:struct<total_points:int,minutes:int>,explain:array<struct<fixture:string>>>>"
+    docs = spark.range(4000).select(F.col("id").alias("k"), F.when(F.col("id") % 2 == 0, F.lit(
+        '{"elements":[{"id":1,"stats":{"total_points":3,"minutes":9},"explain":[{"fixture":{"opponent_team":7,"is_home":true}},{"fixture":5}]}]}')).otherwise(
+        F.lit('{"elements":[{"id":1,"stats":{"total_points":3,"minutes":9},"explain":[{"fixture":-1},{"fixture":6},{"fixture":5}]}]}')).alias("json"))
+    players = spark.createDataFrame([(1, 2, 50)], "player_id long, team_id long, now_cost int")
+    fixtures = spark.createDataFrame([(5, 2, 8), (6, 3, 4)], "fixture_id long, home_team_id long, away_team_id long")
+    plan = flatten.flatten_performance(flatten.parse_docs(docs, "json", schema, keep=["k"]), players, fixtures, 12, doc_key="k")
+    got = {(r.k % 2, r.opponent_team, r.was_home) for r in plan.collect()}
+    # the first usable entry: the object, or fixture 6, which the player's team does not play in
+    assert got == {(0, 7, True), (1, None, None)} and plan.count() == 4000
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1 and "__bucket" in text
