@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SCAN_PARTS = 256
-CACHE_WORDS = 250_000
+CACHE_WORDS = 60_000
 CACHED_LENGTH = 64
 NO_RANK = np.iinfo(np.int32).max
 ARRAY_CELLS = 1 << 20
@@ -289,7 +289,7 @@ def read_spec(path: str) -> str:
         return f.read()
 
 
-def small_batches(batches: Iterator[pd.DataFrame], chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+def small_batches(batches: Iterator[pd.DataFrame], chars: int = 1_000_000) -> Iterator[pd.DataFrame]:
     """The same rows in order, cut so that a batch holds about ``chars`` characters or one row."""
     for b in batches:
         part = b["text"].str.len().cumsum() // chars

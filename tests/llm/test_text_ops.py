@@ -182,3 +182,17 @@ def test_maximal_repeats_have_all_occurrences():
     owned = np.array([len(c) - 199 for c in contexts])
     got = {(n, frozenset(p)) for n, p in repeats.maximal_repeats(contexts, owned)}
     assert got == {(230, frozenset({(0, 1), (1, 1)})), (210, frozenset({(0, 1), (1, 1), (2, 1)}))}
+
+
+def test_bpe_worker_holds_few_words_and_small_batches():
+    """An executor's memory counts its workers: what one holds between and within batches is bounded."""
+    import pandas as pd
+
+    b = bpe.Bpe(bpe.read_spec(bpe.default_vocabulary()))
+    texts = [" ".join(f"w{chr(97 + n)}{i}" for i in range(40_000)) for n in range(3)]
+    first = [list(b.written([t]))[0][0] for t in texts]
+    assert len(b.ids_of) <= 60_000 and len(b.names_of) <= 60_000
+    assert [list(b.written([t]))[0][0] for t in texts] == first  # words that were dropped are encoded again
+    rows = pd.DataFrame({"doc_id": range(8), "text": ["x" * 500_000] * 8})
+    parts = list(bpe.small_batches(iter([rows])))
+    assert max(p["text"].str.len().sum() for p in parts) <= 1_000_000 and [i for p in parts for i in p["doc_id"]] == list(range(8))
