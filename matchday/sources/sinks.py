@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,14 +92,19 @@ def _fs(spark: SparkSession, path: str):
     return jvm, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _write_staged(df: DataFrame, path: str, fmt: str, partition_col: str | None = None) -> None:
-    """Write beside the table, then swap: a failing job leaves the table as it was."""
+def _write_staged(df: DataFrame, path: str, fmt: str, partition_col: str | None = None,
+                  wanted: Callable[[], bool] = lambda: True) -> None:
+    """Write beside the table, then swap: a failing job leaves the table as it was, and so does
+    one whose written rows are not ``wanted`` (asked after the write)."""
     spark = df.sparkSession
     jvm, fs, target = _fs(spark, path)
     tag = uuid.uuid4().hex[:12]
     staging, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{tag}") for kind in ("staging", "old"))
     w = df.write.format(fmt)
     (w.partitionBy(partition_col) if partition_col else w).save(str(staging.toString()))
+    if not wanted():
+        fs.delete(staging, True)
+        return
     if fs.exists(target):
         if not fs.rename(target, old):
             raise OSError(f"cannot move {path} aside")
@@ -278,14 +283,19 @@ def save_many(tables: Mapping[str, DataFrame | Callable[[], DataFrame]], root: s
         try:
             df = tables[name]
             df = df() if callable(df) else df
-            if df.isEmpty():
-                return "skipped: empty"
-            pc = (partition_cols or {}).get(name)
+            # counted by the write itself: a look beforehand would run all shuffles of the plan twice
+            seen = Observation()
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+            path, pc = f"{root}/{name}", (partition_cols or {}).get(name)
             if pc:
-                replace_partitions(df, f"{root}/{name}", pc)
+                _, fs, target = _fs(df.sparkSession, path)
+                held = fs.exists(target)
+                replace_partitions(df, path, pc)  # without rows no partition is replaced
+                if not seen.get["rows"] and not held:
+                    fs.delete(target, True)
             else:
-                replace_all(df, f"{root}/{name}")
-            return "saved"
+                _write_staged(df, path, "parquet", wanted=lambda: seen.get["rows"] > 0)
+            return "saved" if seen.get["rows"] else "skipped: empty"
         except Exception as e:  # noqa: BLE001 - reported per table
             return f"failed: {type(e).__name__}: {e}"[:300]
 

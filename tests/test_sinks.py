@@ -94,3 +94,24 @@ def test_replace_all_may_read_its_own_table(spark, scratch):
     with pytest.raises(Exception, match="no"):
         sinks.replace_all(bad, p)
     assert sorted(r.id for r in spark.read.parquet(p).collect()) == [3, 4]
+
+
+def test_save_many_runs_a_plan_once_and_leaves_stored_tables_for_empty_ones(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(rows):
+        for r in rows:
+            seen.add(len(r))
+            yield r
+
+    df = spark.range(10).select("id", (F.col("id") % 2).alias("p")).repartition(2)
+    counted = df.mapInPandas(touch, df.schema)
+    by = {"a": "p", "none": "p"}
+    tables = {"a": counted.groupBy("id", "p").count(), "b": df, "none": df.where("id < 0"), "nothing": df.where("id < 0")}
+    want = {"a": "saved", "b": "saved", "none": "skipped: empty", "nothing": "skipped: empty"}
+    assert sinks.save_many(tables, scratch, partition_cols=by, workers=2) == want
+    assert seen.value == 10
+    import os
+    assert sorted(os.listdir(scratch)) == ["a", "b"]
+    assert sinks.save_many({"a": df.where("id < 0"), "b": df.where("id < 0")}, scratch, partition_cols=by) == dict.fromkeys("ab", "skipped: empty")
+    assert spark.read.parquet(f"{scratch}/a").count() == 10 and spark.read.parquet(f"{scratch}/b").count() == 10
