@@ -24,9 +24,11 @@ _LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extend
 def _sorted_lines(li: DataFrame, fields: list) -> DataFrame:
     """Per order: its lines as an array sorted by a total order (bounded by
     the lines of one order). Fields are read back with ``lines.<field>``
-    (no higher-order function)."""
+    (no higher-order function). The line is projected before it is collected:
+    inside ``collect_list`` its expressions would be interpreted."""
     s = F.struct(*[F.col(c) for c in _LINE_ORDER]).alias("s")
-    return li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(s, *fields))).alias("lines"))
+    line = li.select("l_orderkey", F.struct(s, *fields).alias("line"))
+    return line.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
 # ----------------------------------------------------------------------------- A1-A5 / H13
@@ -69,6 +71,19 @@ FROM lineitem""")(_json_flatten_spark)
 # ----------------------------------------------------------------------------- A11 / D6
 
 
+def _json_number(x: F.Column) -> F.Column:
+    """A double as JSON text, as ``to_json`` writes it (what is no number is quoted)."""
+    text = x.cast("string")
+    return F.when(F.abs(x) < float("inf"), text).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+
+
+def _json_outcome(name: F.Column, price: F.Column, point: F.Column | None = None) -> F.Column:
+    """One outcome of a market as JSON text; a price that is NULL is left out. Names need no escapes."""
+    fields = [F.lit('{"name":"'), name, F.lit('"'),
+              F.coalesce(F.concat(F.lit(',"price":'), _json_number(price)), F.lit(""))]
+    return F.concat(*fields, *([] if point is None else [F.lit(',"point":'), _json_number(point)]), F.lit("}"))
+
+
 def _market_docs(spark, d) -> DataFrame:
     """One provider JSON document per order; each line is one bookmaker.
     Lines are rendered to JSON text before the per-order collect, so the
@@ -78,30 +93,21 @@ def _market_docs(spark, d) -> DataFrame:
     home = F.concat(F.lit("Home "), F.col("l_orderkey").cast("string"))
     away = F.concat(F.lit("Away "), F.col("l_orderkey").cast("string"))
     q, dc, tx = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
-    no_point = F.lit(None).cast("double")
     home_price = F.when(F.col("l_returnflag") != "R", 1.0 + q / 20.0)  # some books quote no home price
-    h2h = F.struct(F.lit("h2h").alias("key"), F.array(
-        F.struct(home.alias("name"), home_price.alias("price"), no_point.alias("point")),
-        F.struct(F.lit("Draw").alias("name"), (3.0 + dc * 10.0).alias("price"), no_point.alias("point")),
-        F.struct(away.alias("name"), (1.0 + (51.0 - q) / 20.0).alias("price"), no_point.alias("point")))
-        .alias("outcomes"))
+    h2h = F.concat_ws(",", _json_outcome(home, home_price), _json_outcome(F.lit("Draw"), 3.0 + dc * 10.0),
+                      _json_outcome(away, 1.0 + (51.0 - q) / 20.0))
     pt = F.when(tx < 0.04, F.lit(2.5)).otherwise(F.lit(3.5))
-    tot = F.struct(F.lit("totals").alias("key"), F.array(
-        F.struct(F.lit("Over").alias("name"), (1.5 + tx * 10.0).alias("price"), pt.alias("point")),
-        F.struct(F.lit("Under").alias("name"), (2.5 - tx * 10.0).alias("price"), pt.alias("point")))
-        .alias("outcomes"))
-    bk = F.to_json(F.struct(book.alias("key"), F.array(h2h, tot).alias("markets")))
+    tot = F.concat_ws(",", _json_outcome(F.lit("Over"), 1.5 + tx * 10.0, pt), _json_outcome(F.lit("Under"), 2.5 - tx * 10.0, pt))
+    bk = F.concat(F.lit("{"), F.coalesce(F.concat(F.lit('"key":"'), book, F.lit('",')), F.lit("")),
+                  F.lit('"markets":[{"key":"h2h","outcomes":['), h2h, F.lit(']},{"key":"totals","outcomes":['), tot, F.lit("]}]}"))
     per = _sorted_lines(li, [bk.alias("bk")])
     o = b.read(spark, d, "orders")
     j = per.join(o, per.l_orderkey == o.o_orderkey, "inner")
     commence = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("TBD")).otherwise(
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-    head = F.to_json(F.struct(F.concat(F.lit("Home "), F.col("l_orderkey").cast("string")).alias("home_team"),
-                              F.concat(F.lit("Away "), F.col("l_orderkey").cast("string")).alias("away_team"),
-                              commence.alias("commence_time")))
-    # the header object without its closing brace, then the bookmakers array
-    doc = F.concat(F.substring_index(head, "}", 1), F.lit(',"bookmakers":['),
-                   F.array_join(F.col("lines.bk"), ","), F.lit("]}"))
+    doc = F.concat(F.lit('{"home_team":"'), home, F.lit('","away_team":"'), away, F.lit('"'),
+                   F.coalesce(F.concat(F.lit(',"commence_time":"'), commence, F.lit('"')), F.lit("")),
+                   F.lit(',"bookmakers":['), F.array_join(F.col("lines.bk"), ","), F.lit("]}"))
     return j.select("l_orderkey", doc.alias("json"))
 
 

@@ -57,21 +57,25 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
     d = F.col("doc")
     home, away = d["home_team"], d["away_team"]
 
-    def last_price(outcomes, pred):
-        return F.try_element_at(F.filter(outcomes, pred), F.lit(-1))["price"]
-
     def is_home(o):
         return F.coalesce(o["name"] == home, F.lit(False))
 
     def is_away(o):
         return F.coalesce(o["name"] == away, F.lit(False))
 
+    # one pass over a market's outcomes, the last of a side wins
+    entry = T.StructType([T.StructField(k, T.DoubleType()) for k in "hda"])
+    nothing = F.lit(None).cast(entry)
+
+    def quoted(acc, o):
+        h, a = is_home(o), is_away(o)
+        return F.struct(F.when(h, o["price"]).otherwise(acc["h"]).alias("h"),
+                        F.when(h | a, acc["d"]).otherwise(o["price"]).alias("d"),
+                        F.when(a, o["price"]).otherwise(acc["a"]).alias("a"))
+
     def h2h_entries(b):
         return F.transform(F.filter(b["markets"], lambda m: F.coalesce(m["key"] == "h2h", F.lit(False))),
-                           lambda m: F.struct(b["key"].alias("book"),
-                                              last_price(m["outcomes"], is_home).alias("h"),
-                                              last_price(m["outcomes"], lambda o: ~is_home(o) & ~is_away(o)).alias("d"),
-                                              last_price(m["outcomes"], is_away).alias("a")))
+                           lambda m: F.struct(b["key"].alias("book"), F.aggregate(m["outcomes"], nothing, quoted).alias("p")))
 
     entries = F.flatten(F.transform(d["bookmakers"], h2h_entries))
     totals = F.flatten(F.transform(
@@ -87,20 +91,17 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
     e = F.col("e")
 
     def side(c):
-        return F.filter(F.transform(e, lambda x: x[c]), lambda v: v.isNotNull())
+        return F.filter(F.transform(e, lambda x: x["p"][c]), lambda v: v.isNotNull())
 
     def avg(arr):
         return F.when(F.size(arr) > 0, F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v) / F.size(arr))
 
     # one pass in provider order: the exact book always takes over; while the home price is
     # missing, so does any preferred book
-    entry = T.StructType([T.StructField(k, T.DoubleType()) for k in "hda"])
-    nothing = F.lit(None).cast(entry)
-
     def takes_over(acc, x):
         now = F.coalesce(x["book"] == exact, F.lit(False)) | (
             acc["h"].isNull() & F.coalesce(x["book"].isin(*preferred), F.lit(False)))
-        return F.when(now, F.struct(*[x[k].alias(k) for k in "hda"])).otherwise(acc)
+        return F.when(now, x["p"]).otherwise(acc)
 
     b365 = F.aggregate(e, nothing, takes_over)
     ps = F.try_element_at(F.filter(e, lambda x: F.coalesce(x["book"] == sharp, F.lit(False))), F.lit(-1))
@@ -120,7 +121,7 @@ def flatten_market_odds(docs: DataFrame, key: str, name_map: Mapping[str, str] |
         key, F.date_format("ts", "dd/MM/yyyy").alias("Date"), F.to_date("ts").alias("match_date"),
         norm("home_team").alias("HomeTeam"), norm("away_team").alias("AwayTeam"),
         b365["h"].alias("B365H"), b365["d"].alias("B365D"), b365["a"].alias("B365A"),
-        ps["h"].alias("PSH"), ps["d"].alias("PSD"), ps["a"].alias("PSA"),
+        ps["p"]["h"].alias("PSH"), ps["p"]["d"].alias("PSD"), ps["p"]["a"].alias("PSA"),
         F.array_max("__h").alias("MaxH"), F.array_max("__d").alias("MaxD"), F.array_max("__a").alias("MaxA"),
         avg(F.col("__h")).alias("AvgH"), avg(F.col("__d")).alias("AvgD"), avg(F.col("__a")).alias("AvgA"),
         over.alias("B365_over_2_5"), under.alias("B365_under_2_5"))

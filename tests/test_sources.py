@@ -104,3 +104,26 @@ def test_flatten_performance_spreads_elements_without_a_known_fixture(spark):
     assert got == {(0, 7, True), (1, None, None)} and plan.count() == 4000
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("from_json(") == 1 and "__bucket" in text
+
+
+def test_market_documents_render_lines_before_they_are_collected(spark, scratch):
+    """The collect takes a rendered column, and the text is that of ``to_json``: no price for NULL, quotes around no number."""
+    from matchday.plans import q_core
+    spark.createDataFrame([(7, 1, 1, 2, 10.0, 1.0, 0.0, 0.02, "N"), (7, 2, 1, 1, 1e9, 1.0, None, float("nan"), "R"),
+                           (8, 1, 1, 1, float("inf"), 1.0, 0.05, None, None)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_returnflag string").write.parquet(f"{scratch}/lineitem.parquet")
+    spark.sql("SELECT 7L AS o_orderkey, '1-URGENT' AS o_orderpriority, timestamp_ntz'1998-01-02 00:00:00' AS o_orderdate UNION ALL "
+              "SELECT 8L, '5-LOW', timestamp_ntz'1998-01-02 00:00:00'").write.parquet(f"{scratch}/orders.parquet")
+    plan = q_core._market_docs(spark, scratch)
+    got = {r.l_orderkey: r.json for r in plan.collect()}
+    over = '"markets":[{"key":"h2h","outcomes":['
+    assert got[7] == (
+        '{"home_team":"Home 7","away_team":"Away 7","commence_time":"1998-01-02T00:00:00Z","bookmakers":['
+        '{"key":"skybet",' + over + '{"name":"Home 7"},{"name":"Draw"},{"name":"Away 7","price":-4.999999645E7}]},'
+        '{"key":"totals","outcomes":[{"name":"Over","price":"NaN","point":3.5},{"name":"Under","price":"NaN","point":3.5}]}]},'
+        '{"key":"williamhill",' + over + '{"name":"Home 7","price":1.5},{"name":"Draw","price":3.0},{"name":"Away 7","price":3.05}]},'
+        '{"key":"totals","outcomes":[{"name":"Over","price":1.7,"point":2.5},{"name":"Under","price":2.3,"point":2.5}]}]}]}')
+    assert '"commence_time":"TBD"' in got[8] and '{"name":"Home 8"},' in got[8] and '"price":"-Infinity"' in got[8]
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(line#" in text and "StructsToJson" not in text
