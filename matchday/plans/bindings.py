@@ -22,6 +22,8 @@ DuckDB oracle. Mapping:
 from __future__ import annotations
 
 import datetime as _dt
+from functools import partial
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,6 +201,21 @@ def gameweeks(spark: SparkSession, d: str) -> DataFrame:
                     (F.col("event_id") == GAMEWEEK + 1).alias("is_next"))
 
 
+# --------------------------------------------------------------------------- derived once
+def stored(spark: SparkSession, d: str, root: str, *names: str) -> SimpleNamespace:
+    """Bindings for a plan that reads them many times: the named ones are derived once and written whole
+    below ``root`` (a folder that driver and executors share), the others are those of this module."""
+    own = {n: globals()[n] for n in ("players", "players_by_period", "teams", "fixtures", "odds", "history", "gameweeks")}
+    for n in names:
+        own[n](spark, d).write.parquet(f"{root}/{n}")
+        own[n] = partial(_read_stored, f"{root}/{n}")
+    return SimpleNamespace(**own)
+
+
+def _read_stored(path: str, spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 # --------------------------------------------------------------------------- SQL twins
 _ORDER_LINES = """SELECT l_orderkey, min({'n': l_linenumber, 's': l_suppkey}).s AS home,
   max({'n': l_linenumber, 's': l_suppkey}).s AS away,

@@ -425,13 +425,13 @@ _FKS = [("lineitem", "l_orderkey", "lineitem", "orders", "o_orderkey"),
         ("players", "team_id", "b_players", "b_teams", "team_id")]
 
 
-def _fk_spark(spark, d):
-    tabs = {"b_players": b.players(spark, d), "b_teams": b.teams(spark, d)}
+def _fk_spark(spark, d, t=b):
+    tabs = {"b_players": t.players(spark, d), "b_teams": t.teams(spark, d)}
 
-    def t(n):
+    def table(n):
         return tabs[n] if n in tabs else b.read(spark, d, n)
 
-    reps = [_q.check_fk(t(src), name, col, t(parent), pcol) for name, col, src, parent, pcol in _FKS]
+    reps = [_q.check_fk(table(src), name, col, table(parent), pcol) for name, col, src, parent, pcol in _FKS]
     out = reps[0]
     for r in reps[1:]:
         out = out.unionByName(r)

@@ -3,9 +3,12 @@ M1, M2, D2-D4, D7-D9)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..quality import checks as q
+from ..session import ensure_checkpoint_dir
 from . import bindings as b
 from . import features as feat
 from .bindings import AS_OF, GAMEWEEK, with_bindings
@@ -25,10 +28,10 @@ def _rep_sql(table: str, check: str, column: str, bad: str, src: str, severity:
 
 
 # ----------------------------------------------------------------------------- L1-L3
-def _schema_spark(spark, d):
+def _schema_spark(spark, d, t=b):
     li = b.read(spark, d, "lineitem")
     o = b.read(spark, d, "orders")
-    p = b.players(spark, d)
+    p = t.players(spark, d)
     r1 = q.validate(li, "lineitem", [q.between("l_quantity", 1, 50), q.between("l_discount", 0.0, 0.1),
                                      q.isin("l_returnflag", ["A", "N", "R"]), q.isin("l_linestatus", ["O", "F"]),
                                      q.between("l_tax", 0.0, None), q.not_null("l_shipdate")])
@@ -82,15 +85,15 @@ query("dq_unique", sql=" UNION ALL ".join([_uniq_sql("lineitem", ["l_orderkey",
 # ----------------------------------------------------------------------------- L6
 
 
-def _business_spark(spark, d):
-    fx = b.fixtures(spark, d)
+def _business_spark(spark, d, t=b):
+    fx = t.fixtures(spark, d)
     fin = F.coalesce(F.col("finished"), F.lit(False))
     r1 = q.validate(fx, "fixtures", [
         q.predicate("finished_has_scores", ~fin | (F.col("team_h_score").isNotNull() & F.col("team_a_score").isNotNull())),
         q.predicate("scores_non_negative", (F.col("team_h_score") >= 0) & (F.col("team_a_score") >= 0)),
         q.predicate("distinct_teams", F.col("home_team_id") != F.col("away_team_id")),
     ])
-    r2 = q.check_exactly(b.gameweeks(spark, d), "gameweeks", "one_current", F.col("is_current"), 1)
+    r2 = q.check_exactly(t.gameweeks(spark, d), "gameweeks", "one_current", F.col("is_current"), 1)
     r3 = q.check_group(b.read(spark, d, "lineitem"), "lineitem", "lines_per_order<=7", ["l_orderkey"],
                        F.count(F.lit(1)) <= 7)
     return conform(r1.unionByName(r2).unionByName(r3))
@@ -134,12 +137,12 @@ def _reconcile_spark(spark, d):
 
 
 # ----------------------------------------------------------------------------- L8
-def _formula_spark(spark, d):
+def _formula_spark(spark, d, t=b):
     # stored charge of a line against quantity times the part's list price
-    t = b.read(spark, d, "lineitem").join(b.read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = b.read(spark, d, "lineitem").join(b.read(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
     exp = F.col("l_quantity") * F.col("p_retailprice")
-    price = q.check_formula(t, "lineitem", "line_charge", exp, F.col("l_extendedprice"), 0.01)
-    f = feat.fixture_difficulty(b.fixtures(spark, d), b.teams(spark, d), AS_OF)
+    price = q.check_formula(lines, "lineitem", "line_charge", exp, F.col("l_extendedprice"), 0.01)
+    f = feat.fixture_difficulty(t.fixtures(spark, d), t.teams(spark, d), AS_OF)
     exp = F.col("opponent_strength_difficulty") * F.when(F.col("is_home"), 0.9).otherwise(1.1)
     # the rule clips at 5, so a higher venue difficulty breaks this stricter form
     low = q.validate(f, "fixture_difficulty", [q.Rule("venue_at_most_4", "venue_difficulty", F.col("venue_difficulty") > 4.0)])
@@ -322,12 +325,12 @@ _FIXTURES = declared.FIXTURES.only("fixture_id", "event", "home_team_id", "away_
 _SHARE = sch.Table({"selected_by_percent": sch.Col("double", True, 0.0, 100.0)})
 
 
-def _schemas_spark(spark, d):
+def _schemas_spark(spark, d, t=b):
     # two raw tables, one with a text column for a number, and one without a column of its schema
-    players = b.players(spark, d).select(*[c for c in _PLAYERS.names() if c != "first_name"])
+    players = t.players(spark, d).select(*[c for c in _PLAYERS.names() if c != "first_name"])
     players = players.withColumn("minutes", F.when(F.col("position_id") == 1, F.lit("ninety")).otherwise(
         F.col("minutes").cast("string")))
-    fx = b.fixtures(spark, d)
+    fx = t.fixtures(spark, d)
     # the declared text of this column holds a number, which is judged beside the text
     share = sch.rules_of(_SHARE, players.columns)
     return conform(sch.check_table(players, "players", _PLAYERS, share).unionByName(sch.check_table(fx, "fixtures", _FIXTURES)))
@@ -383,11 +386,11 @@ def _squads(spark, d):
                      (F.col("l_linenumber") == 7).alias("is_captain"), (F.col("l_linenumber") == 2).alias("is_vice_captain"))
 
 
-def _game_rules_spark(spark, d):
-    perf = b.players_by_period(spark, d).select("player_id", "gameweek", "total_points", "minutes",
+def _game_rules_spark(spark, d, t=b):
+    perf = t.players_by_period(spark, d).select("player_id", "gameweek", "total_points", "minutes",
                                                 F.col("penalties_order").alias("goals_scored"), F.lit(0).alias("assists"))
     reports = [q.check_picks(_squads(spark, d), size=7), q.validate(perf, "performance", q.performance_rules()),
-               q.check_finished_have_stats(b.gameweeks(spark, d), perf, "gameweeks")]
+               q.check_finished_have_stats(t.gameweeks(spark, d), perf, "gameweeks")]
     return conform(reports[0].unionByName(reports[1]).unionByName(reports[2]))
 
 
@@ -418,13 +421,18 @@ _REPORTS = ("dq_schema", "dq_unique", "dq_referential", "dq_business", "dq_formu
 
 
 def _full_report_spark(spark, d):
+    from .q_ops import _fk_spark
     from .catalog import all_queries
+    # the derived tables that several reports read: each order's and each part's lines are aggregated once
+    t = b.stored(spark, d, f"{ensure_checkpoint_dir(spark)}/report-{uuid.uuid4().hex}", "players", "fixtures")
+    on_derived = {"dq_schema": _schema_spark, "dq_referential": _fk_spark, "dq_business": _business_spark, "dq_formula": _formula_spark,
+                  "dq_table_schemas": _schemas_spark, "dq_game_rules": _game_rules_spark}
     value = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     li = b.read(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
-    reports = [all_queries()[n][0](spark, d) for n in _REPORTS] + [
+    reports = [on_derived[n](spark, d, t) if n in on_derived else all_queries()[n][0](spark, d) for n in _REPORTS] + [
         q.check_reconciled(li, "orders", "o_orderkey", value, b.read(spark, d, "orders"), "o_totalprice", 1.0),
-        q.check_complete(b.players(spark, d), "players"),
-        q.check_periods({"fixtures": (b.fixtures(spark, d), "event"), "history": (b.history(spark, d), "gameweek")}, GAMEWEEK - 1)]
+        q.check_complete(t.players(spark, d), "players"),
+        q.check_periods({"fixtures": (t.fixtures(spark, d), "event"), "history": (t.history(spark, d), "gameweek")}, GAMEWEEK - 1)]
     return conform(q.summarise(reports))
 
 

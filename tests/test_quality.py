@@ -113,3 +113,18 @@ def test_table_schemas_judge_the_share_as_text_and_as_number(spark):
     got = [(r.check, r.violations) for r in all_queries()["dq_table_schemas"][0](spark, "/root/testdata/sf0.001").collect()
            if (r.table, r.column) == ("players", "selected_by_percent")]
     assert sorted(got) == [("coerce:double", 0), ("length[1,None]", 0), ("not_null", 0), ("range[0.0,100.0]", 0)]
+
+
+def test_full_report_derives_shared_tables_once(spark, scratch):
+    """Fixtures and players, which several reports read, are derived once; the reports see the same rows."""
+    from matchday.plans import bindings as b
+    from matchday.plans import q_quality
+    d = "/root/testdata/sf0.001"
+    t = b.stored(spark, d, scratch, "players", "fixtures")
+    for n in ("players", "fixtures"):
+        assert getattr(t, n)(spark, d).dtypes == getattr(b, n)(spark, d).dtypes
+        assert getattr(t, n)(spark, d).exceptAll(getattr(b, n)(spark, d)).count() == 0
+        assert getattr(t, n)(spark, d).count() == getattr(b, n)(spark, d).count()
+    assert t.teams is b.teams
+    leaves = q_quality._full_report_spark(spark, d)._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n")
+    assert leaves.count("l_orderkey#") <= 13, leaves.count("l_orderkey#")  # relations of lineitem; 24 when every report derived its own
