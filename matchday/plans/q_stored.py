@@ -196,12 +196,11 @@ def _provider_rows(spark, d) -> DataFrame:
     o = b.odds(spark, d)
     price = [c for c in o.columns if c not in ("fixture_id", "match_date", "home_team_id", "away_team_id", "referee")]
     date = F.when(F.col("fixture_id") % 29 == 0, F.lit("TBD")).otherwise(F.date_format("match_date", "dd/MM/yyyy"))
+    # an earlier edition of a fifth of the rows, with other prices: both editions come from one pass over the rows
+    editions = F.explode(F.when(F.col("home_team_id") % 5 == 0, F.array(F.lit(2), F.lit(1))).otherwise(F.array(F.lit(2))))
     rows = o.select(date.alias("Date"), club("home_team_id").alias("HomeTeam"), club("away_team_id").alias("AwayTeam"),
-                    F.col("referee").alias("Referee"), *[F.col(c).cast("string").alias(c) for c in price], F.lit(2).alias("seen"),
-                    F.col("home_team_id").alias("__home"))
-    # an earlier edition of a fifth of the rows, with other prices
-    old = rows.where(F.col("__home") % 5 == 0).withColumn("seen", F.lit(1)).withColumn("B365H", F.lit("9.0"))
-    return rows.unionByName(old).drop("__home")
+                    F.col("referee").alias("Referee"), *[F.col(c).cast("string").alias(c) for c in price], editions.alias("seen"))
+    return rows.withColumn("B365H", F.when(F.col("seen") == 1, F.lit("9.0")).otherwise(F.col("B365H")))
 
 
 def _odds_to_features(spark, d):

@@ -85,10 +85,13 @@ def match_odds(rows: DataFrame, fixtures: DataFrame, teams: DataFrame, as_of, or
 
 def newest_per_fixture(matched: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Matched rows, one per fixture: the greatest by ``order``, then by all columns (map-side combined)."""
-    from ..operators.rank import latest_by
     good = matched.where(F.col(REFUSED).isNull()).drop(REFUSED)
     rest = [c for c in good.columns if c not in ("fixture_id", *order)]
-    return latest_by(good, "fixture_id", [*order, F.struct(*rest)]).select(*good.columns)
+    # the columns that break ties are the row itself: each value is carried once
+    newest = F.max(F.struct(*order, F.struct(*rest).alias("__row")))
+    return (good.groupBy("fixture_id").agg(newest.alias("__p"))
+            .select("fixture_id", *[F.col("__p")[c].alias(c) for c in order], *[F.col("__p.__row")[c].alias(c) for c in rest])
+            .select(*good.columns))
 
 
 def ingest_odds(rows: DataFrame, fixtures: DataFrame, teams: DataFrame, as_of, path: str, order: Sequence[str] = (),

@@ -310,3 +310,29 @@ def test_overall_freshness(spark):
            q.freshness_overall({"a": (a, "ts"), "z": (z, "at"), "n": (a.limit(0), "ts")}, "2025-01-03 05:00:00").collect()}
     assert got == {"a": ("2025-01-01", "2025-01-01", 1, 53.0, "very_stale"), "z": ("2025-01-03", "2025-01-03", 1, 5.0, "fresh"),
                    "ALL": ("2025-01-01", "2025-01-03", 2, 5.0, "fresh")}
+
+
+def test_odds_editions_come_from_one_pass_and_a_row_is_carried_once(spark):
+    """Both editions of the provider rows are one read of the lines, and the pick of the newest packs each column once."""
+    from matchday.plans import bindings as b
+    from matchday.plans import q_stored
+    from matchday.sources import ingest
+    d = "/root/testdata/sf0.001"
+    rows = q_stored._provider_rows(spark, d)
+    assert rows._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n").count("l_orderkey#") == 1
+    old, new = rows.where("seen = 1"), rows.where("seen = 2")
+    odds = b.odds(spark, d)
+    assert new.count() == odds.count() and old.count() == odds.where("home_team_id % 5 = 0").count() > 0
+    assert [r.B365H for r in old.select("B365H").distinct().collect()] == ["9.0"]
+    # an old edition is its new one in everything but that price
+    rest = [c for c in rows.columns if c not in ("seen", "B365H")]
+    assert old.select(rest).exceptAll(new.select(rest)).count() == 0
+
+    matched = spark.createDataFrame([(1, 1, 9.0, None, None), (1, 2, 1.5, "b", None), (1, 2, 1.5, "c", None), (2, 1, None, None, None),
+                                     (3, 1, 2.0, "x", "date")], "fixture_id long, seen int, B365H double, referee string, refused string")
+    picked = ingest.newest_per_fixture(matched, ["seen"])
+    assert picked.columns == ["fixture_id", "seen", "B365H", "referee"]
+    assert sorted(tuple(r) for r in picked.collect()) == [(1, 2, 1.5, "c"), (2, 1, None, None)]
+    assert [tuple(r) for r in ingest.newest_per_fixture(matched.where("fixture_id = 1").drop("seen")).collect()] == [(1, 9.0, None)]
+    aggregate = [l for l in picked._jdf.queryExecution().analyzed().toString().split("\n") if "Aggregate" in l]
+    assert len(aggregate) == 1 and aggregate[0].count("referee#") == 1
