@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared scratch folder and read it back."""
+def staged(df: DataFrame, name: str, by: tuple[str, ...] = (), plain: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet to the shared scratch folder and read it back. ``by``: columns that get folders;
+    ``plain``: not compressed."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path, compression="none" if plain else None)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -181,3 +181,81 @@ def test_recall_and_pairs_at_shipped_settings(near):
         pairs.append(scored / n)
     assert np.mean(recall) >= 0.9 and max(pairs) < 1.3
     assert np.mean(pairs) < (0.5 if near else 1.05)
+
+
+def test_a_look_is_one_row_for_a_query_and_table(spark, monkeypatch):
+    """Vectors aren't copied once for each cell visited."""
+    monkeypatch.setattr(ann, "PER_CELL", 64)
+    monkeypatch.setattr(ann, "AT_LEAST", 5)
+    written, stage = [], ann.staged
+
+    def staged(df, name, *how, **more):
+        out = stage(df, name, *how, **more)
+        written.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(ann, "staged", staged)
+    x = vectors(4000, 16, 3)
+    ann.nearest(table(spark, x, bad=False), lambda c: c % 20 == 0).count()
+    asked = written[[name for name, _ in written].index("blocks") + 1:]
+    assert len(asked) > 3 and max(rows for _, rows in asked) <= 200 * 20
+
+
+def test_plans_visit_the_likeliest_cells():
+    rng = np.random.default_rng(6)
+    maps = ann.functions_of(17, 5)
+    q = np.column_stack([unit(rng.normal(size=(30, 16))), np.zeros(30)])
+    cosine = rng.uniform(0.1, 0.9, 30)
+    first, none = ann.plans(q, maps, 1_000_000, 20)
+    least, seen = ann.plans(q, maps, 1_000_000, 20, cosine)
+    assert np.isinf(none).all() and np.allclose(first, seen, rtol=1e-9)
+    for i in range(30):
+        more = ann.second_look(q[i], maps, cosine[i], 1_000_000, 20)
+        for t, f in enumerate(maps):
+            before = {tuple(c) for c in ann.visits(q[i], f, ann.NEAR, ann.SHARED, ann.AT_LEAST * 20 / 1_000_000 / ann.TABLES)[0].tolist()}
+            assert {tuple(c) for c in ann.first_look(q[i], maps, 1_000_000, 20)[t].tolist()} == before
+            got = {tuple(c) for c in more[t].tolist()}
+            assert not got & before
+            if np.isinf(least[i, t]):
+                assert not got
+                continue
+            wants = [{tuple(c) for c in ann.visits(q[i], f, cosine[i], target)[0].tolist()} - before for target in (ann.SHARED, ann.TARGET)]
+            assert got in wants
+            here = ann.logs(ann.intervals(q[i][None], f, cosine[i:i + 1])[0])
+            regions = ann.regions_met(here, least[i:i + 1, t], 2)
+            assert {int(ann.numbers(np.array(c))) // 4 ** 3 for c in got} <= set(regions.tolist())
+
+
+def test_ids_with_several_vectors_against_brute_force(spark):
+    x = vectors(400)
+    ids = np.where(np.arange(400) < 300, np.arange(400), np.arange(400) - 300)  # 100 ids have two vectors
+    rows = spark.createDataFrame([(int(i), v.tolist(), 0) for i, v in zip(ids, x, strict=True)], SCHEMA)
+    got: dict = {}
+    for r in ann.nearest(rows, lambda c: c % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    u = x.astype(np.float64)
+    for q in range(0, 300, 20):
+        best: dict = {}
+        for v in u[ids == q]:
+            for i, s in zip(ids.tolist(), u @ v, strict=True):
+                best[i] = max(best.get(i, -np.inf), s) if i != q else -np.inf
+        del best[q]
+        assert got[q] == sorted(best, key=lambda i: (-best[i], i))[:20]
+
+
+def test_single_precision_only_filters():
+    """Scores nearer to each other than single precision tells apart, of very long vectors, many of them equal."""
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=16) * 1e30
+    x = np.repeat(base[None], 3000, axis=0) * (1 + rng.integers(0, 40, 3000)[:, None] * 1e-13)
+    ids, f = rng.permutation(3000), ann.functions_of(17, 1)[0]
+    longest = float(np.linalg.norm(x, axis=1).max())
+    asked = ann.Asked(ids[:200], x[:200], np.tile([ann.NEAR, -np.inf, 0.0, np.inf], (200, 1)), f, longest, 20, False)
+    for part in np.array_split(np.arange(3000), 4):
+        asked.meet(ids[part], x[part], (x[part] / longest).astype(np.float32), np.zeros(len(part), np.int64))
+        assert sum(len(h[0]) for h in asked.held) < 500_000
+    query, found, score = asked.best()
+    for i in (0, 7, 199):
+        exact = np.einsum("ij,j->i", x, x[i])
+        order = [j for j in np.lexsort((ids, -exact)) if ids[j] != ids[i]][:20]
+        assert found[query == ids[i]].tolist() == ids[order].tolist()
