@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import gc
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +38,17 @@ def discarded(table: DataFrame) -> None:
     released(spark)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting that holds while tables are written."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def released(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that a staged table has replaced."""
     gc.collect()

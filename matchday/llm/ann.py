@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shingles import mixed
-from ._util import discarded, staged
+from ._util import discarded, released, setting, staged
 from ._vectors import valid_vectors
 
 TABLES, WIDTH, TARGET, AT_LEAST, NEAR = 2, 1.2, 0.92, 25, 0.8
@@ -385,7 +385,7 @@ class Asked:
         hits = visited(digits(codes[start], self.here.shape[1] // (2 * HALF)), self.here, self.before, self.least, self.seen)
         for n, (lo, hi) in enumerate(zip(start, np.append(start[1:], len(codes)), strict=True)):
             who = np.flatnonzero(hits[n])
-            for i in range(0, len(who), step := max(1, AT_ONCE // 2 // (hi - lo))):
+            for i in range(0, len(who), step := max(1, AT_ONCE // 8 // (hi - lo))):
                 self.cell(who[i:i + step], ids[lo:hi], x[lo:hi], unit[lo:hi])
 
     def cell(self, who: np.ndarray, ids: np.ndarray, x: np.ndarray, unit: np.ndarray) -> None:
@@ -462,7 +462,7 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
         """So many directions that a region holds about ``per`` rows or more."""
         return int(np.clip(np.log2(max(rows, 1) / per) / 2, 0, m))
 
-    queries = rows.where(is_query(F.col("id")))
+    queries = staged(rows.where(is_query(F.col("id"))), "queries")
     asking = queries.count()
     if not asking:
         return spark.createDataFrame([], f"query_id {kind}, rank int, vec_id {kind}, score double")
@@ -476,16 +476,20 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
     def vectors(column) -> np.ndarray:
         return column.flatten().to_numpy().reshape(len(column), dim)
 
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not len(b):
-                continue
-            raw = vectors(b.column("v"))
-            x = raw / longest
-            x = np.column_stack([x, np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1)))])
-            for t, f in enumerate(maps):
-                cell = numbers(place(x, f))
-                yield pa.RecordBatch.from_pydict({"region": t * all_regions + cell // per_region, "cell": cell, "id": b.column("id"), "v": packed(raw)})
+    def indexed(t: int, whole: bool = True) -> DataFrame:
+        """The rows by their cells of a table; else the regions alone."""
+        def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not len(b):
+                    continue
+                raw = vectors(b.column("v"))
+                x = raw / longest
+                x = np.column_stack([x, np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1)))])
+                cell = numbers(place(x, maps[t]))
+                out = {"region": t * all_regions + cell // per_region}
+                yield pa.RecordBatch.from_pydict(out | {"cell": cell, "id": b.column("id"), "v": packed(raw)} if whole else out)
+
+        return rows.mapInArrow(index, "region long" + f", cell long, id {kind}, v binary" * whole)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A row for each query and table that it visits: in the first look; in the second where a batch has the
@@ -510,9 +514,9 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
                         "region": t * wide + numbers(place(q[at], f)) // (2 * HALF) ** (m - shallow), "id": b.column("id").take(pa.array(at)),
                         "v": packed(raw[at]), "plan": packed(plan)})
 
-    def blocks(df: DataFrame, per: int, most: int, pack, to: str) -> DataFrame:
+    def blocks(df: DataFrame, regions: DataFrame, per: int, most: int, pack, to: str) -> DataFrame:
         """Rows of a region packed into blocks of about ``per``: dealt by hash into as many as its size asks for."""
-        size = staged(df.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / per).alias("parts")), "sizes")
+        size = staged(regions.groupBy("region").agg(F.ceil(F.count(F.lit(1)) / per).alias("parts")), "sizes")
         # a bounded block: about ``per`` rows
         return (df.join(size, "region").withColumn("part", F.pmod(F.xxhash64("id", "v"), F.col("parts"))).drop("parts")
                 .repartition(most, "region", "part").groupBy("region", "part").applyInArrow(pack, to))
@@ -524,8 +528,7 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
             new = np.append(True, (codes[order][1:] != codes[order][:-1]) | (x[order][1:] != x[order][:-1]).any(axis=1))
             start = np.flatnonzero(new)
             order = order[np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order)))) <= k]
-        region = group.column("region")[0].as_py()
-        return pa.table({"region": [region], "t": pa.array([region // all_regions], pa.int32()), "xi": pa.array([ids[order]]), "xv": [x[order].tobytes()], "cells": [codes[order].tobytes()]})
+        return pa.table({"region": group.column("region").slice(0, 1), "xi": pa.array([ids[order]]), "xv": [x[order].tobytes()], "cells": [codes[order].tobytes()]})
 
     def pack_queries(group: pa.Table) -> pa.Table:
         q, plan = unpacked(group.column("v"), number), unpacked(group.column("plan"), np.float64)
@@ -553,14 +556,13 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
             yield pa.RecordBatch.from_pydict({"query_id": query, "vec_id": ids, "score": found})
 
     def searched(asked: DataFrame) -> DataFrame:
-        asks = staged(blocks(asked, per_query, min(tasks, 8 * cores), pack_queries,
+        asks = staged(blocks(asked, asked, per_query, min(tasks, 8 * cores), pack_queries,
                              f"block long, meets array<long>, qi array<{kind}>, qv binary, plan binary, t int"), "asks", ("t",), plain=True)
-        found = []
+        found, at_least = [], int(np.clip(n * asking >> 29, cores, 8 * cores))
         for t, many in sorted(asks.groupBy("t").count().collect()):
             # a task is a block of queries and a part of the table's stored blocks, which it reads where they lie
-            of_t = stored_blocks[t]
-            parts = int(np.clip(-(-4 * cores // many), -(-of_t // 512), of_t))
-            pairs = (stored.where(F.col("t") == t).drop("t").coalesce(parts)
+            parts = int(np.clip(-(-at_least // many), -(-stored_blocks[t] // 512), stored_blocks[t]))
+            pairs = (stored[t].coalesce(parts)
                      .join(asks.where(F.col("t") == t).repartition(many).hint("shuffle_replicate_nl"), F.array_contains("meets", F.col("region"))))
             found.append(pairs.select("t", "block", "qi", "qv", "plan", "xi", "xv", "cells")
                          .mapInArrow(score, f"query_id {kind}, vec_id {kind}, score double"))
@@ -572,21 +574,24 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
         return (each.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
                 .select("query_id", "rank", "vec_id", "score"))
 
-    cells = staged(rows.mapInArrow(index, f"region long, cell long, id {kind}, v binary"), "cells")
     # tasks that have blocks, each for a file of 32 MB at most
-    files = max(min(tasks, max(cores, -(-n * TABLES * 2 // per_block))), -(-n * TABLES * dim * number().itemsize // 2 ** 25))
-    stored = staged(blocks(cells, per_block, files, pack_stored, f"region long, xi array<{kind}>, xv binary, cells binary, t int"),
-                    "blocks", ("t",), plain=True)  # read by both looks
-    discarded(cells)
-    stored_blocks = dict(stored.groupBy("t").count().collect())
+    files = max(min(tasks, max(cores, -(-n * 2 // per_block))), -(-n * dim * number().itemsize // 2 ** 25))
+    stored = []  # of each table, read by both looks
+    for t in range(TABLES):
+        stored.append(staged(blocks(indexed(t), indexed(t, False), per_block, files, pack_stored,
+                                    f"region long, xi array<{kind}>, xv binary, cells binary"), "blocks", plain=True))
+        released(spark)
+    discarded(rows)
+    stored_blocks = [of_t.count() for of_t in stored]
     # planning a query's cells is work of its own: a number of tasks that AQE does not merge by bytes
     spread = min(tasks, max(cores, -(-asking // 256)))
     queries = queries.repartition(spread, "id")
     of_ask = f"region long, id {kind}, v binary, plan binary"
-    first = staged(best(searched(staged(queries.mapInArrow(ask, of_ask), "asked"))), "first")
-    kth = staged(first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth")), "kth")
-    known = queries.join(kth, "id", "left").repartition(spread, "id")
-    more = staged(known.mapInArrow(ask, of_ask), "asked")
-    if more.isEmpty():
-        return first
-    return best(first.select("query_id", "vec_id", "score").unionByName(searched(more)))
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", "8m"):  # a few blocks; rows are as long as blocks
+        first = staged(best(searched(staged(queries.mapInArrow(ask, of_ask), "asked"))), "first")
+        kth = staged(first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("kth")), "kth")
+        known = queries.join(kth, "id", "left").repartition(spread, "id")
+        more = staged(known.mapInArrow(ask, of_ask), "asked")
+        if more.isEmpty():
+            return first
+        return staged(best(first.select("query_id", "vec_id", "score").unionByName(searched(more))), "nearest")
