@@ -28,8 +28,8 @@ queries in blocks of one region too. A block of queries meets the blocks of the
 its queries visits, by a join of blocks that shuffles no vectors again. There each cell is multiplied
 with the queries that visit it, in single precision; whatever comes within its error of a query's
 k-th score so far is scored exactly, in double precision on the original vectors. A task keeps each
-query's best k of what it has seen, so what leaves a task is bounded by k rows per query. Identical
-vectors need no special case: ties go to the smaller id.
+query's best k of what it has seen, so what leaves a task is bounded by k rows per query. Ties go to the
+smaller id, so of equal vectors in a block only the k + 1 smallest ids are multiplied: no query ranks more.
 
 Vectors that are null, zero, of odd length or hold null or non-finite components take no
 part, as queries or candidates; neither do rows with a null id. Rows that repeat an id

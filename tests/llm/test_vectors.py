@@ -259,3 +259,14 @@ def test_single_precision_only_filters():
         exact = np.einsum("ij,j->i", x, x[i])
         order = [j for j in np.lexsort((ids, -exact)) if ids[j] != ids[i]][:20]
         assert found[query == ids[i]].tolist() == ids[order].tolist()
+
+
+def test_plans_off_the_heap(monkeypatch):
+    rng = np.random.default_rng(3)
+    maps = ann.functions_of(17, 4)
+    q, cosine = np.column_stack([unit(rng.normal(size=(12, 16))), np.zeros(12)]), rng.uniform(0.1, 0.9, 12)
+    want = [*ann.plans(q, maps, 100_000, 20), *ann.plans(q, maps, 100_000, 20, cosine)]
+    monkeypatch.setattr(ann, "ENUMERATE", 0)
+    got = [*ann.plans(q, maps, 100_000, 20), *ann.plans(q, maps, 100_000, 20, cosine)]
+    for a, b in zip(got, want, strict=True):
+        assert np.allclose(a, b, rtol=1e-9)
