@@ -556,7 +556,7 @@ def nearest(table: DataFrame, is_query, key: str = "vec_id", vector: str = "embe
             yield pa.RecordBatch.from_pydict({"query_id": query, "vec_id": ids, "score": found})
 
     def searched(asked: DataFrame) -> DataFrame:
-        asks = staged(blocks(asked, asked, per_query, min(tasks, 8 * cores), pack_queries,
+        asks = staged(blocks(asked, asked, per_query, min(tasks, max(cores, -(-asking * TABLES * 2 // per_query))), pack_queries,
                              f"block long, meets array<long>, qi array<{kind}>, qv binary, plan binary, t int"), "asks", ("t",), plain=True)
         found, at_least = [], int(np.clip(n * asking >> 29, cores, 8 * cores))
         for t, many in sorted(asks.groupBy("t").count().collect()):
